@@ -131,3 +131,389 @@ def merchant_daily_metrics(spark, sf_dir):
 @query
 def reconciliation_summary(spark, sf_dir):
     return finish(Context(spark, sf_dir).gold.reconciliation_summary)
+
+
+# -- fixed parameters of the registered queries ---------------------------
+WATERMARK = ("2001-01-01 00:00:00", 500)
+CUTOFF = "2001-06-30 00:00:00"
+BATCH_SIZE = 1000
+TOP_YEAR, TOP_MONTH, TOP_N = 1998, 6, 10
+AS_OF = "1994-08-15 00:00:00"
+# Previous watermark state per table for ``advance_watermark`` (customers'
+# mark lies after every change, so that table must keep its old mark).
+OLD_STATE = [
+    ("merchants", "1994-02-01 00:00:00", "mrc_000010"),
+    ("customers", "1994-06-01 00:00:00", "cus_00000010"),
+    ("payments", "2001-01-01 00:00:00", "500"),
+    ("settlements", "2001-01-01 00:00:00", "500"),
+]
+
+
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _sources(fx: Fixtures) -> dict[str, tuple[DataFrame, str]]:
+    return {
+        "merchants": (fx.merchants_raw, "merchant_id"),
+        "customers": (fx.customers_raw, "customer_id"),
+        "payments": (fx.payments_raw, "source_record_id"),
+        "settlements": (fx.settlements_raw, "source_record_id"),
+    }
+
+
+# -- Extraction -----------------------------------------------------------
+@query
+def full_extract(spark, sf_dir):
+    from lakeshift.sinks.manifest import assign_batches
+
+    fx = Fixtures(spark, sf_dir)
+    return finish(assign_batches(fx.payments_raw, "payments", "source_record_id", BATCH_SIZE))
+
+
+@query
+def incremental_extract(spark, sf_dir):
+    from lakeshift.sources.incremental import changes_since
+
+    return finish(changes_since(Fixtures(spark, sf_dir).payments_raw, WATERMARK, CUTOFF, "source_record_id"))
+
+
+@query
+def latest_watermark(spark, sf_dir):
+    from lakeshift.sources.incremental import latest_watermark as mark
+
+    return _union([mark(df, key, table) for table, (df, key) in _sources(Fixtures(spark, sf_dir)).items()])
+
+
+@query
+def advance_watermark(spark, sf_dir):
+    from datetime import datetime
+
+    from lakeshift.sources.incremental import advance_watermark as advance, changes_since
+
+    fx = Fixtures(spark, sf_dir)
+    state = spark.createDataFrame(
+        [(t, datetime.fromisoformat(ts), k) for t, ts, k in OLD_STATE],
+        T.StructType([T.StructField("source_table", T.StringType()), T.StructField("updated_at", T.TimestampNTZType()), T.StructField("source_key", T.StringType())]),
+    )
+    old = {t: (ts, k) for t, ts, k in OLD_STATE}
+    marks = []
+    for table, (df, key) in _sources(fx).items():
+        extracted = changes_since(df, old[table], CUTOFF, key)
+        marks.append(
+            extracted.agg(F.max(F.struct(F.col("updated_at").alias("t"), F.col(key).alias("k"))).alias("m"), F.count(F.lit(1)).alias("extracted_rows")).select(
+                F.lit(table).alias("source_table"), F.col("m.t").alias("updated_at"), F.col("m.k").cast("string").alias("source_key"), "extracted_rows"
+            )
+        )
+    return advance(state, _union(marks))
+
+
+@query
+def batch_manifest(spark, sf_dir):
+    from lakeshift.sinks.manifest import batch_manifest as manifest
+
+    return manifest(Fixtures(spark, sf_dir).payments_raw, "payments", "source_record_id", BATCH_SIZE)
+
+
+@query
+def row_digest(spark, sf_dir):
+    from lakeshift.sinks.manifest import row_digest as digest
+
+    p = Fixtures(spark, sf_dir).payments_raw
+    return p.select("source_record_id", digest(p).alias("row_digest"))
+
+
+@query
+def verify_manifest(spark, sf_dir):
+    from lakeshift.sinks.manifest import batch_manifest as manifest, verify_manifest as verify
+
+    ctx = Context(spark, sf_dir)
+    recorded = manifest(ctx.fx.payments_raw, "payments", "source_record_id", BATCH_SIZE)
+    # Every extracted row must land in Silver or in quarantine.
+    landed = manifest(ctx.silver.payments_flagged, "payments", "source_record_id", BATCH_SIZE)
+    return verify(recorded, landed)
+
+
+# -- Silver reports -------------------------------------------------------
+@query
+def quarantine_union(spark, sf_dir):
+    return Context(spark, sf_dir).silver.quarantine_union()
+
+
+@query
+def rejection_counts(spark, sf_dir):
+    q = Context(spark, sf_dir).silver.quarantine_union()
+    return q.groupBy("source_table", "rejection_reason").agg(F.count(F.lit(1)).alias("rejected_rows"))
+
+
+@query
+def quality_report(spark, sf_dir):
+    return Context(spark, sf_dir).silver.quality_report()
+
+
+# -- Incremental merge ----------------------------------------------------
+def _merge(ctx: Context):
+    from lakeshift.plans.merge import merge_increment
+
+    s, fx = ctx.silver, ctx.fx
+    return merge_increment(
+        s.merchants_valid, s.customers_valid, s.payments_valid, s.settlements_valid, fx.merchants_inc, fx.payments_inc, fx.settlements_inc
+    )
+
+
+@query
+def latest_by_key(spark, sf_dir):
+    from lakeshift.functions.rules import present
+    from lakeshift.operators.dedup import latest_by_key as latest
+
+    fx = Fixtures(spark, sf_dir)
+    return finish(latest(fx.payments_raw.unionByName(fx.payments_inc).filter(present("payment_id")), "payment_id"))
+
+
+@query
+def merchants_merged(spark, sf_dir):
+    return _merge(Context(spark, sf_dir)).merchants_merged
+
+
+@query
+def customers_merged(spark, sf_dir):
+    return _merge(Context(spark, sf_dir)).customers_merged
+
+
+@query
+def payments_merged(spark, sf_dir):
+    return finish(_merge(Context(spark, sf_dir)).payments_merged.withColumn("payment_date", F.to_date("payment_timestamp")))
+
+
+@query
+def settlements_merged(spark, sf_dir):
+    return finish(_merge(Context(spark, sf_dir)).settlements_merged.withColumn("settlement_date", F.to_date("settlement_timestamp")))
+
+
+@query
+def incremental_payment_rejections(spark, sf_dir):
+    return _merge(Context(spark, sf_dir)).payments_flagged.select("source_record_id", "payment_id", "merchant_id", "rejection_reason")
+
+
+@query
+def incremental_settlement_rejections(spark, sf_dir):
+    return _merge(Context(spark, sf_dir)).settlements_checked.select("source_record_id", "settlement_id", "payment_id", "rejection_reason")
+
+
+@query
+def merge_report(spark, sf_dir):
+    return _merge(Context(spark, sf_dir)).report()
+
+
+# -- Gold extras ----------------------------------------------------------
+@query
+def gold_report(spark, sf_dir):
+    return Context(spark, sf_dir).gold.report()
+
+
+@query
+def top_merchants(spark, sf_dir):
+    return R.top_merchants(Context(spark, sf_dir).gold.merchant_daily_metrics, TOP_YEAR, TOP_MONTH, TOP_N)
+
+
+@query
+def compact_by_month(spark, sf_dir):
+    p = R.month_partitions(Context(spark, sf_dir).silver.payments_silver, "payment_date")
+    return p.groupBy("partition_year", "partition_month").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+# -- SCD2 -----------------------------------------------------------------
+def _history(ctx: Context) -> DataFrame:
+    from lakeshift.operators.scd2 import scd2_init
+
+    return scd2_init(ctx.silver.merchants_valid)
+
+
+@query
+def scd2_init(spark, sf_dir):
+    return _history(Context(spark, sf_dir))
+
+
+@query
+def scd2_changed(spark, sf_dir):
+    from lakeshift.operators.scd2 import scd2_changes
+
+    ctx = Context(spark, sf_dir)
+    return scd2_changes(_history(ctx), ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS)
+
+
+@query
+def scd2_merge(spark, sf_dir):
+    from lakeshift.operators.scd2 import scd2_merge as merge
+
+    ctx = Context(spark, sf_dir)
+    return merge(_history(ctx), ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS)
+
+
+@query
+def scd2_merge_with_inserts(spark, sf_dir):
+    from lakeshift.operators.scd2 import scd2_merge as merge
+
+    ctx = Context(spark, sf_dir)
+    return merge(_history(ctx), ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS, insert_new=True)
+
+
+@query
+def scd2_closed(spark, sf_dir):
+    return scd2_merge(spark, sf_dir).filter(~F.col("is_current"))
+
+
+@query
+def scd2_opened(spark, sf_dir):
+    from lakeshift.operators.scd2 import scd2_changes, scd2_open
+
+    ctx = Context(spark, sf_dir)
+    hist = _history(ctx)
+    return scd2_open(scd2_changes(hist, ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS), hist.columns, "merchant_id")
+
+
+@query
+def scd2_current(spark, sf_dir):
+    return scd2_merge(spark, sf_dir).filter(F.col("is_current"))
+
+
+@query
+def scd2_as_of(spark, sf_dir):
+    from lakeshift.operators.scd2 import scd2_as_of as as_of
+
+    return as_of(scd2_merge_with_inserts(spark, sf_dir), AS_OF)
+
+
+@query
+def scd2_report(spark, sf_dir):
+    from lakeshift.operators.scd2 import scd2_changes, scd2_close, scd2_open
+
+    ctx = Context(spark, sf_dir)
+    hist = _history(ctx)
+    changed_rows = scd2_changes(hist, ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS)
+    result = scd2_close(hist, changed_rows, "merchant_id").unionByName(scd2_open(changed_rows, hist.columns, "merchant_id"))
+    changed_count = changed_rows.agg(F.count(F.lit(1))).scalar()
+    return result.agg(
+        F.count(F.lit(1)).alias("total_scd2_rows"),
+        F.count_if(F.col("is_current")).alias("current_scd2_rows"),
+        F.count_if(~F.col("is_current")).alias("closed_scd2_rows"),
+    ).select(changed_count.alias("changed_merchants"), "total_scd2_rows", "current_scd2_rows", "closed_scd2_rows")
+
+
+# -- Quality --------------------------------------------------------------
+@query
+def expect_not_null(spark, sf_dir):
+    from lakeshift.operators import expectations as E
+
+    ctx = Context(spark, sf_dir)
+    return _union(
+        [
+            E.run_expectations(ctx.fx.payments_raw, "payments_raw", [E.not_null("payment_id")]),
+            E.run_expectations(ctx.fx.merchants_raw, "merchants_raw", [E.not_null("merchant_id")]),
+            E.run_expectations(ctx.silver.payments_valid, "payments", [E.not_null("payment_id")]),
+        ]
+    )
+
+
+@query
+def expect_unique(spark, sf_dir):
+    from lakeshift.operators import expectations as E
+
+    ctx = Context(spark, sf_dir)
+    return _union(
+        [
+            E.run_expectations(ctx.fx.payments_raw, "payments_raw", [E.unique("payment_id")]),
+            E.run_expectations(ctx.fx.merchants_raw, "merchants_raw", [E.unique("merchant_id")]),
+            E.run_expectations(ctx.silver.payments_valid, "payments", [E.unique("payment_id")]),
+        ]
+    )
+
+
+@query
+def expect_between(spark, sf_dir):
+    from lakeshift.operators import expectations as E
+
+    ctx = Context(spark, sf_dir)
+    return _union(
+        [
+            E.run_expectations(ctx.fx.payments_raw, "payments_raw", [E.between("payment_amount", min_value="0.01")]),
+            E.run_expectations(ctx.silver.payments_valid, "payments", [E.between("payment_amount", min_value="0.01")]),
+        ]
+    )
+
+
+@query
+def expect_in_set(spark, sf_dir):
+    from lakeshift.operators import expectations as E
+
+    ctx = Context(spark, sf_dir)
+    return _union(
+        [
+            E.run_expectations(ctx.fx.payments_raw, "payments_raw", [E.in_set("payment_status", S.PAYMENT_STATUSES)]),
+            E.run_expectations(
+                ctx.gold.payment_reconciliation, "reconciliation", [E.in_set("reconciliation_status", S.RECONCILIATION_STATUSES)]
+            ),
+        ]
+    )
+
+
+@query
+def orphan_payments(spark, sf_dir):
+    from lakeshift.operators.joins import orphans
+
+    ctx = Context(spark, sf_dir)
+    merchants = ctx.silver.merchants_valid
+
+    def count(df: DataFrame, name: str) -> DataFrame:
+        return orphans(df, "merchant_id", merchants, "merchant_id").agg(F.count(F.lit(1)).alias("orphan_payment_count")).select(
+            F.lit(name).alias("dataset"), "orphan_payment_count"
+        )
+
+    return count(ctx.fx.payments_raw, "payments_raw").unionByName(count(ctx.silver.payments_valid, "payments"))
+
+
+@query
+def expectation_suite(spark, sf_dir):
+    from lakeshift.plans.audit import expectation_suite as suite
+
+    ctx = Context(spark, sf_dir)
+    return suite(ctx.silver.merchants_valid, ctx.silver.payments_valid, ctx.gold.payment_reconciliation)
+
+
+# -- Reconciliation and metrics -------------------------------------------
+def _source_totals(ctx: Context) -> DataFrame:
+    from lakeshift.plans.audit import source_expected_totals as totals
+
+    return totals(ctx.fx.payments_raw, ctx.fx.merchants_raw)
+
+
+def _migration(ctx: Context) -> DataFrame:
+    from lakeshift.plans.audit import migration_reconciliation as recon
+
+    return recon(_source_totals(ctx), R.target_totals(ctx.gold.payment_reconciliation), ctx.silver.quality_report())
+
+
+@query
+def source_expected_totals(spark, sf_dir):
+    return finish(_source_totals(Context(spark, sf_dir)))
+
+
+@query
+def target_totals(spark, sf_dir):
+    return finish(R.target_totals(Context(spark, sf_dir).gold.payment_reconciliation))
+
+
+@query
+def migration_reconciliation(spark, sf_dir):
+    return finish(_migration(Context(spark, sf_dir)))
+
+
+@query
+def pipeline_metrics(spark, sf_dir):
+    from lakeshift.plans.audit import pipeline_metrics as metrics
+
+    ctx = Context(spark, sf_dir)
+    return metrics(ctx.silver.quality_report(), _migration(ctx))

@@ -285,3 +285,430 @@ register(
     f"SELECT reconciliation_status, payment_count, {_d('payment_amount')}, {_d('settled_amount')}, {_d('net_difference')} "
     "FROM reconciliation_summary",
 )
+
+MERGE = f"""
+merchants_inc_invalid AS (
+  SELECT {MRC_COLS}, 'MISSING_MERCHANT_ID' AS rejection_reason, 'merchants' AS source_table
+  FROM merchants_inc WHERE merchant_id IS NULL OR trim(merchant_id) = ''
+),
+merchants_inc_latest AS (
+  SELECT {MRC_COLS} FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY merchant_id ORDER BY updated_at DESC NULLS LAST) AS rn
+    FROM merchants_inc WHERE merchant_id IS NOT NULL AND trim(merchant_id) <> ''
+  ) WHERE rn = 1
+),
+merchants_merged AS (
+  SELECT {MRC_COLS} FROM merchants_valid b
+  WHERE NOT EXISTS (SELECT 1 FROM merchants_inc_latest c WHERE c.merchant_id = b.merchant_id)
+  UNION ALL SELECT {MRC_COLS} FROM merchants_inc_latest
+),
+payments_inc_checked AS (
+  SELECT p.*,
+         CASE WHEN p.payment_id IS NULL OR trim(p.payment_id) = '' THEN 'MISSING_PAYMENT_ID'
+              WHEN p.payment_amount IS NULL OR p.payment_amount <= 0 THEN 'INVALID_PAYMENT_AMOUNT'
+              WHEN NOT EXISTS (SELECT 1 FROM merchants_merged m WHERE m.merchant_id = p.merchant_id) THEN 'MISSING_MERCHANT_REFERENCE'
+         END AS rejection_reason
+  FROM payments_inc p
+),
+payments_inc_ranked AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY payment_id ORDER BY updated_at DESC NULLS LAST, source_record_id DESC NULLS LAST) AS inc_rank
+  FROM payments_inc_checked WHERE rejection_reason IS NULL
+),
+payments_merged AS (
+  SELECT {PAY_COLS}, CAST(payment_timestamp AS DATE) AS payment_date FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY payment_id ORDER BY updated_at DESC NULLS LAST, source_record_id DESC NULLS LAST) AS rn
+    FROM (SELECT {PAY_COLS} FROM payments_valid UNION ALL SELECT {PAY_COLS} FROM payments_inc_ranked WHERE inc_rank = 1)
+  ) WHERE rn = 1
+),
+settlements_inc_checked AS (
+  SELECT s.*,
+         CASE WHEN s.settlement_id IS NULL OR trim(s.settlement_id) = '' THEN 'MISSING_SETTLEMENT_ID'
+              WHEN s.settlement_amount IS NULL OR s.settlement_amount <= 0 THEN 'INVALID_SETTLEMENT_AMOUNT'
+              WHEN NOT EXISTS (SELECT 1 FROM payments_merged v WHERE v.payment_id = s.payment_id) THEN 'MISSING_PAYMENT_REFERENCE'
+         END AS rejection_reason
+  FROM settlements_inc s
+),
+settlements_merged AS (
+  SELECT {STL_COLS}, CAST(settlement_timestamp AS DATE) AS settlement_date FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY settlement_id ORDER BY updated_at DESC NULLS LAST, source_record_id DESC NULLS LAST) AS rn
+    FROM (SELECT {STL_COLS} FROM settlements_valid
+          UNION ALL SELECT {STL_COLS} FROM settlements_inc_checked WHERE rejection_reason IS NULL)
+  ) WHERE rn = 1
+)"""
+
+_TRACKED = ["merchant_name", "merchant_category", "city", "state", "risk_tier"]
+HIST_COLS = f"{MRC_COLS}, effective_from, effective_to, is_current, scd_version"
+
+HISTORY = f"""
+scd2_base AS (
+  SELECT {MRC_COLS}, COALESCE(updated_at, created_at) AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to,
+         TRUE AS is_current, CAST(1 AS INTEGER) AS scd_version
+  FROM merchants_valid
+),
+scd2_latest_changes AS (
+  SELECT {MRC_COLS} FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY merchant_id ORDER BY updated_at DESC NULLS LAST, created_at DESC NULLS LAST) AS rn
+    FROM merchants_inc WHERE merchant_id IS NOT NULL AND trim(merchant_id) <> ''
+  ) WHERE rn = 1
+),
+scd2_changed AS (
+  SELECT c.merchant_id, COALESCE(n.updated_at, n.created_at) AS new_effective_from,
+         {", ".join(f"n.{t}" for t in _TRACKED)}, n.created_at, n.updated_at, n.source_batch_id,
+         c.scd_version AS prior_scd_version
+  FROM scd2_base c JOIN scd2_latest_changes n ON c.merchant_id = n.merchant_id
+  WHERE c.is_current AND ({" OR ".join(f"c.{t} IS DISTINCT FROM n.{t}" for t in _TRACKED)})
+    AND COALESCE(n.updated_at, n.created_at) > c.effective_from
+),
+scd2_closed_all AS (
+  SELECT {", ".join("b." + c.strip() for c in MRC_COLS.split(","))}, b.effective_from,
+         CASE WHEN b.is_current AND x.new_effective_from IS NOT NULL THEN x.new_effective_from ELSE b.effective_to END AS effective_to,
+         CASE WHEN b.is_current AND x.new_effective_from IS NOT NULL THEN FALSE ELSE b.is_current END AS is_current,
+         b.scd_version
+  FROM scd2_base b LEFT JOIN scd2_changed x ON b.merchant_id = x.merchant_id
+),
+scd2_opened AS (
+  SELECT {MRC_COLS}, new_effective_from AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current,
+         CAST(prior_scd_version + 1 AS INTEGER) AS scd_version
+  FROM scd2_changed
+),
+scd2_merged AS (SELECT {HIST_COLS} FROM scd2_closed_all UNION ALL SELECT {HIST_COLS} FROM scd2_opened),
+scd2_inserts AS (
+  SELECT {MRC_COLS}, COALESCE(updated_at, created_at) AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to,
+         TRUE AS is_current, CAST(1 AS INTEGER) AS scd_version
+  FROM scd2_latest_changes n WHERE NOT EXISTS (SELECT 1 FROM scd2_base b WHERE b.merchant_id = n.merchant_id)
+),
+scd2_merged_inserts AS (SELECT {HIST_COLS} FROM scd2_merged UNION ALL SELECT {HIST_COLS} FROM scd2_inserts)"""
+
+AUDIT = """
+quarantine_all AS (
+  SELECT source_table, rejection_reason, merchant_id AS record_key, CAST(NULL AS BIGINT) AS source_record_id, source_batch_id FROM merchants_invalid
+  UNION ALL SELECT source_table, rejection_reason, customer_id, CAST(NULL AS BIGINT), source_batch_id FROM customers_invalid
+  UNION ALL SELECT source_table, rejection_reason, payment_id, source_record_id, source_batch_id FROM payments_invalid
+  UNION ALL SELECT source_table, rejection_reason, payment_id, source_record_id, source_batch_id FROM payment_duplicates
+  UNION ALL SELECT source_table, rejection_reason, settlement_id, source_record_id, source_batch_id FROM settlements_invalid
+),
+quality_report AS (
+  SELECT 'valid_rows' AS section, 'merchants' AS name, (SELECT count(*) FROM merchants_valid) AS value
+  UNION ALL SELECT 'valid_rows', 'customers', (SELECT count(*) FROM customers_valid)
+  UNION ALL SELECT 'valid_rows', 'payments', (SELECT count(*) FROM payments_valid)
+  UNION ALL SELECT 'valid_rows', 'settlements', (SELECT count(*) FROM settlements_valid)
+  UNION ALL SELECT 'quarantined_rows', 'merchants', (SELECT count(*) FROM merchants_invalid)
+  UNION ALL SELECT 'quarantined_rows', 'customers', (SELECT count(*) FROM customers_invalid)
+  UNION ALL SELECT 'quarantined_rows', 'payments_invalid', (SELECT count(*) FROM payments_invalid)
+  UNION ALL SELECT 'quarantined_rows', 'payments_duplicates', (SELECT count(*) FROM payment_duplicates)
+  UNION ALL SELECT 'quarantined_rows', 'settlements', (SELECT count(*) FROM settlements_invalid)
+),
+source_totals AS (
+  SELECT (SELECT count(*) FROM payments_raw) AS raw_payment_count,
+         count(*) AS expected_valid_payment_count,
+         COALESCE(SUM(payment_amount), 0) AS expected_valid_payment_amount
+  FROM (
+    SELECT p.*, ROW_NUMBER() OVER (PARTITION BY p.payment_id ORDER BY p.updated_at DESC NULLS LAST, p.source_record_id DESC) AS rn
+    FROM payments_raw p
+    WHERE p.payment_id IS NOT NULL AND trim(p.payment_id) <> '' AND p.payment_amount > 0
+      AND EXISTS (SELECT 1 FROM merchants_raw m WHERE m.merchant_id = p.merchant_id)
+  ) WHERE rn = 1
+),
+target_totals AS (
+  SELECT count(payment_id) AS valid_payment_count, COALESCE(SUM(payment_amount), 0) AS valid_payment_amount,
+         COALESCE(SUM(settled_amount), 0) AS settled_amount
+  FROM payment_reconciliation
+),
+migration AS (
+  SELECT s.raw_payment_count, s.expected_valid_payment_count, s.expected_valid_payment_amount,
+         t.valid_payment_count AS target_valid_payment_count, t.valid_payment_amount AS target_valid_payment_amount,
+         t.settled_amount AS target_settled_amount,
+         (SELECT SUM(value) FROM quality_report WHERE section = 'quarantined_rows' AND name IN ('payments_invalid', 'payments_duplicates')) AS quarantined_payment_rows
+  FROM source_totals s, target_totals t
+),
+migration_checks AS (
+  SELECT *, raw_payment_count = target_valid_payment_count + quarantined_payment_rows AS raw_records_accounted_for,
+         expected_valid_payment_count = target_valid_payment_count AS valid_payment_count_matches,
+         expected_valid_payment_amount = target_valid_payment_amount AS valid_payment_amount_matches
+  FROM migration
+),
+migration_verdict AS (
+  SELECT *, CASE WHEN raw_records_accounted_for AND valid_payment_count_matches AND valid_payment_amount_matches
+                 THEN 'PASSED' ELSE 'FAILED' END AS status
+  FROM migration_checks
+)"""
+
+ALL = [FIXTURES, SILVER, GOLD, MERGE, HISTORY, AUDIT]
+CUTOFF = "TIMESTAMP '2001-06-30 00:00:00'"
+WM_TS = "TIMESTAMP '2001-01-01 00:00:00'"
+
+
+def reg(name: str, body: str) -> None:
+    register(name, body, ALL)
+
+
+def _batch(col: str = "source_record_id") -> str:
+    return f"'payments-' || lpad(CAST({col} // 1000 + 1 AS VARCHAR), 5, '0')"
+
+
+def _changes(table: str, key: str, ts: str, k: str) -> str:
+    return (
+        f"SELECT * FROM {table} WHERE updated_at <= {CUTOFF} AND (updated_at > TIMESTAMP '{ts}' "
+        f"OR (updated_at = TIMESTAMP '{ts}' AND {key} > {k}))"
+    )
+
+
+reg("full_extract", f"SELECT {PAY_OUT}, {_batch()} AS batch_id FROM payments_raw")
+reg("incremental_extract", f"SELECT {PAY_OUT} FROM ({_changes('payments_raw', 'source_record_id', '2001-01-01 00:00:00', '500')})")
+
+_WM_TABLES = [
+    ("merchants", "merchants_raw", "merchant_id"),
+    ("customers", "customers_raw", "customer_id"),
+    ("payments", "payments_raw", "source_record_id"),
+    ("settlements", "settlements_raw", "source_record_id"),
+]
+reg(
+    "latest_watermark",
+    " UNION ALL ".join(
+        f"SELECT * FROM (SELECT '{t}' AS source_table, m.updated_at, CAST(m.{k} AS VARCHAR) AS source_key "
+        f"FROM (SELECT 1 AS one) d LEFT JOIN (SELECT updated_at, {k} FROM {src} WHERE updated_at IS NOT NULL "
+        f"ORDER BY updated_at DESC, {k} DESC NULLS LAST LIMIT 1) m ON TRUE)"
+        for t, src, k in _WM_TABLES
+    ),
+)
+
+_OLD = [
+    ("merchants", "merchants_raw", "merchant_id", "1994-02-01 00:00:00", "'mrc_000010'"),
+    ("customers", "customers_raw", "customer_id", "1994-06-01 00:00:00", "'cus_00000010'"),
+    ("payments", "payments_raw", "source_record_id", "2001-01-01 00:00:00", "500"),
+    ("settlements", "settlements_raw", "source_record_id", "2001-01-01 00:00:00", "500"),
+]
+reg(
+    "advance_watermark",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS source_table, COALESCE(m.updated_at, TIMESTAMP '{ts}') AS updated_at, "
+        f"CASE WHEN m.updated_at IS NULL THEN '{str(k).strip(chr(39))}' ELSE CAST(m.{key} AS VARCHAR) END AS source_key, "
+        f"(SELECT count(*) FROM ({_changes(src, key, ts, k)})) AS extracted_rows "
+        f"FROM (SELECT 1 AS one) d LEFT JOIN (SELECT updated_at, {key} FROM ({_changes(src, key, ts, k)}) "
+        f"ORDER BY updated_at DESC, {key} DESC LIMIT 1) m ON TRUE"
+        for t, src, key, ts, k in _OLD
+    ),
+)
+reg(
+    "batch_manifest",
+    f"SELECT 'payments' AS source_table, {_batch()} AS batch_id, count(*) AS record_count, "
+    "CAST(max(source_record_id) AS VARCHAR) AS last_source_key, 'COMPLETED' AS status FROM payments_raw GROUP BY 2",
+)
+_canon = ", ".join(f"COALESCE(CAST({c.strip()} AS VARCHAR), '\\N')" for c in PAY_COLS.split(","))
+reg("row_digest", f"SELECT source_record_id, sha256(concat_ws('|', {_canon})) AS row_digest FROM payments_raw")
+reg(
+    "verify_manifest",
+    f"""SELECT COALESCE(r.source_table, l.source_table) AS source_table, COALESCE(r.batch_id, l.batch_id) AS batch_id,
+           r.record_count AS recorded_count, l.record_count AS landed_count,
+           CASE WHEN l.record_count IS NULL THEN 'MISSING_BATCH' WHEN r.record_count IS NULL THEN 'UNEXPECTED_BATCH'
+                WHEN r.record_count = l.record_count THEN 'MATCHED' ELSE 'COUNT_MISMATCH' END AS status
+    FROM (SELECT 'payments' AS source_table, {_batch()} AS batch_id, count(*) AS record_count FROM payments_raw GROUP BY 2) r
+    FULL OUTER JOIN (
+      SELECT 'payments' AS source_table, {_batch()} AS batch_id, count(*) AS record_count FROM (
+        SELECT source_record_id FROM payments_valid UNION ALL SELECT source_record_id FROM payments_invalid
+        UNION ALL SELECT source_record_id FROM payment_duplicates) GROUP BY 2
+    ) l ON r.source_table = l.source_table AND r.batch_id = l.batch_id""",
+)
+
+reg("quarantine_union", "SELECT * FROM quarantine_all")
+reg("rejection_counts", "SELECT source_table, rejection_reason, count(*) AS rejected_rows FROM quarantine_all GROUP BY 1, 2")
+reg("quality_report", "SELECT * FROM quality_report")
+
+reg(
+    "latest_by_key",
+    f"""SELECT {PAY_OUT} FROM (
+      SELECT *, ROW_NUMBER() OVER (PARTITION BY payment_id ORDER BY updated_at DESC NULLS LAST, source_record_id DESC NULLS LAST) AS rn
+      FROM (SELECT * FROM payments_raw UNION ALL SELECT * FROM payments_inc)
+      WHERE payment_id IS NOT NULL AND trim(payment_id) <> '') WHERE rn = 1""",
+)
+reg("merchants_merged", "SELECT * FROM merchants_merged")
+reg("customers_merged", "SELECT * FROM customers_valid")
+reg("payments_merged", f"SELECT {PAY_OUT}, payment_date FROM payments_merged")
+reg("settlements_merged", f"SELECT {STL_OUT}, settlement_date FROM settlements_merged")
+reg(
+    "incremental_payment_rejections",
+    "SELECT c.source_record_id, c.payment_id, c.merchant_id, COALESCE(c.rejection_reason, "
+    "CASE WHEN r.inc_rank > 1 THEN 'DUPLICATE_PAYMENT_ID' END) AS rejection_reason "
+    "FROM payments_inc_checked c LEFT JOIN (SELECT source_record_id AS rid, inc_rank FROM payments_inc_ranked) r ON c.source_record_id = r.rid",
+)
+reg("incremental_settlement_rejections", "SELECT source_record_id, settlement_id, payment_id, rejection_reason FROM settlements_inc_checked")
+reg(
+    "merge_report",
+    """SELECT 'incremental_rows' AS section, 'merchants' AS name, (SELECT count(*) FROM merchants_inc) AS value
+    UNION ALL SELECT 'incremental_rows', 'payments', (SELECT count(*) FROM payments_inc)
+    UNION ALL SELECT 'incremental_rows', 'settlements', (SELECT count(*) FROM settlements_inc)
+    UNION ALL SELECT 'merged_rows', 'merchants', (SELECT count(*) FROM merchants_merged)
+    UNION ALL SELECT 'merged_rows', 'customers', (SELECT count(*) FROM customers_valid)
+    UNION ALL SELECT 'merged_rows', 'payments', (SELECT count(*) FROM payments_merged)
+    UNION ALL SELECT 'merged_rows', 'settlements', (SELECT count(*) FROM settlements_merged)
+    UNION ALL SELECT 'quarantined_rows', 'merchants', (SELECT count(*) FROM merchants_inc_invalid)
+    UNION ALL SELECT 'quarantined_rows', 'payments', (SELECT count(*) FROM payments_inc_checked WHERE rejection_reason IS NOT NULL)
+    UNION ALL SELECT 'quarantined_rows', 'payments_superseded', (SELECT count(*) FROM payments_inc_ranked WHERE inc_rank > 1)
+    UNION ALL SELECT 'quarantined_rows', 'settlements', (SELECT count(*) FROM settlements_inc_checked WHERE rejection_reason IS NOT NULL)""",
+)
+
+reg(
+    "gold_report",
+    """SELECT 'gold_rows' AS section, 'payment_reconciliation' AS name, (SELECT count(*) FROM payment_reconciliation) AS value
+    UNION ALL SELECT 'gold_rows', 'merchant_daily_metrics', (SELECT count(*) FROM merchant_daily_metrics)
+    UNION ALL SELECT 'gold_rows', 'merchant_scd2', (SELECT count(*) FROM merchants_valid)
+    UNION ALL SELECT 'reconciliation_status_counts', reconciliation_status, payment_count FROM reconciliation_summary""",
+)
+reg(
+    "top_merchants",
+    """SELECT merchant_id, SUM(payment_count) AS payment_count FROM merchant_daily_metrics
+    WHERE year(business_date) = 1998 AND month(business_date) = 6
+    GROUP BY merchant_id ORDER BY payment_count DESC, merchant_id LIMIT 10""",
+)
+reg(
+    "compact_by_month",
+    """SELECT CAST(year(payment_date) AS INTEGER) AS partition_year, CAST(month(payment_date) AS INTEGER) AS partition_month,
+           count(*) AS row_count FROM payments_silver GROUP BY 1, 2""",
+)
+
+reg("scd2_init", "SELECT * FROM scd2_base")
+reg("scd2_changed", "SELECT * FROM scd2_changed")
+reg("scd2_merge", "SELECT * FROM scd2_merged")
+reg("scd2_merge_with_inserts", "SELECT * FROM scd2_merged_inserts")
+reg("scd2_closed", "SELECT * FROM scd2_merged WHERE NOT is_current")
+reg("scd2_opened", "SELECT * FROM scd2_opened")
+reg("scd2_current", "SELECT * FROM scd2_merged WHERE is_current")
+reg(
+    "scd2_as_of",
+    "SELECT * FROM scd2_merged_inserts WHERE effective_from <= TIMESTAMP '1994-08-15 00:00:00' "
+    "AND (effective_to IS NULL OR TIMESTAMP '1994-08-15 00:00:00' < effective_to)",
+)
+reg(
+    "scd2_report",
+    """SELECT (SELECT count(*) FROM scd2_changed) AS changed_merchants, count(*) AS total_scd2_rows,
+           count_if(is_current) AS current_scd2_rows, count_if(NOT is_current) AS closed_scd2_rows FROM scd2_merged""",
+)
+
+_NN, _UQ, _BT, _IS = (
+    "expect_column_values_to_not_be_null",
+    "expect_column_values_to_be_unique",
+    "expect_column_values_to_be_between",
+    "expect_column_values_to_be_in_set",
+)
+
+
+def _check(dataset: str, source: str, name: str, column: str, bad: str) -> str:
+    return (
+        f"SELECT '{dataset}' AS dataset, '{name}' AS expectation, '{column}' AS column_name, count(*) AS element_count, "
+        f"count_if({bad}) AS unexpected_count, count_if({bad}) = 0 AS success FROM {source}"
+    )
+
+
+def _unique(dataset: str, source: str, column: str) -> str:
+    return (
+        f"SELECT '{dataset}' AS dataset, '{_UQ}' AS expectation, '{column}' AS column_name, "
+        f"CAST(COALESCE(SUM(n), 0) AS BIGINT) AS element_count, "
+        f"CAST(COALESCE(SUM(CASE WHEN {column} IS NOT NULL AND n > 1 THEN n END), 0) AS BIGINT) AS unexpected_count, "
+        f"COALESCE(SUM(CASE WHEN {column} IS NOT NULL AND n > 1 THEN n END), 0) = 0 AS success "
+        f"FROM (SELECT {column}, count(*) AS n FROM {source} GROUP BY {column})"
+    )
+
+
+_PAY_SET = "('CAPTURED', 'AUTHORIZED', 'FAILED', 'REFUNDED')"
+_REC_SET = "('MATCHED', 'MISSING_SETTLEMENT', 'UNDER_SETTLED', 'OVER_SETTLED')"
+reg(
+    "expect_not_null",
+    " UNION ALL ".join(
+        [
+            _check("payments_raw", "payments_raw", _NN, "payment_id", "payment_id IS NULL"),
+            _check("merchants_raw", "merchants_raw", _NN, "merchant_id", "merchant_id IS NULL"),
+            _check("payments", "payments_valid", _NN, "payment_id", "payment_id IS NULL"),
+        ]
+    ),
+)
+reg(
+    "expect_unique",
+    " UNION ALL ".join(
+        [
+            _unique("payments_raw", "payments_raw", "payment_id"),
+            _unique("merchants_raw", "merchants_raw", "merchant_id"),
+            _unique("payments", "payments_valid", "payment_id"),
+        ]
+    ),
+)
+reg(
+    "expect_between",
+    " UNION ALL ".join(
+        [
+            _check("payments_raw", "payments_raw", _BT, "payment_amount", "payment_amount IS NOT NULL AND payment_amount < 0.01"),
+            _check("payments", "payments_valid", _BT, "payment_amount", "payment_amount IS NOT NULL AND payment_amount < 0.01"),
+        ]
+    ),
+)
+reg(
+    "expect_in_set",
+    " UNION ALL ".join(
+        [
+            _check("payments_raw", "payments_raw", _IS, "payment_status", f"payment_status IS NOT NULL AND payment_status NOT IN {_PAY_SET}"),
+            _check(
+                "reconciliation",
+                "payment_reconciliation",
+                _IS,
+                "reconciliation_status",
+                f"reconciliation_status IS NOT NULL AND reconciliation_status NOT IN {_REC_SET}",
+            ),
+        ]
+    ),
+)
+reg(
+    "orphan_payments",
+    """SELECT 'payments_raw' AS dataset, count(*) AS orphan_payment_count FROM payments_raw p
+       WHERE NOT EXISTS (SELECT 1 FROM merchants_valid m WHERE m.merchant_id = p.merchant_id)
+    UNION ALL
+    SELECT 'payments', count(*) FROM payments_valid p
+       WHERE NOT EXISTS (SELECT 1 FROM merchants_valid m WHERE m.merchant_id = p.merchant_id)""",
+)
+reg(
+    "expectation_suite",
+    "SELECT *, CASE WHEN bool_and(success) OVER () THEN 'PASSED' ELSE 'FAILED' END AS suite_status FROM ("
+    + " UNION ALL ".join(
+        [
+            _check("merchants", "merchants_valid", _NN, "merchant_id", "merchant_id IS NULL"),
+            _unique("merchants", "merchants_valid", "merchant_id"),
+            _check("payments", "payments_valid", _NN, "payment_id", "payment_id IS NULL"),
+            _unique("payments", "payments_valid", "payment_id"),
+            _check("payments", "payments_valid", _BT, "payment_amount", "payment_amount IS NOT NULL AND payment_amount < 0.01"),
+            _check("payments", "payments_valid", _IS, "payment_status", f"payment_status IS NOT NULL AND payment_status NOT IN {_PAY_SET}"),
+            _check("reconciliation", "payment_reconciliation", _NN, "payment_id", "payment_id IS NULL"),
+            _check(
+                "reconciliation",
+                "payment_reconciliation",
+                _IS,
+                "reconciliation_status",
+                f"reconciliation_status IS NOT NULL AND reconciliation_status NOT IN {_REC_SET}",
+            ),
+            "SELECT 'referential_integrity', 'payments.merchant_id_exists_in_merchants', 'merchant_id', CAST(NULL AS BIGINT), "
+            "count(*), count(*) = 0 FROM payments_valid p WHERE NOT EXISTS (SELECT 1 FROM merchants_valid m WHERE m.merchant_id = p.merchant_id)",
+        ]
+    )
+    + ")",
+)
+
+reg(
+    "source_expected_totals",
+    f"SELECT raw_payment_count, expected_valid_payment_count, {_d('expected_valid_payment_amount')} FROM source_totals",
+)
+reg(
+    "target_totals",
+    f"SELECT valid_payment_count, {_d('valid_payment_amount')}, {_d('settled_amount')} FROM target_totals",
+)
+reg(
+    "migration_reconciliation",
+    f"""SELECT raw_payment_count, expected_valid_payment_count, {_d('expected_valid_payment_amount')}, target_valid_payment_count,
+           {_d('target_valid_payment_amount')}, {_d('target_settled_amount')}, CAST(quarantined_payment_rows AS BIGINT) AS quarantined_payment_rows,
+           raw_records_accounted_for, valid_payment_count_matches, valid_payment_amount_matches, status FROM migration_verdict""",
+)
+reg(
+    "pipeline_metrics",
+    """SELECT 'PipelineSuccess' AS metric_name, CAST(CASE WHEN status = 'PASSED' THEN 1 ELSE 0 END AS BIGINT) AS value, 'Count' AS unit FROM migration_verdict
+    UNION ALL SELECT 'RecordsProcessed', CAST((SELECT SUM(value) FROM quality_report WHERE section = 'valid_rows') AS BIGINT), 'Count'
+    UNION ALL SELECT 'ValidPayments', target_valid_payment_count, 'Count' FROM migration_verdict
+    UNION ALL SELECT 'QuarantinedRecords', CAST((SELECT SUM(value) FROM quality_report WHERE section = 'quarantined_rows') AS BIGINT), 'Count'
+    UNION ALL SELECT 'ReconciliationPassed', CAST(CASE WHEN status = 'PASSED' THEN 1 ELSE 0 END AS BIGINT), 'Count' FROM migration_verdict
+    UNION ALL SELECT 'QualityChecksCompleted', CAST(1 AS BIGINT), 'Count'""",
+)
