@@ -93,8 +93,7 @@ def merge_increment(
     checked = classify(
         flag_exists(payment_changes, "merchant_id", merchants_merged, "merchant_id", "merchant_exists"), payment_rules()
     ).drop("merchant_exists")
-    accepted = flag_latest(checked.filter(F.col("rejection_reason").isNull()), "payment_id")
-    payments_flagged = accepted.unionByName(checked.filter(F.col("rejection_reason").isNotNull()).withColumn("is_latest", F.lit(False))).withColumn(
+    payments_flagged = flag_latest(checked, "payment_id", eligible=F.col("rejection_reason").isNull()).withColumn(
         "rejection_reason",
         F.when(F.col("rejection_reason").isNull() & ~F.col("is_latest"), F.lit(S.DUPLICATE_PAYMENT_ID)).otherwise(F.col("rejection_reason")),
     )

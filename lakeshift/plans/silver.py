@@ -48,9 +48,8 @@ def classify_payments(payments: DataFrame, merchants_valid: DataFrame) -> DataFr
     Only accepted rows are ranked, so NULL/blank ids never share a window key.
     """
     checked = classify(flag_exists(payments, "merchant_id", merchants_valid, "merchant_id", "merchant_exists"), payment_rules()).drop("merchant_exists")
-    accepted = flag_latest(checked.filter(F.col("rejection_reason").isNull()), "payment_id")
-    rejected = checked.filter(F.col("rejection_reason").isNotNull()).withColumn("is_latest", F.lit(False))
-    return accepted.unionByName(rejected).withColumn(
+    flagged = flag_latest(checked, "payment_id", eligible=F.col("rejection_reason").isNull())
+    return flagged.withColumn(
         "rejection_reason",
         F.when(F.col("rejection_reason").isNull() & ~F.col("is_latest"), F.lit(S.DUPLICATE_PAYMENT_ID)).otherwise(F.col("rejection_reason")),
     )

@@ -37,7 +37,7 @@ class Context:
     """Per-query lazily built pipeline stages over one scale factor."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.fx = Fixtures(spark, sf_dir)
+        self.fx = Fixtures.of(spark, sf_dir)
         self._silver: Silver | None = None
         self._gold: Gold | None = None
 
@@ -170,7 +170,7 @@ def _sources(fx: Fixtures) -> dict[str, tuple[DataFrame, str]]:
 def full_extract(spark, sf_dir):
     from lakeshift.sinks.manifest import assign_batches
 
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     return finish(assign_batches(fx.payments_raw, "payments", "source_record_id", BATCH_SIZE))
 
 
@@ -178,14 +178,14 @@ def full_extract(spark, sf_dir):
 def incremental_extract(spark, sf_dir):
     from lakeshift.sources.incremental import changes_since
 
-    return finish(changes_since(Fixtures(spark, sf_dir).payments_raw, WATERMARK, CUTOFF, "source_record_id"))
+    return finish(changes_since(Fixtures.of(spark, sf_dir).payments_raw, WATERMARK, CUTOFF, "source_record_id"))
 
 
 @query
 def latest_watermark(spark, sf_dir):
     from lakeshift.sources.incremental import latest_watermark as mark
 
-    return _union([mark(df, key, table) for table, (df, key) in _sources(Fixtures(spark, sf_dir)).items()])
+    return _union([mark(df, key, table) for table, (df, key) in _sources(Fixtures.of(spark, sf_dir)).items()])
 
 
 @query
@@ -194,7 +194,7 @@ def advance_watermark(spark, sf_dir):
 
     from lakeshift.sources.incremental import advance_watermark as advance, changes_since
 
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     state = spark.createDataFrame(
         [(t, datetime.fromisoformat(ts), k) for t, ts, k in OLD_STATE],
         T.StructType([T.StructField("source_table", T.StringType()), T.StructField("updated_at", T.TimestampNTZType()), T.StructField("source_key", T.StringType())]),
@@ -215,14 +215,14 @@ def advance_watermark(spark, sf_dir):
 def batch_manifest(spark, sf_dir):
     from lakeshift.sinks.manifest import batch_manifest as manifest
 
-    return manifest(Fixtures(spark, sf_dir).payments_raw, "payments", "source_record_id", BATCH_SIZE)
+    return manifest(Fixtures.of(spark, sf_dir).payments_raw, "payments", "source_record_id", BATCH_SIZE)
 
 
 @query
 def row_digest(spark, sf_dir):
     from lakeshift.sinks.manifest import row_digest as digest
 
-    p = Fixtures(spark, sf_dir).payments_raw
+    p = Fixtures.of(spark, sf_dir).payments_raw
     return p.select("source_record_id", digest(p).alias("row_digest"))
 
 
@@ -269,7 +269,7 @@ def latest_by_key(spark, sf_dir):
     from lakeshift.functions.rules import present
     from lakeshift.operators.dedup import latest_by_key as latest
 
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     return finish(latest(fx.payments_raw.unionByName(fx.payments_inc).filter(present("payment_id")), "payment_id"))
 
 

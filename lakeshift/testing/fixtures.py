@@ -30,14 +30,31 @@ def _ts(text: str):
 
 
 class Fixtures:
-    """Lazy entity views over ``<sf_dir>/{orders,supplier,customer,nation,region}.parquet``."""
+    """Lazy entity views over ``<sf_dir>/{orders,supplier,customer,nation,region}.parquet``.
+
+    ``Fixtures.of`` memoizes one instance per (session, directory): DataFrames
+    are immutable plans, so sharing them only saves file listing and analysis.
+    """
+
+    _instances: dict = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Fixtures":
+        key = (id(spark), sf_dir.rstrip("/"))
+        fx = cls._instances.get(key)
+        if fx is None or fx.spark is not spark:
+            fx = cls._instances[key] = cls(spark, sf_dir)
+        return fx
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     def _geo(self) -> DataFrame:
         nation = self.table("nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -46,7 +63,11 @@ class Fixtures:
         return F.broadcast(nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name"))
 
     def _literal_rows(self, rows, schema) -> DataFrame:
-        return self.spark.createDataFrame(rows, schema)
+        """A few fixed rows built JVM-side (no Python-to-JVM data transfer)."""
+        structs = [
+            F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]) for row in rows
+        ]
+        return self.spark.range(1).select(F.inline(F.array(*structs)))
 
     # -- full-load sources -------------------------------------------------
     @cached_property
