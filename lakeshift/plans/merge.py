@@ -69,6 +69,34 @@ class Merge:
         return out
 
 
+def merge_merchants(base: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(merged merchants, rejected changes): change always wins."""
+    rejected = quarantine(changes.filter(required("merchant_id")), "merchants", S.MISSING_MERCHANT_ID)
+    return upsert_replace(base, changes.filter(present("merchant_id")), "merchant_id", ("updated_at",)), rejected
+
+
+def merge_payments(base: DataFrame, changes: DataFrame, merchants: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(merged payments, flagged changes): validated against the *merged*
+    merchants; newest wins (U2); in-batch losers are flagged as duplicates (Q8)."""
+    checked = classify(flag_exists(changes, "merchant_id", merchants, "merchant_id", "merchant_exists"), payment_rules()).drop("merchant_exists")
+    flagged = flag_latest(checked, "payment_id", eligible=F.col("rejection_reason").isNull()).withColumn(
+        "rejection_reason",
+        F.when(F.col("rejection_reason").isNull() & ~F.col("is_latest"), F.lit(S.DUPLICATE_PAYMENT_ID)).otherwise(F.col("rejection_reason")),
+    )
+    current = flagged.filter(F.col("rejection_reason").isNull()).select(*base.columns)
+    return latest_by_key(base.unionByName(current), "payment_id"), flagged
+
+
+def merge_settlements(base: DataFrame, changes: DataFrame, payments: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(merged settlements, checked changes): validated against the merged
+    payments; newest wins (U3)."""
+    checked = classify(
+        flag_exists(changes, "payment_id", payments, "payment_id", "payment_exists", unique=True), settlement_rules()
+    ).drop("payment_exists")
+    candidates = checked.filter(F.col("rejection_reason").isNull()).select(*base.columns)
+    return latest_by_key(base.unionByName(candidates), "settlement_id"), checked
+
+
 def merge_increment(
     base_merchants: DataFrame,
     base_customers: DataFrame,
@@ -80,33 +108,13 @@ def merge_increment(
     customer_changes: DataFrame | None = None,
 ) -> Merge:
     """Base Silver tables (without date columns) + change batches -> merged Silver."""
-    # Merchants: change always wins (U1), invalid keys quarantined.
-    merchants_rejected = quarantine(merchant_changes.filter(required("merchant_id")), "merchants", S.MISSING_MERCHANT_ID)
-    merchants_merged = upsert_replace(base_merchants, merchant_changes.filter(present("merchant_id")), "merchant_id", ("updated_at",))
-
+    merchants_merged, merchants_rejected = merge_merchants(base_merchants, merchant_changes)
     # Customers: pass-through for parity (Q6); newest-wins when changes are given.
     customers_merged = base_customers
     if customer_changes is not None:
         customers_merged = latest_by_key(base_customers.unionByName(customer_changes.filter(present("customer_id"))), "customer_id", ("updated_at",))
-
-    # Payments: validate against the *merged* merchants, newest wins.
-    checked = classify(
-        flag_exists(payment_changes, "merchant_id", merchants_merged, "merchant_id", "merchant_exists"), payment_rules()
-    ).drop("merchant_exists")
-    payments_flagged = flag_latest(checked, "payment_id", eligible=F.col("rejection_reason").isNull()).withColumn(
-        "rejection_reason",
-        F.when(F.col("rejection_reason").isNull() & ~F.col("is_latest"), F.lit(S.DUPLICATE_PAYMENT_ID)).otherwise(F.col("rejection_reason")),
-    )
-    increment_current = payments_flagged.filter(F.col("rejection_reason").isNull()).select(*base_payments.columns)
-    payments_merged = latest_by_key(base_payments.unionByName(increment_current), "payment_id")
-
-    # Settlements: validate against the merged payments, newest wins.
-    settlements_checked = classify(
-        flag_exists(settlement_changes, "payment_id", payments_merged, "payment_id", "payment_exists", unique=True), settlement_rules()
-    ).drop("payment_exists")
-    candidates = settlements_checked.filter(F.col("rejection_reason").isNull()).select(*base_settlements.columns)
-    settlements_merged = latest_by_key(base_settlements.unionByName(candidates), "settlement_id")
-
+    payments_merged, payments_flagged = merge_payments(base_payments, payment_changes, merchants_merged)
+    settlements_merged, settlements_checked = merge_settlements(base_settlements, settlement_changes, payments_merged)
     return Merge(
         merchants_changes=merchant_changes,
         payments_changes=payment_changes,

@@ -88,3 +88,26 @@ def verify_manifest(recorded: DataFrame, landed: DataFrame) -> DataFrame:
         .otherwise("COUNT_MISMATCH")
     )
     return j.withColumn("status", status)
+
+
+def file_name(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def bronze_manifest(spark, path: str, table: str, key: str, schema=None) -> DataFrame:
+    """Manifest of a landed Bronze table: one row per file (= batch) with its
+    record count, last key and SHA-256 (K2 + K3), all computed by executors."""
+    from lakeshift.sources.files import CSV_OPTIONS
+    from lakeshift import schema as S
+
+    schema = schema or S.ENTITIES[table]["schema"]
+    rows = (
+        spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+        .select(file_name(F.col("_metadata.file_path")).alias("batch_id"), F.col(key))
+        .groupBy("batch_id")
+        .agg(F.count(F.lit(1)).alias("record_count"), F.max(key).cast("string").alias("last_source_key"))
+    )
+    sums = file_checksums(spark, path, "*.csv").select(file_name(F.col("path")).alias("batch_id"), "sha256")
+    return rows.join(sums, "batch_id", "left").select(
+        F.lit(table).alias("source_table"), "batch_id", "record_count", "last_source_key", "sha256", F.lit("COMPLETED").alias("status")
+    )
