@@ -17,7 +17,21 @@ def upsert_replace(base: DataFrame, changes: DataFrame, key: str, order: Sequenc
     return without_keys(base, latest, key).unionByName(latest.select(*base.columns))
 
 
-def upsert_latest(base: DataFrame, changes: DataFrame, key: str, order: Sequence[str] = DEFAULT_ORDER) -> DataFrame:
-    """Newest wins (U2/U3): a stale late arrival does not overwrite a newer row."""
-    latest = latest_by_key(changes, key, order)
-    return latest_by_key(base.unionByName(latest.select(*base.columns)), key, order)
+def upsert_latest(base: DataFrame, changes: DataFrame, key: str, order: Sequence[str] = DEFAULT_ORDER, base_unique: bool = False) -> DataFrame:
+    """Newest wins (U2/U3): a stale late arrival does not overwrite a newer row.
+
+    With ``base_unique`` (the base is a snapshot with one row per key) only
+    the keys present in the change set are re-ranked: untouched base rows pass
+    through an anti join and the touched ones (semi join) compete with the
+    changes. When the change set is small AQE broadcasts its keys, so the
+    base is streamed once and never shuffled; otherwise both joins share one
+    exchange of the base. Without it, the whole union is re-ranked, which also
+    deduplicates a base that is not unique.
+    """
+    latest = latest_by_key(changes, key, order).select(*base.columns)
+    if not base_unique:
+        return latest_by_key(base.unionByName(latest), key, order)
+    keys = latest.select(key)
+    untouched = base.join(keys, key, "left_anti")
+    touched = base.join(keys, key, "left_semi")
+    return untouched.unionByName(latest_by_key(touched.unionByName(latest), key, order))

@@ -180,7 +180,7 @@ def merge_job(spark: SparkSession, base_silver_run: str, bronze_inc_run: str, si
     merchants = read_dataset(spark, out, "merchants")
     write_dataset(base["customers"], f"{out}/customers")
 
-    payments, payments_flagged = merge_payments(base["payments"].drop("payment_date"), inc["payments"], merchants)
+    payments, payments_flagged = merge_payments(base["payments"].drop("payment_date"), inc["payments"], merchants, stored_base=True)
     payments_flagged = stage(spark, payments_flagged, run_id, "payments_flagged")
     write_dataset(payments.withColumn("payment_date", F.to_date("payment_timestamp")), f"{out}/payments", "payment_date")
     payments = read_dataset(spark, out, "payments").drop("payment_date")

@@ -17,8 +17,8 @@ from lakeshift import schema as S
 from lakeshift.functions.rules import classify, present, quarantine, required
 from lakeshift.operators.dedup import flag_latest, latest_by_key
 from lakeshift.operators.joins import flag_exists
-from lakeshift.operators.upsert import upsert_replace
-from lakeshift.plans.silver import payment_rules, settlement_rules
+from lakeshift.operators.upsert import upsert_latest, upsert_replace
+from lakeshift.plans.silver import _counts, payment_rules, settlement_rules
 
 
 @dataclass
@@ -59,8 +59,13 @@ class Merge:
             rows(self.payments_merged, "merged_rows", "payments"),
             rows(self.settlements_merged, "merged_rows", "settlements"),
             rows(self.merchants_rejected, "quarantined_rows", "merchants"),
-            rows(self.payments_flagged, "quarantined_rows", "payments", reason.isNotNull() & (reason != S.DUPLICATE_PAYMENT_ID)),
-            rows(self.payments_flagged, "quarantined_rows", "payments_superseded", reason == S.DUPLICATE_PAYMENT_ID),
+            _counts(
+                self.payments_flagged,
+                [
+                    ("quarantined_rows", "payments", reason.isNotNull() & (reason != S.DUPLICATE_PAYMENT_ID)),
+                    ("quarantined_rows", "payments_superseded", reason == S.DUPLICATE_PAYMENT_ID),
+                ],
+            ).withColumnRenamed("v", "value"),
             rows(self.settlements_checked, "quarantined_rows", "settlements", reason.isNotNull()),
         ]
         out = parts[0]
@@ -75,16 +80,22 @@ def merge_merchants(base: DataFrame, changes: DataFrame) -> tuple[DataFrame, Dat
     return upsert_replace(base, changes.filter(present("merchant_id")), "merchant_id", ("updated_at",)), rejected
 
 
-def merge_payments(base: DataFrame, changes: DataFrame, merchants: DataFrame) -> tuple[DataFrame, DataFrame]:
+def merge_payments(base: DataFrame, changes: DataFrame, merchants: DataFrame, stored_base: bool = False) -> tuple[DataFrame, DataFrame]:
     """(merged payments, flagged changes): validated against the *merged*
-    merchants; newest wins (U2); in-batch losers are flagged as duplicates (Q8)."""
+    merchants; newest wins (U2); in-batch losers are flagged as duplicates (Q8).
+
+    ``stored_base``: the base is a stored Silver snapshot (unique per
+    payment_id by construction), so only the changed keys are re-ranked; see
+    ``upsert_latest(base_unique=True)``. Leave it off when the base is itself
+    a lazy plan, which the key-scoped form would evaluate twice.
+    """
     checked = classify(flag_exists(changes, "merchant_id", merchants, "merchant_id", "merchant_exists"), payment_rules()).drop("merchant_exists")
     flagged = flag_latest(checked, "payment_id", eligible=F.col("rejection_reason").isNull()).withColumn(
         "rejection_reason",
         F.when(F.col("rejection_reason").isNull() & ~F.col("is_latest"), F.lit(S.DUPLICATE_PAYMENT_ID)).otherwise(F.col("rejection_reason")),
     )
     current = flagged.filter(F.col("rejection_reason").isNull()).select(*base.columns)
-    return latest_by_key(base.unionByName(current), "payment_id"), flagged
+    return upsert_latest(base, current, "payment_id", base_unique=stored_base), flagged
 
 
 def merge_settlements(base: DataFrame, changes: DataFrame, payments: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -20,15 +20,31 @@ def write_bronze(df: DataFrame, path: str, batch_size: int = 50_000, mode: str =
     df.write.mode(mode).options(**opts).option("maxRecordsPerFile", batch_size).csv(path)
 
 
-def write_dataset(df: DataFrame, path: str, partition_by: str | list[str] | None = None, mode: str = "errorifexists", max_records_per_file: int | None = None) -> None:
+def write_dataset(
+    df: DataFrame,
+    path: str,
+    partition_by: str | list[str] | None = None,
+    mode: str = "errorifexists",
+    max_records_per_file: int | None = None,
+    rebalance: bool = True,
+) -> None:
     """Immutable Parquet write (K5-K7): a rerun into an existing path fails
     instead of duplicating data. NULL partition values land in
-    ``__HIVE_DEFAULT_PARTITION__`` and read back as NULL."""
+    ``__HIVE_DEFAULT_PARTITION__`` and read back as NULL.
+
+    Partitioned writes are rebalanced on the partition columns first: AQE
+    splits a hot partition value into advisory-size tasks and merges small
+    ones, so each directory gets few, well-sized files instead of one file
+    per task and value.
+    """
+    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    if parts and rebalance:
+        df = df.hint("rebalance", *parts)
     writer = df.write.mode(mode)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    if partition_by:
-        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    if parts:
+        writer = writer.partitionBy(*parts)
     writer.parquet(path)
 
 

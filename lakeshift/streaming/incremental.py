@@ -76,7 +76,7 @@ def start_payment_merge(
     def apply(batch: DataFrame, epoch: int) -> None:
         current = read_snapshot(spark, silver_path, before=epoch)
         base = (current if current is not None else base_payments).select(*cols)
-        merged, flagged = merge_payments(base, batch.select(*cols), merchants)
+        merged, flagged = merge_payments(base, batch.select(*cols), merchants, stored_base=current is not None)
         merged.write.mode("overwrite").parquet(f"{silver_path}/version={epoch}")
         if quarantine_path:
             rejected = flagged.filter(F.col("rejection_reason").isNotNull()).drop("is_latest").withColumn("source_table", F.lit("payments"))
