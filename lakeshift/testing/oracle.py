@@ -214,8 +214,8 @@ merchant_daily_metrics AS (
          COUNT(payment_id) AS payment_count,
          SUM(payment_amount) AS gross_payment_amount,
          SUM(settled_amount) AS settled_amount,
-         count_if(reconciliation_status = 'MISSING_SETTLEMENT') AS missing_settlement_count,
-         count_if(reconciliation_status = 'UNDER_SETTLED') AS under_settled_count,
+         CAST(count_if(reconciliation_status = 'MISSING_SETTLEMENT') AS BIGINT) AS missing_settlement_count,
+         CAST(count_if(reconciliation_status = 'UNDER_SETTLED') AS BIGINT) AS under_settled_count,
          SUM(payment_amount) - SUM(settled_amount) AS unsettled_amount
   FROM payment_reconciliation GROUP BY 1, 2, 3
 ),
@@ -556,7 +556,7 @@ reg(
 )
 reg(
     "top_merchants",
-    """SELECT merchant_id, SUM(payment_count) AS payment_count FROM merchant_daily_metrics
+    """SELECT merchant_id, CAST(SUM(payment_count) AS BIGINT) AS payment_count FROM merchant_daily_metrics
     WHERE year(business_date) = 1998 AND month(business_date) = 6
     GROUP BY merchant_id ORDER BY payment_count DESC, merchant_id LIMIT 10""",
 )
@@ -581,7 +581,7 @@ reg(
 reg(
     "scd2_report",
     """SELECT (SELECT count(*) FROM scd2_changed) AS changed_merchants, count(*) AS total_scd2_rows,
-           count_if(is_current) AS current_scd2_rows, count_if(NOT is_current) AS closed_scd2_rows FROM scd2_merged""",
+           CAST(count_if(is_current) AS BIGINT) AS current_scd2_rows, CAST(count_if(NOT is_current) AS BIGINT) AS closed_scd2_rows FROM scd2_merged""",
 )
 
 _NN, _UQ, _BT, _IS = (
@@ -595,7 +595,7 @@ _NN, _UQ, _BT, _IS = (
 def _check(dataset: str, source: str, name: str, column: str, bad: str) -> str:
     return (
         f"SELECT '{dataset}' AS dataset, '{name}' AS expectation, '{column}' AS column_name, count(*) AS element_count, "
-        f"count_if({bad}) AS unexpected_count, count_if({bad}) = 0 AS success FROM {source}"
+        f"CAST(count_if({bad}) AS BIGINT) AS unexpected_count, count_if({bad}) = 0 AS success FROM {source}"
     )
 
 
