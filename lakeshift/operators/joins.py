@@ -1,9 +1,16 @@
 """Existence, anti and orphan joins.
 
-No broadcast hints: dimension sides can themselves be large at scale, so the
-strategy is left to AQE, which broadcasts a side only after measuring it at
-runtime (``spark.sql.adaptive.autoBroadcastJoinThreshold``) and splits skewed
-partitions of the streamed side (``spark.sql.adaptive.skewJoin``).
+Broadcast is explicit only behind a size check (``fits_broadcast``: the
+optimizer's size estimate, an upper bound for scans, filters, projections and
+aggregates, against ``spark.sql.autoBroadcastJoinThreshold``). Beyond it the
+join shuffles and is made skew-proof: the existence flag against a
+possibly non-unique dimension joins on ``(key, salt)``, where the streamed
+side's salt is a deterministic row hash and the distinct key set is replicated
+once per salt bucket. A key holding a third of the rows is spread over
+``salt_buckets`` partitions, nothing fans out, and because the replicated key
+set is re-shuffled, both join inputs come straight from a shuffle, which is
+what AQE's skew-join split needs (a join fed directly by ``distinct()`` is
+never split).
 """
 
 from __future__ import annotations
@@ -18,10 +25,40 @@ def reference_keys(dim: DataFrame, pk: str, unique: bool = False) -> DataFrame:
     return keys if unique else keys.distinct()
 
 
-def flag_exists(df: DataFrame, fk: str, dim: DataFrame, pk: str, flag: str = "reference_exists", unique: bool = False) -> DataFrame:
-    """Add a boolean column: does ``df[fk]`` exist in ``dim[pk]``? NULL fk -> False."""
+def size_estimate(df: DataFrame) -> int:
+    """Optimizer size estimate in bytes (planning only, nothing is executed)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size) if isinstance(size, int) else int(size.toString())
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1 = never broadcast)."""
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    limit = broadcast_limit(df)
+    return 0 < limit and size_estimate(df) <= limit
+
+
+def flag_exists(
+    df: DataFrame, fk: str, dim: DataFrame, pk: str, flag: str = "reference_exists", unique: bool = False, salt_buckets: int = 16
+) -> DataFrame:
+    """Add a boolean column: does ``df[fk]`` exist in ``dim[pk]``? NULL fk -> False.
+
+    ``unique``: ``dim[pk]`` is known to be unique, so a plain left join cannot
+    fan out and (no aggregate under it) stays splittable by AQE.
+    """
     keys = reference_keys(dim, pk, unique).withColumn("_ref_hit", F.lit(True))
-    joined = df.join(keys, df[fk] == F.col("_ref_key"), "left")
+    if fits_broadcast(keys):
+        joined = df.join(F.broadcast(keys), df[fk] == F.col("_ref_key"), "left")
+    elif unique or salt_buckets <= 1:
+        joined = df.join(keys, df[fk] == F.col("_ref_key"), "left")
+    else:
+        salted = keys.withColumn("_ref_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        streamed = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets)).cast("int"))
+        cond = (streamed[fk] == F.col("_ref_key")) & (F.col("_salt") == F.col("_ref_salt"))
+        joined = streamed.join(salted, cond, "left").drop("_salt", "_ref_salt")
     return joined.withColumn(flag, F.coalesce(F.col("_ref_hit"), F.lit(False))).drop("_ref_key", "_ref_hit")
 
 
