@@ -38,7 +38,7 @@ def main() -> None:
     spark = build_session(
         f"local[{cpus}]",
         app="lakeshift-bench",
-        shuffle_partitions=max(8, cpus * 2),
+        shuffle_partitions=max(4, cpus),
         spark__driver__memory="16g",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="64m",
         spark__sql__files__maxPartitionBytes="128m",

@@ -34,12 +34,29 @@ def finish(df: DataFrame) -> DataFrame:
 
 
 class Context:
-    """Per-query lazily built pipeline stages over one scale factor."""
+    """Lazily built pipeline stages over one scale factor.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``Context(spark, sf_dir)`` returns one shared instance per (session,
+    directory): DataFrames are immutable plans, so queries can share the
+    Silver/Gold stages instead of re-analysing them.
+    """
+
+    _instances: dict = {}
+
+    def __new__(cls, spark: SparkSession, sf_dir: str):
+        key = (id(spark), sf_dir.rstrip("/"))
+        ctx = cls._instances.get(key)
+        if ctx is None or ctx.fx.spark is not spark:
+            ctx = super().__new__(cls)
+            ctx._init(spark, sf_dir)
+            cls._instances[key] = ctx
+        return ctx
+
+    def _init(self, spark: SparkSession, sf_dir: str):
         self.fx = Fixtures.of(spark, sf_dir)
         self._silver: Silver | None = None
         self._gold: Gold | None = None
+        self._merge = None
 
     @property
     def silver(self) -> Silver:
@@ -258,10 +275,12 @@ def quality_report(spark, sf_dir):
 def _merge(ctx: Context):
     from lakeshift.plans.merge import merge_increment
 
-    s, fx = ctx.silver, ctx.fx
-    return merge_increment(
-        s.merchants_valid, s.customers_valid, s.payments_valid, s.settlements_valid, fx.merchants_inc, fx.payments_inc, fx.settlements_inc
-    )
+    if ctx._merge is None:
+        s, fx = ctx.silver, ctx.fx
+        ctx._merge = merge_increment(
+            s.merchants_valid, s.customers_valid, s.payments_valid, s.settlements_valid, fx.merchants_inc, fx.payments_inc, fx.settlements_inc
+        )
+    return ctx._merge
 
 
 @query
