@@ -28,10 +28,23 @@ def upsert_latest(base: DataFrame, changes: DataFrame, key: str, order: Sequence
     exchange of the base. Without it, the whole union is re-ranked, which also
     deduplicates a base that is not unique.
     """
-    latest = latest_by_key(changes, key, order).select(*base.columns)
     if not base_unique:
+        latest = latest_by_key(changes, key, order).select(*base.columns)
         return latest_by_key(base.unionByName(latest), key, order)
+    untouched, resolved = upsert_latest_parts(base, changes, key, order)
+    return untouched.unionByName(resolved)
+
+
+def upsert_latest_parts(base: DataFrame, changes: DataFrame, key: str, order: Sequence[str] = DEFAULT_ORDER) -> tuple[DataFrame, DataFrame]:
+    """Key-scoped newest-wins upsert of a unique-per-key base, in two parts:
+    (base rows whose key has no change, re-ranked rows of the changed keys).
+
+    The parts keep different layouts: the first streams straight from the
+    base scan (its file/partition layout intact), the second is small and
+    shuffled by key, so a writer can rebalance just that part.
+    """
+    latest = latest_by_key(changes, key, order).select(*base.columns)
     keys = latest.select(key)
     untouched = base.join(keys, key, "left_anti")
     touched = base.join(keys, key, "left_semi")
-    return untouched.unionByName(latest_by_key(touched.unionByName(latest), key, order))
+    return untouched, latest_by_key(touched.unionByName(latest), key, order)

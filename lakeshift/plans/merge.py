@@ -80,6 +80,23 @@ def merge_merchants(base: DataFrame, changes: DataFrame) -> tuple[DataFrame, Dat
     return upsert_replace(base, changes.filter(present("merchant_id")), "merchant_id", ("updated_at",)), rejected
 
 
+def validate_payment_changes(changes: DataFrame, merchants: DataFrame) -> DataFrame:
+    """Increment rows + rejection reason against the merged merchants; in-batch
+    losers are flagged as duplicates (Q8)."""
+    checked = classify(flag_exists(changes, "merchant_id", merchants, "merchant_id", "merchant_exists"), payment_rules()).drop("merchant_exists")
+    return flag_latest(checked, "payment_id", eligible=F.col("rejection_reason").isNull()).withColumn(
+        "rejection_reason",
+        F.when(F.col("rejection_reason").isNull() & ~F.col("is_latest"), F.lit(S.DUPLICATE_PAYMENT_ID)).otherwise(F.col("rejection_reason")),
+    )
+
+
+def validate_settlement_changes(changes: DataFrame, payments: DataFrame) -> DataFrame:
+    """Increment rows + rejection reason against the merged payments."""
+    return classify(
+        flag_exists(changes, "payment_id", payments, "payment_id", "payment_exists", unique=True), settlement_rules()
+    ).drop("payment_exists")
+
+
 def merge_payments(base: DataFrame, changes: DataFrame, merchants: DataFrame, stored_base: bool = False) -> tuple[DataFrame, DataFrame]:
     """(merged payments, flagged changes): validated against the *merged*
     merchants; newest wins (U2); in-batch losers are flagged as duplicates (Q8).
@@ -89,11 +106,7 @@ def merge_payments(base: DataFrame, changes: DataFrame, merchants: DataFrame, st
     ``upsert_latest(base_unique=True)``. Leave it off when the base is itself
     a lazy plan, which the key-scoped form would evaluate twice.
     """
-    checked = classify(flag_exists(changes, "merchant_id", merchants, "merchant_id", "merchant_exists"), payment_rules()).drop("merchant_exists")
-    flagged = flag_latest(checked, "payment_id", eligible=F.col("rejection_reason").isNull()).withColumn(
-        "rejection_reason",
-        F.when(F.col("rejection_reason").isNull() & ~F.col("is_latest"), F.lit(S.DUPLICATE_PAYMENT_ID)).otherwise(F.col("rejection_reason")),
-    )
+    flagged = validate_payment_changes(changes, merchants)
     current = flagged.filter(F.col("rejection_reason").isNull()).select(*base.columns)
     return upsert_latest(base, current, "payment_id", base_unique=stored_base), flagged
 
@@ -101,9 +114,7 @@ def merge_payments(base: DataFrame, changes: DataFrame, merchants: DataFrame, st
 def merge_settlements(base: DataFrame, changes: DataFrame, payments: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(merged settlements, checked changes): validated against the merged
     payments; newest wins (U3)."""
-    checked = classify(
-        flag_exists(changes, "payment_id", payments, "payment_id", "payment_exists", unique=True), settlement_rules()
-    ).drop("payment_exists")
+    checked = validate_settlement_changes(changes, payments)
     candidates = checked.filter(F.col("rejection_reason").isNull()).select(*base.columns)
     return latest_by_key(base.unionByName(candidates), "settlement_id"), checked
 

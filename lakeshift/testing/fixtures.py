@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from lakeshift import schema as S
 from lakeshift.functions.columns import money, money_lit, padded_id, plus_days
+from lakeshift.operators.joins import fits_broadcast
 
 SEED_BATCH = "seed_001"
 INC_BATCH = "inc_001"
@@ -59,8 +60,9 @@ class Fixtures:
     def _geo(self) -> DataFrame:
         nation = self.table("nation").select("n_nationkey", "n_name", "n_regionkey")
         region = self.table("region").select("r_regionkey", "r_name")
-        # 25 x 5 rows: a dimension of fixed TPC size, safe to broadcast.
-        return F.broadcast(nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name"))
+        geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name")
+        # 25 x 5 rows by specification; broadcast only behind the size check.
+        return F.broadcast(geo) if fits_broadcast(geo) else geo
 
     def _literal_rows(self, rows, schema) -> DataFrame:
         """A few fixed rows built JVM-side (no Python-to-JVM data transfer)."""

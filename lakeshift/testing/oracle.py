@@ -415,11 +415,13 @@ target_totals AS (
   FROM payment_reconciliation
 ),
 migration AS (
-  SELECT s.raw_payment_count, s.expected_valid_payment_count, s.expected_valid_payment_amount,
+  SELECT (SELECT raw_payment_count FROM source_totals) AS raw_payment_count,
+         (SELECT expected_valid_payment_count FROM source_totals) AS expected_valid_payment_count,
+         (SELECT expected_valid_payment_amount FROM source_totals) AS expected_valid_payment_amount,
          t.valid_payment_count AS target_valid_payment_count, t.valid_payment_amount AS target_valid_payment_amount,
          t.settled_amount AS target_settled_amount,
          (SELECT SUM(value) FROM quality_report WHERE section = 'quarantined_rows' AND name IN ('payments_invalid', 'payments_duplicates')) AS quarantined_payment_rows
-  FROM source_totals s, target_totals t
+  FROM target_totals t
 ),
 migration_checks AS (
   SELECT *, raw_payment_count = target_valid_payment_count + quarantined_payment_rows AS raw_records_accounted_for,
