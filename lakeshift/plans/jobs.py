@@ -44,14 +44,24 @@ def _refuse_existing(spark: SparkSession, *paths: str) -> None:
             raise FileExistsError(f"output already exists: {p} (use a new run id)")
 
 
+def _stage_root(spark: SparkSession, run_id: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakeshift-stage/{run_id}"
+
+
 def stage(spark: SparkSession, df: DataFrame, run_id: str, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/lakeshift-stage/{run_id}/{name}"
+    path = f"{_stage_root(spark, run_id)}/{name}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def unstage(spark: SparkSession, run_id: str) -> None:
+    """Drop a finished run's staged tables (kept on failure for inspection)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(_stage_root(spark, run_id))
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _utc_now() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None)
 
@@ -144,6 +154,10 @@ def bronze_to_silver_job(spark: SparkSession, bronze_run: str, silver_root: str,
     _refuse_existing(spark, silver_out, q_out)
     as_of = _now(as_of)
     t = {name: read_bronze(spark, bronze_run, name).select(*S.columns(S.ENTITIES[name]["schema"])) for name in TABLES}
+    # Parse the fact CSVs once: every later pass (existence join, winners
+    # window, join-back, settlement rules) reads pruned Parquet columns.
+    for name in ("payments", "settlements"):
+        t[name] = stage(spark, t[name], run_id, f"bronze_{name}")
     lazy = bronze_to_silver(t["merchants"], t["customers"], t["payments"], t["settlements"])
     # The payment flags feed five outputs and the settlement rules: write once.
     flagged = stage(spark, lazy.payments_flagged, run_id, "payments_flagged")
@@ -163,6 +177,7 @@ def bronze_to_silver_job(spark: SparkSession, bronze_run: str, silver_root: str,
     write_dataset(silver.settlements_invalid.withColumn("quarantined_at", ts), f"{q_out}/settlements")
     report = silver.quality_report().withColumn("run_id", F.lit(run_id)).withColumn("status", F.lit("COMPLETED"))
     write_report(report, f"{silver_out}/_quality_report")
+    unstage(spark, run_id)
     return spark.read.json(f"{silver_out}/_quality_report")
 
 
@@ -205,6 +220,7 @@ def merge_job(spark: SparkSession, base_silver_run: str, bronze_inc_run: str, si
     write_dataset(m.payments_rejected.drop("is_latest").withColumn("quarantined_at", ts), f"{q_out}/payments")
     write_dataset(m.settlements_rejected.withColumn("quarantined_at", ts), f"{q_out}/settlements")
     write_report(m.report().withColumn("run_id", F.lit(run_id)).withColumn("status", F.lit("COMPLETED")), f"{out}/_merge_report")
+    unstage(spark, run_id)
     return spark.read.json(f"{out}/_merge_report")
 
 
@@ -250,6 +266,7 @@ def scd2_job(spark: SparkSession, base_history: str, bronze_inc_run: str, gold_r
         F.count_if(~F.col("is_current")).alias("closed_scd2_rows"),
     ).select(changed.agg(F.count(F.lit(1))).scalar().alias("changed_merchants"), "*").withColumn("run_id", F.lit(run_id))
     write_report(report, f"{out}/_scd2_report")
+    unstage(spark, run_id)
     return spark.read.json(f"{out}/_scd2_report")
 
 
