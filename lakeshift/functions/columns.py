@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -44,5 +45,17 @@ def with_date(df, ts: str, name: str):
     return df.withColumn(name, F.to_date(F.col(ts)))
 
 
+def ts_lit(value, data_type="timestamp_ntz") -> Column:
+    """Timestamp literal from its wall-clock text, cast to ``data_type``.
+
+    ``F.lit(datetime)`` goes through the Python process and session time
+    zones; text cast to ``timestamp_ntz`` does not, so results do not depend
+    on either.
+    """
+    if isinstance(value, (datetime, date)):
+        value = value.isoformat(sep=" ") if isinstance(value, datetime) else value.isoformat()
+    return F.lit(value).cast(data_type)
+
+
 def typed_null(data_type: str) -> Column:
     return F.lit(None).cast(data_type)

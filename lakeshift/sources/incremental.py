@@ -9,18 +9,16 @@ DataFrame ``(source_table, updated_at, source_key)`` with one row per table.
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeshift.functions.columns import ts_lit
+
 STATE_COLUMNS = ["source_table", "updated_at", "source_key"]
 
 
 def _ts_lit(df: DataFrame, ts_col: str, value) -> Column:
-    if isinstance(value, str):
-        value = datetime.fromisoformat(value)
-    return F.lit(value).cast(df.schema[ts_col].dataType)
+    return ts_lit(value, df.schema[ts_col].dataType)
 
 
 def changes_since(df: DataFrame, watermark: tuple | None, cutoff, key: str, ts: str = "updated_at") -> DataFrame:

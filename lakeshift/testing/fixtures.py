@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshift import schema as S
-from lakeshift.functions.columns import money, money_lit, padded_id, plus_days
+from lakeshift.functions.columns import money, money_lit, padded_id, plus_days, ts_lit
 from lakeshift.operators.joins import fits_broadcast
 
 SEED_BATCH = "seed_001"
@@ -27,7 +27,7 @@ INC_BATCH = "inc_001"
 
 
 def _ts(text: str):
-    return F.lit(datetime.fromisoformat(text)).cast("timestamp_ntz")
+    return ts_lit(text)
 
 
 class Fixtures:
@@ -66,9 +66,10 @@ class Fixtures:
 
     def _literal_rows(self, rows, schema) -> DataFrame:
         """A few fixed rows built JVM-side (no Python-to-JVM data transfer)."""
-        structs = [
-            F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]) for row in rows
-        ]
+        def value(v, f):
+            return ts_lit(v, f.dataType) if isinstance(v, datetime) else F.lit(v).cast(f.dataType)
+
+        structs = [F.struct(*[value(v, f).alias(f.name) for v, f in zip(row, schema.fields)]) for row in rows]
         return self.spark.range(1).select(F.inline(F.array(*structs)))
 
     # -- full-load sources -------------------------------------------------

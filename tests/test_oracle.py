@@ -13,3 +13,14 @@ def test_all_queries_match_oracle(spark):
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) == set(entry.queries())
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    names = ["merchants_valid", "customers_invalid", "latest_watermark", "incremental_extract", "merchants_merged", "scd2_merge_with_inserts", "scd2_as_of"]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        res = run(spark, "/root/testdata/sf0.001", names, verbose=False)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert all(v.get("hash_match") for v in res.values()), res
