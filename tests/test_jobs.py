@@ -57,17 +57,16 @@ def test_incremental_merge_scd2_and_publish(migrated, spark, fx):
     assert merged.filter(F.col("source_record_id") >= 10_000_000).count() == 45
     s = jobs.scd2_job(spark, f"{root}/gold/run_id=r1/merchant_scd2", inc, f"{root}/gold", "scd1").collect()[0]
     assert (s["changed_merchants"], s["total_scd2_rows"], s["current_scd2_rows"], s["closed_scd2_rows"]) == (2, 12, 10, 2)
-    rep = publish(
-        spark,
-        [
-            Dataset(f"{root}/silver/run_id=m1/payments", "silver/payments", date_column="payment_date"),
-            Dataset(f"{root}/gold/run_id=r1/payment_reconciliation", "gold/payment_reconciliation", category_column="reconciliation_status"),
-            Dataset(f"{root}/gold/run_id=scd1/merchant_scd2", "gold/merchant_scd2_history"),
-        ],
-        f"{root}/published/publication_id=p1",
-    )
+    from lakeshift.sinks.publish import publication_bundle
+
+    bundle = publication_bundle(f"{root}/silver/run_id=m1", f"{root}/gold/run_id=r1", f"{root}/gold/run_id=scd1")
+    rep = publish(spark, bundle, f"{root}/published/publication_id=p1")
     got = {x["dataset"]: x["records"] for x in rep.collect()}
-    assert got == {"silver/payments": 1478, "gold/payment_reconciliation": 1471, "gold/merchant_scd2_history": 12}
+    assert len(got) == 9
+    assert got["silver/payments"] == 1478 and got["gold/payment_reconciliation"] == 1471 and got["gold/merchant_scd2_history"] == 12
+    assert got["gold/merchant_daily_metrics"] == 1420 and got["gold/reconciliation_summary"] == 4 and got["silver/merchants"] == 11
+    months = spark.read.parquet(f"{root}/published/publication_id=p1/gold/merchant_daily_metrics").select("partition_year", "partition_month").distinct().count()
+    assert months == 80
 
 
 def test_incremental_extract_state_versions(spark, fx, tmp_dir):
