@@ -21,8 +21,8 @@ from lakeshift import schema as S
 from lakeshift.operators import reconcile as R
 from lakeshift.operators.scd2 import scd2_changes, scd2_close, scd2_inserts, scd2_open
 from lakeshift.plans.audit import expectation_suite, migration_reconciliation, pipeline_metrics, source_expected_totals
-from lakeshift.plans.gold import silver_to_gold
 from lakeshift.operators.upsert import upsert_latest_parts
+from lakeshift.plans.gold import silver_to_gold
 from lakeshift.plans.merge import Merge, merge_merchants, merge_settlements, validate_payment_changes
 from lakeshift.plans.silver import Silver, bronze_to_silver, classify_settlements
 from lakeshift.session import ensure_checkpoint_dir
@@ -44,21 +44,24 @@ def _refuse_existing(spark: SparkSession, *paths: str) -> None:
             raise FileExistsError(f"output already exists: {p} (use a new run id)")
 
 
-def _stage_root(spark: SparkSession, run_id: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakeshift-stage/{run_id}"
+def _stage_root(spark: SparkSession, job_key: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakeshift-stage/{job_key}"
 
 
-def stage(spark: SparkSession, df: DataFrame, run_id: str, name: str) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back."""
-    path = f"{_stage_root(spark, run_id)}/{name}"
+def stage(spark: SparkSession, df: DataFrame, job_key: str, name: str) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    ``job_key`` (job name + run id) scopes the staged tables of one job run.
+    """
+    path = f"{_stage_root(spark, job_key)}/{name}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def unstage(spark: SparkSession, run_id: str) -> None:
-    """Drop a finished run's staged tables (kept on failure for inspection)."""
+def unstage(spark: SparkSession, job_key: str) -> None:
+    """Drop a finished job run's staged tables (kept on failure for inspection)."""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(_stage_root(spark, run_id))
+    p = jvm.org.apache.hadoop.fs.Path(_stage_root(spark, job_key))
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
@@ -157,12 +160,12 @@ def bronze_to_silver_job(spark: SparkSession, bronze_run: str, silver_root: str,
     # Parse the fact CSVs once: every later pass (existence join, winners
     # window, join-back, settlement rules) reads pruned Parquet columns.
     for name in ("payments", "settlements"):
-        t[name] = stage(spark, t[name], run_id, f"bronze_{name}")
+        t[name] = stage(spark, t[name], f"silver-{run_id}", f"bronze_{name}")
     lazy = bronze_to_silver(t["merchants"], t["customers"], t["payments"], t["settlements"])
     # The payment flags feed five outputs and the settlement rules: write once.
-    flagged = stage(spark, lazy.payments_flagged, run_id, "payments_flagged")
+    flagged = stage(spark, lazy.payments_flagged, f"silver-{run_id}", "payments_flagged")
     payments_valid = flagged.filter(F.col("rejection_reason").isNull()).select(*S.columns(S.PAYMENTS))
-    settlements_checked = stage(spark, classify_settlements(t["settlements"], payments_valid), run_id, "settlements_checked")
+    settlements_checked = stage(spark, classify_settlements(t["settlements"], payments_valid), f"silver-{run_id}", "settlements_checked")
     silver = Silver(lazy.merchants_valid, lazy.merchants_invalid, lazy.customers_valid, lazy.customers_invalid, flagged, settlements_checked)
 
     write_dataset(silver.merchants_valid, f"{silver_out}/merchants")
@@ -177,7 +180,7 @@ def bronze_to_silver_job(spark: SparkSession, bronze_run: str, silver_root: str,
     write_dataset(silver.settlements_invalid.withColumn("quarantined_at", ts), f"{q_out}/settlements")
     report = silver.quality_report().withColumn("run_id", F.lit(run_id)).withColumn("status", F.lit("COMPLETED"))
     write_report(report, f"{silver_out}/_quality_report")
-    unstage(spark, run_id)
+    unstage(spark, f"silver-{run_id}")
     return spark.read.json(f"{silver_out}/_quality_report")
 
 
@@ -199,7 +202,7 @@ def merge_job(spark: SparkSession, base_silver_run: str, bronze_inc_run: str, si
     # Silver payments are unique per id: only changed keys are re-ranked, and
     # untouched rows keep the base's day layout (no rebalance shuffle of the
     # whole snapshot; only the small re-ranked part is rebalanced).
-    payments_flagged = stage(spark, validate_payment_changes(inc["payments"], merchants), run_id, "payments_flagged")
+    payments_flagged = stage(spark, validate_payment_changes(inc["payments"], merchants), f"merge-{run_id}", "payments_flagged")
     current = payments_flagged.filter(F.col("rejection_reason").isNull()).select(*S.columns(S.PAYMENTS))
     untouched, resolved = upsert_latest_parts(base["payments"].drop("payment_date"), current, "payment_id")
     with_day = lambda df: df.withColumn("payment_date", F.to_date("payment_timestamp"))
@@ -209,7 +212,7 @@ def merge_job(spark: SparkSession, base_silver_run: str, bronze_inc_run: str, si
     # Settlements: base not guaranteed unique per settlement id (Q3), so the
     # whole union is re-ranked (one shuffle), then rebalanced by day.
     settlements, settlements_checked = merge_settlements(base["settlements"].drop("settlement_date"), inc["settlements"], payments)
-    settlements_checked = stage(spark, settlements_checked, run_id, "settlements_checked")
+    settlements_checked = stage(spark, settlements_checked, f"merge-{run_id}", "settlements_checked")
     write_dataset(settlements.withColumn("settlement_date", F.to_date("settlement_timestamp")), f"{out}/settlements", "settlement_date")
 
     m = Merge(
@@ -220,7 +223,7 @@ def merge_job(spark: SparkSession, base_silver_run: str, bronze_inc_run: str, si
     write_dataset(m.payments_rejected.drop("is_latest").withColumn("quarantined_at", ts), f"{q_out}/payments")
     write_dataset(m.settlements_rejected.withColumn("quarantined_at", ts), f"{q_out}/settlements")
     write_report(m.report().withColumn("run_id", F.lit(run_id)).withColumn("status", F.lit("COMPLETED")), f"{out}/_merge_report")
-    unstage(spark, run_id)
+    unstage(spark, f"merge-{run_id}")
     return spark.read.json(f"{out}/_merge_report")
 
 
@@ -254,7 +257,7 @@ def scd2_job(spark: SparkSession, base_history: str, bronze_inc_run: str, gold_r
     _refuse_existing(spark, out)
     history = spark.read.parquet(base_history)
     changes = read_bronze(spark, bronze_inc_run, "merchants", missing_ok=True).select(*S.columns(S.MERCHANTS))
-    changed = stage(spark, scd2_changes(history, changes, "merchant_id", S.SCD2_TRACKED_COLUMNS), run_id, "scd2_changed")
+    changed = stage(spark, scd2_changes(history, changes, "merchant_id", S.SCD2_TRACKED_COLUMNS), f"scd2-{run_id}", "changed")
     result = scd2_close(history, changed, "merchant_id").unionByName(scd2_open(changed, history.columns, "merchant_id"))
     if insert_new:
         result = result.unionByName(scd2_inserts(history, changes, "merchant_id"))
@@ -266,7 +269,7 @@ def scd2_job(spark: SparkSession, base_history: str, bronze_inc_run: str, gold_r
         F.count_if(~F.col("is_current")).alias("closed_scd2_rows"),
     ).select(changed.agg(F.count(F.lit(1))).scalar().alias("changed_merchants"), "*").withColumn("run_id", F.lit(run_id))
     write_report(report, f"{out}/_scd2_report")
-    unstage(spark, run_id)
+    unstage(spark, f"scd2-{run_id}")
     return spark.read.json(f"{out}/_scd2_report")
 
 
