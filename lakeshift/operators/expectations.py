@@ -30,6 +30,7 @@ class Expectation:
 
     @property
     def name(self) -> str:
+        # Expectation names as they appear in quality reports.
         return {
             "not_null": "expect_column_values_to_not_be_null",
             "unique": "expect_column_values_to_be_unique",

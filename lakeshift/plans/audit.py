@@ -106,6 +106,7 @@ def pipeline_metrics(quality_report: DataFrame, reconciliation: DataFrame, quali
         F.when(recon_ok, 1).otherwise(0).cast("long").alias("ReconciliationPassed"),
         F.when(quality_ok, 1).otherwise(0).cast("long").alias("QualityChecksCompleted"),
     )
+    # Metric names consumed by the monitoring side.
     names = ["PipelineSuccess", "RecordsProcessed", "ValidPayments", "QuarantinedRecords", "ReconciliationPassed", "QualityChecksCompleted"]
     return wide.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric_name"), F.col(n).alias("value")) for n in names])).alias("m")).select(
         "m.metric_name", "m.value", F.lit("Count").alias("unit")

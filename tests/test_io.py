@@ -86,8 +86,8 @@ def test_planned_upload_keys_keep_published_prefix(spark, tmp_dir):
     os.makedirs(src)
     with open(f"{src}/part-00000.parquet", "wb") as f:
         f.write(b"parquet-test")
-    got = plan_publication(spark, src, root, "sentinel-prefix").select("object_key", "length").collect()
-    assert [tuple(r) for r in got] == [("sentinel-prefix/published/publication_id=test/silver/payments/part-00000.parquet", 12)]
+    got = plan_publication(spark, src, root, "project-prefix").select("object_key", "length").collect()
+    assert [tuple(r) for r in got] == [("project-prefix/published/publication_id=test/silver/payments/part-00000.parquet", 12)]
 
 
 def test_hash_predicates_cover_every_row():
