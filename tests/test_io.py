@@ -93,3 +93,20 @@ def test_planned_upload_keys_keep_published_prefix(spark, tmp_dir):
 def test_hash_predicates_cover_every_row():
     preds = hash_predicates("merchant_id", 4)
     assert len(preds) == 4 and "IS NULL" in preds[0] and all("mod(" in p for p in preds)
+
+
+def test_reads_bronze_written_by_python_csv(spark, tmp_dir):
+    """Batches landed by a Python ``csv.writer`` extractor (records.csv per batch)."""
+    import csv
+
+    p = f"{tmp_dir}/run/payments/extract_date=2024-01-02/batch_id=payments-00001"
+    os.makedirs(p)
+    with open(f"{p}/records.csv", "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(S.columns(S.PAYMENTS))
+        w.writerow([1, "pay_1", "c", "m", Decimal("10.50"), "INR", "CAPTURED", T0, datetime(2024, 1, 1, 0, 0, 0, 123456), T0, "seed"])
+        w.writerow([2, 'odd "quoted", id', "c", "m", None, "INR", "FAILED", T0, T0, None, "line\nbreak"])
+    got = {r["source_record_id"]: r for r in read_bronze(spark, f"{tmp_dir}/run", "payments").collect()}
+    assert got[1]["payment_amount"] == Decimal("10.50") and got[1]["created_at"].microsecond == 123456
+    assert got[2]["payment_id"] == 'odd "quoted", id' and got[2]["payment_amount"] is None and got[2]["source_batch_id"] == "line\nbreak"
+    assert got[1]["batch_id"] == "payments-00001" and str(got[1]["extract_date"]) == "2024-01-02"
