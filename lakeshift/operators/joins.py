@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def reference_keys(dim: DataFrame, pk: str, unique: bool = False) -> DataFrame:
@@ -56,7 +57,8 @@ def flag_exists(
         joined = df.join(keys, df[fk] == F.col("_ref_key"), "left")
     else:
         salted = keys.withColumn("_ref_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-        streamed = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets)).cast("int"))
+        hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)] or [F.lit(0)]
+        streamed = df.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salt_buckets)).cast("int"))
         cond = (streamed[fk] == F.col("_ref_key")) & (F.col("_salt") == F.col("_ref_salt"))
         joined = streamed.join(salted, cond, "left").drop("_salt", "_ref_salt")
     return joined.withColumn(flag, F.coalesce(F.col("_ref_hit"), F.lit(False))).drop("_ref_key", "_ref_hit")
