@@ -110,3 +110,29 @@ def test_reads_bronze_written_by_python_csv(spark, tmp_dir):
     assert got[1]["payment_amount"] == Decimal("10.50") and got[1]["created_at"].microsecond == 123456
     assert got[2]["payment_id"] == 'odd "quoted", id' and got[2]["payment_amount"] is None and got[2]["source_batch_id"] == "line\nbreak"
     assert got[1]["batch_id"] == "payments-00001" and str(got[1]["extract_date"]) == "2024-01-02"
+
+
+def test_file_checksums_equal_sha256_of_bytes(spark, tmp_dir):
+    import hashlib
+
+    from lakeshift.sinks.manifest import file_checksums
+
+    os.makedirs(f"{tmp_dir}/f/sub")
+    blobs = {f"{tmp_dir}/f/a.csv": b"x,y\n1,2\n", f"{tmp_dir}/f/sub/b.csv": b"x,y\n3,4\n" * 1000}
+    for path, data in blobs.items():
+        with open(path, "wb") as fh:
+            fh.write(data)
+    got = {r["path"].split("/")[-1]: r["sha256"] for r in file_checksums(spark, f"{tmp_dir}/f", "*.csv").collect()}
+    assert got == {p.split("/")[-1]: hashlib.sha256(d).hexdigest() for p, d in blobs.items()}
+
+
+def test_unified_quarantine_partitions_by_table_and_reason(spark, fx, tmp_dir):
+    from lakeshift.plans.silver import bronze_to_silver
+    from lakeshift.sinks.files import write_quarantine
+
+    silver = bronze_to_silver(fx.merchants_raw, fx.customers_raw, fx.payments_raw, fx.settlements_raw)
+    write_quarantine(silver.quarantine_union(), f"{tmp_dir}/q", as_of=datetime(2024, 1, 1))
+    back = spark.read.parquet(f"{tmp_dir}/q")
+    counts = {(r[0], r[1]): r[2] for r in back.groupBy("source_table", "rejection_reason").count().collect()}
+    assert counts[("payments", S.DUPLICATE_PAYMENT_ID)] == 6 and counts[("merchants", S.MISSING_MERCHANT_ID)] == 2
+    assert sum(counts.values()) == silver.quarantine_union().count()
