@@ -79,22 +79,37 @@ def extract_full(spark: SparkSession, sources: dict[str, DataFrame], bronze_root
     out = run_dir(bronze_root, run_id)
     _refuse_existing(spark, out)
     extract_date = extract_date or _utc_now().date().isoformat()
-    manifests = []
+    manifests, written = [], []
     try:
         for table, df in sources.items():
             path = f"{out}/{table}/extract_date={extract_date}"
-            write_bronze(df.select(*S.columns(S.ENTITIES[table]["schema"])), path, batch_size)
+            n = write_bronze(df.select(*S.columns(S.ENTITIES[table]["schema"])), path, batch_size)
+            written.append((table, n))
             manifests.append(bronze_manifest(spark, path, table, S.ENTITIES[table]["extract_key"]))
         manifest = manifests[0]
         for m in manifests[1:]:
             manifest = manifest.unionByName(m)
         write_report(manifest.withColumn("run_id", F.lit(run_id)), f"{out}/_manifest")
+        # Rows counted while writing, per table: what verification compares against.
+        write_report(spark.createDataFrame(written, "source_table string, written_rows long"), f"{out}/_written")
         return spark.read.json(f"{out}/_manifest")
     except Exception:
         spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit("FAILED").alias("status")).write.mode("overwrite").json(f"{out}/_manifest_failed")
         raise
 
 
+def verify_extract(spark: SparkSession, bronze_run: str) -> DataFrame:
+    """Manifest check (K4): per table, rows counted during the write must equal
+    the rows the manifest found in the landed files."""
+    from lakeshift.sinks.manifest import verify_manifest
+
+    written = spark.read.json(f"{bronze_run}/_written").select("source_table", F.lit("*").alias("batch_id"), F.col("written_rows").alias("record_count"))
+    landed = spark.read.json(f"{bronze_run}/_manifest").groupBy("source_table").agg(F.sum("record_count").alias("record_count")).select(
+        "source_table", F.lit("*").alias("batch_id"), "record_count"
+    )
+    return verify_manifest(written, landed)
+
+
 def initialize_state(spark: SparkSession, sources: dict[str, DataFrame], state_root: str) -> DataFrame:
     """Save the current high-water mark of every table (``--initialize``)."""
     marks = [latest_watermark(df, S.ENTITIES[t]["extract_key"], t) for t, df in sources.items()]
@@ -313,9 +328,9 @@ def full_migration(spark: SparkSession, sources: dict[str, DataFrame], root: str
     """extract -> verify -> Silver -> Gold -> reconcile -> metrics, in order."""
     root = root.rstrip("/")
     manifest = extract_full(spark, sources, f"{root}/bronze", run_id, batch_size)
-    landed = manifest.groupBy("source_table").agg(F.sum("record_count").alias("n"))
-    if landed.filter(F.col("n").isNull()).limit(1).count():
-        raise RuntimeError("manifest verification failed")
+    check = verify_extract(spark, run_dir(f"{root}/bronze", run_id))
+    if check.filter(F.col("status") != "MATCHED").limit(1).count():
+        raise RuntimeError("manifest verification failed: " + str(check.filter(F.col("status") != "MATCHED").collect()))
     quality = bronze_to_silver_job(spark, run_dir(f"{root}/bronze", run_id), f"{root}/silver", f"{root}/quarantine", run_id)
     gold = silver_to_gold_job(spark, run_dir(f"{root}/silver", run_id), f"{root}/gold", run_id)
     recon_path = f"{root}/audit/gold_run_id={run_id}"

@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshift.sources.files import CSV_OPTIONS
 
 
-def write_bronze(df: DataFrame, path: str, batch_size: int = 50_000, mode: str = "errorifexists") -> None:
+def write_bronze(df: DataFrame, path: str, batch_size: int = 50_000, mode: str = "errorifexists") -> int:
     """Land a table as header CSV files of at most ``batch_size`` rows (K1).
 
     A *batch* is a file: ``maxRecordsPerFile`` bounds it while every task
     writes its own files in parallel; no global ordering is required.
+    Returns the number of rows written, observed during the write itself.
     """
     opts = {k: v for k, v in CSV_OPTIONS.items() if k in ("header", "escape")}
     # Keep whitespace-only values verbatim (the writer trims by default).
     opts.update(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
-    df.write.mode(mode).options(**opts).option("maxRecordsPerFile", batch_size).csv(path)
+    obs = Observation("bronze_write")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).options(**opts).option("maxRecordsPerFile", batch_size).csv(path)
+    return int(obs.get["rows"])
 
 
 def write_dataset(

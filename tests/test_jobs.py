@@ -26,6 +26,7 @@ def test_full_migration_counts(migrated, spark):
     manifest = {r["source_table"]: r["n"] for r in out["manifest"].groupBy("source_table").agg(F.sum("record_count").alias("n")).collect()}
     assert manifest == {"merchants": 12, "customers": 152, "payments": 1500, "settlements": 1335}
     assert out["manifest"].filter(F.col("record_count") > 500).count() == 0  # batches bounded
+    assert {r["status"] for r in jobs.verify_extract(spark, f"{root}/bronze/run_id=r1").collect()} == {"MATCHED"}
     q = {(r["section"], r["name"]): r["value"] for r in out["quality"].collect()}
     assert q[("valid_rows", "payments")] == 1471 and q[("quarantined_rows", "payments_duplicates")] == 6
     assert q[("valid_rows", "settlements")] == 1318
