@@ -66,7 +66,7 @@ def flag_exists(
 
 def without_keys(base: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Base rows whose key is absent from the change set."""
-    return base.join(changes.select(key), key, "left_anti")
+    return base.join(changes.select(key), key, "left_anti").select(*base.columns)
 
 
 def semi(df: DataFrame, fk: str, dim: DataFrame, pk: str) -> DataFrame:

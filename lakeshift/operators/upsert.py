@@ -45,6 +45,7 @@ def upsert_latest_parts(base: DataFrame, changes: DataFrame, key: str, order: Se
     """
     latest = latest_by_key(changes, key, order).select(*base.columns)
     keys = latest.select(key)
-    untouched = base.join(keys, key, "left_anti")
-    touched = base.join(keys, key, "left_semi")
+    # A USING-style join lists the key first; keep the base's column order.
+    untouched = base.join(keys, key, "left_anti").select(*base.columns)
+    touched = base.join(keys, key, "left_semi").select(*base.columns)
     return untouched, latest_by_key(touched.unionByName(latest), key, order)
