@@ -56,3 +56,97 @@ def test_key_scoped_upsert_equals_full_rerank(spark, base_rows, change_rows):
     scoped = sorted(tuple(r) for r in upsert_latest(b, c, "payment_id", base_unique=True).collect())
     full = sorted(tuple(r) for r in upsert_latest(b, c, "payment_id").collect())
     assert scoped == full == _newest(base + changes)
+
+
+keys_st = st.lists(st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d", "e"])), max_size=20)
+
+
+@SETTINGS
+@given(keys_st, keys_st)
+def test_flag_exists_matches_membership_on_both_paths(spark, fact_keys, dim_keys):
+    from lakeshift.operators.joins import flag_exists
+
+    fact = spark.createDataFrame([(i, k) for i, k in enumerate(fact_keys)], "id long, fk string")
+    dim = spark.createDataFrame([(k,) for k in dim_keys], "pk string")
+    expected = sorted((i, k, k is not None and k in set(dim_keys)) for i, k in enumerate(fact_keys))
+    assert sorted(tuple(r) for r in flag_exists(fact, "fk", dim, "pk", "f").collect()) == expected
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(tuple(r) for r in flag_exists(fact, "fk", dim, "pk", "f", salt_buckets=3).collect()) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@SETTINGS
+@given(
+    st.lists(st.tuples(st.integers(0, 30), st.one_of(st.none(), st.integers(0, 6))), max_size=25),
+    st.one_of(st.none(), st.tuples(st.integers(0, 6), st.integers(0, 30))),
+    st.integers(0, 6),
+)
+def test_changes_since_matches_model(spark, rows, mark, cutoff):
+    from datetime import datetime, timedelta
+
+    from lakeshift.sources.incremental import changes_since
+
+    t0 = datetime(2024, 1, 1)
+    data = [(k, None if d is None else t0 + timedelta(days=d)) for k, d in rows]
+    df = spark.createDataFrame(data, "k long, updated_at timestamp_ntz")
+    cut = t0 + timedelta(days=cutoff)
+    wm = None if mark is None else (t0 + timedelta(days=mark[0]), mark[1])
+    got = sorted(tuple(r) for r in changes_since(df, wm, cut, "k").collect())
+
+    def take(k, ts):
+        if ts is None or ts > cut:
+            return False
+        return wm is None or ts > wm[0] or (ts == wm[0] and k > wm[1])
+
+    assert got == sorted(r for r in data if take(*r))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["x", "y", "z"])), st.one_of(st.none(), st.integers(-3, 3))), max_size=25))
+def test_expectations_match_model(spark, rows):
+    from lakeshift.operators import expectations as E
+
+    df = spark.createDataFrame(rows, "k string, v int")
+    res = {r["expectation"]: r["unexpected_count"] for r in E.run_expectations(df, "d", [E.not_null("k"), E.unique("k"), E.between("v", -1, 1), E.in_set("k", ["x", "y"])]).collect()}
+    counts = {}
+    for k, _ in rows:
+        counts[k] = counts.get(k, 0) + 1
+    assert res["expect_column_values_to_not_be_null"] == sum(1 for k, _ in rows if k is None)
+    assert res["expect_column_values_to_be_unique"] == sum(n for k, n in counts.items() if k is not None and n > 1)
+    assert res["expect_column_values_to_be_between"] == sum(1 for _, v in rows if v is not None and not -1 <= v <= 1)
+    assert res["expect_column_values_to_be_in_set"] == sum(1 for k, _ in rows if k is not None and k not in ("x", "y"))
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.tuples(st.sampled_from(["m1", "m2", "m3"]), st.sampled_from(["FOOD", "TRAVEL"]), st.integers(1, 20)), max_size=6), min_size=1, max_size=3))
+def test_scd2_history_invariants_hold_for_any_batches(spark, batches):
+    from datetime import datetime, timedelta
+
+    from lakeshift import schema as S
+    from lakeshift.operators.scd2 import scd2_init, scd2_merge
+
+    t0 = datetime(2024, 1, 1)
+
+    def dim(rows):
+        return spark.createDataFrame(
+            [(m, "n", c, "X", "X", "LOW", t0, t0 + timedelta(days=d), "b") for m, c, d in rows], S.MERCHANTS
+        )
+
+    hist = scd2_init(dim([("m1", "FOOD", 0), ("m2", "FOOD", 0)]))
+    for step, batch in enumerate(batches):
+        shifted = [(m, c, d + 20 * step) for m, c, d in batch]
+        hist = spark.createDataFrame(scd2_merge(hist, dim(shifted), "merchant_id", S.SCD2_TRACKED_COLUMNS, insert_new=True).collect(), hist.schema)
+    rows = [r.asDict() for r in hist.collect()]
+    by_key = {}
+    for r in rows:
+        by_key.setdefault(r["merchant_id"], []).append(r)
+    for versions in by_key.values():
+        versions.sort(key=lambda r: r["scd_version"])
+        assert [v["scd_version"] for v in versions] == list(range(1, len(versions) + 1))
+        assert sum(v["is_current"] for v in versions) == 1 and versions[-1]["is_current"] and versions[-1]["effective_to"] is None
+        for a, b in zip(versions, versions[1:]):
+            assert a["effective_to"] == b["effective_from"] and a["effective_from"] < b["effective_from"]
+            assert any(a[c] != b[c] for c in S.SCD2_TRACKED_COLUMNS)
