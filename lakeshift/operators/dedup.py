@@ -49,7 +49,8 @@ def flag_latest(
 
     Only rows matching ``eligible`` compete (others are flagged False), so a
     classified frame needs a single join instead of a split and a union.
-    ``id_col`` must be unique per row (an identity / surrogate column).
+    ``id_col`` must be unique per row (an identity / surrogate column). A row
+    with a NULL key never wins (such rows are rejected before ranking).
     """
     competing = df if eligible is None else df.filter(eligible)
     winners = latest_by_key(competing.select(key, *[c for c in dict.fromkeys([*order, id_col]) if c != key]), key, order, tiebreak=False).select(
@@ -63,3 +64,36 @@ def split_duplicates(df: DataFrame, key: str, order: Sequence[str] = DEFAULT_ORD
     """(survivors, duplicates): rank 1 per key vs. every other row of that key."""
     flagged = flag_latest(df, key, order, id_col, "_is_latest")
     return flagged.filter("_is_latest").drop("_is_latest"), flagged.filter(~F.col("_is_latest")).drop("_is_latest")
+
+
+def duplicate_keys(df: DataFrame, key: str, eligible: Column | None = None) -> DataFrame:
+    """Keys held by more than one competing row (partial + final aggregate, so
+    a hot key collapses map-side). NULL is a key like any other, as in the
+    window."""
+    competing = df if eligible is None else df.filter(eligible)
+    return competing.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(key)
+
+
+def flag_latest_sparse(
+    df: DataFrame,
+    key: str,
+    dup_keys: DataFrame,
+    order: Sequence[str] = DEFAULT_ORDER,
+    id_col: str = "source_record_id",
+    flag: str = "is_latest",
+    eligible: Column | None = None,
+) -> DataFrame:
+    """``flag_latest`` for the usual case where few keys repeat.
+
+    ``dup_keys`` (from ``duplicate_keys``) must have a checked size: it is
+    broadcast. Rows whose key does not repeat are decided without any
+    shuffle: the single competing row wins. Only rows of repeated keys go
+    through the ranking and join-back of ``flag_latest``.
+    """
+    marks = F.broadcast(dup_keys.select(F.col(key).alias("_dk"), F.lit(True).alias("_dup")))
+    marked = df.join(marks, df[key].eqNullSafe(F.col("_dk")), "left").drop("_dk")
+    repeated = F.coalesce(F.col("_dup"), F.lit(False))
+    wins = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
+    single = marked.filter(~repeated).drop("_dup").withColumn(flag, wins & F.col(key).isNotNull())
+    multi = flag_latest(marked.filter(repeated).drop("_dup"), key, order, id_col, flag, eligible)
+    return single.unionByName(multi)

@@ -24,7 +24,9 @@ from lakeshift.plans.audit import expectation_suite, migration_reconciliation, p
 from lakeshift.operators.upsert import upsert_latest_parts
 from lakeshift.plans.gold import silver_to_gold
 from lakeshift.plans.merge import Merge, merge_merchants, merge_settlements, validate_payment_changes
-from lakeshift.plans.silver import Silver, bronze_to_silver, classify_settlements
+from lakeshift.operators.dedup import duplicate_keys
+from lakeshift.operators.joins import fits_broadcast
+from lakeshift.plans.silver import Silver, accepted, bronze_to_silver, check_payments, classify_payments, classify_settlements
 from lakeshift.session import ensure_checkpoint_dir
 from lakeshift.sinks.files import write_bronze, write_dataset, write_report
 from lakeshift.sinks.manifest import bronze_manifest
@@ -177,8 +179,14 @@ def bronze_to_silver_job(spark: SparkSession, bronze_run: str, silver_root: str,
     for name in ("payments", "settlements"):
         t[name] = stage(spark, t[name], f"silver-{run_id}", f"bronze_{name}")
     lazy = bronze_to_silver(t["merchants"], t["customers"], t["payments"], t["settlements"])
+    # Repeated payment ids are normally rare: stage them, and when the staged
+    # set (size measured from its files) fits the broadcast threshold, only
+    # their rows are ranked; the rest of the payments is never shuffled.
+    checked = check_payments(t["payments"], lazy.merchants_valid)
+    dups = stage(spark, duplicate_keys(checked, "payment_id", accepted()), f"silver-{run_id}", "duplicate_payment_ids")
+    sparse = classify_payments(t["payments"], lazy.merchants_valid, dups) if fits_broadcast(dups) else lazy.payments_flagged
     # The payment flags feed five outputs and the settlement rules: write once.
-    flagged = stage(spark, lazy.payments_flagged, f"silver-{run_id}", "payments_flagged")
+    flagged = stage(spark, sparse, f"silver-{run_id}", "payments_flagged")
     payments_valid = flagged.filter(F.col("rejection_reason").isNull()).select(*S.columns(S.PAYMENTS))
     settlements_checked = stage(spark, classify_settlements(t["settlements"], payments_valid), f"silver-{run_id}", "settlements_checked")
     silver = Silver(lazy.merchants_valid, lazy.merchants_invalid, lazy.customers_valid, lazy.customers_invalid, flagged, settlements_checked)

@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeshift import schema as S
 from lakeshift.functions.rules import Rule, classify, positive, present, quarantine, required
-from lakeshift.operators.dedup import flag_latest
+from lakeshift.operators.dedup import flag_latest, flag_latest_sparse
 from lakeshift.operators.joins import flag_exists
 
 
@@ -42,13 +42,28 @@ def split_required(df: DataFrame, key: str, table: str, reason: str) -> tuple[Da
     return df.filter(present(key)), quarantine(df.filter(required(key)), table, reason)
 
 
-def classify_payments(payments: DataFrame, merchants_valid: DataFrame) -> DataFrame:
+def check_payments(payments: DataFrame, merchants_valid: DataFrame) -> DataFrame:
+    """Payments + first-match ``rejection_reason`` (before duplicate ranking)."""
+    return classify(flag_exists(payments, "merchant_id", merchants_valid, "merchant_id", "merchant_exists"), payment_rules()).drop("merchant_exists")
+
+
+def accepted() -> Column:
+    """Rows that passed every rule (no rejection reason yet)."""
+    return F.col("rejection_reason").isNull()
+
+
+def classify_payments(payments: DataFrame, merchants_valid: DataFrame, dup_keys: DataFrame | None = None) -> DataFrame:
     """Payments + ``rejection_reason`` (first match) + ``is_latest`` survivor flag.
 
     Only accepted rows are ranked, so NULL/blank ids never share a window key.
+    ``dup_keys``: the (size-checked) ids that repeat among accepted rows; when
+    given, only their rows are ranked and shuffled (``flag_latest_sparse``).
     """
-    checked = classify(flag_exists(payments, "merchant_id", merchants_valid, "merchant_id", "merchant_exists"), payment_rules()).drop("merchant_exists")
-    flagged = flag_latest(checked, "payment_id", eligible=F.col("rejection_reason").isNull())
+    checked = check_payments(payments, merchants_valid)
+    if dup_keys is None:
+        flagged = flag_latest(checked, "payment_id", eligible=accepted())
+    else:
+        flagged = flag_latest_sparse(checked, "payment_id", dup_keys, eligible=accepted())
     return flagged.withColumn(
         "rejection_reason",
         F.when(F.col("rejection_reason").isNull() & ~F.col("is_latest"), F.lit(S.DUPLICATE_PAYMENT_ID)).otherwise(F.col("rejection_reason")),

@@ -150,3 +150,17 @@ def test_scd2_history_invariants_hold_for_any_batches(spark, batches):
         for a, b in zip(versions, versions[1:]):
             assert a["effective_to"] == b["effective_from"] and a["effective_from"] < b["effective_from"]
             assert any(a[c] != b[c] for c in S.SCD2_TRACKED_COLUMNS)
+
+
+@SETTINGS
+@given(rows_st, st.lists(st.booleans(), min_size=25, max_size=25))
+def test_sparse_survivor_flag_equals_dense(spark, rows, accepted):
+    from pyspark.sql import functions as F
+
+    from lakeshift.operators.dedup import duplicate_keys, flag_latest, flag_latest_sparse
+
+    data = [(i, None if k == "d" else k, t, v, accepted[i]) for i, (k, t, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, SCHEMA + ", ok boolean")
+    dense = sorted(tuple(r) for r in flag_latest(df, "payment_id", eligible=F.col("ok")).collect())
+    sparse = sorted(tuple(r) for r in flag_latest_sparse(df, "payment_id", duplicate_keys(df, "payment_id", F.col("ok")), eligible=F.col("ok")).collect())
+    assert sparse == dense
