@@ -26,20 +26,36 @@ def reference_keys(dim: DataFrame, pk: str, unique: bool = False) -> DataFrame:
     return keys if unique else keys.distinct()
 
 
-def size_estimate(df: DataFrame) -> int:
-    """Optimizer size estimate in bytes (planning only, nothing is executed)."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size) if isinstance(size, int) else int(size.toString())
+def size_estimate(df: DataFrame) -> int | None:
+    """Optimizer size estimate in bytes, without executing anything.
+
+    This is the number Spark's own static broadcast rule uses (file sizes for
+    scans, never shrunk by filters or projections, so an upper bound). PySpark
+    has no public accessor, so it is read from the JVM plan; if that is not
+    available the size is unknown (``None``) and nothing is broadcast.
+    """
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size) if isinstance(size, int) else int(size.toString())
+    except Exception:  # pragma: no cover - depends on the Spark build
+        return None
+
+
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
 
 
 def broadcast_limit(df: DataFrame) -> int:
     """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1 = never broadcast)."""
-    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    text = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")).strip().lower()
+    digits = text.rstrip("bkmgt")
+    unit = text[len(digits):] or "b"
+    return int(float(digits) * _UNITS.get(unit, 1)) if digits not in ("", "-") else -1
 
 
 def fits_broadcast(df: DataFrame) -> bool:
     limit = broadcast_limit(df)
-    return 0 < limit and size_estimate(df) <= limit
+    size = size_estimate(df) if limit > 0 else None
+    return size is not None and size <= limit
 
 
 def flag_exists(
