@@ -29,3 +29,31 @@ def test_stream_merges_landed_batches_like_the_batch_merge(spark, fx, tmp_dir):
     expected, _ = merge_payments(base, inc, merchants)
     assert got.count() == 1478
     assert rows(got.select(*S.columns(S.PAYMENTS))) == rows(expected.select(*S.columns(S.PAYMENTS)))
+
+
+def test_stream_of_runs_merges_each_committed_run_in_order(spark, fx, tmp_dir):
+    from lakeshift.plans import jobs
+    from lakeshift.sinks.files import write_report
+    from lakeshift.streaming.runs import merged_runs, start_run_merges
+
+    root = tmp_dir
+    sources = {"merchants": fx.merchants_raw, "customers": fx.customers_raw, "payments": fx.payments_raw, "settlements": fx.settlements_raw}
+    jobs.extract_full(spark, sources, f"{root}/bronze", "full")
+    jobs.bronze_to_silver_job(spark, f"{root}/bronze/run_id=full", f"{root}/silver", f"{root}/q", "base")
+
+    def land(run, tables):
+        for name, df in tables.items():
+            write_bronze(df, f"{root}/inc/run_id={run}/{name}")
+        manifest = spark.createDataFrame([(t, "b", 0, run) for t in tables], "source_table string, batch_id string, record_count long, run_id string")
+        write_report(manifest, f"{root}/inc/run_id={run}/_manifest")  # written last: commits the run
+
+    land("incremental-001", {"merchants": fx.merchants_inc, "payments": fx.payments_inc})
+    q = start_run_merges(spark, f"{root}/inc", f"{root}/silver/run_id=base", f"{root}/silver", f"{root}/q", f"{root}/ckpt")
+    q.awaitTermination()
+    land("incremental-002", {"settlements": fx.settlements_inc})
+    q = start_run_merges(spark, f"{root}/inc", f"{root}/silver/run_id=base", f"{root}/silver", f"{root}/q", f"{root}/ckpt")
+    q.awaitTermination()
+    assert merged_runs(spark, f"{root}/silver") == ["merged-incremental-001", "merged-incremental-002"]
+    last = f"{root}/silver/run_id=merged-incremental-002"
+    counts = {n: spark.read.parquet(f"{last}/{n}").count() for n in ("merchants", "payments", "settlements")}
+    assert counts == {"merchants": 11, "payments": 1478, "settlements": 1328}  # same as one batch merge
