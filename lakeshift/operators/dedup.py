@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_ORDER = ("updated_at", "source_record_id")
 
@@ -25,7 +26,7 @@ def _ordering(df: DataFrame, order: Sequence[str], tiebreak: bool) -> list[Colum
     if tiebreak:
         # Deterministic survivor when the order columns tie (e.g. merchants
         # carry no surrogate id): fall back to the remaining columns.
-        cols += [F.col(c).asc_nulls_last() for c in df.columns if c not in order]
+        cols += [F.col(f.name).asc_nulls_last() for f in df.schema.fields if f.name not in order and not isinstance(f.dataType, T.MapType)]
     return cols
 
 
