@@ -30,3 +30,29 @@ def test_incremental_filter_is_pushed_to_parquet(spark, tmp_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(updated_at), LessThanOrEqual(updated_at" in plan
     assert df.count() == 23
+
+
+def test_key_scoped_upsert_never_shuffles_a_stored_base(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from lakeshift.operators.upsert import upsert_latest_parts
+
+    spark.range(20000).select(
+        F.col("id").alias("source_record_id"), F.concat(F.lit("p"), F.col("id").cast("string")).alias("payment_id"), (F.col("id") % 50).alias("updated_at")
+    ).write.parquet(f"{tmp_dir}/base")
+    base = spark.read.parquet(f"{tmp_dir}/base")
+    changes = base.filter(F.col("source_record_id") < 30).withColumn("updated_at", F.col("updated_at") + 100).withColumn(
+        "source_record_id", F.col("source_record_id") + 1_000_000
+    )
+    untouched, resolved = upsert_latest_parts(base, changes, "payment_id")
+    assert untouched.count() == 19970 and resolved.count() == 30
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        untouched.explain("formatted")
+    final = buf.getvalue().split("== Initial Plan ==")[0]
+    # the base streams from its files straight into a broadcast anti join:
+    # no exchange above the base scan; only the changed keys are shuffled
+    assert re.search(r"BroadcastHashJoin LeftAnti[^\n]*\n\s*:- \* ColumnarToRow[^\n]*\n\s*:\s+\+- Scan parquet", final), final
