@@ -45,7 +45,7 @@ def test_key_scoped_upsert_never_shuffles_a_stored_base(spark, tmp_dir):
         "source_record_id", F.col("source_record_id") + 1_000_000
     )
     untouched, resolved = upsert_latest_parts(base, changes, "payment_id")
-    assert untouched.count() == 19970 and resolved.count() == 30
+    assert len(untouched.collect()) == 19970 and resolved.count() == 30
     import contextlib
     import io
 
@@ -55,4 +55,5 @@ def test_key_scoped_upsert_never_shuffles_a_stored_base(spark, tmp_dir):
     final = buf.getvalue().split("== Initial Plan ==")[0]
     # the base streams from its files straight into a broadcast anti join:
     # no exchange above the base scan; only the changed keys are shuffled
-    assert re.search(r"BroadcastHashJoin LeftAnti[^\n]*\n\s*:- \* ColumnarToRow[^\n]*\n\s*:\s+\+- Scan parquet", final), final
+    assert "Final Plan" in final
+    assert re.search(r"BroadcastHashJoin LeftAnti[^\n]*\n\s*:- (\* ColumnarToRow[^\n]*\n\s*:\s+\+- )?Scan parquet", final), final
