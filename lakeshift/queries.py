@@ -9,13 +9,23 @@ decimals are cast to double only at this boundary.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeshift import schema as S
+from lakeshift.functions.rules import present
+from lakeshift.operators import dedup as D
+from lakeshift.operators import expectations as E
+from lakeshift.operators import joins as J
 from lakeshift.operators import reconcile as R
+from lakeshift.operators import scd2 as H
+from lakeshift.plans import audit as AU
+from lakeshift.plans import merge as MG
+from lakeshift.sinks import manifest as MF
+from lakeshift.sources import incremental as INC
 from lakeshift.plans.gold import Gold, silver_to_gold
 from lakeshift.plans.silver import Silver, bronze_to_silver
 from lakeshift.testing.fixtures import Fixtures
@@ -185,31 +195,23 @@ def _sources(fx: Fixtures) -> dict[str, tuple[DataFrame, str]]:
 # -- Extraction -----------------------------------------------------------
 @query
 def full_extract(spark, sf_dir):
-    from lakeshift.sinks.manifest import assign_batches
-
     fx = Fixtures.of(spark, sf_dir)
-    return finish(assign_batches(fx.payments_raw, "payments", "source_record_id", BATCH_SIZE))
+    return finish(MF.assign_batches(fx.payments_raw, "payments", "source_record_id", BATCH_SIZE))
 
 
 @query
 def incremental_extract(spark, sf_dir):
-    from lakeshift.sources.incremental import changes_since
-
-    return finish(changes_since(Fixtures.of(spark, sf_dir).payments_raw, WATERMARK, CUTOFF, "source_record_id"))
+    return finish(INC.changes_since(Fixtures.of(spark, sf_dir).payments_raw, WATERMARK, CUTOFF, "source_record_id"))
 
 
 @query
 def latest_watermark(spark, sf_dir):
-    from lakeshift.sources.incremental import latest_watermark as mark
-
-    return _union([mark(df, key, table) for table, (df, key) in _sources(Fixtures.of(spark, sf_dir)).items()])
+    return _union([INC.latest_watermark(df, key, table) for table, (df, key) in _sources(Fixtures.of(spark, sf_dir)).items()])
 
 
 @query
 def advance_watermark(spark, sf_dir):
-    from datetime import datetime
 
-    from lakeshift.sources.incremental import advance_watermark as advance, changes_since
 
     fx = Fixtures.of(spark, sf_dir)
     state = spark.createDataFrame(
@@ -219,39 +221,33 @@ def advance_watermark(spark, sf_dir):
     old = {t: (ts, k) for t, ts, k in OLD_STATE}
     marks = []
     for table, (df, key) in _sources(fx).items():
-        extracted = changes_since(df, old[table], CUTOFF, key)
+        extracted = INC.changes_since(df, old[table], CUTOFF, key)
         marks.append(
             extracted.agg(F.max(F.struct(F.col("updated_at").alias("t"), F.col(key).alias("k"))).alias("m"), F.count(F.lit(1)).alias("extracted_rows")).select(
                 F.lit(table).alias("source_table"), F.col("m.t").alias("updated_at"), F.col("m.k").cast("string").alias("source_key"), "extracted_rows"
             )
         )
-    return advance(state, _union(marks))
+    return INC.advance_watermark(state, _union(marks))
 
 
 @query
 def batch_manifest(spark, sf_dir):
-    from lakeshift.sinks.manifest import batch_manifest as manifest
-
-    return manifest(Fixtures.of(spark, sf_dir).payments_raw, "payments", "source_record_id", BATCH_SIZE)
+    return MF.batch_manifest(Fixtures.of(spark, sf_dir).payments_raw, "payments", "source_record_id", BATCH_SIZE)
 
 
 @query
 def row_digest(spark, sf_dir):
-    from lakeshift.sinks.manifest import row_digest as digest
-
     p = Fixtures.of(spark, sf_dir).payments_raw
-    return p.select("source_record_id", digest(p).alias("row_digest"))
+    return p.select("source_record_id", MF.row_digest(p).alias("row_digest"))
 
 
 @query
 def verify_manifest(spark, sf_dir):
-    from lakeshift.sinks.manifest import batch_manifest as manifest, verify_manifest as verify
-
     ctx = Context(spark, sf_dir)
-    recorded = manifest(ctx.fx.payments_raw, "payments", "source_record_id", BATCH_SIZE)
+    recorded = MF.batch_manifest(ctx.fx.payments_raw, "payments", "source_record_id", BATCH_SIZE)
     # Every extracted row must land in Silver or in quarantine.
-    landed = manifest(ctx.silver.payments_flagged, "payments", "source_record_id", BATCH_SIZE)
-    return verify(recorded, landed)
+    landed = MF.batch_manifest(ctx.silver.payments_flagged, "payments", "source_record_id", BATCH_SIZE)
+    return MF.verify_manifest(recorded, landed)
 
 
 # -- Silver reports -------------------------------------------------------
@@ -273,11 +269,9 @@ def quality_report(spark, sf_dir):
 
 # -- Incremental merge ----------------------------------------------------
 def _merge(ctx: Context):
-    from lakeshift.plans.merge import merge_increment
-
     if ctx._merge is None:
         s, fx = ctx.silver, ctx.fx
-        ctx._merge = merge_increment(
+        ctx._merge = MG.merge_increment(
             s.merchants_valid, s.customers_valid, s.payments_valid, s.settlements_valid, fx.merchants_inc, fx.payments_inc, fx.settlements_inc
         )
     return ctx._merge
@@ -285,11 +279,8 @@ def _merge(ctx: Context):
 
 @query
 def latest_by_key(spark, sf_dir):
-    from lakeshift.functions.rules import present
-    from lakeshift.operators.dedup import latest_by_key as latest
-
     fx = Fixtures.of(spark, sf_dir)
-    return finish(latest(fx.payments_raw.unionByName(fx.payments_inc).filter(present("payment_id")), "payment_id"))
+    return finish(D.latest_by_key(fx.payments_raw.unionByName(fx.payments_inc).filter(present("payment_id")), "payment_id"))
 
 
 @query
@@ -346,9 +337,7 @@ def compact_by_month(spark, sf_dir):
 
 # -- SCD2 -----------------------------------------------------------------
 def _history(ctx: Context) -> DataFrame:
-    from lakeshift.operators.scd2 import scd2_init
-
-    return scd2_init(ctx.silver.merchants_valid)
+    return H.scd2_init(ctx.silver.merchants_valid)
 
 
 @query
@@ -358,26 +347,20 @@ def scd2_init(spark, sf_dir):
 
 @query
 def scd2_changed(spark, sf_dir):
-    from lakeshift.operators.scd2 import scd2_changes
-
     ctx = Context(spark, sf_dir)
-    return scd2_changes(_history(ctx), ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS)
+    return H.scd2_changes(_history(ctx), ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS)
 
 
 @query
 def scd2_merge(spark, sf_dir):
-    from lakeshift.operators.scd2 import scd2_merge as merge
-
     ctx = Context(spark, sf_dir)
-    return merge(_history(ctx), ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS)
+    return H.scd2_merge(_history(ctx), ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS)
 
 
 @query
 def scd2_merge_with_inserts(spark, sf_dir):
-    from lakeshift.operators.scd2 import scd2_merge as merge
-
     ctx = Context(spark, sf_dir)
-    return merge(_history(ctx), ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS, insert_new=True)
+    return H.scd2_merge(_history(ctx), ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS, insert_new=True)
 
 
 @query
@@ -387,11 +370,9 @@ def scd2_closed(spark, sf_dir):
 
 @query
 def scd2_opened(spark, sf_dir):
-    from lakeshift.operators.scd2 import scd2_changes, scd2_open
-
     ctx = Context(spark, sf_dir)
     hist = _history(ctx)
-    return scd2_open(scd2_changes(hist, ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS), hist.columns, "merchant_id")
+    return H.scd2_open(H.scd2_changes(hist, ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS), hist.columns, "merchant_id")
 
 
 @query
@@ -401,19 +382,15 @@ def scd2_current(spark, sf_dir):
 
 @query
 def scd2_as_of(spark, sf_dir):
-    from lakeshift.operators.scd2 import scd2_as_of as as_of
-
-    return as_of(scd2_merge_with_inserts(spark, sf_dir), AS_OF)
+    return H.scd2_as_of(scd2_merge_with_inserts(spark, sf_dir), AS_OF)
 
 
 @query
 def scd2_report(spark, sf_dir):
-    from lakeshift.operators.scd2 import scd2_changes, scd2_close, scd2_open
-
     ctx = Context(spark, sf_dir)
     hist = _history(ctx)
-    changed_rows = scd2_changes(hist, ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS)
-    result = scd2_close(hist, changed_rows, "merchant_id").unionByName(scd2_open(changed_rows, hist.columns, "merchant_id"))
+    changed_rows = H.scd2_changes(hist, ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS)
+    result = H.scd2_close(hist, changed_rows, "merchant_id").unionByName(H.scd2_open(changed_rows, hist.columns, "merchant_id"))
     changed_count = changed_rows.agg(F.count(F.lit(1))).scalar()
     return result.agg(
         F.count(F.lit(1)).alias("total_scd2_rows"),
@@ -425,8 +402,6 @@ def scd2_report(spark, sf_dir):
 # -- Quality --------------------------------------------------------------
 @query
 def expect_not_null(spark, sf_dir):
-    from lakeshift.operators import expectations as E
-
     ctx = Context(spark, sf_dir)
     return _union(
         [
@@ -439,8 +414,6 @@ def expect_not_null(spark, sf_dir):
 
 @query
 def expect_unique(spark, sf_dir):
-    from lakeshift.operators import expectations as E
-
     ctx = Context(spark, sf_dir)
     return _union(
         [
@@ -453,8 +426,6 @@ def expect_unique(spark, sf_dir):
 
 @query
 def expect_between(spark, sf_dir):
-    from lakeshift.operators import expectations as E
-
     ctx = Context(spark, sf_dir)
     return _union(
         [
@@ -466,8 +437,6 @@ def expect_between(spark, sf_dir):
 
 @query
 def expect_in_set(spark, sf_dir):
-    from lakeshift.operators import expectations as E
-
     ctx = Context(spark, sf_dir)
     return _union(
         [
@@ -481,13 +450,11 @@ def expect_in_set(spark, sf_dir):
 
 @query
 def orphan_payments(spark, sf_dir):
-    from lakeshift.operators.joins import orphans
-
     ctx = Context(spark, sf_dir)
     merchants = ctx.silver.merchants_valid
 
     def count(df: DataFrame, name: str) -> DataFrame:
-        return orphans(df, "merchant_id", merchants, "merchant_id").agg(F.count(F.lit(1)).alias("orphan_payment_count")).select(
+        return J.orphans(df, "merchant_id", merchants, "merchant_id").agg(F.count(F.lit(1)).alias("orphan_payment_count")).select(
             F.lit(name).alias("dataset"), "orphan_payment_count"
         )
 
@@ -496,23 +463,17 @@ def orphan_payments(spark, sf_dir):
 
 @query
 def expectation_suite(spark, sf_dir):
-    from lakeshift.plans.audit import expectation_suite as suite
-
     ctx = Context(spark, sf_dir)
-    return suite(ctx.silver.merchants_valid, ctx.silver.payments_valid, ctx.gold.payment_reconciliation)
+    return AU.expectation_suite(ctx.silver.merchants_valid, ctx.silver.payments_valid, ctx.gold.payment_reconciliation)
 
 
 # -- Reconciliation and metrics -------------------------------------------
 def _source_totals(ctx: Context) -> DataFrame:
-    from lakeshift.plans.audit import source_expected_totals as totals
-
-    return totals(ctx.fx.payments_raw, ctx.fx.merchants_raw)
+    return AU.source_expected_totals(ctx.fx.payments_raw, ctx.fx.merchants_raw)
 
 
 def _migration(ctx: Context) -> DataFrame:
-    from lakeshift.plans.audit import migration_reconciliation as recon
-
-    return recon(_source_totals(ctx), R.target_totals(ctx.gold.payment_reconciliation), ctx.silver.quality_report())
+    return AU.migration_reconciliation(_source_totals(ctx), R.target_totals(ctx.gold.payment_reconciliation), ctx.silver.quality_report())
 
 
 @query
@@ -532,7 +493,5 @@ def migration_reconciliation(spark, sf_dir):
 
 @query
 def pipeline_metrics(spark, sf_dir):
-    from lakeshift.plans.audit import pipeline_metrics as metrics
-
     ctx = Context(spark, sf_dir)
-    return metrics(ctx.silver.quality_report(), _migration(ctx))
+    return AU.pipeline_metrics(ctx.silver.quality_report(), _migration(ctx))
