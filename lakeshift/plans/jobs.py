@@ -246,10 +246,77 @@ def merge_job(spark: SparkSession, base_silver_run: str, bronze_inc_run: str, si
     write_dataset(m.payments_rejected.drop("is_latest").withColumn("quarantined_at", ts), f"{q_out}/payments")
     write_dataset(m.settlements_rejected.withColumn("quarantined_at", ts), f"{q_out}/settlements")
     write_report(m.report().withColumn("run_id", F.lit(run_id)).withColumn("status", F.lit("COMPLETED")), f"{out}/_merge_report")
+    write_report(
+        cumulative_quality(spark, base_silver_run, out, base["payments"], current, payments_flagged, settlements_checked, merchants_rejected)
+        .withColumn("run_id", F.lit(run_id))
+        .withColumn("status", F.lit("COMPLETED")),
+        f"{out}/_quality_report",
+    )
     unstage(spark, f"merge-{run_id}")
     return spark.read.json(f"{out}/_merge_report")
 
 
+def cumulative_quality(
+    spark: SparkSession,
+    base_run: str,
+    merged_run: str,
+    base_payments: DataFrame,
+    current: DataFrame,
+    payments_flagged: DataFrame,
+    settlements_checked: DataFrame,
+    merchants_rejected: DataFrame,
+) -> DataFrame:
+    """Quality report of a merged run in the Silver report's schema (Q10).
+
+    Counts are cumulative over the base run and this increment. A row that
+    loses the newest-wins re-rank (a replaced base row or a stale change) is a
+    duplicate, as it would be in a full load of the combined source, so raw
+    accounting (R2) also holds for merged runs: that lets the reconciliation
+    job run on them unchanged. Losers = base + current - merged.
+    """
+    if path_exists(spark, f"{base_run}/_quality_report"):
+        prior = spark.read.json(f"{base_run}/_quality_report").select("section", "name", F.col("value").cast("long"))
+    else:  # a base snapshot without history: count from zero
+        prior = spark.createDataFrame([], "section string, name string, value long")
+    reason = F.col("rejection_reason")
+    increment = _quality_counts(
+        [
+            (read_dataset(spark, merged_run, "merchants"), "valid_rows", "merchants", None, "set"),
+            (read_dataset(spark, merged_run, "customers"), "valid_rows", "customers", None, "set"),
+            (read_dataset(spark, merged_run, "payments"), "valid_rows", "payments", None, "set"),
+            (read_dataset(spark, merged_run, "settlements"), "valid_rows", "settlements", None, "set"),
+            (merchants_rejected, "quarantined_rows", "merchants", None, "add"),
+            (payments_flagged, "quarantined_rows", "payments_invalid", reason.isNotNull() & (reason != S.DUPLICATE_PAYMENT_ID), "add"),
+            (payments_flagged, "quarantined_rows", "payments_duplicates", reason == S.DUPLICATE_PAYMENT_ID, "add"),
+            (base_payments, "quarantined_rows", "payments_duplicates", None, "add"),
+            (current, "quarantined_rows", "payments_duplicates", None, "add"),
+            (read_dataset(spark, merged_run, "payments"), "quarantined_rows", "payments_duplicates", None, "sub"),
+            (settlements_checked, "quarantined_rows", "settlements", reason.isNotNull(), "add"),
+        ]
+    )
+    combined = prior.withColumn("op", F.lit("add")).unionByName(increment)
+    # "set" rows replace the prior value of their (section, name).
+    replaced = combined.groupBy("section", "name").agg(
+        F.max(F.when(F.col("op") == "set", 1).otherwise(0)).alias("_has_set"),
+        F.sum(F.when(F.col("op") == "set", F.col("value"))).alias("_set"),
+        F.sum(F.when(F.col("op") == "add", F.col("value")).when(F.col("op") == "sub", -F.col("value"))).alias("_delta"),
+    )
+    return replaced.select(
+        "section", "name", F.when(F.col("_has_set") == 1, F.col("_set")).otherwise(F.col("_delta")).cast("long").alias("value")
+    )
+
+
+def _quality_counts(entries) -> DataFrame:
+    parts = []
+    for df, section, name, cond, op in entries:
+        v = F.count(F.lit(1)) if cond is None else F.count_if(cond)
+        parts.append(df.agg(v.alias("value")).select(F.lit(section).alias("section"), F.lit(name).alias("name"), "value", F.lit(op).alias("op")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # -- X3: Silver -> Gold -------------------------------------------------------
 def silver_to_gold_job(spark: SparkSession, silver_run: str, gold_root: str, run_id: str, as_of: datetime | None = None) -> DataFrame:
     out = run_dir(gold_root, run_id)

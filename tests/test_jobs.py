@@ -56,6 +56,13 @@ def test_incremental_merge_scd2_and_publish(migrated, spark, fx):
     assert r[("merged_rows", "payments")] == 1478 and r[("merged_rows", "settlements")] == 1328 and r[("merged_rows", "merchants")] == 11
     merged = spark.read.parquet(f"{root}/silver/run_id=m1/payments")
     assert merged.filter(F.col("source_record_id") >= 10_000_000).count() == 45
+    # Q10: a merged run carries a cumulative quality report, so the same
+    # reconciliation runs on it against the combined source and passes.
+    jobs.silver_to_gold_job(spark, f"{root}/silver/run_id=m1", f"{root}/gold", "g-m1")
+    src_payments = fx.payments_raw.unionByName(fx.payments_inc)
+    src_merchants = fx.merchants_raw.unionByName(fx.merchants_inc)
+    rec = jobs.reconcile_job(spark, src_payments, src_merchants, f"{root}/silver/run_id=m1", f"{root}/gold/run_id=g-m1", f"{root}/audit/m1").collect()[0]
+    assert (rec["raw_payment_count"], rec["target_valid_payment_count"], rec["status"]) == (1598, 1478, "PASSED"), rec
     s = jobs.scd2_job(spark, f"{root}/gold/run_id=r1/merchant_scd2", inc, f"{root}/gold", "scd1").collect()[0]
     assert (s["changed_merchants"], s["total_scd2_rows"], s["current_scd2_rows"], s["closed_scd2_rows"]) == (2, 12, 10, 2)
     from lakeshift.sinks.publish import publication_bundle
