@@ -77,7 +77,9 @@ def publish(spark: SparkSession, datasets: list[Dataset], root: str, max_records
         df = spark.read.parquet(d.source)
         n = compact(df, target, d.date_column, d.category_column, max_records_per_file)
         rows.append((d.target, n, len(df.inputFiles()), parquet_files(spark, target)))
-    return spark.createDataFrame(rows, "dataset string, records long, input_parquet_files long, output_parquet_files long")
+    report = spark.createDataFrame(rows, "dataset string, records long, input_parquet_files long, output_parquet_files long")
+    report.coalesce(1).write.mode("errorifexists").json(f"{root.rstrip('/')}/_publication_report")
+    return report
 
 
 def register_table(spark: SparkSession, name: str, path: str, df_schema, partition_columns: list[str] | None = None) -> None:

@@ -73,6 +73,7 @@ def test_publish_refuses_missing_source_and_existing_target(spark, tmp_dir):
     report = publish(spark, [Dataset(f"{tmp_dir}/src", "gold/small")], f"{tmp_dir}/published/publication_id=t")
     assert rows(report, "dataset", "records") == [("gold/small", 10)]
     assert report.collect()[0]["output_parquet_files"] == 1
+    assert spark.read.json(f"{tmp_dir}/published/publication_id=t/_publication_report").count() == 1
     with pytest.raises(FileExistsError):
         publish(spark, [Dataset(f"{tmp_dir}/src", "gold/small")], f"{tmp_dir}/published/publication_id=t")
     with pytest.raises(FileNotFoundError):
