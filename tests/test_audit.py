@@ -1,7 +1,6 @@
 from datetime import datetime
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from lakeshift import schema as S
 from lakeshift.operators import expectations as E

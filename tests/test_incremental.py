@@ -1,6 +1,5 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
 
 from lakeshift.sources.incremental import advance_watermark, changes_since, latest_watermark
 from conftest import rows

@@ -5,10 +5,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from lakeshift import schema as S
 from lakeshift.plans import jobs
 from lakeshift.sinks.files import write_bronze
-from lakeshift.sinks.publish import Dataset, publish
+from lakeshift.sinks.publish import publish
 
 
 @pytest.fixture(scope="module")

@@ -1,8 +1,6 @@
 """Every registered query against its DuckDB oracle on sf0.001 (the driver
 repeats this at sf0.01)."""
 
-import pytest
-
 from lakeshift.testing.compare import run
 
 

@@ -1,7 +1,6 @@
 from pyspark.sql import functions as F
 
 from lakeshift import schema as S
-from lakeshift.operators.upsert import upsert_latest
 from lakeshift.plans.silver import bronze_to_silver
 from lakeshift.sinks.files import write_bronze
 from lakeshift.streaming.incremental import read_snapshot, snapshot_versions, start_payment_merge
