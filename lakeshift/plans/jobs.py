@@ -174,9 +174,9 @@ def bronze_to_silver_job(spark: SparkSession, bronze_run: str, silver_root: str,
     _refuse_existing(spark, silver_out, q_out)
     as_of = _now(as_of)
     t = {name: read_bronze(spark, bronze_run, name).select(*S.columns(S.ENTITIES[name]["schema"])) for name in TABLES}
-    # Parse the fact CSVs once: every later pass (existence join, winners
-    # window, join-back, settlement rules) reads pruned Parquet columns.
-    for name in ("payments", "settlements"):
+    # Parse each CSV once: every later pass (outputs, existence joins, winners
+    # window, join-back, settlement rules, report) reads pruned Parquet columns.
+    for name in TABLES:
         t[name] = stage(spark, t[name], f"silver-{run_id}", f"bronze_{name}")
     lazy = bronze_to_silver(t["merchants"], t["customers"], t["payments"], t["settlements"])
     # Repeated payment ids are normally rare: stage them, and when the staged
