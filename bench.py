@@ -27,6 +27,34 @@ HEADLINE = [
 ]
 
 
+def run_jobs(spark, sf_dir: str) -> dict[str, float]:
+    """Opt-in (BENCH_JOBS=1): the write path end to end in a fresh temp folder."""
+    import tempfile
+
+    from lakeshift.plans import jobs
+    from lakeshift.sinks.files import write_bronze
+    from lakeshift.sinks.publish import publication_bundle, publish
+    from lakeshift.testing.fixtures import Fixtures
+
+    fx = Fixtures.of(spark, sf_dir)
+    root = tempfile.mkdtemp(prefix="lakeshift-bench-jobs-")
+    sources = {"merchants": fx.merchants_raw, "customers": fx.customers_raw, "payments": fx.payments_raw, "settlements": fx.settlements_raw}
+    out = {}
+
+    def timed(name, fn):
+        t0 = time.perf_counter()
+        fn()
+        out[name] = round(time.perf_counter() - t0, 3)
+
+    timed("full_migration", lambda: jobs.full_migration(spark, sources, root, "r1"))
+    for name in ("merchants", "payments", "settlements"):
+        write_bronze(getattr(fx, f"{name}_inc"), f"{root}/bronze/run_id=i1/{name}")
+    timed("merge_job", lambda: jobs.merge_job(spark, f"{root}/silver/run_id=r1", f"{root}/bronze/run_id=i1", f"{root}/silver", f"{root}/quarantine", "m1"))
+    timed("scd2_job", lambda: jobs.scd2_job(spark, f"{root}/gold/run_id=r1/merchant_scd2", f"{root}/bronze/run_id=i1", f"{root}/gold", "h1"))
+    timed("publish", lambda: publish(spark, publication_bundle(f"{root}/silver/run_id=m1", f"{root}/gold/run_id=r1", f"{root}/gold/run_id=h1"), f"{root}/published/publication_id=p1"))
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -52,6 +80,7 @@ def main() -> None:
 
     run("merchant_daily_metrics")  # warm-up: JVM, codegen caches, file listing
     times = {n: round(run(n), 3) for n in names}
+    jobs = run_jobs(spark, sf_dir) if os.environ.get("BENCH_JOBS") == "1" else {}
     headline = {n: times[n] for n in HEADLINE if n in times}
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(
@@ -65,6 +94,7 @@ def main() -> None:
                 "n_queries": len(times),
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
+                **({"jobs": jobs} if jobs else {}),
             }
         )
     )

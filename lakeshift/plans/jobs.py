@@ -238,16 +238,24 @@ def merge_job(spark: SparkSession, base_silver_run: str, bronze_inc_run: str, si
     settlements_checked = stage(spark, settlements_checked, f"merge-{run_id}", "settlements_checked")
     write_dataset(settlements.withColumn("settlement_date", F.to_date("settlement_timestamp")), f"{out}/settlements", "settlement_date")
 
+    # Each written dataset is listed once (day partitions make listing the
+    # dominant cost of small runs); the reports reuse these frames.
+    written = {
+        "merchants": merchants,
+        "customers": read_dataset(spark, out, "customers"),
+        "payments": payments,
+        "settlements": read_dataset(spark, out, "settlements"),
+    }
     m = Merge(
-        inc["merchants"], inc["payments"], inc["settlements"], merchants, read_dataset(spark, out, "customers"),
-        payments_flagged, payments, settlements_checked, read_dataset(spark, out, "settlements"), merchants_rejected,
+        inc["merchants"], inc["payments"], inc["settlements"], merchants, written["customers"],
+        payments_flagged, payments, settlements_checked, written["settlements"], merchants_rejected,
     )
     write_dataset(merchants_rejected.withColumn("quarantined_at", ts), f"{q_out}/merchants")
     write_dataset(m.payments_rejected.drop("is_latest").withColumn("quarantined_at", ts), f"{q_out}/payments")
     write_dataset(m.settlements_rejected.withColumn("quarantined_at", ts), f"{q_out}/settlements")
     write_report(m.report().withColumn("run_id", F.lit(run_id)).withColumn("status", F.lit("COMPLETED")), f"{out}/_merge_report")
     write_report(
-        cumulative_quality(spark, base_silver_run, out, base["payments"], current, payments_flagged, settlements_checked, merchants_rejected)
+        cumulative_quality(spark, base_silver_run, written, base["payments"], current, payments_flagged, settlements_checked, merchants_rejected)
         .withColumn("run_id", F.lit(run_id))
         .withColumn("status", F.lit("COMPLETED")),
         f"{out}/_quality_report",
@@ -259,7 +267,7 @@ def merge_job(spark: SparkSession, base_silver_run: str, bronze_inc_run: str, si
 def cumulative_quality(
     spark: SparkSession,
     base_run: str,
-    merged_run: str,
+    merged: dict[str, DataFrame],
     base_payments: DataFrame,
     current: DataFrame,
     payments_flagged: DataFrame,
@@ -281,16 +289,16 @@ def cumulative_quality(
     reason = F.col("rejection_reason")
     increment = _quality_counts(
         [
-            (read_dataset(spark, merged_run, "merchants"), "valid_rows", "merchants", None, "set"),
-            (read_dataset(spark, merged_run, "customers"), "valid_rows", "customers", None, "set"),
-            (read_dataset(spark, merged_run, "payments"), "valid_rows", "payments", None, "set"),
-            (read_dataset(spark, merged_run, "settlements"), "valid_rows", "settlements", None, "set"),
+            (merged["merchants"], "valid_rows", "merchants", None, "set"),
+            (merged["customers"], "valid_rows", "customers", None, "set"),
+            (merged["payments"], "valid_rows", "payments", None, "set"),
+            (merged["settlements"], "valid_rows", "settlements", None, "set"),
             (merchants_rejected, "quarantined_rows", "merchants", None, "add"),
             (payments_flagged, "quarantined_rows", "payments_invalid", reason.isNotNull() & (reason != S.DUPLICATE_PAYMENT_ID), "add"),
             (payments_flagged, "quarantined_rows", "payments_duplicates", reason == S.DUPLICATE_PAYMENT_ID, "add"),
             (base_payments, "quarantined_rows", "payments_duplicates", None, "add"),
             (current, "quarantined_rows", "payments_duplicates", None, "add"),
-            (read_dataset(spark, merged_run, "payments"), "quarantined_rows", "payments_duplicates", None, "sub"),
+            (merged["payments"], "quarantined_rows", "payments_duplicates", None, "sub"),
             (settlements_checked, "quarantined_rows", "settlements", reason.isNotNull(), "add"),
         ]
     )
