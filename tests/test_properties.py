@@ -164,3 +164,49 @@ def test_sparse_survivor_flag_equals_dense(spark, rows, accepted):
     dense = sorted(tuple(r) for r in flag_latest(df, "payment_id", eligible=F.col("ok")).collect())
     sparse = sorted(tuple(r) for r in flag_latest_sparse(df, "payment_id", duplicate_keys(df, "payment_id", F.col("ok")), eligible=F.col("ok")).collect())
     assert sparse == dense
+
+
+money_st = st.decimals(min_value="-50", max_value="50", places=2, allow_nan=False, allow_infinity=False)
+
+
+@SETTINGS
+@given(
+    st.lists(money_st, min_size=1, max_size=8),
+    st.lists(st.tuples(st.integers(0, 7), money_st), max_size=12),
+)
+def test_reconciliation_matches_model(spark, amounts, settlements):
+    from datetime import datetime
+    from decimal import Decimal
+
+    from lakeshift import schema as S
+    from lakeshift.operators.reconcile import reconcile
+
+    t = datetime(2024, 1, 1)
+    pay = spark.createDataFrame([(i, f"p{i}", "c", "m", a, "INR", "CAPTURED", t, t, t, "b") for i, a in enumerate(amounts)], S.PAYMENTS)
+    stl = spark.createDataFrame([(j, f"s{j}", f"p{i}", "m", a, "SETTLED", t, t, t, "b") for j, (i, a) in enumerate(settlements)], S.SETTLEMENTS)
+    got = {r["payment_id"]: (r["settled_amount"], r["settlement_record_count"], r["reconciliation_status"]) for r in reconcile(pay, stl).collect()}
+    for i, a in enumerate(amounts):
+        mine = [x for k, x in settlements if k == i]
+        settled = sum(mine, Decimal("0.00"))
+        diff = a - settled
+        status = "MISSING_SETTLEMENT" if not mine else "MATCHED" if abs(diff) <= Decimal("0.01") else "UNDER_SETTLED" if diff > 0 else "OVER_SETTLED"
+        assert got[f"p{i}"] == (settled, len(mine), status)
+
+
+@SETTINGS
+@given(
+    st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 9)), max_size=6, unique_by=lambda r: r[0]),
+    st.lists(st.tuples(st.sampled_from(["a", "b", "c", "d"]), st.integers(0, 9), st.integers(0, 99)), max_size=10),
+)
+def test_upsert_replace_matches_model(spark, base_rows, change_rows):
+    from lakeshift.operators.upsert import upsert_replace
+
+    base = spark.createDataFrame([(k, u, -1) for k, u in base_rows], "merchant_id string, updated_at int, v int")
+    changes = spark.createDataFrame(change_rows, "merchant_id string, updated_at int, v int")
+    got = sorted(tuple(r) for r in upsert_replace(base, changes, "merchant_id").collect())
+    latest = {}
+    for k, u, v in change_rows:  # newest change per key; ties -> smallest v (deterministic tiebreak)
+        if k not in latest or (u, -v) > (latest[k][1], -latest[k][2]):
+            latest[k] = (k, u, v)
+    expected = sorted([(k, u, -1) for k, u in base_rows if k not in latest] + list(latest.values()))
+    assert got == expected  # the change wins even when older than the base row
