@@ -23,8 +23,8 @@ from lakeshift.operators.scd2 import scd2_changes, scd2_close, scd2_inserts, scd
 from lakeshift.plans.audit import expectation_suite, migration_reconciliation, pipeline_metrics, source_expected_totals
 from lakeshift.operators.upsert import upsert_latest_parts
 from lakeshift.plans.gold import silver_to_gold
-from lakeshift.plans.merge import Merge, merge_merchants, merge_settlements, validate_payment_changes
-from lakeshift.operators.dedup import duplicate_keys
+from lakeshift.plans.merge import Merge, merge_merchants, validate_payment_changes, validate_settlement_changes
+from lakeshift.operators.dedup import duplicate_keys, latest_by_key
 from lakeshift.operators.joins import fits_broadcast
 from lakeshift.plans.silver import Silver, accepted, bronze_to_silver, check_payments, classify_payments, classify_settlements
 from lakeshift.session import ensure_checkpoint_dir
@@ -232,11 +232,19 @@ def merge_job(spark: SparkSession, base_silver_run: str, bronze_inc_run: str, si
     write_dataset(with_day(untouched).unionByName(with_day(resolved).hint("rebalance", "payment_date")), f"{out}/payments", "payment_date", rebalance=False)
     payments = read_dataset(spark, out, "payments").drop("payment_date")
 
-    # Settlements: base not guaranteed unique per settlement id (Q3), so the
-    # whole union is re-ranked (one shuffle), then rebalanced by day.
-    settlements, settlements_checked = merge_settlements(base["settlements"].drop("settlement_date"), inc["settlements"], payments)
-    settlements_checked = stage(spark, settlements_checked, f"merge-{run_id}", "settlements_checked")
-    write_dataset(settlements.withColumn("settlement_date", F.to_date("settlement_timestamp")), f"{out}/settlements", "settlement_date")
+    # Settlements: a merged base is unique per settlement id (the merge
+    # deduplicates), so only changed ids are re-ranked, as for payments. A
+    # full-load base is not guaranteed unique (Q3): the whole union is
+    # re-ranked (one shuffle), then rebalanced by day.
+    settlements_checked = stage(spark, validate_settlement_changes(inc["settlements"], payments), f"merge-{run_id}", "settlements_checked")
+    candidates = settlements_checked.filter(F.col("rejection_reason").isNull()).select(*S.columns(S.SETTLEMENTS))
+    base_settlements = base["settlements"].drop("settlement_date")
+    stl_day = lambda df: df.withColumn("settlement_date", F.to_date("settlement_timestamp"))
+    if path_exists(spark, f"{base_silver_run}/_merge_report"):
+        untouched, resolved = upsert_latest_parts(base_settlements, candidates, "settlement_id")
+        write_dataset(stl_day(untouched).unionByName(stl_day(resolved).hint("rebalance", "settlement_date")), f"{out}/settlements", "settlement_date", rebalance=False)
+    else:
+        write_dataset(stl_day(latest_by_key(base_settlements.unionByName(candidates), "settlement_id")), f"{out}/settlements", "settlement_date")
 
     # Each written dataset is listed once (day partitions make listing the
     # dominant cost of small runs); the reports reuse these frames.
