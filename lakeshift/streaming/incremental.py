@@ -4,7 +4,7 @@ New Bronze change files (``<bronze_root>/run_id=*/<table>/*.csv``) are picked
 up by the file source, whose checkpoint replaces the hand-kept high-water
 mark. Each micro-batch is validated and upserted (newest wins) into the
 current Silver snapshot and written as a new snapshot version
-``<silver_path>/version=<epoch>``. A replayed epoch overwrites its own version
+``<silver_path>/version=<epoch>``, partitioned by day like Silver. A replayed epoch overwrites its own version
 directory, so the sink is idempotent; readers take the highest version with a
 ``_SUCCESS`` marker.
 
@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeshift import schema as S
-from lakeshift.plans.merge import merge_payments
+from lakeshift.operators.upsert import upsert_latest, upsert_latest_parts
+from lakeshift.plans.merge import validate_payment_changes
 from lakeshift.sources.files import CSV_OPTIONS
 
 
@@ -73,11 +74,21 @@ def start_payment_merge(
     silver_path = silver_path.rstrip("/")
     cols = S.columns(S.PAYMENTS)
 
+    def day(df: DataFrame) -> DataFrame:
+        return df.withColumn("payment_date", F.to_date("payment_timestamp"))
+
     def apply(batch: DataFrame, epoch: int) -> None:
         current = read_snapshot(spark, silver_path, before=epoch)
-        base = (current if current is not None else base_payments).select(*cols)
-        merged, flagged = merge_payments(base, batch.select(*cols), merchants, stored_base=current is not None)
-        merged.write.mode("overwrite").parquet(f"{silver_path}/version={epoch}")
+        flagged = validate_payment_changes(batch.select(*cols), merchants)
+        changes = flagged.filter(F.col("rejection_reason").isNull()).select(*cols)
+        if current is not None:
+            # Stored snapshot: untouched rows keep their day layout, only the
+            # re-ranked keys are rebalanced (the snapshot is never shuffled).
+            untouched, resolved = upsert_latest_parts(current.select(*cols), changes, "payment_id")
+            merged = day(untouched).unionByName(day(resolved).hint("rebalance", "payment_date"))
+        else:
+            merged = day(upsert_latest(base_payments.select(*cols), changes, "payment_id")).hint("rebalance", "payment_date")
+        merged.write.mode("overwrite").partitionBy("payment_date").parquet(f"{silver_path}/version={epoch}")
         if quarantine_path:
             rejected = flagged.filter(F.col("rejection_reason").isNotNull()).drop("is_latest").withColumn("source_table", F.lit("payments"))
             rejected.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/version={epoch}")
