@@ -2,8 +2,8 @@
 
 ``bronze_to_silver`` is lazy and returns every output as a DataFrame. The
 payment flags (rejection reason + survivor flag) are the one intermediate that
-feeds several outputs; ``run_bronze_to_silver`` writes it once to a staging
-table in the run directory and derives every payment output from that table,
+feeds several outputs; ``plans.jobs.bronze_to_silver_job`` writes it once to a staged table under
+the shared checkpoint folder and derives every payment output from that table,
 so the source is scanned once and the lineage is cut on shared storage.
 """
 
