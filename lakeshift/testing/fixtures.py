@@ -179,40 +179,42 @@ class Fixtures:
     # -- incremental batch -------------------------------------------------
     @cached_property
     def payments_inc(self) -> DataFrame:
-        raw = self.payments_raw
+        """Three change variants of payments, produced in one pass over the
+        source: each row emits every variant whose condition it meets (as a
+        UNION ALL would), via ``explode`` of the matching structs."""
         k = F.col("source_record_id")
         cols = S.columns(S.PAYMENTS)
 
-        def variant(**overrides):
-            return [overrides.get(c, F.col(c)).alias(c) for c in cols]
+        def variant(cond, **overrides):
+            return F.when(cond, F.struct(*[overrides.get(c, F.col(c)).alias(c) for c in cols]))
 
-        amended = raw.filter(k % 20 == 5).select(
-            *variant(
-                source_record_id=k + 10_000_000,
-                payment_amount=(F.col("payment_amount") + 10).cast(S.MONEY),
-                updated_at=plus_days("updated_at", F.when(k % 40 == 25, F.lit(-30)).otherwise(F.lit(30))),
-                source_batch_id=F.lit(INC_BATCH),
-            )
+        amended = variant(
+            k % 20 == 5,
+            source_record_id=k + 10_000_000,
+            payment_amount=(F.col("payment_amount") + 10).cast(S.MONEY),
+            updated_at=plus_days("updated_at", F.when(k % 40 == 25, F.lit(-30)).otherwise(F.lit(30))),
+            source_batch_id=F.lit(INC_BATCH),
         )
-        fresh = raw.filter(k % 100 == 50).select(
-            *variant(
-                source_record_id=k + 20_000_000,
-                payment_id=F.when(k % 1000 == 350, F.lit(None).cast("string")).otherwise(padded_id("pay_", k + 20_000_000, 10)),
-                merchant_id=F.when(k % 200 == 150, F.lit("mrc_new"))
-                .when(k % 400 == 250, F.lit("mrc_missing"))
-                .otherwise(F.col("merchant_id")),
-                source_batch_id=F.lit(INC_BATCH),
-            )
+        fresh = variant(
+            k % 100 == 50,
+            source_record_id=k + 20_000_000,
+            payment_id=F.when(k % 1000 == 350, F.lit(None).cast("string")).otherwise(padded_id("pay_", k + 20_000_000, 10)),
+            merchant_id=F.when(k % 200 == 150, F.lit("mrc_new")).when(k % 400 == 250, F.lit("mrc_missing")).otherwise(F.col("merchant_id")),
+            source_batch_id=F.lit(INC_BATCH),
         )
-        in_batch_newer = raw.filter(k % 200 == 45).select(
-            *variant(
-                source_record_id=k + 30_000_000,
-                payment_amount=(F.col("payment_amount") + 20).cast(S.MONEY),
-                updated_at=plus_days("updated_at", 60),
-                source_batch_id=F.lit(INC_BATCH),
-            )
+        in_batch_newer = variant(
+            k % 200 == 45,
+            source_record_id=k + 30_000_000,
+            payment_amount=(F.col("payment_amount") + 20).cast(S.MONEY),
+            updated_at=plus_days("updated_at", 60),
+            source_batch_id=F.lit(INC_BATCH),
+        )
+        candidates = self.payments_raw.filter((k % 20 == 5) | (k % 100 == 50))  # k % 200 == 45 implies k % 20 == 5
+        return (
+            candidates.select(F.explode(F.array(amended, fresh, in_batch_newer)).alias("v"))
+            .filter(F.col("v").isNotNull())
+            .select("v.*")
         )
-        return amended.unionByName(fresh).unionByName(in_batch_newer)
 
     @cached_property
     def merchants_inc(self) -> DataFrame:
