@@ -210,3 +210,18 @@ def test_upsert_replace_matches_model(spark, base_rows, change_rows):
             latest[k] = (k, u, v)
     expected = sorted([(k, u, -1) for k, u in base_rows if k not in latest] + list(latest.values()))
     assert got == expected  # the change wins even when older than the base row
+
+
+@SETTINGS
+@given(st.lists(st.integers(0, 5000), unique=True, max_size=40), st.integers(1, 700))
+def test_batch_manifest_matches_model(spark, keys, size):
+    from lakeshift.sinks.manifest import batch_manifest
+
+    df = spark.createDataFrame([(k,) for k in keys], "source_record_id long")
+    got = {r["batch_id"]: (r["record_count"], r["last_source_key"]) for r in batch_manifest(df, "payments", "source_record_id", size).collect()}
+    model = {}
+    for k in keys:
+        b = f"payments-{k // size + 1:05d}"
+        n, last = model.get(b, (0, -1))
+        model[b] = (n + 1, max(last, k))
+    assert got == {b: (n, str(last)) for b, (n, last) in model.items()}
