@@ -225,3 +225,21 @@ def test_batch_manifest_matches_model(spark, keys, size):
         n, last = model.get(b, (0, -1))
         model[b] = (n + 1, max(last, k))
     assert got == {b: (n, str(last)) for b, (n, last) in model.items()}
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 50), st.one_of(st.none(), st.integers(0, 5))), max_size=25))
+def test_latest_watermark_matches_model(spark, rows):
+    from datetime import datetime, timedelta
+
+    from lakeshift.sources.incremental import latest_watermark
+
+    t0 = datetime(2024, 1, 1)
+    data = [(k, None if d is None else t0 + timedelta(days=d)) for k, d in rows]
+    mark = latest_watermark(spark.createDataFrame(data, "k long, updated_at timestamp_ntz"), "k", "t").collect()[0]
+    timed = [(ts, k) for k, ts in data if ts is not None]
+    if not timed:
+        assert mark["updated_at"] is None and mark["source_key"] is None
+    else:
+        ts, k = max(timed)
+        assert (mark["updated_at"], mark["source_key"]) == (ts, str(k))
