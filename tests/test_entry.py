@@ -21,5 +21,10 @@ def test_entry_flagship_schema_is_stable(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
-    assert len(entry.queries()) == 55
+    from lakeshift.queries import QUERIES
+    from lakeshift.testing.oracle import QUERIES as SQL
+
+    assert set(QUERIES) == set(SQL)
+    assert len(QUERIES) == 55
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
