@@ -2,9 +2,30 @@
 
 from __future__ import annotations
 
+from lakeshift.llm import license_scan, url_automaton, warc_bundle
 from lakeshift.llm.bpe import op9_bpe_roundtrip
+from lakeshift.llm.decision_list import op4_quality_rules
+from lakeshift.llm.license_scan import op2_license_scan
 from lakeshift.llm.packing import op10_nnls_packing
+from lakeshift.llm.quote_linking import op7_quote_linking
+from lakeshift.llm.url_automaton import op8_url_filter
+from lakeshift.llm.warc_bundle import op5_warc_bundles
 
-QUERIES = {f.__name__: f for f in (op9_bpe_roundtrip, op10_nnls_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_license_scan,
+        op4_quality_rules,
+        op5_warc_bundles,
+        op7_quote_linking,
+        op8_url_filter,
+        op9_bpe_roundtrip,
+        op10_nnls_packing,
+    )
+}
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op2_license_scan": license_scan.ORACLE,
+    "op5_warc_bundles": warc_bundle.ORACLE,
+    "op8_url_filter": url_automaton.ORACLE,
+}
