@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lakeshift.llm import license_scan, url_automaton, warc_bundle
+from lakeshift.llm.bottom_k import op6_bottomk_dedup
 from lakeshift.llm.bpe import op9_bpe_roundtrip
 from lakeshift.llm.decision_list import op4_quality_rules
 from lakeshift.llm.license_scan import op2_license_scan
@@ -17,6 +18,7 @@ QUERIES = {
         op2_license_scan,
         op4_quality_rules,
         op5_warc_bundles,
+        op6_bottomk_dedup,
         op7_quote_linking,
         op8_url_filter,
         op9_bpe_roundtrip,
