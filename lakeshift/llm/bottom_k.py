@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import Stage, slices, table, words_of
+from lakeshift.llm.common import Stage, free_names, slices, table, words_of
 from lakeshift.llm.components import components
 
 #: Lists up to this length give all their pairs; longer ones go by their central class and in blocks.
@@ -220,8 +220,9 @@ def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group of near-duplicates, with its columns as they are."""
     stage = Stage(docs.sparkSession, "keep_first")
     judged = stage.write(near_duplicates(docs, width, percent), "judged")
-    dropped = judged.where(~F.col("kept")).select(F.col("doc_id").alias("its_id"), F.col("key").alias("its_key")).distinct()
-    out = docs.join(dropped, (F.col("doc_id") == F.col("its_id")) & (F.xxhash64("text") == F.col("its_key")), "left_anti")
+    its_id, its_key = free_names(["its_id", "its_key"], docs.columns)
+    dropped = judged.where(~F.col("kept")).select(F.col("doc_id").alias(its_id), F.col("key").alias(its_key)).distinct()
+    out = docs.join(dropped, (F.col("doc_id") == F.col(its_id)) & (F.xxhash64("text") == F.col(its_key)), "left_anti")
     again = judged.where("kept and doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     again = stage.write(again, "again")
     if again.isEmpty():

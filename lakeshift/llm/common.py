@@ -54,6 +54,17 @@ class Stage:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_names(names: list[str], taken: list[str]) -> list[str]:
+    """The names, each lengthened until no column has it."""
+    lower, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in lower:
+            name += "_"
+        lower.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeshift.llm.common import slices, table
+from lakeshift.llm.common import free_names, slices, table
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -87,12 +87,7 @@ def measure(text: str | None) -> list[float]:
 
 def statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with a column per statistic; also the columns' names, which are free in ``docs``."""
-    names = {}
-    for name in [*BASE, *SHARES]:
-        own = name
-        while own in docs.columns:
-            own = f"{own}_"
-        names[name] = own
+    names = dict(zip([*BASE, *SHARES], free_names([*BASE, *SHARES], docs.columns), strict=True))
     schema = T.StructType([*docs.schema.fields, *(T.StructField(names[c], T.LongType()) for c in BASE), *(T.StructField(names[c], T.DoubleType()) for c in SHARES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,11 +224,8 @@ def judge(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> tuple[Dat
     """``docs`` with statistics, ``base_failed``, ``rule`` (the list's number or null) and ``kept``; and their names."""
     rules = fit(docs, labels, sample)
     out, names = statistics(docs)
-    for name in ("base_failed", "rule", "kept"):
-        own = name
-        while own in out.columns:
-            own = f"{own}_"
-        names[name] = own
+    added = ["base_failed", "rule", "kept"]
+    names |= dict(zip(added, free_names(added, out.columns), strict=True))
     out = out.withColumns({names["base_failed"]: base_failed(names), names["rule"]: verdict(rules, names)})
     return out.withColumn(names["kept"], ~F.col(names["base_failed"]) & F.col(names["rule"]).isNull()), names
 
