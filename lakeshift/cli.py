@@ -177,4 +177,7 @@ def main(argv: list[str] | None = None) -> int:
 
 
 if __name__ == "__main__":
-    sys.exit(main())
+    try:
+        sys.exit(main())
+    except jobs.CheckFailed as e:
+        sys.exit(str(e))

@@ -21,9 +21,14 @@ def plus_days(ts: str | Column, days: int | Column) -> Column:
     return col(ts) + F.make_dt_interval(days=n.cast("int"))
 
 
+def padded(number: Column, width: int) -> Column:
+    """Decimal text with leading zeros up to ``width``; longer numbers stay whole."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
 def padded_id(prefix: str, number: Column, width: int) -> Column:
-    """``prefix || lpad(number, width, '0')``."""
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+    return F.concat(F.lit(prefix), padded(number, width))
 
 
 def money(c: str | Column) -> Column:
@@ -40,11 +45,6 @@ def to_double(c: str | Column) -> Column:
     return col(c).cast("double")
 
 
-def with_date(df, ts: str, name: str):
-    """Derived business date."""
-    return df.withColumn(name, F.to_date(F.col(ts)))
-
-
 def ts_lit(value, data_type="timestamp_ntz") -> Column:
     """Timestamp literal from its wall-clock text, cast to ``data_type``.
 
@@ -55,7 +55,3 @@ def ts_lit(value, data_type="timestamp_ntz") -> Column:
     if isinstance(value, (datetime, date)):
         value = value.isoformat(sep=" ") if isinstance(value, datetime) else value.isoformat()
     return F.lit(value).cast(data_type)
-
-
-def typed_null(data_type: str) -> Column:
-    return F.lit(None).cast(data_type)

@@ -33,9 +33,8 @@ def _ordering(df: DataFrame, order: Sequence[str], tiebreak: bool) -> list[Colum
 def latest_by_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str] = DEFAULT_ORDER, tiebreak: bool = True) -> DataFrame:
     """Keep the newest row per key: order columns descending, NULLs last."""
     keys = [key] if isinstance(key, str) else list(key)
-    order = [c for c in order if c in df.columns]
-    window = Window.partitionBy(*keys).orderBy(*_ordering(df, order, tiebreak))
-    return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") == 1).drop("_rank")
+    newest_first = Window.partitionBy(*keys).orderBy(*_ordering(df, [c for c in order if c in df.columns], tiebreak))
+    return df.select("*", F.row_number().over(newest_first).alias("_place")).where("_place = 1").select(*df.columns)
 
 
 def flag_latest(
@@ -50,15 +49,24 @@ def flag_latest(
 
     Only rows matching ``eligible`` compete (others are flagged False), so a
     classified frame needs a single join instead of a split and a union.
-    ``id_col`` must be unique per row (an identity / surrogate column). A row
-    with a NULL key never wins (such rows are rejected before ranking).
+    ``id_col`` spreads a hot key over the partitions of the join back; it need
+    not be unique: versions of one id are told apart by a hash of the whole
+    row, and of rows alike in every column one wins. A row with a NULL key
+    never wins (such rows are rejected before ranking).
     """
-    competing = df if eligible is None else df.filter(eligible)
-    winners = latest_by_key(competing.select(key, *[c for c in dict.fromkeys([*order, id_col]) if c != key]), key, order, tiebreak=False).select(
-        F.col(key).alias("_w_key"), F.col(id_col).alias("_w_id"), F.lit(True).alias("_w_flag")
-    )
-    joined = df.join(winners, (df[key] == F.col("_w_key")) & (df[id_col] == F.col("_w_id")), "left")
-    return joined.withColumn(flag, F.coalesce(F.col("_w_flag"), F.lit(False))).drop("_w_key", "_w_id", "_w_flag")
+    hashed = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    own = df.withColumn("_row", F.xxhash64(*hashed))
+    competing = own if eligible is None else own.filter(eligible)
+    names = [c for c in dict.fromkeys([*order, id_col, "_row"]) if c != key]
+    by = [*[c for c in order if c in df.columns], id_col, "_row"]
+    winners = latest_by_key(competing.select(key, *names), key, list(dict.fromkeys(by)), tiebreak=False)
+    winners = winners.select(F.col(key).alias("_w_key"), F.col(id_col).alias("_w_id"), F.col("_row").alias("_w_row"), F.lit(True).alias("_w_flag"))
+    same = (own[key] == F.col("_w_key")) & own[id_col].eqNullSafe(F.col("_w_id")) & (own["_row"] == F.col("_w_row"))
+    joined = own.join(winners, same, "left")
+    # Grouped by the join's own keys: rows alike in every column.
+    alike = Window.partitionBy(key, id_col, "_row").orderBy(F.lit(1))
+    first = F.coalesce(F.col("_w_flag"), F.lit(False)) & (F.row_number().over(alike) == 1)
+    return joined.withColumn(flag, first).drop("_w_key", "_w_id", "_w_row", "_w_flag", "_row")
 
 
 def split_duplicates(df: DataFrame, key: str, order: Sequence[str] = DEFAULT_ORDER, id_col: str = "source_record_id") -> tuple[DataFrame, DataFrame]:

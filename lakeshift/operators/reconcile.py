@@ -101,13 +101,17 @@ def month_partitions(df: DataFrame, date_column: str) -> DataFrame:
 def top_merchants(daily: DataFrame, year: int, month: int, n: int = 10) -> DataFrame:
     """Top merchants by payments in one month (A12/L4); merchant id breaks ties.
 
-    Filters on the publication partition columns, so on a published table the
-    scan prunes to a single year/month directory.
+    On a published table the filter is on the partition columns, so the scan
+    prunes to a single year/month directory; elsewhere it is a range of dates,
+    which reaches the scan that the dates come from.
     """
-    if "partition_year" not in daily.columns:
-        daily = month_partitions(daily, "business_date")
+    if "partition_year" in daily.columns:
+        wanted = (F.col("partition_year") == year) & (F.col("partition_month") == month)
+    else:
+        first, after = F.make_date(F.lit(year), F.lit(month), F.lit(1)), F.make_date(F.lit(year + month // 12), F.lit(month % 12 + 1), F.lit(1))
+        wanted = (F.col("business_date") >= first) & (F.col("business_date") < after)
     return (
-        daily.filter((F.col("partition_year") == year) & (F.col("partition_month") == month))
+        daily.filter(wanted)
         .groupBy("merchant_id")
         .agg(F.sum("payment_count").alias("payment_count"))
         .orderBy(F.col("payment_count").desc(), F.col("merchant_id"))

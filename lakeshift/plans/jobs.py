@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshift import schema as S
+from lakeshift.functions.columns import ts_lit
 from lakeshift.operators import reconcile as R
 from lakeshift.operators.scd2 import scd2_changes, scd2_close, scd2_inserts, scd2_open
-from lakeshift.plans.audit import expectation_suite, migration_reconciliation, pipeline_metrics, source_expected_totals
+from lakeshift.plans.audit import expectation_suite, failure_metrics, migration_reconciliation, pipeline_metrics, source_expected_totals
 from lakeshift.operators.upsert import upsert_latest_parts
 from lakeshift.plans.gold import silver_to_gold
 from lakeshift.plans.merge import Merge, merge_merchants, validate_payment_changes, validate_settlement_changes
@@ -28,8 +29,8 @@ from lakeshift.operators.dedup import duplicate_keys, latest_by_key
 from lakeshift.operators.joins import fits_broadcast
 from lakeshift.plans.silver import Silver, accepted, bronze_to_silver, check_payments, classify_payments, classify_settlements
 from lakeshift.session import ensure_checkpoint_dir
-from lakeshift.sinks.files import write_bronze, write_dataset, write_report
-from lakeshift.sinks.manifest import bronze_manifest
+from lakeshift.sinks.files import write_bronze, write_dataset, write_listing, write_report
+from lakeshift.sinks.manifest import bronze_manifest, verify_files, verify_manifest
 from lakeshift.sources.files import path_exists, read_bronze, read_dataset
 from lakeshift.sources.incremental import STATE_COLUMNS, changes_since, latest_watermark
 
@@ -91,25 +92,43 @@ def extract_full(spark: SparkSession, sources: dict[str, DataFrame], bronze_root
         manifest = manifests[0]
         for m in manifests[1:]:
             manifest = manifest.unionByName(m)
-        write_report(manifest.withColumn("run_id", F.lit(run_id)), f"{out}/_manifest")
+        write_listing(manifest.withColumn("run_id", F.lit(run_id)), f"{out}/_manifest")
         # Rows counted while writing, per table: what verification compares against.
         write_report(spark.createDataFrame(written, "source_table string, written_rows long"), f"{out}/_written")
-        return spark.read.json(f"{out}/_manifest")
+        return read_manifest(spark, out)
     except Exception:
         spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit("FAILED").alias("status")).write.mode("overwrite").json(f"{out}/_manifest_failed")
         raise
 
 
-def verify_extract(spark: SparkSession, bronze_run: str) -> DataFrame:
-    """Manifest check (K4): per table, rows counted during the write must equal
-    the rows the manifest found in the landed files."""
-    from lakeshift.sinks.manifest import verify_manifest
+MANIFEST = "source_table string, batch_id string, record_count long, last_source_key string, sha256 string, status string, run_id string"
+STATE = "source_table string, updated_at timestamp_ntz, source_key string"
 
-    written = spark.read.json(f"{bronze_run}/_written").select("source_table", F.lit("*").alias("batch_id"), F.col("written_rows").alias("record_count"))
-    landed = spark.read.json(f"{bronze_run}/_manifest").groupBy("source_table").agg(F.sum("record_count").alias("record_count")).select(
-        "source_table", F.lit("*").alias("batch_id"), "record_count"
-    )
-    return verify_manifest(written, landed)
+
+class CheckFailed(RuntimeError):
+    """A data check of a job did not pass; its report says which."""
+
+
+def read_manifest(spark: SparkSession, run: str, more: str = "") -> DataFrame:
+    return spark.read.schema(MANIFEST + more).json(f"{run}/_manifest")
+
+
+def verify_extract(spark: SparkSession, bronze_run: str) -> DataFrame:
+    """Manifest check (K4): count and SHA-256 of every batch, read again from the
+    files, against the manifest; and per table, the rows counted during the
+    write (batch ``*``) against those in the manifest."""
+    recorded = read_manifest(spark, bronze_run)
+    written = spark.read.schema("source_table string, written_rows long").json(f"{bronze_run}/_written")
+    tables = [r["source_table"] for r in written.select("source_table").collect()]  # the entities
+    landed = [bronze_manifest(spark, f"{bronze_run}/{t}", t, S.ENTITIES[t]["extract_key"]) for t in tables]
+    files = landed[0]
+    for more in landed[1:]:
+        files = files.unionByName(more)
+    columns = ["source_table", "batch_id", "recorded_count", "landed_count", "status"]
+    per_batch = verify_files(recorded, files).select(*columns)
+    counted = recorded.groupBy("source_table").agg(F.sum("record_count").alias("record_count")).withColumn("batch_id", F.lit("*"))
+    totals = written.select("source_table", F.lit("*").alias("batch_id"), F.col("written_rows").alias("record_count"))
+    return per_batch.unionByName(verify_manifest(totals, counted).select(*columns))
 
 
 def initialize_state(spark: SparkSession, sources: dict[str, DataFrame], state_root: str) -> DataFrame:
@@ -124,11 +143,9 @@ def initialize_state(spark: SparkSession, sources: dict[str, DataFrame], state_r
 
 def read_state(spark: SparkSession, state_root: str) -> DataFrame:
     """Latest committed watermark state (highest ``version=`` directory)."""
-    versions = spark.read.json(state_root)
+    versions = spark.read.schema(STATE).json(state_root)
     latest = versions.agg(F.max("version")).scalar()
-    return versions.filter(F.col("version") == latest).select(
-        "source_table", F.col("updated_at").cast("timestamp_ntz").alias("updated_at"), F.col("source_key").cast("string").alias("source_key"), "version"
-    )
+    return versions.filter(F.col("version") == latest).select("source_table", "updated_at", "source_key", "version")
 
 
 def extract_incremental(
@@ -151,13 +168,12 @@ def extract_incremental(
         changes = changes_since(df, marks.get(table), cutoff, key)
         path = f"{out}/{table}"
         write_bronze(changes.select(*S.columns(S.ENTITIES[table]["schema"])), path, batch_size)
-        landed = read_bronze(spark, out, table)
         manifests.append(bronze_manifest(spark, path, table, key))
-        new_marks.append(latest_watermark(landed, key, table))
+        new_marks.append(latest_watermark(changes, key, table))  # of the source, not of its text
     manifest = manifests[0]
     for m in manifests[1:]:
         manifest = manifest.unionByName(m)
-    write_report(manifest.withColumn("run_id", F.lit(run_id)).withColumn("cutoff_at", F.lit(cutoff)), f"{out}/_manifest")
+    write_listing(manifest.withColumn("run_id", F.lit(run_id)).withColumn("cutoff_at", ts_lit(cutoff)), f"{out}/_manifest")
     from lakeshift.sources.incremental import advance_watermark
 
     merged = new_marks[0]
@@ -165,7 +181,7 @@ def extract_incremental(
         merged = merged.unionByName(m)
     advanced = advance_watermark(state.select(*STATE_COLUMNS), merged)
     write_report(advanced, f"{state_root.rstrip('/')}/version={version + 1}")
-    return spark.read.json(f"{out}/_manifest")
+    return read_manifest(spark, out, ", cutoff_at timestamp_ntz")
 
 
 # -- X1: Bronze -> Silver -----------------------------------------------------
@@ -389,7 +405,7 @@ def validate_job(spark: SparkSession, silver_run: str, gold_run: str, out_root:
     write_report(suite, f"{out}/_expectations")
     result = spark.read.json(f"{out}/_expectations")
     if result.filter(F.col("suite_status") != "PASSED").limit(1).count():
-        raise SystemExit("data-quality validation failed; see the report")
+        raise CheckFailed("data-quality validation failed; see the report")
     return result
 
 
@@ -402,7 +418,7 @@ def reconcile_job(spark: SparkSession, source_payments: DataFrame, source_mercha
     write_report(result, out_path)
     written = spark.read.json(out_path)
     if written.filter(F.col("status") != "PASSED").limit(1).count():
-        raise SystemExit("migration reconciliation failed; see the report")
+        raise CheckFailed("migration reconciliation failed; see the report")
     return written
 
 
@@ -416,12 +432,25 @@ def metrics_job(spark: SparkSession, quality_report: str, reconciliation_report:
 
 # -- X9: the full chain ---------------------------------------------------------
 def full_migration(spark: SparkSession, sources: dict[str, DataFrame], root: str, run_id: str, batch_size: int = 50_000) -> dict[str, DataFrame]:
-    """extract -> verify -> Silver -> Gold -> reconcile -> metrics, in order."""
+    """extract -> verify -> Silver -> Gold -> reconcile -> metrics, in order.
+
+    Whatever fails, the failure metric is written before the error goes on.
+    """
     root = root.rstrip("/")
+    try:
+        return _full_migration(spark, sources, root, run_id, batch_size)
+    except Exception:
+        failed = f"{root}/metrics/run_id={run_id}"
+        if not path_exists(spark, failed):
+            write_report(failure_metrics(spark).withColumn("pipeline", F.lit("migration")), failed)
+        raise
+
+
+def _full_migration(spark: SparkSession, sources: dict[str, DataFrame], root: str, run_id: str, batch_size: int) -> dict[str, DataFrame]:
     manifest = extract_full(spark, sources, f"{root}/bronze", run_id, batch_size)
     check = verify_extract(spark, run_dir(f"{root}/bronze", run_id))
     if check.filter(F.col("status") != "MATCHED").limit(1).count():
-        raise RuntimeError("manifest verification failed: " + str(check.filter(F.col("status") != "MATCHED").collect()))
+        raise CheckFailed("manifest verification failed: " + str(check.filter(F.col("status") != "MATCHED").take(20)))
     quality = bronze_to_silver_job(spark, run_dir(f"{root}/bronze", run_id), f"{root}/silver", f"{root}/quarantine", run_id)
     gold = silver_to_gold_job(spark, run_dir(f"{root}/silver", run_id), f"{root}/gold", run_id)
     recon_path = f"{root}/audit/gold_run_id={run_id}"

@@ -8,8 +8,10 @@ decimals are cast to double only at this boundary.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +28,10 @@ from lakeshift.plans import audit as AU
 from lakeshift.plans import merge as MG
 from lakeshift.sinks import manifest as MF
 from lakeshift.sources import incremental as INC
-from lakeshift.plans.gold import Gold, silver_to_gold
-from lakeshift.plans.silver import Silver, bronze_to_silver
+from lakeshift.operators.upsert import upsert_latest
+from lakeshift.plans.gold import Gold
+from lakeshift.plans.jobs import stage
+from lakeshift.plans.silver import Silver, bronze_to_silver, classify_payments, classify_settlements
 from lakeshift.testing.fixtures import Fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,11 +48,12 @@ def finish(df: DataFrame) -> DataFrame:
 
 
 class Context:
-    """Lazily built pipeline stages over one scale factor.
+    """Pipeline stages over one scale factor, each evaluated once.
 
     ``Context(spark, sf_dir)`` returns one shared instance per (session,
-    directory): DataFrames are immutable plans, so queries can share the
-    Silver/Gold stages instead of re-analysing them.
+    directory). What several queries read (classified payments and settlements,
+    the reconciliation, the merged tables) is written to the shared folder when
+    the first of them asks for it, as the jobs do, and read back.
     """
 
     _instances: dict = {}
@@ -64,23 +69,40 @@ class Context:
 
     def _init(self, spark: SparkSession, sf_dir: str):
         self.fx = Fixtures.of(spark, sf_dir)
-        self._silver: Silver | None = None
-        self._gold: Gold | None = None
-        self._merge = None
+        self._key = f"queries-{uuid.uuid4().hex}"
 
-    @property
-    def silver(self) -> Silver:
-        if self._silver is None:
-            fx = self.fx
-            self._silver = bronze_to_silver(fx.merchants_raw, fx.customers_raw, fx.payments_raw, fx.settlements_raw)
-        return self._silver
+    def staged(self, df: DataFrame, name: str) -> DataFrame:
+        return stage(self.fx.spark, df, self._key, name)
 
-    @property
+    @cached_property
+    def silver(self) -> Silver:
+        fx = self.fx
+        lazy = bronze_to_silver(fx.merchants_raw, fx.customers_raw, fx.payments_raw, fx.settlements_raw)
+        merchants = self.staged(lazy.merchants_valid, "merchants_valid")  # its measured size decides the existence join
+        flagged = self.staged(classify_payments(fx.payments_raw, merchants), "payments_flagged")
+        payments = flagged.filter(F.col("rejection_reason").isNull()).select(*S.columns(S.PAYMENTS))
+        checked = self.staged(classify_settlements(fx.settlements_raw, payments), "settlements_checked")
+        return Silver(merchants, lazy.merchants_invalid, lazy.customers_valid, lazy.customers_invalid, flagged, checked)
+
+    @cached_property
     def gold(self) -> Gold:
-        if self._gold is None:
-            s = self.silver
-            self._gold = silver_to_gold(s.merchants_valid, s.payments_silver, s.settlements_valid)
-        return self._gold
+        s = self.silver
+        recon = self.staged(R.reconcile(s.payments_silver, s.settlements_valid), "payment_reconciliation")
+        return Gold(recon, R.merchant_daily_metrics(recon), H.scd2_init(s.merchants_valid), R.reconciliation_summary(recon, None, None))
+
+    @cached_property
+    def merge(self) -> MG.Merge:
+        """The increment merged table by table: what validates the next one is written first."""
+        s, fx = self.silver, self.fx
+        merchants, rejected = MG.merge_merchants(s.merchants_valid, fx.merchants_inc)
+        merchants = self.staged(merchants, "merchants_merged")
+        flagged = self.staged(MG.validate_payment_changes(fx.payments_inc, merchants), "payments_inc_flagged")
+        current = flagged.filter(F.col("rejection_reason").isNull()).select(*S.columns(S.PAYMENTS))
+        payments = self.staged(upsert_latest(s.payments_valid, current, "payment_id", base_unique=True), "payments_merged")
+        checked = self.staged(MG.validate_settlement_changes(fx.settlements_inc, payments), "settlements_inc_checked")
+        candidates = checked.filter(F.col("rejection_reason").isNull()).select(*S.columns(S.SETTLEMENTS))
+        settlements = self.staged(D.latest_by_key(s.settlements_valid.select(*S.columns(S.SETTLEMENTS)).unionByName(candidates), "settlement_id"), "settlements_merged")
+        return MG.Merge(fx.merchants_inc, fx.payments_inc, fx.settlements_inc, merchants, s.customers_valid, flagged, payments, checked, settlements, rejected)
 
 
 # -- Silver ---------------------------------------------------------------
@@ -268,15 +290,6 @@ def quality_report(spark, sf_dir):
 
 
 # -- Incremental merge ----------------------------------------------------
-def _merge(ctx: Context):
-    if ctx._merge is None:
-        s, fx = ctx.silver, ctx.fx
-        ctx._merge = MG.merge_increment(
-            s.merchants_valid, s.customers_valid, s.payments_valid, s.settlements_valid, fx.merchants_inc, fx.payments_inc, fx.settlements_inc
-        )
-    return ctx._merge
-
-
 @query
 def latest_by_key(spark, sf_dir):
     fx = Fixtures.of(spark, sf_dir)
@@ -285,37 +298,37 @@ def latest_by_key(spark, sf_dir):
 
 @query
 def merchants_merged(spark, sf_dir):
-    return _merge(Context(spark, sf_dir)).merchants_merged
+    return Context(spark, sf_dir).merge.merchants_merged
 
 
 @query
 def customers_merged(spark, sf_dir):
-    return _merge(Context(spark, sf_dir)).customers_merged
+    return Context(spark, sf_dir).merge.customers_merged
 
 
 @query
 def payments_merged(spark, sf_dir):
-    return finish(_merge(Context(spark, sf_dir)).payments_merged.withColumn("payment_date", F.to_date("payment_timestamp")))
+    return finish(Context(spark, sf_dir).merge.payments_merged.withColumn("payment_date", F.to_date("payment_timestamp")))
 
 
 @query
 def settlements_merged(spark, sf_dir):
-    return finish(_merge(Context(spark, sf_dir)).settlements_merged.withColumn("settlement_date", F.to_date("settlement_timestamp")))
+    return finish(Context(spark, sf_dir).merge.settlements_merged.withColumn("settlement_date", F.to_date("settlement_timestamp")))
 
 
 @query
 def incremental_payment_rejections(spark, sf_dir):
-    return _merge(Context(spark, sf_dir)).payments_flagged.select("source_record_id", "payment_id", "merchant_id", "rejection_reason")
+    return Context(spark, sf_dir).merge.payments_flagged.select("source_record_id", "payment_id", "merchant_id", "rejection_reason")
 
 
 @query
 def incremental_settlement_rejections(spark, sf_dir):
-    return _merge(Context(spark, sf_dir)).settlements_checked.select("source_record_id", "settlement_id", "payment_id", "rejection_reason")
+    return Context(spark, sf_dir).merge.settlements_checked.select("source_record_id", "settlement_id", "payment_id", "rejection_reason")
 
 
 @query
 def merge_report(spark, sf_dir):
-    return _merge(Context(spark, sf_dir)).report()
+    return Context(spark, sf_dir).merge.report()
 
 
 # -- Gold extras ----------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -23,7 +24,8 @@ def build_session(master: str | None = None, app: str = "lakeshift", shuffle_par
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = dict(DEFAULT_CONF)
+    submitted = SparkConf()  # what spark-submit and spark-defaults set
+    settings = {k: v for k, v in DEFAULT_CONF.items() if not submitted.contains(k)}
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
@@ -31,7 +33,6 @@ def build_session(master: str | None = None, app: str = "lakeshift", shuffle_par
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -48,7 +49,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="lakeshift-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)

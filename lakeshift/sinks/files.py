@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lakeshift.sources.files import CSV_OPTIONS
+from lakeshift.sources.files import CSV_OPTIONS, EXACT_TIMES
 
 
 def write_bronze(df: DataFrame, path: str, batch_size: int = 50_000, mode: str = "errorifexists") -> int:
@@ -17,7 +17,7 @@ def write_bronze(df: DataFrame, path: str, batch_size: int = 50_000, mode: str =
     """
     opts = {k: v for k, v in CSV_OPTIONS.items() if k in ("header", "escape")}
     # Keep whitespace-only values verbatim (the writer trims by default).
-    opts.update(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+    opts.update(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", **EXACT_TIMES)
     obs = Observation("bronze_write")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).options(**opts).option("maxRecordsPerFile", batch_size).csv(path)
     return int(obs.get["rows"])
@@ -53,7 +53,12 @@ def write_dataset(
 
 def write_report(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """JSON report of an already-aggregated (small) DataFrame, one file."""
-    df.coalesce(1).write.mode(mode).json(path)
+    df.coalesce(1).write.mode(mode).options(ignoreNullFields="false", **EXACT_TIMES).json(path)
+
+
+def write_listing(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """JSON of a DataFrame that grows with the data, such as a manifest: one file per task."""
+    df.write.mode(mode).options(ignoreNullFields="false", **EXACT_TIMES).json(path)
 
 
 def write_quarantine(df: DataFrame, path: str, as_of=None, mode: str = "errorifexists") -> None:
@@ -61,7 +66,3 @@ def write_quarantine(df: DataFrame, path: str, as_of=None, mode: str = "errorife
     if as_of is not None and "quarantined_at" not in df.columns:
         df = df.withColumn("quarantined_at", F.lit(as_of).cast("timestamp"))
     write_dataset(df, path, ["source_table", "rejection_reason"], mode)
-
-
-def read_report(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.json(path)

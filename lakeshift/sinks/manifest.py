@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NULL_TOKEN = "\\N"
+from lakeshift.functions.columns import padded_id
 
 
 def batch_number(df: DataFrame, key: str, batch_size: int, buckets: int | None = None) -> Column:
@@ -25,7 +25,7 @@ def batch_number(df: DataFrame, key: str, batch_size: int, buckets: int | None =
 
 
 def batch_id(table: str, number: Column) -> Column:
-    return F.concat(F.lit(f"{table}-"), F.lpad(number.cast("string"), 5, "0"))
+    return padded_id(f"{table}-", number, 5)
 
 
 def assign_batches(df: DataFrame, table: str, key: str, batch_size: int, buckets: int | None = None) -> DataFrame:
@@ -42,9 +42,14 @@ def batch_manifest(df: DataFrame, table: str, key: str, batch_size: int, buckets
 
 
 def canonical_row(df: DataFrame, columns: list[str] | None = None) -> Column:
-    """Stable text form of a row: values cast to string, NULL as ``\\N``, ``|``-joined."""
-    cols = columns or df.columns
-    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_TOKEN)) for c in cols])
+    """Text form of a row that no other row shares: each value as its length,
+    a colon and its text, and a NULL as ``-``."""
+
+    def marked(c: str) -> Column:
+        text = F.col(c).cast("string")
+        return F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text))
+
+    return F.concat(*[marked(c) for c in columns or df.columns])
 
 
 def row_digest(df: DataFrame, columns: list[str] | None = None) -> Column:
@@ -90,6 +95,23 @@ def verify_manifest(recorded: DataFrame, landed: DataFrame) -> DataFrame:
     return j.withColumn("status", status)
 
 
+def verify_files(recorded: DataFrame, landed: DataFrame) -> DataFrame:
+    """Compare recorded batches ``(source_table, batch_id, record_count, sha256)``
+    with the same, recomputed from the files that are there now (K4): garbage,
+    missing and added files each show."""
+    keys = ["source_table", "batch_id"]
+    r = recorded.select(*keys, F.col("record_count").alias("recorded_count"), F.col("sha256").alias("recorded_sha256"))
+    lnd = landed.select(*keys, F.col("record_count").alias("landed_count"), F.col("sha256").alias("landed_sha256"))
+    status = (
+        F.when(F.col("landed_sha256").isNull(), "MISSING_BATCH")
+        .when(F.col("recorded_sha256").isNull(), "UNEXPECTED_BATCH")
+        .when(F.col("recorded_sha256") != F.col("landed_sha256"), "DIGEST_MISMATCH")
+        .when(F.col("recorded_count") != F.col("landed_count"), "COUNT_MISMATCH")
+        .otherwise("MATCHED")
+    )
+    return r.join(lnd, keys, "full_outer").withColumn("status", status)
+
+
 def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
@@ -101,13 +123,21 @@ def bronze_manifest(spark, path: str, table: str, key: str, schema=None) -> Data
     from lakeshift import schema as S
 
     schema = schema or S.ENTITIES[table]["schema"]
+    # Counting must not fail on a file that verification is to find damaged.
+    options = CSV_OPTIONS | {"mode": "PERMISSIVE", "enforceSchema": "true"}
     rows = (
-        spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+        spark.read.options(**options).schema(schema).csv(path)
         .select(file_name(F.col("_metadata.file_path")).alias("batch_id"), F.col(key))
         .groupBy("batch_id")
         .agg(F.count(F.lit(1)).alias("record_count"), F.max(key).cast("string").alias("last_source_key"))
     )
     sums = file_checksums(spark, path, "*.csv").select(file_name(F.col("path")).alias("batch_id"), "sha256")
-    return rows.join(sums, "batch_id", "left").select(
-        F.lit(table).alias("source_table"), "batch_id", "record_count", "last_source_key", "sha256", F.lit("COMPLETED").alias("status")
+    # A file without rows is a batch too: an empty table has one.
+    return sums.join(rows, "batch_id", "left").select(
+        F.lit(table).alias("source_table"),
+        "batch_id",
+        F.coalesce("record_count", F.lit(0).cast("long")).alias("record_count"),
+        "last_source_key",
+        "sha256",
+        F.lit("COMPLETED").alias("status"),
     )

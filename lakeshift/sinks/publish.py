@@ -60,7 +60,9 @@ def compact(
 
 
 def parquet_files(spark: SparkSession, path: str) -> int:
-    return len(spark.read.parquet(path).inputFiles())
+    """How many Parquet files a folder holds; the listing stays on the executors."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    return files.select("path").count()
 
 
 def publish(spark: SparkSession, datasets: list[Dataset], root: str, max_records_per_file: int | None = None) -> DataFrame:
@@ -76,7 +78,7 @@ def publish(spark: SparkSession, datasets: list[Dataset], root: str, max_records
         target = f"{root.rstrip('/')}/{d.target}"
         df = spark.read.parquet(d.source)
         n = compact(df, target, d.date_column, d.category_column, max_records_per_file)
-        rows.append((d.target, n, len(df.inputFiles()), parquet_files(spark, target)))
+        rows.append((d.target, n, parquet_files(spark, d.source), parquet_files(spark, target)))
     report = spark.createDataFrame(rows, "dataset string, records long, input_parquet_files long, output_parquet_files long")
     report.coalesce(1).write.mode("errorifexists").json(f"{root.rstrip('/')}/_publication_report")
     return report
@@ -105,17 +107,23 @@ def plan_publication(spark: SparkSession, source: str, source_root: str, prefix:
     """
     root = source_root.rstrip("/")
     base = root.rsplit("/", 1)[-1]
+    full = _qualified(spark, root)
+    if not f"{_qualified(spark, source)}/".startswith(f"{full}/"):
+        raise ValueError(f"{source} is not below {source_root}")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source).select("path", "length")
-    rel = F.regexp_extract(F.col("path"), "^(?:file:)?/*" + _escape(root.lstrip("/")) + "/(.*)$", 1)
+    bare = lambda c: F.regexp_replace(c, "^([a-zA-Z0-9]+:)/+", "$1/")  # noqa: E731  file:/x and file:///x are one place
+    below = F.regexp_replace(F.lit(full), "^([a-zA-Z0-9]+:)/+", "$1/")
+    inside = F.startswith(bare(F.col("path")), F.concat(below, F.lit("/")))
+    rel = F.when(inside, F.substring(bare(F.col("path")), F.length(below) + 2, F.length("path"))).otherwise(F.raise_error(F.concat(F.col("path"), F.lit(" is outside the root"))))
     if base == "published":
         rel = F.concat(F.lit("published/"), rel)
     return files.select("path", "length", F.concat(F.lit(prefix.strip("/") + "/"), rel).alias("object_key"))
 
 
-def _escape(text: str) -> str:
-    import re
-
-    return re.escape(text)
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system's scheme and authority."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString().rstrip("/")
 
 
 def publication_bundle(silver_run: str, gold_run: str, scd2_run: str) -> list[Dataset]:

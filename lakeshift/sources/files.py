@@ -8,7 +8,11 @@ from pyspark.sql import types as T
 from lakeshift import schema as S
 
 # Python's csv module dialect: doubled quotes, embedded newlines legal.
-CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true", "mode": "FAILFAST"}
+# A header that differs from the schema is an error, not a silent swap of columns.
+CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true", "mode": "FAILFAST", "enforceSchema": "false"}
+
+#: Writers cut timestamps to milliseconds unless told otherwise; readers take any fraction.
+EXACT_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -27,7 +27,7 @@ def changes_since(df: DataFrame, watermark: tuple | None, cutoff, key: str, ts:
     ``updated_at <= cutoff AND (updated_at > w OR (updated_at = w AND key > k))``.
     A NULL watermark takes everything up to the cutoff (Q11: a table empty at
     initialisation is not skipped forever). Rows with a NULL timestamp are
-    never selected; ``null_timestamp_rows`` reports them.
+    never selected.
     """
     pred = F.col(ts) <= _ts_lit(df, ts, cutoff)
     if watermark is not None and watermark[0] is not None:
@@ -37,10 +37,6 @@ def changes_since(df: DataFrame, watermark: tuple | None, cutoff, key: str, ts:
     return df.filter(pred)
 
 
-def null_timestamp_rows(df: DataFrame, ts: str = "updated_at") -> DataFrame:
-    return df.filter(F.col(ts).isNull())
-
-
 def latest_watermark(df: DataFrame, key: str, table: str, ts: str = "updated_at") -> DataFrame:
     """Lexicographic max ``(updated_at, key)`` over rows with a timestamp (S3).
 
@@ -51,14 +47,17 @@ def latest_watermark(df: DataFrame, key: str, table: str, ts: str = "updated_at"
 
 
 def advance_watermark(old: DataFrame, new_marks: DataFrame) -> DataFrame:
-    """Per table: the last extracted row's mark, else the previous one."""
+    """Per table: the last extracted row's mark, else the previous one.
+
+    A table that only one side knows keeps the mark it has.
+    """
     n = new_marks.select(
         F.col("source_table").alias("_t"), F.col("updated_at").alias("_new_ts"), F.col("source_key").alias("_new_key"), *[c for c in new_marks.columns if c not in STATE_COLUMNS]
     )
-    joined = old.join(n, old.source_table == n._t, "left")
+    joined = old.join(n, old.source_table == n._t, "full_outer")
     moved = F.col("_new_ts").isNotNull()
     return joined.select(
-        "source_table",
+        F.coalesce("source_table", "_t").alias("source_table"),
         F.when(moved, F.col("_new_ts")).otherwise(F.col("updated_at")).alias("updated_at"),
         F.when(moved, F.col("_new_key")).otherwise(F.col("source_key")).alias("source_key"),
         *[c for c in new_marks.columns if c not in STATE_COLUMNS],

@@ -21,7 +21,7 @@ CUS_COLS = "customer_id, customer_name, email, city, state, created_at, updated_
 
 
 def _pad(prefix: str, expr: str, width: int) -> str:
-    return f"'{prefix}' || lpad(CAST({expr} AS VARCHAR), {width}, '0')"
+    return f"'{prefix}' || lpad(CAST({expr} AS VARCHAR), CAST(greatest(length(CAST({expr} AS VARCHAR)), {width}) AS INTEGER), '0')"
 
 
 def _days(expr: str) -> str:
@@ -445,7 +445,7 @@ def reg(name: str, body: str) -> None:
 
 
 def _batch(col: str = "source_record_id") -> str:
-    return f"'payments-' || lpad(CAST({col} // 1000 + 1 AS VARCHAR), 5, '0')"
+    return f"'payments-' || lpad(CAST({col} // 1000 + 1 AS VARCHAR), CAST(greatest(length(CAST({col} // 1000 + 1 AS VARCHAR)), 5) AS INTEGER), '0')"
 
 
 def _changes(table: str, key: str, ts: str, k: str) -> str:
@@ -496,8 +496,8 @@ reg(
     f"SELECT 'payments' AS source_table, {_batch()} AS batch_id, count(*) AS record_count, "
     "CAST(max(source_record_id) AS VARCHAR) AS last_source_key, 'COMPLETED' AS status FROM payments_raw GROUP BY 2",
 )
-_canon = ", ".join(f"COALESCE(CAST({c.strip()} AS VARCHAR), '\\N')" for c in PAY_COLS.split(","))
-reg("row_digest", f"SELECT source_record_id, sha256(concat_ws('|', {_canon})) AS row_digest FROM payments_raw")
+_canon = " || ".join(f"COALESCE(length(CAST({c.strip()} AS VARCHAR)) || ':' || CAST({c.strip()} AS VARCHAR), '-')" for c in PAY_COLS.split(","))
+reg("row_digest", f"SELECT source_record_id, sha256({_canon}) AS row_digest FROM payments_raw")
 reg(
     "verify_manifest",
     f"""SELECT COALESCE(r.source_table, l.source_table) AS source_table, COALESCE(r.batch_id, l.batch_id) AS batch_id,
