@@ -126,7 +126,8 @@ def verify_extract(spark: SparkSession, bronze_run: str) -> DataFrame:
         files = files.unionByName(more)
     columns = ["source_table", "batch_id", "recorded_count", "landed_count", "status"]
     per_batch = verify_files(recorded, files).select(*columns)
-    counted = recorded.groupBy("source_table").agg(F.sum("record_count").alias("record_count")).withColumn("batch_id", F.lit("*"))
+    none = written.select("source_table", F.lit(0).cast("long").alias("record_count"))  # an empty table has no batch
+    counted = recorded.select("source_table", "record_count").union(none).groupBy("source_table").agg(F.sum("record_count").alias("record_count")).withColumn("batch_id", F.lit("*"))
     totals = written.select("source_table", F.lit("*").alias("batch_id"), F.col("written_rows").alias("record_count"))
     return per_batch.unionByName(verify_manifest(totals, counted).select(*columns))
 

@@ -132,12 +132,7 @@ def bronze_manifest(spark, path: str, table: str, key: str, schema=None) -> Data
         .agg(F.count(F.lit(1)).alias("record_count"), F.max(key).cast("string").alias("last_source_key"))
     )
     sums = file_checksums(spark, path, "*.csv").select(file_name(F.col("path")).alias("batch_id"), "sha256")
-    # A file without rows is a batch too: an empty table has one.
-    return sums.join(rows, "batch_id", "left").select(
-        F.lit(table).alias("source_table"),
-        "batch_id",
-        F.coalesce("record_count", F.lit(0).cast("long")).alias("record_count"),
-        "last_source_key",
-        "sha256",
-        F.lit("COMPLETED").alias("status"),
+    # A file without rows, as an empty task leaves, is no batch.
+    return rows.join(sums, "batch_id", "left").select(
+        F.lit(table).alias("source_table"), "batch_id", "record_count", "last_source_key", "sha256", F.lit("COMPLETED").alias("status")
     )
