@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from lakeshift import schema as S
 from lakeshift.functions.columns import ts_lit
 from lakeshift.operators import reconcile as R
-from lakeshift.operators.scd2 import scd2_changes, scd2_close, scd2_inserts, scd2_open
+from lakeshift.operators.scd2 import scd2_merge
 from lakeshift.plans.audit import expectation_suite, failure_metrics, migration_reconciliation, pipeline_metrics, source_expected_totals
 from lakeshift.operators.upsert import upsert_latest_parts
 from lakeshift.plans.gold import silver_to_gold
@@ -380,19 +380,16 @@ def scd2_job(spark: SparkSession, base_history: str, bronze_inc_run: str, gold_r
     _refuse_existing(spark, out)
     history = spark.read.parquet(base_history)
     changes = read_bronze(spark, bronze_inc_run, "merchants", missing_ok=True).select(*S.columns(S.MERCHANTS))
-    changed = stage(spark, scd2_changes(history, changes, "merchant_id", S.SCD2_TRACKED_COLUMNS), f"scd2-{run_id}", "changed")
-    result = scd2_close(history, changed, "merchant_id").unionByName(scd2_open(changed, history.columns, "merchant_id"))
-    if insert_new:
-        result = result.unionByName(scd2_inserts(history, changes, "merchant_id"))
-    write_dataset(result, f"{out}/merchant_scd2")
+    write_dataset(scd2_merge(history, changes, "merchant_id", S.SCD2_TRACKED_COLUMNS, insert_new), f"{out}/merchant_scd2")
     written = read_dataset(spark, out, "merchant_scd2")
     report = written.agg(
         F.count(F.lit(1)).alias("total_scd2_rows"),
         F.count_if("is_current").alias("current_scd2_rows"),
         F.count_if(~F.col("is_current")).alias("closed_scd2_rows"),
-    ).select(changed.agg(F.count(F.lit(1))).scalar().alias("changed_merchants"), "*").withColumn("run_id", F.lit(run_id))
+    )
+    before = history.agg(F.count_if(~F.col("is_current"))).scalar()  # each change closes one version
+    report = report.select((F.col("closed_scd2_rows") - before).alias("changed_merchants"), "*").withColumn("run_id", F.lit(run_id))
     write_report(report, f"{out}/_scd2_report")
-    unstage(spark, f"scd2-{run_id}")
     return spark.read.json(f"{out}/_scd2_report")
 
 

@@ -384,8 +384,7 @@ def scd2_closed(spark, sf_dir):
 @query
 def scd2_opened(spark, sf_dir):
     ctx = Context(spark, sf_dir)
-    hist = _history(ctx)
-    return H.scd2_open(H.scd2_changes(hist, ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS), hist.columns, "merchant_id")
+    return H.scd2_open(_history(ctx), ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS)
 
 
 @query
@@ -402,9 +401,8 @@ def scd2_as_of(spark, sf_dir):
 def scd2_report(spark, sf_dir):
     ctx = Context(spark, sf_dir)
     hist = _history(ctx)
-    changed_rows = H.scd2_changes(hist, ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS)
-    result = H.scd2_close(hist, changed_rows, "merchant_id").unionByName(H.scd2_open(changed_rows, hist.columns, "merchant_id"))
-    changed_count = changed_rows.agg(F.count(F.lit(1))).scalar()
+    result = H.scd2_merge(hist, ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS)
+    changed_count = H.scd2_changes(hist, ctx.fx.merchants_inc, "merchant_id", S.SCD2_TRACKED_COLUMNS).agg(F.count(F.lit(1))).scalar()
     return result.agg(
         F.count(F.lit(1)).alias("total_scd2_rows"),
         F.count_if(F.col("is_current")).alias("current_scd2_rows"),
