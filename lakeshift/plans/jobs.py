@@ -185,6 +185,9 @@ def extract_incremental(
     return read_manifest(spark, out, ", cutoff_at timestamp_ntz")
 
 
+QUARANTINED = ["source_record_id", "rejection_reason"]
+
+
 # -- X1: Bronze -> Silver -----------------------------------------------------
 def bronze_to_silver_job(spark: SparkSession, bronze_run: str, silver_root: str, quarantine_root: str, run_id: str, as_of: datetime | None = None) -> DataFrame:
     silver_out, q_out = run_dir(silver_root, run_id), run_dir(quarantine_root, run_id)
@@ -218,6 +221,8 @@ def bronze_to_silver_job(spark: SparkSession, bronze_run: str, silver_root: str,
     write_dataset(silver.payments_invalid.withColumn("quarantined_at", ts), f"{q_out}/payments_invalid")
     write_dataset(silver.payments_duplicates.withColumn("quarantined_at", ts), f"{q_out}/payments_duplicates")
     write_dataset(silver.settlements_invalid.withColumn("quarantined_at", ts), f"{q_out}/settlements")
+    # Which source rows are not in Silver, and why: what a later merge accounts from.
+    write_dataset(flagged.filter(F.col("rejection_reason").isNotNull()).select(*QUARANTINED), f"{silver_out}/_quarantined_payments")
     report = silver.quality_report().withColumn("run_id", F.lit(run_id)).withColumn("status", F.lit("COMPLETED"))
     write_report(report, f"{silver_out}/_quality_report")
     unstage(spark, f"silver-{run_id}")
@@ -279,8 +284,10 @@ def merge_job(spark: SparkSession, base_silver_run: str, bronze_inc_run: str, si
     write_dataset(m.payments_rejected.drop("is_latest").withColumn("quarantined_at", ts), f"{q_out}/payments")
     write_dataset(m.settlements_rejected.withColumn("quarantined_at", ts), f"{q_out}/settlements")
     write_report(m.report().withColumn("run_id", F.lit(run_id)).withColumn("status", F.lit("COMPLETED")), f"{out}/_merge_report")
+    write_dataset(quarantined_payments(spark, base_silver_run, base["payments"], current, payments, payments_flagged), f"{out}/_quarantined_payments")
+    quarantined = read_dataset(spark, out, "_quarantined_payments")
     write_report(
-        cumulative_quality(spark, base_silver_run, written, base["payments"], current, payments_flagged, settlements_checked, merchants_rejected)
+        cumulative_quality(spark, base_silver_run, written, quarantined, settlements_checked, merchants_rejected)
         .withColumn("run_id", F.lit(run_id))
         .withColumn("status", F.lit("COMPLETED")),
         f"{out}/_quality_report",
@@ -289,23 +296,42 @@ def merge_job(spark: SparkSession, base_silver_run: str, bronze_inc_run: str, si
     return spark.read.json(f"{out}/_merge_report")
 
 
+def quarantined_payments(spark: SparkSession, base_run: str, base: DataFrame, current: DataFrame, merged: DataFrame, flagged: DataFrame) -> DataFrame:
+    """Source rows that the merged payments do not hold, each once, with the reason.
+
+    A row of the base or of the accepted changes that newest-wins left out is a
+    duplicate, as in a full load of the combined source. A source row that was
+    quarantined before and is accepted now is not quarantined any more, and one
+    rejected now whose earlier state is still in Silver is accounted for there.
+    """
+    keys = merged.select("source_record_id")
+    lost = base.select("source_record_id").union(current.select("source_record_id")).withColumn("rejection_reason", F.lit(S.DUPLICATE_PAYMENT_ID))
+    rejected = flagged.filter(F.col("rejection_reason").isNotNull()).select(*QUARANTINED)
+    parts = [lost.withColumn("_age", F.lit(1)), rejected.withColumn("_age", F.lit(0))]
+    if path_exists(spark, f"{base_run}/_quarantined_payments"):
+        parts.append(read_dataset(spark, base_run, "_quarantined_payments").select(*QUARANTINED).withColumn("_age", F.lit(2)))
+    everything = parts[0]
+    for part in parts[1:]:
+        everything = everything.unionByName(part)
+    outside = everything.join(keys, "source_record_id", "left_anti")
+    newest = F.min(F.struct("_age", "rejection_reason"))
+    return outside.groupBy("source_record_id").agg(newest.alias("_r")).select("source_record_id", F.col("_r.rejection_reason").alias("rejection_reason"))
+
+
 def cumulative_quality(
     spark: SparkSession,
     base_run: str,
     merged: dict[str, DataFrame],
-    base_payments: DataFrame,
-    current: DataFrame,
-    payments_flagged: DataFrame,
+    quarantined: DataFrame,
     settlements_checked: DataFrame,
     merchants_rejected: DataFrame,
 ) -> DataFrame:
     """Quality report of a merged run in the Silver report's schema (Q10).
 
-    Counts are cumulative over the base run and this increment. A row that
-    loses the newest-wins re-rank (a replaced base row or a stale change) is a
-    duplicate, as it would be in a full load of the combined source, so raw
-    accounting (R2) also holds for merged runs: that lets the reconciliation
-    job run on them unchanged. Losers = base + current - merged.
+    Counts are cumulative over the base run and this increment; payments are
+    counted by source row (``quarantined_payments``), so raw accounting (R2)
+    also holds for merged runs, whether a change comes under a new source id
+    or in place, and the reconciliation job runs on them unchanged.
     """
     if path_exists(spark, f"{base_run}/_quality_report"):
         prior = spark.read.json(f"{base_run}/_quality_report").select("section", "name", F.col("value").cast("long"))
@@ -319,11 +345,8 @@ def cumulative_quality(
             (merged["payments"], "valid_rows", "payments", None, "set"),
             (merged["settlements"], "valid_rows", "settlements", None, "set"),
             (merchants_rejected, "quarantined_rows", "merchants", None, "add"),
-            (payments_flagged, "quarantined_rows", "payments_invalid", reason.isNotNull() & (reason != S.DUPLICATE_PAYMENT_ID), "add"),
-            (payments_flagged, "quarantined_rows", "payments_duplicates", reason == S.DUPLICATE_PAYMENT_ID, "add"),
-            (base_payments, "quarantined_rows", "payments_duplicates", None, "add"),
-            (current, "quarantined_rows", "payments_duplicates", None, "add"),
-            (merged["payments"], "quarantined_rows", "payments_duplicates", None, "sub"),
+            (quarantined, "quarantined_rows", "payments_invalid", reason != S.DUPLICATE_PAYMENT_ID, "set"),
+            (quarantined, "quarantined_rows", "payments_duplicates", reason == S.DUPLICATE_PAYMENT_ID, "set"),
             (settlements_checked, "quarantined_rows", "settlements", reason.isNotNull(), "add"),
         ]
     )
@@ -332,7 +355,7 @@ def cumulative_quality(
     replaced = combined.groupBy("section", "name").agg(
         F.max(F.when(F.col("op") == "set", 1).otherwise(0)).alias("_has_set"),
         F.sum(F.when(F.col("op") == "set", F.col("value"))).alias("_set"),
-        F.sum(F.when(F.col("op") == "add", F.col("value")).when(F.col("op") == "sub", -F.col("value"))).alias("_delta"),
+        F.sum(F.when(F.col("op") == "add", F.col("value"))).alias("_delta"),
     )
     return replaced.select(
         "section", "name", F.when(F.col("_has_set") == 1, F.col("_set")).otherwise(F.col("_delta")).cast("long").alias("value")
@@ -363,13 +386,13 @@ def silver_to_gold_job(spark: SparkSession, silver_run: str, gold_root: str, run
     # shuffle of the whole reconciliation is needed here.
     write_dataset(gold.payment_reconciliation, f"{out}/payment_reconciliation", "reconciliation_status", rebalance=False)
     # Everything downstream reads the written reconciliation, not its lineage.
-    recon = read_dataset(spark, out, "payment_reconciliation")
+    recon = read_dataset(spark, out, "payment_reconciliation", gold.payment_reconciliation.schema)
     write_dataset(R.merchant_daily_metrics(recon), f"{out}/merchant_daily_metrics", "business_date")
     write_dataset(gold.merchant_scd2, f"{out}/merchant_scd2")
     write_dataset(R.reconciliation_summary(recon, run_id, as_of), f"{out}/reconciliation_summary")
     from lakeshift.plans.gold import Gold
 
-    written = Gold(recon, read_dataset(spark, out, "merchant_daily_metrics"), read_dataset(spark, out, "merchant_scd2"), read_dataset(spark, out, "reconciliation_summary"))
+    written = Gold(recon, read_dataset(spark, out, "merchant_daily_metrics", gold.merchant_daily_metrics.schema), read_dataset(spark, out, "merchant_scd2"), read_dataset(spark, out, "reconciliation_summary"))
     write_report(written.report().withColumn("run_id", F.lit(run_id)), f"{out}/_gold_report")
     return spark.read.json(f"{out}/_gold_report")
 

@@ -37,9 +37,22 @@ def read_bronze(spark: SparkSession, root: str, table: str, schema: T.StructType
     return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
 
 
-def read_dataset(spark: SparkSession, root: str, name: str | None = None) -> DataFrame:
-    """Parquet dataset with Hive-style partition discovery."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}" if name else root)
+#: Partition column of the tables that are written by day.
+DAYS = {"payments": "payment_date", "settlements": "settlement_date"}
+
+
+def read_dataset(spark: SparkSession, root: str, name: str | None = None, schema: T.StructType | None = None) -> DataFrame:
+    """Parquet dataset with Hive-style partition discovery.
+
+    An empty partitioned table has no file to take a schema from, so it needs
+    ``schema``; the entities' tables have theirs.
+    """
+    if schema is None and name in S.ENTITIES:
+        schema = S.ENTITIES[name]["schema"]
+        if name in DAYS:
+            schema = T.StructType([*schema.fields, T.StructField(DAYS[name], T.DateType())])
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{root.rstrip('/')}/{name}" if name else root)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -122,3 +122,23 @@ def test_publication_keys_stay_apart(spark, tmp_dir):
 def test_top_merchants_filters_a_range_of_dates(spark):
     daily = spark.createDataFrame([("m1", datetime(1998, 12, 31).date(), 5), ("m1", datetime(1999, 1, 1).date(), 9)], "merchant_id string, business_date date, payment_count long")
     assert [tuple(r) for r in top_merchants(daily, 1998, 12).collect()] == [("m1", 5)]
+
+
+def test_changes_in_place_are_accounted_for(spark, tmp_dir):
+    from decimal import Decimal
+
+    day, later = datetime(2024, 1, 1), datetime(2024, 2, 1)
+
+    def payments(rows):
+        data = [{"source_record_id": k, "payment_id": p, "customer_id": "c1", "merchant_id": "m1", "payment_amount": Decimal(a), "currency": "USD", "payment_status": "SUCCESS", "payment_timestamp": day, "created_at": day, "updated_at": u, "source_batch_id": "b"} for k, p, a, u in rows]
+        return spark.createDataFrame([tuple(d[c] for c in S.columns(S.PAYMENTS)) for d in data], S.PAYMENTS)
+
+    base = {"merchants": merchants(spark, [("m1", "FOOD", day, day)]), "customers": spark.createDataFrame([], S.CUSTOMERS), "payments": payments([(1, "p1", "5.00", day), (2, "p2", "6.00", day), (3, "p3", "0.00", day), (4, "p1", "5.00", datetime(2023, 1, 1))]), "settlements": spark.createDataFrame([], S.SETTLEMENTS)}
+    out = jobs.full_migration(spark, base, tmp_dir, "r1")
+    assert out["reconciliation"].first()["status"] == "PASSED"
+    write_bronze(payments([(2, "p2", "7.00", later), (3, "p3", "8.00", later), (5, "p5", "0.00", later)]), f"{tmp_dir}/bronze/run_id=i1/payments")
+    jobs.merge_job(spark, f"{tmp_dir}/silver/run_id=r1", f"{tmp_dir}/bronze/run_id=i1", f"{tmp_dir}/silver", f"{tmp_dir}/quarantine", "m1")
+    jobs.silver_to_gold_job(spark, f"{tmp_dir}/silver/run_id=m1", f"{tmp_dir}/gold", "g1")
+    now = payments([(1, "p1", "5.00", day), (2, "p2", "7.00", later), (3, "p3", "8.00", later), (4, "p1", "5.00", datetime(2023, 1, 1)), (5, "p5", "0.00", later)])
+    row = jobs.reconcile_job(spark, now, base["merchants"], f"{tmp_dir}/silver/run_id=m1", f"{tmp_dir}/gold/run_id=g1", f"{tmp_dir}/audit/m1").first()
+    assert (row["raw_payment_count"], row["target_valid_payment_count"], row["quarantined_payment_rows"], row["status"]) == (5, 3, 2, "PASSED")
