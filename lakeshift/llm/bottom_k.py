@@ -11,12 +11,12 @@
    what thousands of texts have in common is the last to be listed, and values
    that only one sketch holds need no list.
 3. Short lists give all their pairs. In a long list every class meets the
-   list's most central class; once those links have joined components, the
-   lists that still hold several components are compared in blocks of bounded
-   size, and only pairs from different components that pass are emitted.
-4. A pair is estimated on the sketch of its union; what passes is verified on
-   the full shingle sets. Components of the verified links give each document
-   its class.
+   list's most central class. A pair is estimated on the sketch of its union;
+   what passes is verified on the full shingle sets.
+4. Once those links have joined components, the members outside the largest
+   component of each long list meet all its others, in blocks of bounded size
+   that verify on the full sets at once, and give only the links that join
+   components. Components of all links give each document its class.
 
 Every link that exists between different texts thus joins its two components,
 but for sketches' odds above; no list is capped and no pair is sampled.
@@ -131,39 +131,75 @@ def first_pairs(listed: DataFrame, stage: Stage, percent: int) -> tuple[DataFram
     return pairs.distinct(), long.select("v", "members")
 
 
-def block_pairs(listed: DataFrame, long: DataFrame, classes: DataFrame, roots: DataFrame, stage: Stage, k: int, percent: int, least: int) -> DataFrame:
-    """Pairs (a, b) from different components of long lists that hold several; blocks against blocks."""
+def whole_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, stage: Stage, name: str, width: int) -> DataFrame:
+    """(node, values): the full shingle sets of some nodes, made from their texts."""
+    needed = stage.write(classes.join(nodes.distinct(), "node", "left_semi").select("node", "rep.doc_id", "rep.key"), f"{name}_needed")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("key"), "text").join(needed, ["doc_id", "key"])
+    return stage.write(full_sets(texts, width), f"{name}_sets")
+
+
+def block_links(listed: DataFrame, long: DataFrame, classes: DataFrame, docs: DataFrame, roots: DataFrame, stage: Stage, width: int, percent: int) -> DataFrame:
+    """Links (a, b) that join components within long lists that hold several.
+
+    In each list the members outside its largest component meet all others,
+    in blocks of a bounded size with their full sets. A block's links are
+    thinned to what joins its components, so it gives fewer rows than it has
+    members, however many pairs are similar.
+    """
     placed = listed.join(long, "v").join(roots, "node", "left").select("v", "members", "node", "n", F.coalesce("root", "node").alias("root"))
     placed = stage.write(placed, "placed")
-    open_lists = placed.groupBy("v").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("v")
-    placed = stage.write(placed.join(open_lists, "v", "left_semi"), "open")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node", "v"), blocks).cast("int")
-    spread = placed.join(classes.select("node", "sketch"), "node").withColumn("i", own).withColumn("j", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    spread = spread.select("v", F.least("i", "j").alias("low"), F.greatest("i", "j").alias("high"), "i", "node", "n", "root", "sketch")
+    shares = placed.groupBy("v", "root").agg(F.count("*").alias("share"), F.first("members").alias("members"))
+    main = shares.groupBy("v").agg(F.max(F.struct("share", "root")).alias("main"), F.first("members").alias("members")).where(F.col("main.share") < F.col("members"))
+    main = stage.write(main.select("v", F.col("main.root").alias("main"), (F.col("members") - F.col("main.share")).alias("others")), "main")
+    placed = stage.write(placed.join(main, "v"), "open")
+    sets = whole_sets(placed.select("node"), classes, docs, stage, "open", width)
+    own = (F.col("root") != F.col("main")).alias("apart")
+    rest, inside = F.ceil(F.col("others") / BLOCK).cast("int"), F.ceil((F.col("members") - F.col("others")) / BLOCK).cast("int")
+    place = F.xxhash64("node", "v")
+    dealt = placed.withColumn("apart", own).withColumn("i", F.when(F.col("apart"), F.pmod(place, rest)).otherwise(F.pmod(place, inside)).cast("int"))
+    other = F.when(
+        F.col("apart"),
+        F.concat(
+            F.transform(F.sequence(F.lit(0), rest - 1), lambda j: F.struct(F.least("i", j).alias("low"), F.greatest("i", j).alias("high"), F.lit(False).alias("mixed"))),
+            F.transform(F.sequence(F.lit(0), inside - 1), lambda j: F.struct(F.col("i").alias("low"), j.alias("high"), F.lit(True).alias("mixed"))),
+        ),
+    ).otherwise(F.transform(F.sequence(F.lit(0), rest - 1), lambda j: F.struct(j.alias("low"), F.col("i").alias("high"), F.lit(True).alias("mixed"))))
+    spread = dealt.withColumn("meets", F.explode(other)).select("v", "meets.*", "node", "n", "root").join(sets, "node")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        n, side = group["n"].to_numpy(), group["i"].to_numpy()
+        n, node = group["n"].to_numpy(), group["node"].to_numpy()
         root = pd.factorize(group["root"])[0]
-        sizes = [len(s) for s in group["sketch"]]
-        _, column, times = np.unique(np.concatenate(group["sketch"].to_list()), return_inverse=True, return_counts=True)
-        row, kept = np.repeat(np.arange(len(group)), sizes), times[column] > 1
+        _, column, times = np.unique(np.concatenate(group["values"].to_list()), return_inverse=True, return_counts=True)
+        row, kept = np.repeat(np.arange(len(group)), n), times[column] > 1
         used, column = np.unique(column[kept], return_inverse=True)
-        holds = np.zeros((len(group), len(used)), dtype=np.float32)
-        holds[row[kept], column] = 1
-        shared = holds @ holds.T
-        fits = 100 * n <= percent * k
-        need = np.where(fits, np.ceil(n * percent / 100 - 1e-9), least)
-        small, large = np.minimum.outer(n, n), np.maximum.outer(n, n)
-        good = (shared >= np.maximum.outer(need, need)) & (100 * small >= percent * large) & (root[:, None] != root[None, :])
-        if group["low"].iat[0] != group["high"].iat[0]:
-            good &= side[:, None] != side[None, :]
-        a, b = np.nonzero(np.triu(good, 1))
-        node = group["node"].to_numpy()
-        return pd.DataFrame({"a": node[a], "b": node[b]})
-
-    found = spread.groupBy("v", "low", "high").applyInPandas(compare, "a binary, b binary")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        shared = np.zeros((len(group), len(group)), dtype=np.float32)
+        for k in range(0, len(used), 16_384):  # counts below 2 ** 24 are exact in this type
+            part = (column >= k) & (column < k + 16_384)
+            holds = np.zeros((len(group), 16_384), dtype=np.float32)
+            holds[row[kept][part], column[part] - k] = 1
+            shared += holds @ holds.T
+        shared = shared.astype(np.int64)
+        good = 100 * shared >= percent * (n[:, None] + n[None, :] - shared)
+        a, b = np.nonzero(np.triu(good & (root[:, None] != root[None, :]), 1))
+        pairs, at = np.unique(np.minimum(root[a], root[b]) * len(group) + np.maximum(root[a], root[b]), return_index=True)
+        parent, out = list(range(len(group))), []
+
+        def top(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for pair, k in zip(pairs.tolist(), at.tolist(), strict=True):
+            x, y = top(pair // len(group)), top(pair % len(group))
+            if x != y:
+                parent[x] = y
+                out.append((node[a[k]], node[b[k]]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    found = spread.groupBy("v", "low", "high", "mixed").applyInPandas(compare, "a binary, b binary")
+    links = stage.write(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "block_links")
+    stage.drop("open_sets")
+    return links
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, stage: Stage, name: str, width: int, k: int, percent: int, least: int) -> DataFrame:
@@ -180,11 +216,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, stage: Stage
     passes = F.when(F.col("whole"), similar(F.col("seen"), F.col("n"), F.col("m"), percent)).otherwise(F.col("seen") >= least)
     rated = stage.write(rated.where(passes).select("a", "b", "n", "m", "whole"), f"{name}_rated")
     unsure = rated.where(~F.col("whole")).select("a", "b", "n", "m")
-    needed = unsure.select(F.col("a").alias("node")).union(unsure.select(F.col("b").alias("node"))).distinct()
-    needed = stage.write(classes.join(needed, "node", "left_semi").select("node", "rep"), f"{name}_needed")
-    texts = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
-    texts = texts.join(needed.select("node", F.col("rep.doc_id").alias("doc_id"), F.col("rep.key").alias("key")), ["doc_id", "key"])
-    sets = stage.write(full_sets(texts, width), f"{name}_sets")
+    sets = whole_sets(unsure.select(F.col("a").alias("node")).union(unsure.select(F.col("b").alias("node"))), classes, docs, stage, name, width)
     exact = unsure.join(sets.withColumnsRenamed({"node": "a", "values": "va"}), "a").join(sets.withColumnsRenamed({"node": "b", "values": "vb"}), "b")
     exact = exact.where(similar(F.size(F.array_intersect("va", "vb")).cast("long"), F.col("n"), F.col("m"), percent))
     links = stage.write(rated.where("whole").select("a", "b").union(exact.select("a", "b")), f"{name}_links")
@@ -203,8 +235,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     pairs, long = first_pairs(listed, stage, percent)
     links = verified(pairs, classes, docs, stage, "first", width, k, percent, least)
     roots = stage.write(components(links, stage, "first_cc"), "first_roots")
-    more = block_pairs(listed, long, classes, roots, stage, k, percent, least).join(stage.read(f"{stage.folder}/first_pairs", pairs.schema), ["a", "b"], "left_anti")
-    more = verified(more, classes, docs, stage, "more", width, k, percent, least)
+    more = block_links(listed, long, classes, docs, roots, stage, width, percent)
     if not more.isEmpty():
         roots = stage.write(components(links.union(more), stage, "all_cc"), "all_roots")
     ids = classes.select("node", F.col("rep.doc_id").alias("first_id")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
