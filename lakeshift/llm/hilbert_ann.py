@@ -134,9 +134,10 @@ def calibrate(curves: Curves, ids: np.ndarray, sample: np.ndarray, total: int, l
             there = block[k][best]
             found |= (there >= first[k][asked][:, None]) & (there < first[k][asked][:, None] + WINDOW)
             if found.mean() >= target and k:
-                choices.append(((k + 1) * min(1.0, WINDOW / blocks), k + 1, blocks))
+                choices.append((blocks <= WINDOW, (k + 1) * min(1.0, WINDOW / blocks), k + 1, blocks))
                 break
-    _, orderings, blocks = min(choices, default=(0, len(curves.shift), 1))
+    # Windows that hold everything are the last resort, of tables too small to cut.
+    _, _, orderings, blocks = min(choices, default=(True, 0, len(curves.shift), 1))
     return orderings, blocks
 
 
