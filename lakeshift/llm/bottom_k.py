@@ -14,9 +14,10 @@
    list's most central class. A pair is estimated on the sketch of its union;
    what passes is verified on the full shingle sets.
 4. Once those links have joined components, the members outside the largest
-   component of each long list meet all its others, in blocks of bounded size
-   that verify on the full sets at once, and give only the links that join
-   components. Components of all links give each document its class.
+   component of a long list meet its most central members, and, if that leaves
+   any apart, all its others, in blocks of bounded size that verify on the full
+   sets at once and give only the links that join components. Components of
+   all links give each document its class.
 
 Every link that exists between different texts thus joins its two components,
 but for sketches' odds above; no list is capped and no pair is sampled.
@@ -36,11 +37,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshift.llm.common import Stage, free_names, slices, table, words_of
-from lakeshift.llm.components import components
+from lakeshift.llm.components import components, joined_roots
 
 #: Lists up to this length give all their pairs; longer ones go by their central class and in blocks.
 SHORT = 12
@@ -72,7 +73,7 @@ def longs(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def sketches(docs: DataFrame, width: int, k: int) -> DataFrame:
-    """(doc_id, key, node, n, sketch) per row; ``node`` names the word sequence, ``key`` the text."""
+    """(doc_id, key, digest, n, sketch) per row; ``digest`` names the word sequence, ``key`` the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -83,21 +84,24 @@ def sketches(docs: DataFrame, width: int, k: int) -> DataFrame:
                 nodes.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
                 sizes.append(len(values))
                 kept.append(values[:k])
-            yield pa.record_batch([batch.column("doc_id"), batch.column("key"), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), longs(kept)], names=["doc_id", "key", "node", "n", "sketch"])
+            yield pa.record_batch([batch.column("doc_id"), batch.column("key"), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), longs(kept)], names=["doc_id", "key", "digest", "n", "sketch"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(run, f"doc_id {kind}, key long, node binary, n long, sketch array<long>")
+    return docs.select("doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(run, f"doc_id {kind}, key long, digest binary, n long, sketch array<long>")
 
 
-def full_sets(texts: DataFrame, width: int) -> DataFrame:
-    """(node, values): whole shingle sets of texts (node, text)."""
+def full_sets(texts: DataFrame, width: int, halves: bool = False) -> DataFrame:
+    """(node, values): whole shingle sets of texts (node, text); with ``halves``, of the hashes' upper 32 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = [shingle_set(words_of(t, lower=True), width) for t in batch.column("text").to_pylist()]
-            yield pa.record_batch([batch.column("node"), longs(sets)], names=["node", "values"])
+            if halves:
+                sets = [np.unique(s >> 32) for s in sets]
+            values = longs(sets).cast(pa.list_(pa.int32() if halves else pa.int64()))
+            yield pa.record_batch([batch.column("node"), values], names=["node", "values"])
 
-    return texts.select("node", "text").mapInArrow(run, "node binary, values array<long>")
+    return texts.select("node", "text").mapInArrow(run, f"node long, values array<{'int' if halves else 'long'}>")
 
 
 def similar(shared: Column, n: Column, m: Column, percent: int) -> Column:
@@ -106,9 +110,10 @@ def similar(shared: Column, n: Column, m: Column, percent: int) -> Column:
 
 def lists(classes: DataFrame, stage: Stage, k: int, percent: int, least: int) -> DataFrame:
     """(v, node, n, centre): the inverted lists of retained values."""
-    postings = classes.select("node", "n", F.size("sketch").cast("long").alias("s"), F.explode("sketch").alias("v"))
+    postings = classes.select("node", F.explode("sketch").alias("v"))
     common = stage.write(postings.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "common")
-    hits = postings.join(common, "v").groupBy("node").agg(F.first("n").alias("n"), F.first("s").alias("s"), F.array_sort(F.collect_list(F.struct("df", "v"))).alias("hits"))  # at most k of each sketch
+    hits = postings.join(common, "v").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("hits"))  # at most k of each sketch
+    hits = hits.join(classes.select("node", "n", F.size("sketch").cast("long").alias("s")), "node")
     fits = 100 * F.col("n") <= percent * k  # then every set similar to it fits into a sketch as well
     overlap = F.when(fits, F.ceil(F.col("n") * percent / 100.0 - 1e-9)).otherwise(F.lit(least))
     listed = F.greatest(F.lit(0), F.col("s") - overlap + 1 - (F.col("s") - F.size("hits"))).cast("int")
@@ -131,40 +136,28 @@ def first_pairs(listed: DataFrame, stage: Stage, percent: int) -> tuple[DataFram
     return pairs.distinct(), long.select("v", "members")
 
 
-def whole_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, stage: Stage, name: str, width: int) -> DataFrame:
+def whole_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, stage: Stage, name: str, width: int, halves: bool = False) -> DataFrame:
     """(node, values): the full shingle sets of some nodes, made from their texts."""
     needed = stage.write(classes.join(nodes.distinct(), "node", "left_semi").select("node", "rep.doc_id", "rep.key"), f"{name}_needed")
     texts = docs.select("doc_id", F.xxhash64("text").alias("key"), "text").join(needed, ["doc_id", "key"])
-    return stage.write(full_sets(texts, width), f"{name}_sets")
+    return stage.write(full_sets(texts, width, halves), f"{name}_sets")
 
 
-def block_links(listed: DataFrame, long: DataFrame, classes: DataFrame, docs: DataFrame, roots: DataFrame, stage: Stage, width: int, percent: int) -> DataFrame:
-    """Links (a, b) that join components within long lists that hold several.
+def open_lists(listed: DataFrame, long: DataFrame, roots: DataFrame, stage: Stage, name: str) -> DataFrame:
+    """(v, node, n, centre, root, members, main, others) of long lists that hold several components.
 
-    In each list the members outside its largest component meet all others,
-    in blocks of a bounded size with their full sets. A block's links are
-    thinned to what joins its components, so it gives fewer rows than it has
-    members, however many pairs are similar.
+    ``main`` is the largest component; ``others`` counts the members outside it.
     """
-    placed = listed.join(long, "v").join(roots, "node", "left").select("v", "members", "node", "n", F.coalesce("root", "node").alias("root"))
-    placed = stage.write(placed, "placed")
+    placed = listed.join(long, "v").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = stage.write(placed, f"{name}_placed")
     shares = placed.groupBy("v", "root").agg(F.count("*").alias("share"), F.first("members").alias("members"))
     main = shares.groupBy("v").agg(F.max(F.struct("share", "root")).alias("main"), F.first("members").alias("members")).where(F.col("main.share") < F.col("members"))
-    main = stage.write(main.select("v", F.col("main.root").alias("main"), (F.col("members") - F.col("main.share")).alias("others")), "main")
-    placed = stage.write(placed.join(main, "v"), "open")
-    sets = whole_sets(placed.select("node"), classes, docs, stage, "open", width)
-    own = (F.col("root") != F.col("main")).alias("apart")
-    rest, inside = F.ceil(F.col("others") / BLOCK).cast("int"), F.ceil((F.col("members") - F.col("others")) / BLOCK).cast("int")
-    place = F.xxhash64("node", "v")
-    dealt = placed.withColumn("apart", own).withColumn("i", F.when(F.col("apart"), F.pmod(place, rest)).otherwise(F.pmod(place, inside)).cast("int"))
-    other = F.when(
-        F.col("apart"),
-        F.concat(
-            F.transform(F.sequence(F.lit(0), rest - 1), lambda j: F.struct(F.least("i", j).alias("low"), F.greatest("i", j).alias("high"), F.lit(False).alias("mixed"))),
-            F.transform(F.sequence(F.lit(0), inside - 1), lambda j: F.struct(F.col("i").alias("low"), j.alias("high"), F.lit(True).alias("mixed"))),
-        ),
-    ).otherwise(F.transform(F.sequence(F.lit(0), rest - 1), lambda j: F.struct(j.alias("low"), F.col("i").alias("high"), F.lit(True).alias("mixed"))))
-    spread = dealt.withColumn("meets", F.explode(other)).select("v", "meets.*", "node", "n", "root").join(sets, "node")
+    main = stage.write(main.select("v", F.col("main.root").alias("main"), (F.col("members") - F.col("main.share")).alias("others")), f"{name}_main")
+    return stage.write(placed.join(main, "v"), f"{name}_open")
+
+
+def joining_links(percent: int):
+    """A function of a group (node, n, root, values) that gives those of its links that join its components."""
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         n, node = group["n"].to_numpy(), group["node"].to_numpy()
@@ -196,9 +189,57 @@ def block_links(listed: DataFrame, long: DataFrame, classes: DataFrame, docs: Da
                 out.append((node[a[k]], node[b[k]]))
         return pd.DataFrame(out, columns=["a", "b"])
 
-    found = spread.groupBy("v", "low", "high", "mixed").applyInPandas(compare, "a binary, b binary")
-    links = stage.write(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "block_links")
-    stage.drop("open_sets")
+    return compare
+
+
+def hub_links(listed: DataFrame, long: DataFrame, classes: DataFrame, docs: DataFrame, roots: DataFrame, stage: Stage, width: int, percent: int) -> DataFrame:
+    """Links (a, b) that join most of what is apart in long lists, at little cost.
+
+    Every member outside the largest component of a list goes to the longest
+    such list that it is in; there, it meets the others that came, in chunks of
+    a bounded size, and the most central members of the largest component.
+    What stays apart is left to ``block_links``.
+    """
+    placed = open_lists(listed, long, roots, stage, "hub")
+    apart = placed.where("root <> main")
+    sent = apart.groupBy("node").agg(F.max(F.struct("members", "v", "n", "root", "others")).alias("to")).select("node", "to.v", "to.n", "to.root", "to.others")
+    sent = sent.withColumn("chunks", F.ceil(F.col("others") / BLOCK).cast("int"))
+    sent = stage.write(sent.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")), "hub_sent")
+    central = Window.partitionBy("v").orderBy(F.desc("centre"), "node")
+    hubs = placed.where("root = main").withColumn("nth", F.row_number().over(central)).where(F.col("nth") <= BLOCK // 4)
+    hubs = hubs.join(sent.select("v", "chunk").distinct(), "v").select("v", "chunk", "node", "n", "root")
+    met = stage.write(sent.select("v", "chunk", "node", "n", "root").union(hubs), "hub_met")
+    sets = whole_sets(met.select("node"), classes, docs, stage, "hub", width)
+    found = met.join(sets, "node").groupBy("v", "chunk").applyInPandas(joining_links(percent), "a long, b long")
+    links = stage.write(found, "hub_links")
+    stage.drop("hub_sets")
+    return links
+
+
+def block_links(listed: DataFrame, long: DataFrame, classes: DataFrame, docs: DataFrame, roots: DataFrame, stage: Stage, width: int, percent: int) -> DataFrame:
+    """Links (a, b) that join components within long lists that hold several.
+
+    In each list the members outside its largest component meet all others,
+    in blocks of a bounded size with their full sets. A block's links are
+    thinned to what joins its components, so it gives fewer rows than it has
+    members, however many pairs are similar.
+    """
+    placed = open_lists(listed, long, roots, stage, "block")
+    sets = whole_sets(placed.select("node"), classes, docs, stage, "block", width)
+    rest, inside = F.ceil(F.col("others") / BLOCK).cast("int"), F.ceil((F.col("members") - F.col("others")) / BLOCK).cast("int")
+    apart, place = F.col("root") != F.col("main"), F.xxhash64("node", "v")
+    dealt = placed.withColumn("i", F.when(apart, F.pmod(place, rest)).otherwise(F.pmod(place, inside)).cast("int"))
+    other = F.when(
+        apart,
+        F.concat(
+            F.transform(F.sequence(F.lit(0), rest - 1), lambda j: F.struct(F.least("i", j).alias("low"), F.greatest("i", j).alias("high"), F.lit(False).alias("mixed"))),
+            F.transform(F.sequence(F.lit(0), inside - 1), lambda j: F.struct(F.col("i").alias("low"), j.alias("high"), F.lit(True).alias("mixed"))),
+        ),
+    ).otherwise(F.transform(F.sequence(F.lit(0), rest - 1), lambda j: F.struct(j.alias("low"), F.col("i").alias("high"), F.lit(True).alias("mixed"))))
+    spread = dealt.withColumn("meets", F.explode(other)).select("v", "meets.*", "node", "n", "root").join(sets, "node")
+    found = spread.groupBy("v", "low", "high", "mixed").applyInPandas(joining_links(percent), "a long, b long")
+    links = stage.write(found, "block_links")
+    stage.drop("block_sets")
     return links
 
 
@@ -216,12 +257,22 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, stage: Stage
     passes = F.when(F.col("whole"), similar(F.col("seen"), F.col("n"), F.col("m"), percent)).otherwise(F.col("seen") >= least)
     rated = stage.write(rated.where(passes).select("a", "b", "n", "m", "whole"), f"{name}_rated")
     unsure = rated.where(~F.col("whole")).select("a", "b", "n", "m")
-    sets = whole_sets(unsure.select(F.col("a").alias("node")).union(unsure.select(F.col("b").alias("node"))), classes, docs, stage, name, width)
-    exact = unsure.join(sets.withColumnsRenamed({"node": "a", "values": "va"}), "a").join(sets.withColumnsRenamed({"node": "b", "values": "vb"}), "b")
-    exact = exact.where(similar(F.size(F.array_intersect("va", "vb")).cast("long"), F.col("n"), F.col("m"), percent))
-    links = stage.write(rated.where("whole").select("a", "b").union(exact.select("a", "b")), f"{name}_links")
-    stage.drop(f"{name}_sets")
-    return links
+    # Half hashes tell nearly all pairs: they miscount a pair by more than two at odds under 1e-12.
+    close = compared(unsure, classes, docs, stage, f"{name}_halves", width, percent, halves=True)
+    edge = 3 * (100 + percent)
+    close = stage.write(close.where(F.col("margin") > -edge), f"{name}_close")
+    exact = compared(close.where(F.col("margin") <= edge).drop("margin"), classes, docs, stage, f"{name}_whole", width, percent)
+    links = rated.where("whole").select("a", "b").union(close.where(F.col("margin") > edge).select("a", "b")).union(exact.where("margin >= 0").select("a", "b"))
+    return stage.write(links, f"{name}_links")
+
+
+def compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, stage: Stage, name: str, width: int, percent: int, halves: bool = False) -> DataFrame:
+    """Pairs (a, b, n, m) with ``margin``, which is negative where the full sets are not similar enough."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+    sets = whole_sets(nodes, classes, docs, stage, name, width, halves)
+    both = pairs.join(sets.withColumnsRenamed({"node": "a", "values": "va"}), "a").join(sets.withColumnsRenamed({"node": "b", "values": "vb"}), "b")
+    shared = F.size(F.array_intersect("va", "vb")).cast("long")
+    return both.select("a", "b", "n", "m", (100 * shared - percent * (F.col("n") + F.col("m") - shared)).alias("margin"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 64, least: int = 28) -> DataFrame:
@@ -229,20 +280,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     stage = Stage(docs.sparkSession, "bottom_k")
     rows = stage.write(sketches(docs, width, k), "rows")
     known = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = known.groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    classes = stage.write(classes, "classes")
+    classes = known.groupBy("digest").agg(F.min(F.struct("doc_id", "key")).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    # The number of a written row is a shorter name, and as good: it is never computed again.
+    classes = stage.write(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     listed = lists(classes, stage, k, percent, least)
     pairs, long = first_pairs(listed, stage, percent)
     links = verified(pairs, classes, docs, stage, "first", width, k, percent, least)
     roots = stage.write(components(links, stage, "first_cc"), "first_roots")
-    more = block_links(listed, long, classes, docs, roots, stage, width, percent)
-    if not more.isEmpty():
-        roots = stage.write(components(links.union(more), stage, "all_cc"), "all_roots")
-    ids = classes.select("node", F.col("rep.doc_id").alias("first_id")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    for name, step in (("hub", hub_links), ("block", block_links)):
+        more = step(listed, long, classes, docs, roots, stage, width, percent)
+        if not more.isEmpty():
+            roots = stage.write(joined_roots(roots, more, stage, name), f"{name}_roots")
+    ids = classes.select("digest", "node", F.col("rep.doc_id").alias("first_id")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = stage.write(ids, "ids")
     least_ids = stage.write(ids.groupBy("root").agg(F.min("first_id").alias("component_id")), "least_ids")
-    of_node = stage.write(ids.join(least_ids, "root").select("node", "component_id"), "of_node")
-    out = rows.withColumn("node", F.when(F.col("doc_id").isNotNull(), F.col("node"))).join(of_node, "node", "left")
+    of_text = stage.write(ids.join(least_ids, "root").select("digest", "component_id"), "of_text")
+    out = rows.withColumn("digest", F.when(F.col("doc_id").isNotNull(), F.col("digest"))).join(of_text, "digest", "left")
     out = out.select("doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

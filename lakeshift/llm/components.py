@@ -89,5 +89,5 @@ def joined_roots(roots: DataFrame, links: DataFrame, stage: Stage, name: str) ->
         ends = ends.join(roots.withColumnsRenamed({"node": end, "root": f"{end}_root"}), end, "left")
     ends = ends.select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
     above = stage.write(components(ends, stage, name), f"{name}_above")
-    known = roots.join(above.withColumnsRenamed({"node": "root", "root": "new"}), "root", "left").select("node", F.coalesce("new", "root").alias("root"))
+    known = roots.join(above.toDF("root", "new"), "root", "left").select("node", F.coalesce("new", "root").alias("root"))
     return known.union(above.join(roots.select("node"), "node", "left_anti"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lakeshift.llm import hilbert_ann, license_scan, quote_linking, queries, url_automaton, warc_bundle
 from lakeshift.llm.common import Stage, table
-from lakeshift.llm.components import components
+from lakeshift.llm.components import components, joined_roots
 
 SF = "/root/testdata/sf0.001"
 
@@ -247,3 +247,9 @@ def test_components(spark):
         parent[y] = x
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long"), Stage(spark, "cc")).collect()}
     assert got == {x: top(x) for x in parent if any(x in p and p[0] != p[1] for p in links)}
+    assert got[40] == 0 and got[129 - 1] == 100
+    more = [(40, 110), (7, 500), (500, 501), (90, 91), (3, 5)]
+    stage = Stage(spark, "cc2")
+    first = components(spark.createDataFrame(links[:69], "a long, b long"), stage)
+    joined = {r.node: r.root for r in joined_roots(first, spark.createDataFrame(more, "a long, b long"), stage, "more").collect()}
+    assert joined == {x: 0 for x in [*range(41), *range(100, 130), 500, 501]} | {90: 90, 91: 90}

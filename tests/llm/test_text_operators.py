@@ -234,7 +234,8 @@ def test_near_duplicates_equal_brute_force(spark):
     word = lambda: f"w{rnd.randrange(3000)}"
     base = [word() for _ in range(150)]
     common = " ".join(word() for _ in range(60))
-    texts = list(near_copies(rnd, base, 120, 5))  # some of these pairs reach 0.8, some don't
+    texts = list(near_copies(rnd, base, 120, 5))  # none of these pairs reach 0.8
+    texts += near_copies(rnd, [word() for _ in range(150)], 150, 2)  # about half of these do, and few that meet the central one
     texts += [f"{common} " + " ".join(word() for _ in range(12)) for _ in range(60)]  # a passage that is most of a text
     for _ in range(80):
         own = [word() for _ in range(rnd.choice([1, 3, 6, 20, 55, 70, 300]))]
