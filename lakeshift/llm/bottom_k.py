@@ -46,6 +46,8 @@ from lakeshift.llm.components import components, joined_roots
 #: Lists up to this length give all their pairs; longer ones go by their central class and in blocks.
 SHORT = 12
 BLOCK = 256
+#: Values of each sketch that sort out most pairs before whole sketches meet.
+FEW = 16
 
 
 def shingle_set(words: list[bytes], width: int) -> np.ndarray:
@@ -246,6 +248,11 @@ def block_links(listed: DataFrame, long: DataFrame, classes: DataFrame, docs: Da
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, stage: Stage, name: str, width: int, k: int, percent: int, least: int) -> DataFrame:
     """The links among candidate pairs (a, b): estimated on union sketches, then verified on full sets."""
     pairs = stage.write(pairs, f"{name}_pairs")
+    # First the smallest few values: of 16, similar sets share two or more but for odds under 1e-9.
+    few = classes.select("node", "n", F.slice("sketch", 1, FEW).alias("few"))
+    thin = pairs.join(few.withColumnsRenamed({"node": "a", "few": "fa"}), "a").join(few.withColumnsRenamed({"node": "b", "n": "m", "few": "fb"}), "b")
+    met = F.size(F.array_intersect(F.slice(F.array_sort(F.array_union("fa", "fb")), 1, FEW), F.array_intersect("fa", "fb")))
+    pairs = stage.write(thin.where(met >= F.least(F.lit(2), F.col("n"), F.col("m"))).select("a", "b"), f"{name}_thin")
     side = classes.select("node", "n", "sketch")
     both = pairs.join(side.withColumnsRenamed({"node": "a", "sketch": "sa"}), "a")
     both = both.join(side.withColumnsRenamed({"node": "b", "n": "m", "sketch": "sb"}), "b")
