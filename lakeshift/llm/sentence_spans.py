@@ -1,12 +1,19 @@
 """Substring dedup by sliding sentence spans (operator 3).
 
-Every text is cut into sentences (a sentence of more than ``longest`` words into
-pieces of that many), and every run of ``run`` consecutive ones is hashed. Runs
-are joined globally by their hash with the first place that each repeated one
-has, in order of doc_id and position; every other place is a repeat. The
-sentences that any repeat covers are removed, if together they make up at least
+Every text is cut into sentences, and a sentence of as many words as a window or
+more (three quarters of ``longest``: 12) at words that its own words choose: in
+each window the one of the smallest hash. Every run of ``run`` consecutive pieces
+is hashed. Runs are joined globally by their hash with the first place that each
+repeated one has, in order of doc_id and position; every other place is a repeat.
+The pieces that any repeat covers are removed, if together they make up at least
 ``min_words`` words in a row, so that a few short sentences met by chance stay.
 
+Wherever a repeated passage starts or ends, its pieces are the same in all its
+places from within its first window to within its last one, and none is longer
+than a window. So a passage of 4 windows (48 words) or more always holds ``run``
+= 3 whole ones, and loses all but at most 12 words at its start and 11 at its end
+(a passage is the same words with the same line breaks).
+
 A passage in thousands of documents is a partial aggregate and then a join of
 two written tables, which Spark splits; nothing but a document's own positions
 is ever gathered.
@@ -20,7 +27,6 @@ whole; other columns pass through (``n_chars``, if there, is counted anew).
 
 from __future__ import annotations
 
-import re
 from array import array
 from collections.abc import Iterator
 
@@ -33,39 +39,72 @@ from pyspark.sql import types as T
 
 from lakeshift.llm.common import ASCII_LOWER, Stage, free_names, slices, table
 
-BORDER = re.compile(r"((?<=[.!?])\s+|\n)")
-WORD = re.compile(r"\S+\s*")
+SPACE = np.array([chr(c).isspace() for c in range(0x3002)])  # there are none above
+MARKS = np.array([ord(c) for c in ".!?"], dtype=np.uint32)
 RUN, LONGEST, MIN_WORDS = 3, 16, 20
 
 
+def cuts(weights: np.ndarray, ends: np.ndarray, window: int) -> np.ndarray:
+    """Marks of the words that end a piece; ``ends`` marks those that end a sentence.
+
+    In each ``window`` words of one sentence those of the smallest weight end a
+    piece. So pieces have ``window`` words at most, and whether a word ends one
+    depends on fewer than ``window`` words on either side.
+    """
+    if len(weights) < window:
+        return ends
+    of = np.cumsum(ends) - ends
+    within = of[: len(of) - window + 1] == of[window - 1 :]
+    least = np.where(within, sliding(np.minimum, weights, window), 0)
+    around = np.zeros(len(weights) + window - 1, dtype=weights.dtype)
+    around[window - 1 : len(weights)] = least
+    return ends | (sliding(np.maximum, around, window) == weights)
+
+
+def sliding(pick: np.ufunc, values: np.ndarray, window: int) -> np.ndarray:
+    """``pick`` over each ``window`` values in a row."""
+    out, width = values, 1
+    while width < window:
+        step = min(width, window - width)
+        out, width = pick(out[:-step], out[step:]), width + step
+    return out
+
+
+def words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, weight, whether it ends a sentence) of each word; the case of a word doesn't move its weight."""
+    chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    space = SPACE[np.minimum(chars, len(SPACE) - 1)]
+    before = np.concatenate([[True], space[:-1]])
+    starts = np.flatnonzero(before & ~space)
+    if not len(starts):
+        return starts, starts, starts
+    plain = np.where(space, np.uint32(32), chars | ((chars - np.uint32(65) < 26).astype(np.uint32) << np.uint32(5)))
+    mixed = plain * np.uint32(0x9E3779B1)
+    mixed[1:] += plain[:-1] * np.uint32(0x85EBCA77)
+    mixed[:1] += np.uint32(32 * 0x85EBCA77 % 2**32)
+    mixed ^= mixed >> np.uint32(15)
+    mixed *= np.uint32(0xC2B2AE3D)
+    mixed ^= mixed >> np.uint32(13)
+    mixed[space] = 0
+    weights = np.maximum(np.add.reduceat(mixed, starts, dtype=np.uint32), 1)
+    stops = np.flatnonzero(space & ~before) - 1  # the last character of each word, but for one that ends the text
+    ends = np.zeros(len(starts), dtype=bool)
+    ends[: len(stops)] = np.isin(chars[stops], MARKS)
+    lines = np.searchsorted(starts, np.flatnonzero(chars == 10), "right") - 1
+    ends[lines[lines >= 0]] = True
+    ends[-1] = True
+    return starts, weights, ends
+
+
 def sentences(text: str, longest: int) -> list[tuple[int, int, str]]:
     """(end, words, content) of the pieces, which cover the text without gaps."""
-    out: list[tuple[int, int, str]] = []
-    end = 0
-    for k, part in enumerate(BORDER.split(text)):
-        end += len(part)
-        n = 0 if k % 2 else len(part.split())
-        if not n:  # white space belongs to the piece before it
-            if out:
-                out[-1] = (end, *out[-1][1:])
-        elif n <= longest:
-            out.append((end, n, part))
-        else:
-            start, held = end - len(part), 0
-            cut = from_ = 0
-            for word in WORD.finditer(part):
-                held += 1
-                if held == longest:
-                    cut = word.end()
-                    out.append((start + cut, held, part[from_:cut]))
-                    from_, held = cut, 0
-            if held:
-                out.append((end, held, part[from_:]))
-            else:
-                out[-1] = (end, *out[-1][1:])
-    if out:
-        out[-1] = (len(text), *out[-1][1:])
-    return out
+    starts, weights, marks = words(text)
+    if not len(starts):
+        return []
+    last = np.flatnonzero(cuts(weights, marks, max(1, 3 * longest // 4)))
+    ends = [*starts[last[:-1] + 1].tolist(), len(text)]  # white space belongs to the piece before it
+    sizes = np.diff(last, prepend=-1).tolist()
+    return [(end, n, text[start:end]) for start, end, n in zip([0, *ends[:-1]], ends, sizes, strict=True)]
 
 
 def run_hashes(text: str | None, run: int, longest: int) -> list[bytes]:

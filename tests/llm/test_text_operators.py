@@ -210,6 +210,33 @@ def test_spans_catch_a_passage_and_leave_the_rest(spark):
     assert out[0] == rows[0][1] and all("lamps" not in out[i] and f"Document {i} opens" in out[i] and f"number {i}" in out[i] for i in range(1, 40))
 
 
+@pytest.mark.parametrize("punctuated", [False, True])
+def test_spans_catch_long_passages_at_any_offset(spark, punctuated):
+    rnd = random.Random(11)
+
+    def words(n):
+        return [f"w{rnd.randrange(10**6)}" + (rnd.choice(".!?") if punctuated and rnd.random() < 0.08 else "") for _ in range(n)]
+
+    texts = []
+    for size in (51, 55, 80, 1000):
+        for _ in range(40):
+            passage = words(size)
+            texts += [words(rnd.randrange(60)) + passage + words(rnd.randrange(60)) for _ in range(3)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    out = {r.doc_id: r.text.split() for r in sentence_spans.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    seen, met = set(), 0
+    for i, t in enumerate(texts):
+        windows = [tuple(t[k : k + 51]) for k in range(len(t) - 50)]
+        again = {k + d for k, x in enumerate(windows) if x in seen for d in range(51)}
+        own = {w for k, w in enumerate(t) if k not in again}
+        left = [w for w in out[i] if w not in own]
+        assert [w for w in out[i] if w in own] == [w for k, w in enumerate(t) if k not in again]  # nothing else goes
+        assert len(left) <= 23, (i, len(again), len(left))
+        met += bool(again)
+        seen.update(windows)
+    assert met == 2 * len(texts) // 3
+
+
 def test_spans_edges(spark):
     docs = edge_docs(spark)
     out = sentence_spans.remove_repeats(docs)
