@@ -25,7 +25,8 @@ but for sketches' odds above; no list is capped and no pair is sampled.
 Defined results: a text that is null, empty or without words has an empty set,
 is linked with nothing and kept; fewer words than a shingle has form one
 shingle; equal texts are linked; rows that repeat a doc_id and text count as
-one document; a null doc_id is linked with nothing and kept; an empty table
+one document; rows of one doc_id with different texts are linked only where
+these are similar, and ``keep_first`` keeps one row of each component; a null doc_id is linked with nothing and kept; an empty table
 gives no rows; other columns are ignored.
 """
 
@@ -283,7 +284,10 @@ def compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, stage: Stage
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 64, least: int = 28) -> DataFrame:
-    """(doc_id, key, n_shingles, component_id, kept) per row; ``key`` is xxhash64 of the text."""
+    """(doc_id, key, n_shingles, component_id, first_key, kept) per row; ``key`` is xxhash64 of the text.
+
+    A component's first text is (component_id, first_key): an id with several texts may be first in several components.
+    """
     stage = Stage(docs.sparkSession, "bottom_k")
     rows = stage.write(sketches(docs, width, k), "rows")
     known = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
@@ -298,29 +302,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
         more = step(listed, long, classes, docs, roots, stage, width, percent)
         if not more.isEmpty():
             roots = stage.write(joined_roots(roots, more, stage, name), f"{name}_roots")
-    ids = classes.select("digest", "node", F.col("rep.doc_id").alias("first_id")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    ids = classes.select("digest", "node", F.col("rep").alias("first")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = stage.write(ids, "ids")
-    least_ids = stage.write(ids.groupBy("root").agg(F.min("first_id").alias("component_id")), "least_ids")
-    of_text = stage.write(ids.join(least_ids, "root").select("digest", "component_id"), "of_text")
+    least_ids = stage.write(ids.groupBy("root").agg(F.min("first").alias("first")), "least_ids")
+    of_text = stage.write(ids.drop("first").join(least_ids, "root").select("digest", F.col("first.doc_id").alias("component_id"), F.col("first.key").alias("first_key")), "of_text")
     out = rows.withColumn("digest", F.when(F.col("doc_id").isNotNull(), F.col("digest"))).join(of_text, "digest", "left")
-    out = out.select("doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = out.select("doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "first_key")
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group of near-duplicates, with its columns as they are."""
     stage = Stage(docs.sparkSession, "keep_first")
-    judged = stage.write(near_duplicates(docs, width, percent), "judged")
+    judged = stage.write(near_duplicates(docs, width, percent).where("first_key is not null"), "judged")  # others stay
     its_id, its_key = free_names(["its_id", "its_key"], docs.columns)
-    dropped = judged.where(~F.col("kept")).select(F.col("doc_id").alias(its_id), F.col("key").alias(its_key)).distinct()
-    out = docs.join(dropped, (F.col("doc_id") == F.col(its_id)) & (F.xxhash64("text") == F.col(its_key)), "left_anti")
-    again = judged.where("kept and doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    first = (F.col("doc_id") == F.col("component_id")) & (F.col("key") == F.col("first_key"))
+    here = (F.col("doc_id") == F.col(its_id)) & (F.xxhash64("text") == F.col(its_key))
+    dropped = judged.where(~first).select(F.col("doc_id").alias(its_id), F.col("key").alias(its_key)).distinct()
+    out = docs.join(dropped, here, "left_anti")
+    again = judged.where(first).groupBy(F.col("doc_id").alias(its_id), F.col("key").alias(its_key)).agg(F.count("*").alias("n")).where("n > 1").select(its_id, its_key)
     again = stage.write(again, "again")
     if again.isEmpty():
         return out
-    once = out.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return out.join(again, "doc_id", "left_anti").unionByName(once)
+    once = out.join(again, here, "left_semi").withColumn(its_key, F.xxhash64("text")).dropDuplicates(["doc_id", its_key]).drop(its_key)
+    return out.join(again, here, "left_anti").unionByName(once)
 
 
 def op6_bottomk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), width=4).drop("key")
+    return near_duplicates(table(spark, sf_dir, "documents"), width=4).drop("key", "first_key")

@@ -291,6 +291,18 @@ def test_near_duplicates_edges(spark):
     assert bottom_k.near_duplicates(empty_docs(spark)).count() == 0
 
 
+def test_one_id_with_unrelated_texts_keeps_each(spark):
+    rnd = random.Random(4)
+    a, b, c = ([f"w{rnd.randrange(10**6)}" for _ in range(60)] for _ in range(3))
+    near = [*a[:-1], "other"]
+    texts = [" ".join(x) for x in (a, near, b, b, c)] + ["", None]
+    rows = [(0, t) for t in texts] + [(7, " ".join(b)), (7, " ".join(c) + " more"), (8, "apart from all of them"), (8, "apart from all of them")]
+    kept = bottom_k.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = Counter((r.doc_id, r.text) for r in kept)
+    assert got[(0, texts[0])] + got[(0, texts[1])] == 1
+    assert got - Counter([(0, texts[0]), (0, texts[1])]) == Counter([(0, t) for t in (texts[2], texts[4], "", None)] + [(8, "apart from all of them")])
+
+
 def test_pipeline_equals_brute_force(spark, tokenizer):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     rules = decision_list.fit(docs, labels)
