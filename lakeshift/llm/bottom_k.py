@@ -265,15 +265,22 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, stage: Stage
     passes = F.when(F.col("whole"), similar(F.col("seen"), F.col("n"), F.col("m"), percent)).otherwise(F.col("seen") >= least)
     rated = stage.write(rated.where(passes).select("a", "b", "n", "m", "whole"), f"{name}_rated")
     unsure = rated.where(~F.col("whole")).select("a", "b", "n", "m")
-    # Half hashes tell nearly all pairs: they miscount a pair by more than two at odds under 1e-12.
+    # Half hashes tell nearly all pairs; those within what they may miscount are compared on whole ones.
     close = compared(unsure, classes, docs, stage, f"{name}_halves", width, percent, halves=True)
-    edge = 3 * (100 + percent)
+    edge = miscount(F.col("n"), F.col("m")) * (100 + percent)
     close = stage.write(close.where(F.col("margin") > -edge), f"{name}_close")
     exact = compared(close.where(F.col("margin") <= edge).drop("margin"), classes, docs, stage, f"{name}_whole", width, percent)
     links = rated.where("whole").select("a", "b").union(close.where(F.col("margin") > edge).select("a", "b")).union(exact.where("margin >= 0").select("a", "b"))
     return stage.write(links, f"{name}_links")
 
 
+def miscount(n: Column, m: Column) -> Column:
+    """By how many shared values half hashes of sets of ``n`` and ``m`` may err, but for odds of about 1e-12."""
+    n, m = n.cast("double"), m.cast("double")
+    met = (n * n + m * m + n * m) / 2.0**32  # more collisions than are expected
+    return 3 + 8 * (met + F.sqrt(met))
+
+
 def compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, stage: Stage, name: str, width: int, percent: int, halves: bool = False) -> DataFrame:
     """Pairs (a, b, n, m) with ``margin``, which is negative where the full sets are not similar enough."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -303,6 +304,17 @@ def test_one_id_with_unrelated_texts_keeps_each(spark):
     assert got - Counter([(0, texts[0]), (0, texts[1])]) == Counter([(0, t) for t in (texts[2], texts[4], "", None)] + [(8, "apart from all of them")])
 
 
+def test_half_hashes_of_long_texts_err_within_the_margin(spark):
+    rng = np.random.default_rng(6)
+    for n in (1_000, 100_000, 400_000):
+        both = np.unique(rng.integers(-(2**63), 2**63 - 1, n))
+        a, b = (np.unique(np.concatenate([both, rng.integers(-(2**63), 2**63 - 1, n // 8)])) for _ in range(2))
+        shared = len(np.intersect1d(a >> 32, b >> 32))
+        margin = spark.range(1).select(bottom_k.miscount(F.lit(len(a)), F.lit(len(b))).alias("x")).first().x
+        assert abs(shared - len(np.intersect1d(a, b))) <= margin
+        assert n < 400_000 or abs(shared - len(np.intersect1d(a, b))) > 3  # the margin once was 3 for all
+
+
 def test_pipeline_equals_brute_force(spark, tokenizer):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     rules = decision_list.fit(docs, labels)
