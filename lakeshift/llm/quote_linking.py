@@ -1,9 +1,9 @@
 """Quotation linking for chats (operator 7), in DataFrame functions only.
 
 Messages that quote are taken apart into lines with their quote level, runs of
-lines of one level are passages, and each passage - and each of its lines, for
-quotes cut shorter or longer than the original's paragraphs - is hashed in a
-normalised form. The same hashes of all messages' own words (whole, paragraphs,
+lines of one level are passages, and each passage - and each of its paragraphs
+and lines, for quotes cut shorter or longer than the original's paragraphs - is
+hashed in a normalised form. The same hashes of all messages' own words (whole, paragraphs,
 lines) are reduced to the first turn that says them, per conversation, so the
 join cannot fan out however common a phrase is. A message replies to the latest
 turn that it quotes at its lowest linked level. Replies are followed to the
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from lakeshift.llm.common import Stage, table
 
 QUOTED_LINE = r"(?m)^[ \t]{0,3}>"
+PARAGRAPHS = r"\n[ \t]*\n"
 MARKS = r"^((?:[ \t]{0,3}>)+)"
 ANNOUNCEMENT = r"(?m)^On [^\n]* wrote:[ \t]*\n(?=[ \t]{0,3}>)"
 
@@ -50,7 +51,7 @@ def without_quotes(text: Column) -> Column:
 
 
 def passages(quoting: DataFrame) -> DataFrame:
-    """(conv_id, turn, key, passage, level, digest): each quoted passage's own digest and those of its lines."""
+    """(conv_id, turn, key, passage, level, digest): each quoted passage's own digest and those of its paragraphs and lines."""
     line = quoting.select("conv_id", "turn", "key", F.posexplode(F.split("text", "\n")).alias("at", "line"))
     marks = F.regexp_extract("line", MARKS, 1)
     line = line.select("conv_id", "turn", "key", "at", F.length(F.regexp_replace(marks, "[^>]", "")).alias("level"), F.regexp_replace("line", MARKS, "").alias("words"))
@@ -59,7 +60,8 @@ def passages(quoting: DataFrame) -> DataFrame:
     line = line.withColumn("passage", F.sum("new").over(of)).where(F.col("level") > 0)
     runs = line.groupBy("conv_id", "turn", "key", "passage", "level").agg(F.array_sort(F.collect_list(F.struct("at", "words"))).alias("lines"))
     texts = F.transform("lines", lambda x: x["words"])
-    units = runs.select("conv_id", "turn", "key", "passage", "level", F.explode(F.array_distinct(F.concat(F.array(F.concat_ws("\n", texts)), texts))).alias("unit"))
+    whole = F.concat_ws("\n", texts)
+    units = runs.select("conv_id", "turn", "key", "passage", "level", F.explode(F.array_distinct(F.concat(F.array(whole), F.split(whole, PARAGRAPHS), texts))).alias("unit"))
     return units.select("conv_id", "turn", "key", "passage", "level", said(F.col("unit")).alias("digest"))
 
 
@@ -70,7 +72,7 @@ def link(messages: DataFrame) -> DataFrame:
     quoted = stage.write(passages(quoting.dropDuplicates(["conv_id", "turn", "key"])), "quoted")
     wanted = quoted.select("conv_id").distinct()
     words = own.where(F.col("turn").isNotNull()).join(wanted, "conv_id", "left_semi").select("conv_id", "turn", without_quotes(F.col("text")).alias("text"))
-    units = F.array_distinct(F.concat(F.array("text"), F.split("text", r"\n[ \t]*\n"), F.split("text", "\n")))
+    units = F.array_distinct(F.concat(F.array("text"), F.split("text", PARAGRAPHS), F.split("text", "\n")))
     sources = words.select("conv_id", "turn", F.explode(units).alias("unit")).select("conv_id", "turn", said(F.col("unit")).alias("digest")).where(F.col("digest").isNotNull())
     first = stage.write(sources.groupBy("conv_id", "digest").agg(F.min("turn").alias("source")), "first")
     hits = quoted.join(first, ["conv_id", "digest"], "left").withColumn("source", F.when(F.col("source") < F.col("turn"), F.col("source")))

@@ -222,6 +222,14 @@ def test_links_equal_brute_force(spark):
     assert {(r.conv_id, r.turn): (r.reply_to, r.thread, r.text) for r in got.collect()} == brute_links(rows)
 
 
+def test_two_wrapped_paragraphs_of_three_quoted_together_link(spark):
+    said = "First of all we count\nthe boxes in the yard.\n\nThen somebody carries\nthem up the hill.\n\nLast of all we rest\nbeside the well."
+    quote = "> First of all we\n> count the boxes in the yard.\n>\n> Then somebody carries them\n> up the hill.\n\nWho does?"
+    rows = [(1, 0, "user", said), (1, 1, "assistant", "Well."), (1, 2, "user", quote)]
+    out = quote_linking.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {r.turn: (r.reply_to, r.n_quotes, r.n_linked) for r in out} == {0: (None, 0, 0), 1: (None, 0, 0), 2: (0, 1, 1)}
+
+
 def test_quote_edges(spark):
     rows = [(1, 0, "u", None), (1, 1, "a", "> nothing known"), (None, 1, "u", "> x"), (2, None, "u", "> x"), (1, 2, "u", "> ?!\n"), (1, 2, "u", "> ?!\n"), (1, 3, "u", "same"), (1, 4, "a", "> same\n" * 3000 + "end")]
     out = quote_linking.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
