@@ -14,6 +14,10 @@ than a window. So a passage of 4 windows (48 words) or more always holds ``run``
 = 3 whole ones, and loses all but at most 12 words at its start and 11 at its end
 (a passage is the same words with the same line breaks).
 
+Words are what white space separates, and sentences end at [.!?] before white
+space or at a line break. In text without spaces (Chinese, Japanese, Thai) a
+line is one word, so there a repeat of fewer than ``min_words`` lines stays.
+
 A passage in thousands of documents is a partial aggregate and then a join of
 two written tables, which Spark splits; nothing but a document's own positions
 is ever gathered.
