@@ -10,6 +10,7 @@ from lakeshift.llm.decision_list import op4_quality_rules
 from lakeshift.llm.hilbert_ann import op1_hilbert_ann
 from lakeshift.llm.license_scan import op2_license_scan
 from lakeshift.llm.packing import op10_nnls_packing
+from lakeshift.llm.piece_bpe import op13_piece_roundtrip
 from lakeshift.llm.quote_linking import op7_quote_linking
 from lakeshift.llm.sentence_spans import op3_sentence_spans
 from lakeshift.llm.url_automaton import op8_url_filter
@@ -26,6 +27,7 @@ OPERATORS = (
     op8_url_filter,
     op9_bpe_roundtrip,
     op10_nnls_packing,
+    op13_piece_roundtrip,
 )
 QUERIES = {f.__name__: f for f in OPERATORS} | {"pipeline": corpus_pipeline.run}
 
