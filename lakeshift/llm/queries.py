@@ -7,6 +7,7 @@ from lakeshift.llm import license_scan, url_automaton, warc_bundle
 from lakeshift.llm.bottom_k import op6_bottomk_dedup
 from lakeshift.llm.bpe import op9_bpe_roundtrip
 from lakeshift.llm.decision_list import op4_quality_rules
+from lakeshift.llm.hard_negatives import op12_hard_negatives
 from lakeshift.llm.hilbert_ann import op1_hilbert_ann
 from lakeshift.llm.license_scan import op2_license_scan
 from lakeshift.llm.packing import op10_nnls_packing
@@ -27,6 +28,7 @@ OPERATORS = (
     op8_url_filter,
     op9_bpe_roundtrip,
     op10_nnls_packing,
+    op12_hard_negatives,
     op13_piece_roundtrip,
 )
 QUERIES = {f.__name__: f for f in OPERATORS} | {"pipeline": corpus_pipeline.run}
