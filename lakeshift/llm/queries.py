@@ -14,6 +14,7 @@ from lakeshift.llm.packing import op10_nnls_packing
 from lakeshift.llm.piece_bpe import op13_piece_roundtrip
 from lakeshift.llm.quote_linking import op7_quote_linking
 from lakeshift.llm.sentence_spans import op3_sentence_spans
+from lakeshift.llm.turn_repair import op11_turn_repair
 from lakeshift.llm.url_automaton import op8_url_filter
 from lakeshift.llm.warc_bundle import op5_warc_bundles
 
@@ -28,6 +29,7 @@ OPERATORS = (
     op8_url_filter,
     op9_bpe_roundtrip,
     op10_nnls_packing,
+    op11_turn_repair,
     op12_hard_negatives,
     op13_piece_roundtrip,
 )
