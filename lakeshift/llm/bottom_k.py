@@ -13,11 +13,13 @@
 3. Short lists give all their pairs. In a long list every class meets the
    list's most central class. A pair is estimated on the sketch of its union;
    what passes is verified on the full shingle sets.
-4. Once those links have joined components, the members outside the largest
-   component of a long list meet its most central members, and, if that leaves
-   any apart, all its others, in blocks of bounded size that verify on the full
-   sets at once and give only the links that join components. Components of
-   all links give each document its class.
+4. Once those links have joined components, lists that still hold several are
+   open. Classes that share open lists form clusters; a cluster that fits into a
+   block of bounded weight is compared there once, on full sets. Of a heavy one, the
+   members outside the largest component of a list first meet its most central
+   members; what stays apart meets the others in pairs of blocks. A block gives
+   only the links that join components. Components of all links give each document
+   its class.
 
 Every link that exists between different texts thus joins its two components,
 but for sketches' odds above; no list is capped and no pair is sampled.
@@ -46,7 +48,8 @@ from lakeshift.llm.components import components, joined_roots
 
 #: Lists up to this length give all their pairs; longer ones go by their central class and in blocks.
 SHORT = 12
-BLOCK = 256
+#: Shingles of a block and of a hub's chunk, what a class counts there besides its own, and central classes of a hub.
+BLOCK_WEIGHT, HUB_WEIGHT, ROW_WEIGHT, HUBS = 1 << 20, 1 << 19, 1024, 64
 #: Values of each sketch that sort out most pairs before whole sketches meet.
 FEW = 16
 
@@ -168,82 +171,110 @@ def joining_links(percent: int):
         _, column, times = np.unique(np.concatenate(group["values"].to_list()), return_inverse=True, return_counts=True)
         row, kept = np.repeat(np.arange(len(group)), n), times[column] > 1
         used, column = np.unique(column[kept], return_inverse=True)
+        row, order = row[kept], np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
         shared = np.zeros((len(group), len(group)), dtype=np.float32)
-        for k in range(0, len(used), 16_384):  # counts below 2 ** 24 are exact in this type
-            part = (column >= k) & (column < k + 16_384)
-            holds = np.zeros((len(group), 16_384), dtype=np.float32)
-            holds[row[kept][part], column[part] - k] = 1
+        for k in range(0, len(used), 4096):  # counts below 2 ** 24 are exact in this type
+            part = slice(*np.searchsorted(column, [k, k + 4096]))
+            holds = np.zeros((len(group), 4096), dtype=np.float32)
+            holds[row[part], column[part] - k] = 1
             shared += holds @ holds.T
-        shared = shared.astype(np.int64)
-        good = 100 * shared >= percent * (n[:, None] + n[None, :] - shared)
-        a, b = np.nonzero(np.triu(good & (root[:, None] != root[None, :]), 1))
-        pairs, at = np.unique(np.minimum(root[a], root[b]) * len(group) + np.maximum(root[a], root[b]), return_index=True)
-        parent, out = list(range(len(group))), []
+        links: dict[tuple[int, int], tuple[int, int]] = {}
+        for a in range(len(group)):
+            met = shared[a, a + 1 :].astype(np.int64)
+            b = a + 1 + np.flatnonzero((100 * met >= percent * (n[a] + n[a + 1 :] - met)) & (root[a + 1 :] != root[a]))
+            for other, k in zip(*np.unique(root[b], return_index=True), strict=True):
+                links.setdefault((min(root[a], other), max(root[a], other)), (a, b[k]))
+        parent, out = list(range(int(root.max()) + 1)), []
 
         def top(x: int) -> int:
             while parent[x] != x:
                 parent[x] = x = parent[parent[x]]
             return x
 
-        for pair, k in zip(pairs.tolist(), at.tolist(), strict=True):
-            x, y = top(pair // len(group)), top(pair % len(group))
+        for (x, y), (a, b) in links.items():
+            x, y = top(x), top(y)
             if x != y:
                 parent[x] = y
-                out.append((node[a[k]], node[b[k]]))
+                out.append((node[a], node[b]))
         return pd.DataFrame(out, columns=["a", "b"])
 
     return compare
 
 
-def hub_links(listed: DataFrame, long: DataFrame, classes: DataFrame, docs: DataFrame, roots: DataFrame, stage: Stage, width: int, percent: int) -> DataFrame:
-    """Links (a, b) that join most of what is apart in long lists, at little cost.
+def weight() -> Column:
+    """What a class weighs in a block: its set, and its row of the block's table of pairs."""
+    return F.col("n") + ROW_WEIGHT
+
+
+def clusters(opened: DataFrame, stage: Stage) -> DataFrame:
+    """(node, n, v, members, cluster, heavy): classes that share open lists, directly or through others, are one cluster.
+
+    ``v`` is the longest list of the class. Few classes make up many lists, so that a
+    cluster that fits into a block is compared once, not list by list.
+    """
+    heads = opened.groupBy("v").agg(F.min("node").alias("b"))
+    ties = opened.join(heads, "v").select(F.col("node").alias("a"), "b").distinct().where("a <> b")
+    of_node = components(ties, stage, "cluster").withColumnRenamed("root", "cluster")
+    nodes = opened.groupBy("node").agg(F.first("n").alias("n"), F.max(F.struct("members", "v")).alias("home"))
+    nodes = nodes.select("node", "n", "home.v", "home.members").join(of_node, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
+    nodes = stage.write(nodes, "cluster_nodes")
+    heavy = nodes.groupBy("cluster").agg((F.sum(weight()) > BLOCK_WEIGHT).alias("heavy"))
+    return stage.write(nodes.join(heavy, "cluster"), "clusters")
+
+
+def hub_links(placed: DataFrame, sets: DataFrame, stage: Stage, percent: int) -> DataFrame:
+    """Links (a, b) that join most of what is apart in open lists of heavy clusters, at little cost.
 
     Every member outside the largest component of a list goes to the longest
     such list that it is in; there, it meets the others that came, in chunks of
     a bounded size, and the most central members of the largest component.
     What stays apart is left to ``block_links``.
     """
-    placed = open_lists(listed, long, roots, stage, "hub")
     apart = placed.where("root <> main")
-    sent = apart.groupBy("node").agg(F.max(F.struct("members", "v", "n", "root", "others")).alias("to")).select("node", "to.v", "to.n", "to.root", "to.others")
-    sent = sent.withColumn("chunks", F.ceil(F.col("others") / BLOCK).cast("int"))
-    sent = stage.write(sent.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")), "hub_sent")
+    sent = apart.groupBy("node").agg(F.max(F.struct("members", "v", "n", "root")).alias("to")).select("node", "to.v", "to.n", "to.root")
+    sent = stage.write(sent, "hub_sent")
+    chunks = sent.groupBy("v").agg(F.ceil(F.sum(weight()) / HUB_WEIGHT).cast("int").alias("chunks"))
+    sent = sent.join(chunks, "v").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     central = Window.partitionBy("v").orderBy(F.desc("centre"), "node")
-    hubs = placed.where("root = main").withColumn("nth", F.row_number().over(central)).where(F.col("nth") <= BLOCK // 4)
+    hubs = placed.where("root = main").withColumn("nth", F.row_number().over(central)).where(F.col("nth") <= HUBS)
+    so_far = F.sum(weight()).over(central.rowsBetween(Window.unboundedPreceding, -1))
+    hubs = hubs.withColumn("so_far", F.coalesce(so_far, F.lit(0))).where(F.col("so_far") < HUB_WEIGHT)
     hubs = hubs.join(sent.select("v", "chunk").distinct(), "v").select("v", "chunk", "node", "n", "root")
     met = stage.write(sent.select("v", "chunk", "node", "n", "root").union(hubs), "hub_met")
-    sets = whole_sets(met.select("node"), classes, docs, stage, "hub", width)
     found = met.join(sets, "node").groupBy("v", "chunk").applyInPandas(joining_links(percent), "a long, b long")
-    links = stage.write(found, "hub_links")
-    stage.drop("hub_sets")
-    return links
+    return stage.write(found, "hub_links")
 
 
-def block_links(listed: DataFrame, long: DataFrame, classes: DataFrame, docs: DataFrame, roots: DataFrame, stage: Stage, width: int, percent: int) -> DataFrame:
-    """Links (a, b) that join components within long lists that hold several.
+def block_links(opened: DataFrame, of_node: DataFrame, sets: DataFrame, roots: DataFrame, stage: Stage, percent: int) -> DataFrame:
+    """Links (a, b) that join components within open lists, in blocks of bounded weight with their full sets.
 
-    In each list the members outside its largest component meet all others,
-    in blocks of a bounded size with their full sets. A block's links are
-    thinned to what joins its components, so it gives fewer rows than it has
-    members, however many pairs are similar.
+    A cluster that fits is one block. A heavy one is cut by its classes' longest
+    lists and, within these, by components, so that blocks of a large component hold
+    nothing else; then two blocks meet if a list has members in both whose
+    components differ. Each two blocks meet once, however many lists they share, and
+    give fewer links than they have members, however many pairs are similar.
     """
-    placed = open_lists(listed, long, roots, stage, "block")
-    sets = whole_sets(placed.select("node"), classes, docs, stage, "block", width)
-    rest, inside = F.ceil(F.col("others") / BLOCK).cast("int"), F.ceil((F.col("members") - F.col("others")) / BLOCK).cast("int")
-    apart, place = F.col("root") != F.col("main"), F.xxhash64("node", "v")
-    dealt = placed.withColumn("i", F.when(apart, F.pmod(place, rest)).otherwise(F.pmod(place, inside)).cast("int"))
-    other = F.when(
-        apart,
-        F.concat(
-            F.transform(F.sequence(F.lit(0), rest - 1), lambda j: F.struct(F.least("i", j).alias("low"), F.greatest("i", j).alias("high"), F.lit(False).alias("mixed"))),
-            F.transform(F.sequence(F.lit(0), inside - 1), lambda j: F.struct(F.col("i").alias("low"), j.alias("high"), F.lit(True).alias("mixed"))),
-        ),
-    ).otherwise(F.transform(F.sequence(F.lit(0), rest - 1), lambda j: F.struct(j.alias("low"), F.col("i").alias("high"), F.lit(True).alias("mixed"))))
-    spread = dealt.withColumn("meets", F.explode(other)).select("v", "meets.*", "node", "n", "root").join(sets, "node")
-    found = spread.groupBy("v", "low", "high", "mixed").applyInPandas(joining_links(percent), "a long, b long")
-    links = stage.write(found, "block_links")
-    stage.drop("block_sets")
-    return links
+    nodes = of_node.join(opened.select("node").distinct(), "node", "left_semi").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    nodes = stage.write(nodes, "block_nodes")
+    of_root = nodes.where("heavy").groupBy("v", "root").agg(F.sum(weight()).alias("w"))
+    of_list = of_root.groupBy("v").agg(F.sum(F.when(F.col("w") <= BLOCK_WEIGHT, F.col("w"))).alias("rest"))
+    of_root = of_root.join(of_list, "v")
+    whole = F.col("w") <= BLOCK_WEIGHT
+    cut = F.ceil(F.when(whole, F.col("rest")).otherwise(F.col("w")) / BLOCK_WEIGHT)
+    of_root = of_root.select("v", "root", F.when(~whole, F.col("root")).alias("alone"), cut.alias("cut"))
+    placed = nodes.join(of_root, ["v", "root"], "left")
+    place = F.pmod(F.xxhash64(F.when(F.col("alone").isNull(), F.col("root")).otherwise(F.col("node"))), F.col("cut"))
+    name = F.when(F.col("heavy"), F.xxhash64("v", "alone", place)).otherwise(F.xxhash64("cluster"))  # blocks of one name would merge, to no harm
+    placed = stage.write(placed.select("node", "n", "root", name.alias("block")), "block_homes")
+    pure = placed.groupBy("block").agg(F.min("root").alias("low"), F.max("root").alias("high")).select("block", F.when(F.col("low") == F.col("high"), F.col("low")).alias("pure"))
+    there = opened.select("v", "node").join(placed.select("node", "block"), "node").select("v", "block").distinct().join(pure, "block")
+    there = stage.write(there, "block_lists")
+    two = there.withColumnsRenamed({"block": "low", "pure": "p"}).join(there.withColumnsRenamed({"block": "high", "pure": "q"}), "v")
+    two = two.where((F.col("low") <= F.col("high")) & ~F.coalesce(F.col("p") == F.col("q"), F.lit(False))).select("low", "high").distinct()
+    meets = stage.write(two.select("low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("block")), "block_meets")
+    found = meets.join(placed, "block").select("low", "high", "node", "n", "root").join(sets, "node")
+    return stage.write(found.groupBy("low", "high").applyInPandas(joining_links(percent), "a long, b long"), "block_links")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, stage: Stage, name: str, width: int, k: int, percent: int, least: int) -> DataFrame:
@@ -305,10 +336,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     pairs, long = first_pairs(listed, stage, percent)
     links = verified(pairs, classes, docs, stage, "first", width, k, percent, least)
     roots = stage.write(components(links, stage, "first_cc"), "first_roots")
-    for name, step in (("hub", hub_links), ("block", block_links)):
-        more = step(listed, long, classes, docs, roots, stage, width, percent)
+    opened = open_lists(listed, long, roots, stage, "hub")
+    if not opened.isEmpty():
+        of_node = clusters(opened, stage)
+        sets = whole_sets(opened.select("node"), classes, docs, stage, "open", width)
+        heavy = opened.join(of_node.where("heavy").select("node"), "node", "left_semi")
+        if not heavy.isEmpty():
+            more = hub_links(heavy, sets, stage, percent)
+            if not more.isEmpty():
+                roots = stage.write(joined_roots(roots, more, stage, "hub"), "hub_roots")
+                opened = open_lists(listed, long, roots, stage, "block")
+        more = block_links(opened, of_node, sets, roots, stage, percent)
         if not more.isEmpty():
-            roots = stage.write(joined_roots(roots, more, stage, name), f"{name}_roots")
+            roots = stage.write(joined_roots(roots, more, stage, "block"), "block_roots")
     ids = classes.select("digest", "node", F.col("rep").alias("first")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = stage.write(ids, "ids")
     least_ids = stage.write(ids.groupBy("root").agg(F.min("first").alias("first")), "least_ids")
