@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from lakeshift import schema as S
 from lakeshift.functions.columns import ts_lit
 from lakeshift.operators import reconcile as R
+from lakeshift.operators.ledger import open_ledger, post_increment, quarantined_counts
 from lakeshift.operators.scd2 import scd2_merge
 from lakeshift.plans.audit import expectation_suite, failure_metrics, migration_reconciliation, pipeline_metrics, source_expected_totals
 from lakeshift.operators.upsert import upsert_latest_parts
@@ -185,7 +186,7 @@ def extract_incremental(
     return read_manifest(spark, out, ", cutoff_at timestamp_ntz")
 
 
-QUARANTINED = ["source_record_id", "rejection_reason"]
+LEDGER = "source_record_id long, rejection_reason string, rows long"
 
 
 # -- X1: Bronze -> Silver -----------------------------------------------------
@@ -222,7 +223,7 @@ def bronze_to_silver_job(spark: SparkSession, bronze_run: str, silver_root: str,
     write_dataset(silver.payments_duplicates.withColumn("quarantined_at", ts), f"{q_out}/payments_duplicates")
     write_dataset(silver.settlements_invalid.withColumn("quarantined_at", ts), f"{q_out}/settlements")
     # Which source rows are not in Silver, and why: what a later merge accounts from.
-    write_dataset(flagged.filter(F.col("rejection_reason").isNotNull()).select(*QUARANTINED), f"{silver_out}/_quarantined_payments")
+    write_dataset(open_ledger(flagged), f"{silver_out}/_ledger")
     report = silver.quality_report().withColumn("run_id", F.lit(run_id)).withColumn("status", F.lit("COMPLETED"))
     write_report(report, f"{silver_out}/_quality_report")
     unstage(spark, f"silver-{run_id}")
@@ -250,8 +251,9 @@ def merge_job(spark: SparkSession, base_silver_run: str, bronze_inc_run: str, si
     payments_flagged = stage(spark, validate_payment_changes(inc["payments"], merchants), f"merge-{run_id}", "payments_flagged")
     current = payments_flagged.filter(F.col("rejection_reason").isNull()).select(*S.columns(S.PAYMENTS))
     untouched, resolved = upsert_latest_parts(base["payments"].drop("payment_date"), current, "payment_id")
+    payment_winners = stage(spark, resolved, f"merge-{run_id}", "payments_resolved")
     with_day = lambda df: df.withColumn("payment_date", F.to_date("payment_timestamp"))
-    write_dataset(with_day(untouched).unionByName(with_day(resolved).hint("rebalance", "payment_date")), f"{out}/payments", "payment_date", rebalance=False)
+    write_dataset(with_day(untouched).unionByName(with_day(payment_winners).hint("rebalance", "payment_date")), f"{out}/payments", "payment_date", rebalance=False)
     payments = read_dataset(spark, out, "payments").drop("payment_date")
 
     # Settlements: a merged base is unique per settlement id (the merge
@@ -284,10 +286,10 @@ def merge_job(spark: SparkSession, base_silver_run: str, bronze_inc_run: str, si
     write_dataset(m.payments_rejected.drop("is_latest").withColumn("quarantined_at", ts), f"{q_out}/payments")
     write_dataset(m.settlements_rejected.withColumn("quarantined_at", ts), f"{q_out}/settlements")
     write_report(m.report().withColumn("run_id", F.lit(run_id)).withColumn("status", F.lit("COMPLETED")), f"{out}/_merge_report")
-    write_dataset(quarantined_payments(spark, base_silver_run, base["payments"], current, payments, payments_flagged), f"{out}/_quarantined_payments")
-    quarantined = read_dataset(spark, out, "_quarantined_payments")
+    ledger = post_increment(read_ledger(spark, base_silver_run), base["payments"], payments_flagged, payment_winners, staged=lambda df, name: stage(spark, df, f"merge-{run_id}", name))
+    write_dataset(ledger, f"{out}/_ledger")
     write_report(
-        cumulative_quality(spark, base_silver_run, written, quarantined, settlements_checked, merchants_rejected)
+        cumulative_quality(spark, base_silver_run, written, read_ledger(spark, out), settlements_checked, merchants_rejected)
         .withColumn("run_id", F.lit(run_id))
         .withColumn("status", F.lit("COMPLETED")),
         f"{out}/_quality_report",
@@ -296,42 +298,27 @@ def merge_job(spark: SparkSession, base_silver_run: str, bronze_inc_run: str, si
     return spark.read.json(f"{out}/_merge_report")
 
 
-def quarantined_payments(spark: SparkSession, base_run: str, base: DataFrame, current: DataFrame, merged: DataFrame, flagged: DataFrame) -> DataFrame:
-    """Source rows that the merged payments do not hold, each once, with the reason.
-
-    A row of the base or of the accepted changes that newest-wins left out is a
-    duplicate, as in a full load of the combined source. A source row that was
-    quarantined before and is accepted now is not quarantined any more, and one
-    rejected now whose earlier state is still in Silver is accounted for there.
-    """
-    keys = merged.select("source_record_id")
-    lost = base.select("source_record_id").union(current.select("source_record_id")).withColumn("rejection_reason", F.lit(S.DUPLICATE_PAYMENT_ID))
-    rejected = flagged.filter(F.col("rejection_reason").isNotNull()).select(*QUARANTINED)
-    parts = [lost.withColumn("_age", F.lit(1)), rejected.withColumn("_age", F.lit(0))]
-    if path_exists(spark, f"{base_run}/_quarantined_payments"):
-        parts.append(read_dataset(spark, base_run, "_quarantined_payments").select(*QUARANTINED).withColumn("_age", F.lit(2)))
-    everything = parts[0]
-    for part in parts[1:]:
-        everything = everything.unionByName(part)
-    outside = everything.join(keys, "source_record_id", "left_anti")
-    newest = F.min(F.struct("_age", "rejection_reason"))
-    return outside.groupBy("source_record_id").agg(newest.alias("_r")).select("source_record_id", F.col("_r.rejection_reason").alias("rejection_reason"))
+def read_ledger(spark: SparkSession, run: str) -> DataFrame:
+    """A Silver run's ledger; empty for a base snapshot without history."""
+    if not path_exists(spark, f"{run}/_ledger"):
+        return spark.createDataFrame([], LEDGER)
+    return spark.read.schema(LEDGER).parquet(f"{run}/_ledger")
 
 
 def cumulative_quality(
     spark: SparkSession,
     base_run: str,
     merged: dict[str, DataFrame],
-    quarantined: DataFrame,
+    ledger: DataFrame,
     settlements_checked: DataFrame,
     merchants_rejected: DataFrame,
 ) -> DataFrame:
     """Quality report of a merged run in the Silver report's schema (Q10).
 
     Counts are cumulative over the base run and this increment; payments are
-    counted by source row (``quarantined_payments``), so raw accounting (R2)
-    also holds for merged runs, whether a change comes under a new source id
-    or in place, and the reconciliation job runs on them unchanged.
+    counted by the run's ledger, so raw accounting (R2) also holds for merged
+    runs, whether a change comes under a new source id or in place, and the
+    reconciliation job runs on them unchanged.
     """
     if path_exists(spark, f"{base_run}/_quality_report"):
         prior = spark.read.json(f"{base_run}/_quality_report").select("section", "name", F.col("value").cast("long"))
@@ -345,12 +332,10 @@ def cumulative_quality(
             (merged["payments"], "valid_rows", "payments", None, "set"),
             (merged["settlements"], "valid_rows", "settlements", None, "set"),
             (merchants_rejected, "quarantined_rows", "merchants", None, "add"),
-            (quarantined, "quarantined_rows", "payments_invalid", reason != S.DUPLICATE_PAYMENT_ID, "set"),
-            (quarantined, "quarantined_rows", "payments_duplicates", reason == S.DUPLICATE_PAYMENT_ID, "set"),
             (settlements_checked, "quarantined_rows", "settlements", reason.isNotNull(), "add"),
         ]
     )
-    combined = prior.withColumn("op", F.lit("add")).unionByName(increment)
+    combined = prior.withColumn("op", F.lit("add")).unionByName(increment).unionByName(quarantined_counts(ledger).withColumn("op", F.lit("set")))
     # "set" rows replace the prior value of their (section, name).
     replaced = combined.groupBy("section", "name").agg(
         F.max(F.when(F.col("op") == "set", 1).otherwise(0)).alias("_has_set"),

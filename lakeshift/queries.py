@@ -22,13 +22,14 @@ from lakeshift.functions.rules import present
 from lakeshift.operators import dedup as D
 from lakeshift.operators import expectations as E
 from lakeshift.operators import joins as J
+from lakeshift.operators import ledger as LG
 from lakeshift.operators import reconcile as R
 from lakeshift.operators import scd2 as H
 from lakeshift.plans import audit as AU
 from lakeshift.plans import merge as MG
 from lakeshift.sinks import manifest as MF
 from lakeshift.sources import incremental as INC
-from lakeshift.operators.upsert import upsert_latest
+from lakeshift.operators.upsert import upsert_latest_parts
 from lakeshift.plans.gold import Gold
 from lakeshift.plans.jobs import stage
 from lakeshift.plans.silver import Silver, bronze_to_silver, classify_payments, classify_settlements
@@ -98,13 +99,22 @@ class Context:
         merchants = self.staged(merchants, "merchants_merged")
         flagged = self.staged(MG.validate_payment_changes(fx.payments_inc, merchants), "payments_inc_flagged")
         current = flagged.filter(F.col("rejection_reason").isNull()).select(*S.columns(S.PAYMENTS))
-        payments = self.staged(upsert_latest(s.payments_valid, current, "payment_id", base_unique=True), "payments_merged")
+        untouched, self.resolved = upsert_latest_parts(s.payments_valid, current, "payment_id")
+        self.resolved = self.staged(self.resolved, "payments_resolved")
+        payments = self.staged(untouched.unionByName(self.resolved), "payments_merged")
         checked = self.staged(MG.validate_settlement_changes(fx.settlements_inc, payments), "settlements_inc_checked")
         candidates = checked.filter(F.col("rejection_reason").isNull()).select(*S.columns(S.SETTLEMENTS))
         settlements = self.staged(D.latest_by_key(s.settlements_valid.select(*S.columns(S.SETTLEMENTS)).unionByName(candidates), "settlement_id"), "settlements_merged")
         return MG.Merge(fx.merchants_inc, fx.payments_inc, fx.settlements_inc, merchants, s.customers_valid, flagged, payments, checked, settlements, rejected)
 
 
+    @cached_property
+    def ledger(self) -> DataFrame:
+        """The full load's ledger, the increment posted to it."""
+        merge, s = self.merge, self.silver
+        return self.staged(LG.post_increment(LG.open_ledger(s.payments_flagged), s.payments_valid, merge.payments_flagged, self.resolved, staged=self.staged), "ledger")
+
+
 # -- Silver ---------------------------------------------------------------
 @query
 def merchants_valid(spark, sf_dir):
@@ -502,6 +512,21 @@ def migration_reconciliation(spark, sf_dir):
     return finish(_migration(Context(spark, sf_dir)))
 
 
+@query
+def merged_ledger(spark, sf_dir):
+    return Context(spark, sf_dir).ledger
+
+
+@query
+def merged_reconciliation(spark, sf_dir):
+    """The migration's reconciliation after the merge, against the combined source."""
+    ctx = Context(spark, sf_dir)
+    fx, merged = ctx.fx, ctx.merge
+    source = AU.source_expected_totals(fx.payments_raw.unionByName(fx.payments_inc), merged.merchants_merged)
+    target = R.target_totals(R.reconcile(merged.payments_merged, merged.settlements_merged))
+    return finish(AU.migration_reconciliation(source, target, LG.quarantined_counts(ctx.ledger)))
+
+
 @query
 def pipeline_metrics(spark, sf_dir):
     ctx = Context(spark, sf_dir)

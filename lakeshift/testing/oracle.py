@@ -705,6 +705,33 @@ reg(
            {_d('target_valid_payment_amount')}, {_d('target_settled_amount')}, CAST(quarantined_payment_rows AS BIGINT) AS quarantined_payment_rows,
            raw_records_accounted_for, valid_payment_count_matches, valid_payment_amount_matches, status FROM migration_verdict""",
 )
+# Every source row, raw or of the increment, is in the merged Silver or in the ledger once.
+MERGED_LEDGER = """
+merged_ledger AS (
+  SELECT s.source_record_id, CASE WHEN c.rejection_reason IS NOT NULL THEN c.rejection_reason
+           WHEN i.rejection_reason IS NOT NULL THEN i.rejection_reason ELSE 'DUPLICATE_PAYMENT_ID' END AS rejection_reason, count(*) AS rows
+  FROM (SELECT source_record_id FROM payments_raw UNION ALL SELECT source_record_id FROM payments_inc) s
+  LEFT JOIN payments_checked c ON c.source_record_id = s.source_record_id
+  LEFT JOIN payments_inc_checked i ON i.source_record_id = s.source_record_id
+  WHERE s.source_record_id NOT IN (SELECT source_record_id FROM payments_merged) GROUP BY ALL
+),
+merged_source AS (
+  SELECT (SELECT count(*) FROM payments_raw) + (SELECT count(*) FROM payments_inc) AS raw_payment_count, count(*) AS expected_valid_payment_count,
+         sum(payment_amount) AS expected_valid_payment_amount
+  FROM (SELECT payment_amount, ROW_NUMBER() OVER (PARTITION BY payment_id ORDER BY updated_at DESC NULLS LAST, source_record_id DESC NULLS LAST) AS rn
+        FROM (SELECT * FROM payments_raw UNION ALL SELECT * FROM payments_inc)
+        WHERE payment_id IS NOT NULL AND trim(payment_id) <> '' AND payment_amount > 0 AND merchant_id IN (SELECT merchant_id FROM merchants_merged)) WHERE rn = 1
+),
+merged_target AS (
+  SELECT count(*) AS target_valid_payment_count, sum(payment_amount) AS target_valid_payment_amount,
+         sum((SELECT coalesce(sum(t.settlement_amount), 0) FROM settlements_merged t WHERE t.payment_id = p.payment_id)) AS target_settled_amount
+  FROM payments_merged p
+),
+merged_verdict AS (
+  SELECT *, raw_payment_count = target_valid_payment_count + quarantined_payment_rows AS raw_records_accounted_for,
+         expected_valid_payment_count = target_valid_payment_count AS valid_payment_count_matches, expected_valid_payment_amount = target_valid_payment_amount AS valid_payment_amount_matches
+  FROM merged_source, merged_target, (SELECT CAST(coalesce(sum(rows), 0) AS BIGINT) AS quarantined_payment_rows FROM merged_ledger)
+)"""
 reg(
     "pipeline_metrics",
     """SELECT 'PipelineSuccess' AS metric_name, CAST(CASE WHEN status = 'PASSED' THEN 1 ELSE 0 END AS BIGINT) AS value, 'Count' AS unit FROM migration_verdict
@@ -714,3 +741,13 @@ reg(
     UNION ALL SELECT 'ReconciliationPassed', CAST(CASE WHEN status = 'PASSED' THEN 1 ELSE 0 END AS BIGINT), 'Count' FROM migration_verdict
     UNION ALL SELECT 'QualityChecksCompleted', CAST(1 AS BIGINT), 'Count'""",
 )
+register("merged_ledger", "SELECT source_record_id, rejection_reason, rows FROM merged_ledger", [FIXTURES, SILVER, MERGE, MERGED_LEDGER])
+register(
+    "merged_reconciliation",
+    f"""SELECT raw_payment_count, expected_valid_payment_count, {_d('expected_valid_payment_amount')}, target_valid_payment_count,
+           {_d('target_valid_payment_amount')}, {_d('target_settled_amount')}, quarantined_payment_rows, raw_records_accounted_for,
+           valid_payment_count_matches, valid_payment_amount_matches,
+           CASE WHEN raw_records_accounted_for AND valid_payment_count_matches AND valid_payment_amount_matches THEN 'PASSED' ELSE 'FAILED' END AS status
+    FROM merged_verdict""",
+    [FIXTURES, SILVER, MERGE, MERGED_LEDGER],
+)
