@@ -15,8 +15,8 @@
    what passes is verified on the full shingle sets.
 4. Once those links have joined components, lists that still hold several are
    open. Classes that share open lists form clusters; a cluster that fits into a
-   block of bounded weight is compared there once, on full sets. Of a heavy one, the
-   members outside the largest component of a list first meet its most central
+   block of bounded weight is compared there once, on full sets. Of a very heavy one,
+   the members outside the largest component of a list first meet its most central
    members; what stays apart meets the others in pairs of blocks. A block gives
    only the links that join components. Components of all links give each document
    its class.
@@ -48,8 +48,9 @@ from lakeshift.llm.components import components, joined_roots
 
 #: Lists up to this length give all their pairs; longer ones go by their central class and in blocks.
 SHORT = 12
-#: Shingles of a block and of a hub's chunk, what a class counts there besides its own, and central classes of a hub.
-BLOCK_WEIGHT, HUB_WEIGHT, ROW_WEIGHT, HUBS = 1 << 20, 1 << 19, 1024, 64
+#: Shingles of a block and of a hub's chunk, what a class counts there besides its own, central classes of a hub,
+#: and blocks of a cluster from which hubs come first.
+BLOCK_WEIGHT, HUB_WEIGHT, ROW_WEIGHT, HUBS, HUB_BLOCKS = 1 << 20, 1 << 19, 1024, 64, 32
 #: Values of each sketch that sort out most pairs before whole sketches meet.
 FEW = 16
 
@@ -208,10 +209,11 @@ def weight() -> Column:
 
 
 def clusters(opened: DataFrame, stage: Stage) -> DataFrame:
-    """(node, n, v, members, cluster, heavy): classes that share open lists, directly or through others, are one cluster.
+    """(node, n, v, members, cluster, heavy, hubs): classes that share open lists, directly or through others, are one cluster.
 
     ``v`` is the longest list of the class. Few classes make up many lists, so that a
-    cluster that fits into a block is compared once, not list by list.
+    cluster that fits into a block is compared once, not list by list; ``heavy`` ones
+    don't fit, and ``hubs`` would make so many pairs of blocks that hubs come first.
     """
     heads = opened.groupBy("v").agg(F.min("node").alias("b"))
     ties = opened.join(heads, "v").select(F.col("node").alias("a"), "b").distinct().where("a <> b")
@@ -219,12 +221,13 @@ def clusters(opened: DataFrame, stage: Stage) -> DataFrame:
     nodes = opened.groupBy("node").agg(F.first("n").alias("n"), F.max(F.struct("members", "v")).alias("home"))
     nodes = nodes.select("node", "n", "home.v", "home.members").join(of_node, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
     nodes = stage.write(nodes, "cluster_nodes")
-    heavy = nodes.groupBy("cluster").agg((F.sum(weight()) > BLOCK_WEIGHT).alias("heavy"))
+    total = F.sum(weight())
+    heavy = nodes.groupBy("cluster").agg((total > BLOCK_WEIGHT).alias("heavy"), (total > HUB_BLOCKS * BLOCK_WEIGHT).alias("hubs"))
     return stage.write(nodes.join(heavy, "cluster"), "clusters")
 
 
 def hub_links(placed: DataFrame, sets: DataFrame, stage: Stage, percent: int) -> DataFrame:
-    """Links (a, b) that join most of what is apart in open lists of heavy clusters, at little cost.
+    """Links (a, b) that join most of what is apart in open lists of the heaviest clusters, at little cost.
 
     Every member outside the largest component of a list goes to the longest
     such list that it is in; there, it meets the others that came, in chunks of
@@ -340,9 +343,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     if not opened.isEmpty():
         of_node = clusters(opened, stage)
         sets = whole_sets(opened.select("node"), classes, docs, stage, "open", width)
-        heavy = opened.join(of_node.where("heavy").select("node"), "node", "left_semi")
-        if not heavy.isEmpty():
-            more = hub_links(heavy, sets, stage, percent)
+        many = of_node.where("hubs")
+        if not many.isEmpty():
+            more = hub_links(opened.join(many.select("node"), "node", "left_semi"), sets, stage, percent)
             if not more.isEmpty():
                 roots = stage.write(joined_roots(roots, more, stage, "hub"), "hub_roots")
                 opened = open_lists(listed, long, roots, stage, "block")

@@ -66,9 +66,15 @@ def _all_stars(edges: DataFrame) -> bool:
 
 
 def components(links: DataFrame, stage: Stage, name: str = "components") -> DataFrame:
-    """(node, root) of every node that the links (a, b) of whole numbers join to another; root is the smallest of its component."""
+    """(node, root) of every node that the links (a, b) of whole numbers join to another; root is the smallest of its component.
+
+    Thinned links that one task may hold at once are joined there, without rounds.
+    """
     edges, step = stage.write(_thinned(links).distinct(), f"{name}_0"), 0
-    while not _all_stars(edges):
+    few = edges.limit(LINKS_AT_ONCE).count() < LINKS_AT_ONCE
+    if few:
+        edges = stage.write(_thinned(edges.toDF("a", "b").coalesce(1)), f"{name}_all")
+    while not few and not _all_stars(edges):
         step += 1
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both, stage, f"{name}_{step}_large").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("least").alias("v")).where("u <> v").distinct()
