@@ -51,6 +51,8 @@ SHORT = 12
 #: Shingles of a block and of a hub's chunk, what a class counts there besides its own, central classes of a hub,
 #: and blocks of a cluster from which hubs come first.
 BLOCK_WEIGHT, HUB_WEIGHT, ROW_WEIGHT, HUBS, HUB_BLOCKS = 1 << 20, 1 << 19, 1024, 64, 32
+#: Bits of the map that tells which texts are needed again.
+MAP_BITS = 1 << 26
 #: Values of each sketch that sort out most pairs before whole sketches meet.
 FEW = 16
 
@@ -143,10 +145,30 @@ def first_pairs(listed: DataFrame, stage: Stage, percent: int) -> tuple[DataFram
     return pairs.distinct(), long.select("v", "members")
 
 
+def marked(docs: DataFrame, needed: DataFrame, stage: Stage, name: str) -> DataFrame:
+    """Rows of docs whose key may be needed, so that few texts are shuffled.
+
+    A bit map of fixed size holds the needed keys: MAP_BITS bits in runs of 4096
+    bytes, 8 MB in all however many keys there are, which bounds its broadcast. Rows
+    that only share a bit with a key go in the join that follows.
+    """
+
+    def bit(key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(MAP_BITS))
+
+    place = needed.select(bit(F.col("key")).alias("bit"))
+    runs = place.groupBy(F.bitmap_bucket_number("bit").alias("run")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
+    runs = stage.write(runs, f"{name}_map")
+    at = F.bitmap_bit_position("bit").cast("int")
+    byte = F.conv(F.hex(F.expr("substring(map, bitmap_bit_position(bit) div 8 + 1, 1)")), 16, 10).cast("int")
+    there = docs.withColumn("bit", bit(F.col("key"))).join(F.broadcast(runs), F.bitmap_bucket_number("bit") == F.col("run"))
+    return there.where(F.getbit(byte, at % 8) == 1).select(*docs.columns)
+
+
 def whole_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, stage: Stage, name: str, width: int, halves: bool = False) -> DataFrame:
     """(node, values): the full shingle sets of some nodes, made from their texts."""
     needed = stage.write(classes.join(nodes.distinct(), "node", "left_semi").select("node", "rep.doc_id", "rep.key"), f"{name}_needed")
-    texts = docs.select("doc_id", F.xxhash64("text").alias("key"), "text").join(needed, ["doc_id", "key"])
+    texts = marked(docs.select("doc_id", F.xxhash64("text").alias("key"), "text"), needed, stage, name).join(needed, ["doc_id", "key"])
     return stage.write(full_sets(texts, width, halves), f"{name}_sets")
 
 
