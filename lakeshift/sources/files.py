@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeshift import schema as S
@@ -21,10 +26,48 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def header_signatures(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files below ``path`` by the columns that their headers name.
+
+    Tasks open one file each and stop after its first line, so no file is read
+    whole; what comes back is a path and a line per file, as Spark's own listing
+    of the folder. Files without a line are left out.
+    """
+    own = spark.newSession()  # a file to each task
+    own.conf.set("spark.sql.files.openCostInBytes", own.conf.get("spark.sql.files.maxPartitionBytes"))
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                if batch.column("start")[0].as_py() == 0:  # not a later part of a large file
+                    yield batch.slice(0, 1)
+                return
+
+    lines = own.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value")
+    heads = lines.mapInArrow(first, "path string, start long, value string").select("path", "value").collect()
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(heads):
+        found.setdefault(tuple(next(csv.reader([row["value"]]), ())), []).append(row["path"])
+    return found
+
+
+def _by_header(names: tuple[str, ...], schema: T.StructType, file: str) -> T.StructType:
+    """The schema of files with this header: the table's columns where the header has them, text for others."""
+    missing = [c for c in schema.names if c not in names]
+    twice = sorted({c for c in names if names.count(c) > 1})
+    if missing or twice:
+        raise ValueError(f"{file}: " + "; ".join(f"{what} {', '.join(columns)}" for what, columns in (("header lacks", missing), ("header repeats", twice)) if columns))
+    return T.StructType([schema[c] if c in schema.names else T.StructField(c, T.StringType()) for c in names])
+
+
 def read_bronze(spark: SparkSession, root: str, table: str, schema: T.StructType | None = None, missing_ok: bool = False) -> DataFrame:
-    """Read one table of a Bronze run with an explicit schema.
+    """Read one table of a Bronze run by the names in its files' headers.
 
-    The table *directory* is read, so layout directories such as
+    Files whose headers name the columns in another order are read as well, in
+    one scan for each order; columns that the schema doesn't have are left out, and
+    a header that lacks one of the schema's is an error that names the file. The
+    table *directory* is the base, so layout directories such as
     ``extract_date=...`` surface as partition columns (lineage). An absent
     table yields an empty frame with the schema when ``missing_ok`` (Q7).
     """
@@ -34,7 +77,17 @@ def read_bronze(spark: SparkSession, root: str, table: str, schema: T.StructType
         if missing_ok:
             return spark.createDataFrame([], schema)
         raise FileNotFoundError(path)
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    found = header_signatures(spark, path)
+    reader = spark.read.options(**CSV_OPTIONS)
+    if not found:
+        return reader.schema(schema).csv(path)
+    out = None
+    for names, files in found.items():
+        own = _by_header(names, schema, files[0])
+        part = reader.schema(own).csv(path) if len(found) == 1 else reader.option("basePath", path).schema(own).csv(files)
+        part = part.select(*schema.names, *[c for c in part.columns if c not in own.names])
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 #: Partition column of the tables that are written by day.

@@ -14,7 +14,7 @@ from lakeshift.plans import jobs
 from lakeshift.sinks.files import write_bronze
 from lakeshift.sinks.manifest import batch_manifest, row_digest
 from lakeshift.sinks.publish import plan_publication
-from lakeshift.sources.files import read_bronze
+from lakeshift.sources.files import header_signatures, read_bronze
 from lakeshift.sources.incremental import advance_watermark
 
 T0 = datetime(2024, 1, 2, 3, 4, 5, 123456)
@@ -38,12 +38,52 @@ def test_bronze_keeps_microseconds(spark, tmp_dir):
     assert sorted(map(tuple, read_bronze(spark, tmp_dir, "merchants").collect())) == sorted(map(tuple, df.collect()))
 
 
-def test_swapped_header_is_an_error(spark, tmp_dir):
+def test_columns_are_read_by_the_names_in_the_header(spark, tmp_dir):
+    """Files of one table, each with its own order of columns, read as one; extra columns are left out."""
     df = merchants(spark, [("m1", "FOOD", T0, T0)])
-    names = [c if c not in ("state", "city") else {"state": "city", "city": "state"}[c] for c in df.columns]
-    write_bronze(df.select(*names), f"{tmp_dir}/merchants")
-    with pytest.raises(Exception, match="(?i)header|schema"):
-        read_bronze(spark, tmp_dir, "merchants").collect()
+    other = merchants(spark, [("m2", "RETAIL", T0, None), ("m3", "FOOD", T0, T0)])
+    third = merchants(spark, [("m4", "FOOD", T0, T0)])
+    write_bronze(df, f"{tmp_dir}/merchants/extract_date=2024-01-01")
+    write_bronze(other.select(*reversed(other.columns)), f"{tmp_dir}/merchants/extract_date=2024-01-02")
+    write_bronze(third.select("city", F.lit("new").alias("extra"), *[c for c in third.columns if c != "city"]), f"{tmp_dir}/merchants/extract_date=2024-01-03")
+    got = read_bronze(spark, tmp_dir, "merchants")
+    assert got.columns == [*df.columns, "extract_date"]
+    assert sorted(map(tuple, got.drop("extract_date").collect()), key=repr) == sorted(map(tuple, df.union(other).union(third).collect()), key=repr)
+    assert {r[0].isoformat(): r[1] for r in got.groupBy("extract_date").count().collect()} == {"2024-01-01": 1, "2024-01-02": 2, "2024-01-03": 1}
+
+
+def test_one_order_is_one_scan(spark, tmp_dir):
+    df = merchants(spark, [(f"m{k}", "FOOD", T0, T0) for k in range(40)])
+    write_bronze(df.select(*reversed(df.columns)), f"{tmp_dir}/merchants", 3)
+    got = read_bronze(spark, tmp_dir, "merchants")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_a_header_that_lacks_a_column_names_its_file(spark, tmp_dir):
+    df = merchants(spark, [("m1", "FOOD", T0, T0)])
+    write_bronze(df, f"{tmp_dir}/merchants/extract_date=2024-01-01")
+    write_bronze(df.drop("city"), f"{tmp_dir}/merchants/extract_date=2024-01-02")
+    with pytest.raises(ValueError, match=r"extract_date=2024-01-02/part-.*csv: header lacks city"):
+        read_bronze(spark, tmp_dir, "merchants")
+    write_bronze(df.withColumn("city ", F.lit("x")).toDF(*df.columns, "state"), f"{tmp_dir}/more/merchants")
+    with pytest.raises(ValueError, match="header repeats state"):
+        read_bronze(spark, f"{tmp_dir}/more", "merchants")
+
+
+def test_only_first_lines_are_read_for_headers(spark, tmp_dir):
+    """A quoted line break in a value, an empty file and a large file change nothing."""
+    df = merchants(spark, [(f"m{k}", "FOOD\nx", T0, T0) for k in range(30_000)])
+    write_bronze(df.coalesce(1), f"{tmp_dir}/merchants", 30_000)
+    open(f"{tmp_dir}/merchants/empty.csv", "w").close()
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")  # so that the file has many parts
+    try:
+        found = header_signatures(spark, f"{tmp_dir}/merchants")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert list(found) == [tuple(df.columns)] and [len(f) for f in found.values()] == [1]
+    assert read_bronze(spark, tmp_dir, "merchants").count() == 30_000
 
 
 def test_one_row_survives_where_ids_repeat(spark):
