@@ -30,10 +30,11 @@ from lakeshift.operators.dedup import duplicate_keys, latest_by_key
 from lakeshift.operators.joins import fits_broadcast
 from lakeshift.plans.silver import Silver, accepted, bronze_to_silver, check_payments, classify_payments, classify_settlements
 from lakeshift.session import ensure_checkpoint_dir
-from lakeshift.sinks.files import write_bronze, write_dataset, write_listing, write_report
+from lakeshift.sinks.batches import write_batches
+from lakeshift.sinks.files import write_dataset, write_listing, write_report
 from lakeshift.sinks.manifest import bronze_manifest, verify_files, verify_manifest
 from lakeshift.sources.files import path_exists, read_bronze, read_dataset
-from lakeshift.sources.incremental import STATE_COLUMNS, changes_since, latest_watermark
+from lakeshift.sources.incremental import STATE_COLUMNS, advance_watermark, changes_since, latest_watermark
 
 TABLES = ["merchants", "customers", "payments", "settlements"]
 
@@ -79,30 +80,33 @@ def _now(as_of) -> datetime:
 
 # -- X0: extraction -----------------------------------------------------------
 def extract_full(spark: SparkSession, sources: dict[str, DataFrame], bronze_root: str, run_id: str, batch_size: int = 50_000, extract_date: str | None = None) -> DataFrame:
-    """Full snapshot of each source table into Bronze CSV batches + manifest."""
+    """Full snapshot of each source table into Bronze CSV batches, ordered by key, + manifest."""
     out = run_dir(bronze_root, run_id)
     _refuse_existing(spark, out)
     extract_date = extract_date or _utc_now().date().isoformat()
     manifests, written = [], []
+    staged = lambda df, name: stage(spark, df, f"extract-{run_id}", name)
     try:
         for table, df in sources.items():
             path = f"{out}/{table}/extract_date={extract_date}"
-            n = write_bronze(df.select(*S.columns(S.ENTITIES[table]["schema"])), path, batch_size)
+            key, columns = S.ENTITIES[table]["extract_key"], S.columns(S.ENTITIES[table]["schema"])
+            batches, _, n = write_batches(df.select(*columns), path, table, key, [key], batch_size, staged)
             written.append((table, n))
-            manifests.append(bronze_manifest(spark, path, table, S.ENTITIES[table]["extract_key"]))
+            manifests.append(batches)
         manifest = manifests[0]
         for m in manifests[1:]:
             manifest = manifest.unionByName(m)
         write_listing(manifest.withColumn("run_id", F.lit(run_id)), f"{out}/_manifest")
         # Rows counted while writing, per table: what verification compares against.
         write_report(spark.createDataFrame(written, "source_table string, written_rows long"), f"{out}/_written")
+        unstage(spark, f"extract-{run_id}")
         return read_manifest(spark, out)
     except Exception:
         spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit("FAILED").alias("status")).write.mode("overwrite").json(f"{out}/_manifest_failed")
         raise
 
 
-MANIFEST = "source_table string, batch_id string, record_count long, last_source_key string, sha256 string, status string, run_id string"
+MANIFEST = "source_table string, batch_id string, batch_number long, record_count long, last_source_key string, watermark_after_batch timestamp_ntz, sha256 string, status string, run_id string"
 STATE = "source_table string, updated_at timestamp_ntz, source_key string"
 
 
@@ -143,11 +147,52 @@ def initialize_state(spark: SparkSession, sources: dict[str, DataFrame], state_r
     return read_state(spark, state_root)
 
 
+class StateClaimed(RuntimeError):
+    """Another run is extracting the next version of this state."""
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def claim_state(spark: SparkSession, state_root: str, version: int, run_id: str) -> str:
+    """Claim a state version for a run by creating one file, which only one run can do.
+
+    The claim stays beside the version that it led to. ``release_state`` gives up
+    a claim whose run has failed.
+    """
+    path = f"{state_root.rstrip('/')}/_claims/version={version}"
+    p, fs = _path(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Exception as e:
+        if fs.exists(p):
+            raise StateClaimed(f"{path} is claimed by another run; release it if that run has failed") from e
+        raise
+    out.write(bytearray(run_id.encode()))
+    out.close()
+    return path
+
+
+def release_state(spark: SparkSession, claim: str) -> None:
+    p, fs = _path(spark, claim)
+    fs.delete(p, False)
+
+
+def state_versions(spark: SparkSession, state_root: str) -> list[int]:
+    """The committed versions of a state; one whose write has not ended is none."""
+    p, fs = _path(spark, state_root.rstrip("/"))
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    done = [n for n in names if n.startswith("version=") and path_exists(spark, f"{state_root.rstrip('/')}/{n}/_SUCCESS")]
+    return sorted(int(n.removeprefix("version=")) for n in done)
+
+
 def read_state(spark: SparkSession, state_root: str) -> DataFrame:
     """Latest committed watermark state (highest ``version=`` directory)."""
-    versions = spark.read.schema(STATE).json(state_root)
-    latest = versions.agg(F.max("version")).scalar()
-    return versions.filter(F.col("version") == latest).select("source_table", "updated_at", "source_key", "version")
+    version = state_versions(spark, state_root)[-1]
+    state = spark.read.schema(STATE).json(f"{state_root.rstrip('/')}/version={version}")
+    return state.select("source_table", "updated_at", "source_key", F.lit(version).alias("version"))
 
 
 def extract_incremental(
@@ -155,35 +200,44 @@ def extract_incremental(
 ) -> DataFrame:
     """Changes since the saved watermarks, up to a fixed cutoff (X0 incremental).
 
-    Order of commits: data, then manifest, then the new state version (Q12).
-    The state has one row per table, so it is read on the driver as config.
+    The next state version is claimed before any data is written, so that of two
+    runs at a time one fails with ``StateClaimed``. Order of commits: data, then
+    manifest, then the new state version (Q12); a run that fails gives its claim
+    up. The state has one row per table, so it is read on the driver as config.
     """
     out = run_dir(bronze_root, run_id)
     _refuse_existing(spark, out)
     cutoff = cutoff or _utc_now().replace(microsecond=0)
+    version = state_versions(spark, state_root)[-1] + 1
+    claim = claim_state(spark, state_root, version, run_id)
+    try:
+        _extract_changes(spark, sources, out, run_id, state_root, version, cutoff, batch_size)
+    except Exception:
+        release_state(spark, claim)
+        raise
+    return read_manifest(spark, out, ", cutoff_at timestamp_ntz")
+
+
+def _extract_changes(spark: SparkSession, sources: dict[str, DataFrame], out: str, run_id: str, state_root: str, version: int, cutoff: datetime, batch_size: int) -> None:
     state = read_state(spark, state_root)
     marks = {r["source_table"]: (r["updated_at"], r["source_key"]) for r in state.collect()}
-    version = max([r["version"] for r in state.select("version").collect()] or [0])
+    staged = lambda df, name: stage(spark, df, f"extract-{run_id}", name)
     manifests, new_marks = [], []
     for table, df in sources.items():
         key = S.ENTITIES[table]["extract_key"]
-        changes = changes_since(df, marks.get(table), cutoff, key)
-        path = f"{out}/{table}"
-        write_bronze(changes.select(*S.columns(S.ENTITIES[table]["schema"])), path, batch_size)
-        manifests.append(bronze_manifest(spark, path, table, key))
-        new_marks.append(latest_watermark(changes, key, table))  # of the source, not of its text
+        changes = changes_since(df, marks.get(table), cutoff, key).select(*S.columns(S.ENTITIES[table]["schema"]))
+        batches, rows, _ = write_batches(changes, f"{out}/{table}", table, key, ["updated_at", key], batch_size, staged)
+        manifests.append(batches)
+        new_marks.append(latest_watermark(rows, key, table))  # of what was extracted, not of its text
     manifest = manifests[0]
     for m in manifests[1:]:
         manifest = manifest.unionByName(m)
     write_listing(manifest.withColumn("run_id", F.lit(run_id)).withColumn("cutoff_at", ts_lit(cutoff)), f"{out}/_manifest")
-    from lakeshift.sources.incremental import advance_watermark
-
     merged = new_marks[0]
     for m in new_marks[1:]:
         merged = merged.unionByName(m)
-    advanced = advance_watermark(state.select(*STATE_COLUMNS), merged)
-    write_report(advanced, f"{state_root.rstrip('/')}/version={version + 1}")
-    return read_manifest(spark, out, ", cutoff_at timestamp_ntz")
+    write_report(advance_watermark(state.select(*STATE_COLUMNS), merged), f"{state_root.rstrip('/')}/version={version}")
+    unstage(spark, f"extract-{run_id}")
 
 
 LEDGER = "source_record_id long, rejection_reason string, rows long"

@@ -27,6 +27,7 @@ from lakeshift.operators import reconcile as R
 from lakeshift.operators import scd2 as H
 from lakeshift.plans import audit as AU
 from lakeshift.plans import merge as MG
+from lakeshift.sinks import batches as BT
 from lakeshift.sinks import manifest as MF
 from lakeshift.sources import incremental as INC
 from lakeshift.operators.upsert import upsert_latest_parts
@@ -267,6 +268,15 @@ def batch_manifest(spark, sf_dir):
     return MF.batch_manifest(Fixtures.of(spark, sf_dir).payments_raw, "payments", "source_record_id", BATCH_SIZE)
 
 
+@query
+def ordered_batches(spark, sf_dir):
+    """Batches of an incremental extract: ascending by time and key, with the mark after each."""
+    ctx = Context(spark, sf_dir)
+    order = ["updated_at", "source_record_id"]
+    numbered = BT.number_batches(INC.changes_since(ctx.fx.payments_raw, None, CUTOFF, "source_record_id"), order, BATCH_SIZE, ctx.staged, "ordered_payments")
+    return BT.ordered_manifest(numbered, "payments", "source_record_id", order)
+
+
 @query
 def row_digest(spark, sf_dir):
     p = Fixtures.of(spark, sf_dir).payments_raw

@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
 from lakeshift.sources.files import CSV_OPTIONS, EXACT_TIMES
 
 
+def bronze_writer(df: DataFrame, mode: str = "errorifexists") -> DataFrameWriter:
+    """A writer of header CSV that keeps values as they are."""
+    opts = {k: v for k, v in CSV_OPTIONS.items() if k in ("header", "escape")}
+    # Keep whitespace-only values verbatim (the writer trims by default).
+    opts.update(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", **EXACT_TIMES)
+    return df.write.mode(mode).options(**opts)
+
+
 def write_bronze(df: DataFrame, path: str, batch_size: int = 50_000, mode: str = "errorifexists") -> int:
-    """Land a table as header CSV files of at most ``batch_size`` rows (K1).
+    """Land a table as header CSV files of at most ``batch_size`` rows, in no order.
 
-    A *batch* is a file: ``maxRecordsPerFile`` bounds it while every task
-    writes its own files in parallel; no global ordering is required.
+    ``maxRecordsPerFile`` bounds a file while every task writes its own files in
+    parallel; ``sinks.batches`` lands ordered, numbered batches.
     Returns the number of rows written, observed during the write itself.
     """
-    opts = {k: v for k, v in CSV_OPTIONS.items() if k in ("header", "escape")}
-    # Keep whitespace-only values verbatim (the writer trims by default).
-    opts.update(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", **EXACT_TIMES)
     obs = Observation("bronze_write")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).options(**opts).option("maxRecordsPerFile", batch_size).csv(path)
+    bronze_writer(df.observe(obs, F.count(F.lit(1)).alias("rows")), mode).option("maxRecordsPerFile", batch_size).csv(path)
     return int(obs.get["rows"])
 
 

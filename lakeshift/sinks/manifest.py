@@ -112,13 +112,22 @@ def verify_files(recorded: DataFrame, landed: DataFrame) -> DataFrame:
     return r.join(lnd, keys, "full_outer").withColumn("status", status)
 
 
-def file_name(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
+def batch_of(path: Column, table: str) -> Column:
+    """The batch that a landed file belongs to: its folder ``batch=<number>``, else the file itself."""
+    folder = F.regexp_extract(path, "/batch=([^/]+)/[^/]+$", 1)
+    return F.when(folder != "", F.concat(F.lit(f"{table}-"), folder)).otherwise(F.element_at(F.split(path, "/"), -1))
+
+
+def batch_digests(spark, path: str, table: str) -> DataFrame:
+    """(batch_id, sha256) of landed batches (K3): a file's own digest, or one of its files' digests in order."""
+    files = file_checksums(spark, path, "*.csv").select(batch_of(F.col("path"), table).alias("batch_id"), "sha256")
+    each = files.groupBy("batch_id").agg(F.sort_array(F.collect_list("sha256")).alias("each"))  # one or a few files
+    return each.select("batch_id", F.when(F.size("each") == 1, F.col("each")[0]).otherwise(F.sha2(F.array_join("each", ","), 256)).alias("sha256"))
 
 
 def bronze_manifest(spark, path: str, table: str, key: str, schema=None) -> DataFrame:
-    """Manifest of a landed Bronze table: one row per file (= batch) with its
-    record count, last key and SHA-256 (K2 + K3), all computed by executors."""
+    """Manifest of a landed Bronze table as its files are now: one row per batch
+    with its record count, last key and SHA-256 (K2 + K3), all computed by executors."""
     from lakeshift.sources.files import CSV_OPTIONS
     from lakeshift import schema as S
 
@@ -127,12 +136,11 @@ def bronze_manifest(spark, path: str, table: str, key: str, schema=None) -> Data
     options = CSV_OPTIONS | {"mode": "PERMISSIVE", "enforceSchema": "true"}
     rows = (
         spark.read.options(**options).schema(schema).csv(path)
-        .select(file_name(F.col("_metadata.file_path")).alias("batch_id"), F.col(key))
+        .select(batch_of(F.col("_metadata.file_path"), table).alias("batch_id"), F.col(key))
         .groupBy("batch_id")
         .agg(F.count(F.lit(1)).alias("record_count"), F.max(key).cast("string").alias("last_source_key"))
     )
-    sums = file_checksums(spark, path, "*.csv").select(file_name(F.col("path")).alias("batch_id"), "sha256")
     # A file without rows, as an empty task leaves, is no batch.
-    return rows.join(sums, "batch_id", "left").select(
+    return rows.join(batch_digests(spark, path, table), "batch_id", "left").select(
         F.lit(table).alias("source_table"), "batch_id", "record_count", "last_source_key", "sha256", F.lit("COMPLETED").alias("status")
     )

@@ -751,3 +751,13 @@ register(
     FROM merged_verdict""",
     [FIXTURES, SILVER, MERGE, MERGED_LEDGER],
 )
+
+register(
+    "ordered_batches",
+    f"""SELECT 'payments' AS source_table, 'payments-' || lpad(CAST(batch_number AS VARCHAR), 5, '0') AS batch_id, batch_number, count(*) AS record_count,
+           CAST(arg_max(source_record_id, place) AS VARCHAR) AS last_source_key, arg_max(updated_at, place) AS watermark_after_batch
+    FROM (SELECT source_record_id, updated_at, place, CAST((place - 1) // 1000 + 1 AS BIGINT) AS batch_number
+          FROM (SELECT source_record_id, updated_at, ROW_NUMBER() OVER (ORDER BY updated_at, source_record_id) AS place FROM payments_raw WHERE updated_at <= {CUTOFF}))
+    GROUP BY batch_number""",
+    [FIXTURES],
+)
