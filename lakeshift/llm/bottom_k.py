@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import Stage, free_names, slices, table, words_of
+from lakeshift.llm.common import SLICE_BYTES, Stage, free_names, slices, table, words_of
 from lakeshift.llm.components import components, joined_roots
 
 #: Lists up to this length give all their pairs; longer ones go by their central class and in blocks.
@@ -351,7 +351,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
 
     A component's first text is (component_id, first_key): an id with several texts may be first in several components.
     """
-    stage = Stage(docs.sparkSession, "bottom_k")
+    stage = Stage(docs.sparkSession, "bottom_k", batch_bytes=SLICE_BYTES)
     rows = stage.write(sketches(docs, width, k), "rows")
     known = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = known.groupBy("digest").agg(F.min(F.struct("doc_id", "key")).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))

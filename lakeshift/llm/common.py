@@ -34,14 +34,24 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 class Stage:
-    """Tables of one operator call, each written once and read back with its known schema."""
+    """Tables of one operator call, each written once and read back with its known schema.
 
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.folder = spark, new_folder(spark, name)
+    With ``batch_bytes``, Arrow batches that go to Python tasks of these writes hold
+    about as many bytes, for tasks whose texts or arrays are large.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, batch_bytes: int | None = None):
+        self.spark, self.folder, self.batch_bytes = spark, new_folder(spark, name), batch_bytes
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.folder}/{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        path, conf, key = f"{self.folder}/{name}", self.spark.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+        before = conf.get(key)
+        try:
+            if self.batch_bytes:
+                conf.set(key, str(self.batch_bytes))
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            conf.set(key, before)
         return self.read(path, df.schema)
 
     def read(self, path: str, schema: T.StructType) -> DataFrame:
