@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakeshift import schema as S
 from lakeshift.sinks.files import write_bronze, write_dataset
 from lakeshift.sinks.manifest import bronze_manifest, content_checksum, verify_manifest
-from lakeshift.sinks.publish import Dataset, compact, plan_publication, publish, register_table
+from lakeshift.sinks.publish import Layout, catalog_partitions, compact, plan_publication, publish, register_table
 from lakeshift.sources.files import read_bronze
 from lakeshift.sources.jdbc import hash_predicates
 from conftest import rows
@@ -68,16 +68,56 @@ def test_compaction_preserves_rows_and_prunes_partitions(spark, fx, tmp_dir):
     spark.sql("DROP TABLE pub_payments")
 
 
+def test_registration_follows_the_publication(spark, tmp_dir):
+    """A second publication under the same name: other rows, a vanished month, a new one, and one without a value."""
+
+    def write(name, rows):
+        df = spark.createDataFrame(rows, "id long, partition_year int, partition_month int")
+        df.write.partitionBy("partition_year", "partition_month").parquet(f"{tmp_dir}/{name}")
+        return register_table(spark, "moved_table", f"{tmp_dir}/{name}", df.schema, ["partition_year", "partition_month"])
+
+    try:
+        assert write("p1", [(1, 2024, 1), (2, 2024, 2), (3, 2024, 2)]) == {"added": 2, "dropped": 0, "kept": 0}
+        assert spark.table("moved_table").count() == 3
+        assert write("p2", [(k, 2024, 2) for k in range(4)] + [(9, None, 3)]) == {"added": 2, "dropped": 2, "kept": 0}
+        assert spark.table("moved_table").count() == 5 and spark.table("moved_table").where("partition_month = 1").count() == 0
+        assert [r.id for r in spark.table("moved_table").where("partition_year is null").collect()] == [9]
+        # In place: only the difference is touched.
+        spark.createDataFrame([(7,)], "id long").write.parquet(f"{tmp_dir}/p2/partition_year=2024/partition_month=5")
+        import shutil
+
+        shutil.rmtree(f"{tmp_dir}/p2/partition_year=2024/partition_month=2")
+        schema = spark.table("moved_table").schema
+        assert register_table(spark, "moved_table", f"{tmp_dir}/p2", schema, ["partition_year", "partition_month"]) == {"added": 1, "dropped": 1, "kept": 1}
+        assert sorted(r.id for r in spark.table("moved_table").collect()) == [7, 9]
+        assert register_table(spark, "moved_table", f"{tmp_dir}/p2", schema, ["partition_year", "partition_month"]) == {"added": 0, "dropped": 0, "kept": 2}
+        assert catalog_partitions(spark, "moved_table") == {("2024", "5"), (None, "3")}
+        with pytest.raises(ValueError, match="has the columns"):
+            register_table(spark, "moved_table", f"{tmp_dir}/p2", spark.range(1).schema)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS moved_table")
+
+
+def test_an_unpartitioned_table_moves(spark, tmp_dir):
+    try:
+        for name, n in (("a", 3), ("b it's", 5)):
+            spark.range(n).write.parquet(f"{tmp_dir}/{name}")
+            register_table(spark, "plain_table", f"{tmp_dir}/{name}", spark.range(1).schema)
+            assert spark.table("plain_table").count() == n
+    finally:
+        spark.sql("DROP TABLE IF EXISTS plain_table")
+
+
 def test_publish_refuses_missing_source_and_existing_target(spark, tmp_dir):
     spark.range(10).write.parquet(f"{tmp_dir}/src")
-    report = publish(spark, [Dataset(f"{tmp_dir}/src", "gold/small")], f"{tmp_dir}/published/publication_id=t")
+    report = publish(spark, {f"{tmp_dir}/src": Layout("gold/small")}, f"{tmp_dir}/published/publication_id=t")
     assert rows(report, "dataset", "records") == [("gold/small", 10)]
     assert report.collect()[0]["output_parquet_files"] == 1
     assert spark.read.json(f"{tmp_dir}/published/publication_id=t/_publication_report").count() == 1
     with pytest.raises(FileExistsError):
-        publish(spark, [Dataset(f"{tmp_dir}/src", "gold/small")], f"{tmp_dir}/published/publication_id=t")
+        publish(spark, {f"{tmp_dir}/src": Layout("gold/small")}, f"{tmp_dir}/published/publication_id=t")
     with pytest.raises(FileNotFoundError):
-        publish(spark, [Dataset(f"{tmp_dir}/nope", "x")], f"{tmp_dir}/published/publication_id=u")
+        publish(spark, {f"{tmp_dir}/nope": Layout("x")}, f"{tmp_dir}/published/publication_id=u")
 
 
 def test_planned_upload_keys_keep_published_prefix(spark, tmp_dir):
