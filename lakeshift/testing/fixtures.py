@@ -15,7 +15,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshift import schema as S
@@ -177,6 +177,13 @@ class Fixtures:
         )
 
     # -- incremental batch -------------------------------------------------
+    @cached_property
+    def id_step(self) -> Column:
+        """Lies above every source id, whatever their number: a power of ten, ten million at least."""
+        digits = F.length(F.max("source_record_id").cast("string"))
+        power = F.rpad(F.lit("1"), digits + 1, F.lit("0")).cast("long")
+        return self.payments_raw.agg(F.greatest(F.lit(10_000_000).cast("long"), power).alias("step")).scalar()
+
     @cached_property
     def payments_inc(self) -> DataFrame:
         """Three change variants of payments, produced in one pass over the
@@ -190,21 +197,21 @@ class Fixtures:
 
         amended = variant(
             k % 20 == 5,
-            source_record_id=k + 10_000_000,
+            source_record_id=k + self.id_step,
             payment_amount=(F.col("payment_amount") + 10).cast(S.MONEY),
             updated_at=plus_days("updated_at", F.when(k % 40 == 25, F.lit(-30)).otherwise(F.lit(30))),
             source_batch_id=F.lit(INC_BATCH),
         )
         fresh = variant(
             k % 100 == 50,
-            source_record_id=k + 20_000_000,
-            payment_id=F.when(k % 1000 == 350, F.lit(None).cast("string")).otherwise(padded_id("pay_", k + 20_000_000, 10)),
+            source_record_id=k + 2 * self.id_step,
+            payment_id=F.when(k % 1000 == 350, F.lit(None).cast("string")).otherwise(padded_id("pay_", k + 2 * self.id_step, 10)),
             merchant_id=F.when(k % 200 == 150, F.lit("mrc_new")).when(k % 400 == 250, F.lit("mrc_missing")).otherwise(F.col("merchant_id")),
             source_batch_id=F.lit(INC_BATCH),
         )
         in_batch_newer = variant(
             k % 200 == 45,
-            source_record_id=k + 30_000_000,
+            source_record_id=k + 3 * self.id_step,
             payment_amount=(F.col("payment_amount") + 20).cast(S.MONEY),
             updated_at=plus_days("updated_at", 60),
             source_batch_id=F.lit(INC_BATCH),
@@ -259,7 +266,7 @@ class Fixtures:
 
         amended = self.settlements_raw.filter(k % 25 == 20).select(
             *variant(
-                source_record_id=k + 10_000_000,
+                source_record_id=k + self.id_step,
                 settlement_amount=(F.col("settlement_amount") + 5).cast(S.MONEY),
                 updated_at=plus_days("updated_at", F.when(k % 50 == 45, F.lit(-30)).otherwise(F.lit(30))),
                 source_batch_id=F.lit(INC_BATCH),
@@ -267,8 +274,8 @@ class Fixtures:
         )
         later = plus_days("payment_timestamp", 20)
         fresh = self.payments_raw.filter(k % 100 == 13).select(
-            (k + 20_000_000).alias("source_record_id"),
-            F.when(k % 1000 == 213, F.lit(None).cast("string")).otherwise(padded_id("stl_", k + 20_000_000, 10)).alias("settlement_id"),
+            (k + 2 * self.id_step).alias("source_record_id"),
+            F.when(k % 1000 == 213, F.lit(None).cast("string")).otherwise(padded_id("stl_", k + 2 * self.id_step, 10)).alias("settlement_id"),
             F.when(k % 1000 == 613, F.lit("pay_unknown")).otherwise(F.col("payment_id")).alias("payment_id"),
             F.col("merchant_id"),
             F.when(k % 1000 == 413, F.lit(0).cast(S.MONEY)).otherwise(F.col("payment_amount")).alias("settlement_amount"),

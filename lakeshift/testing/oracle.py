@@ -96,21 +96,24 @@ settlements_raw AS (
   FROM payments_raw
   WHERE payment_amount > 0 AND merchant_id <> 'mrc_missing' AND source_record_id % 10 <> 3
 ),
+id_step AS (
+  SELECT GREATEST(10000000, CAST(rpad('1', CAST(length(CAST(max(source_record_id) AS VARCHAR)) + 1 AS INTEGER), '0') AS BIGINT)) AS step FROM payments_raw
+),
 payments_inc AS (
-  SELECT source_record_id + 10000000 AS source_record_id, payment_id, customer_id, merchant_id,
+  SELECT source_record_id + (SELECT step FROM id_step) AS source_record_id, payment_id, customer_id, merchant_id,
          {M.format('payment_amount + 10')} AS payment_amount, currency, payment_status, payment_timestamp, created_at,
          updated_at + {_days('CASE WHEN source_record_id % 40 = 25 THEN -30 ELSE 30 END')} AS updated_at,
          'inc_001' AS source_batch_id
   FROM payments_raw WHERE source_record_id % 20 = 5
   UNION ALL
-  SELECT source_record_id + 20000000,
-         CASE WHEN source_record_id % 1000 = 350 THEN NULL ELSE {_pad('pay_', 'source_record_id + 20000000', 10)} END,
+  SELECT source_record_id + 2 * (SELECT step FROM id_step),
+         CASE WHEN source_record_id % 1000 = 350 THEN NULL ELSE {_pad('pay_', 'source_record_id + 2 * (SELECT step FROM id_step)', 10)} END,
          customer_id,
          CASE WHEN source_record_id % 200 = 150 THEN 'mrc_new' WHEN source_record_id % 400 = 250 THEN 'mrc_missing' ELSE merchant_id END,
          payment_amount, currency, payment_status, payment_timestamp, created_at, updated_at, 'inc_001'
   FROM payments_raw WHERE source_record_id % 100 = 50
   UNION ALL
-  SELECT source_record_id + 30000000, payment_id, customer_id, merchant_id, {M.format('payment_amount + 20')},
+  SELECT source_record_id + 3 * (SELECT step FROM id_step), payment_id, customer_id, merchant_id, {M.format('payment_amount + 20')},
          currency, payment_status, payment_timestamp, created_at, updated_at + {_days('60')}, 'inc_001'
   FROM payments_raw WHERE source_record_id % 200 = 45
 ),
@@ -129,14 +132,14 @@ merchants_inc AS (
   UNION ALL SELECT NULL, 'bad', 'RETAIL', 'X', 'X', 'LOW', TIMESTAMP '1996-01-01', TIMESTAMP '1996-01-01', 'inc_001'
 ),
 settlements_inc AS (
-  SELECT source_record_id + 10000000 AS source_record_id, settlement_id, payment_id, merchant_id,
+  SELECT source_record_id + (SELECT step FROM id_step) AS source_record_id, settlement_id, payment_id, merchant_id,
          {M.format('settlement_amount + 5')} AS settlement_amount, settlement_status, settlement_timestamp, created_at,
          updated_at + {_days('CASE WHEN source_record_id % 50 = 45 THEN -30 ELSE 30 END')} AS updated_at,
          'inc_001' AS source_batch_id
   FROM settlements_raw WHERE source_record_id % 25 = 20
   UNION ALL
-  SELECT source_record_id + 20000000,
-         CASE WHEN source_record_id % 1000 = 213 THEN NULL ELSE {_pad('stl_', 'source_record_id + 20000000', 10)} END,
+  SELECT source_record_id + 2 * (SELECT step FROM id_step),
+         CASE WHEN source_record_id % 1000 = 213 THEN NULL ELSE {_pad('stl_', 'source_record_id + 2 * (SELECT step FROM id_step)', 10)} END,
          CASE WHEN source_record_id % 1000 = 613 THEN 'pay_unknown' ELSE payment_id END,
          merchant_id,
          CASE WHEN source_record_id % 1000 = 413 THEN {M.format('0')} ELSE payment_amount END,
@@ -352,24 +355,23 @@ scd2_latest_changes AS (
   ) WHERE rn = 1
 ),
 scd2_changed AS (
-  SELECT c.merchant_id, COALESCE(n.updated_at, n.created_at) AS new_effective_from,
-         {", ".join(f"n.{t}" for t in _TRACKED)}, n.created_at, n.updated_at, n.source_batch_id,
-         c.scd_version AS prior_scd_version
+  SELECT c.merchant_id, c.scd_version AS superseded_version, c.effective_from AS valid_since, COALESCE(n.updated_at, n.created_at) AS superseded_at,
+         concat_ws(',', {", ".join(f"CASE WHEN c.{t} IS DISTINCT FROM n.{t} THEN '{t}' END" for t in _TRACKED)}) AS changed_columns
   FROM scd2_base c JOIN scd2_latest_changes n ON c.merchant_id = n.merchant_id
   WHERE c.is_current AND ({" OR ".join(f"c.{t} IS DISTINCT FROM n.{t}" for t in _TRACKED)})
     AND COALESCE(n.updated_at, n.created_at) > c.effective_from
 ),
 scd2_closed_all AS (
   SELECT {", ".join("b." + c.strip() for c in MRC_COLS.split(","))}, b.effective_from,
-         CASE WHEN b.is_current AND x.new_effective_from IS NOT NULL THEN x.new_effective_from ELSE b.effective_to END AS effective_to,
-         CASE WHEN b.is_current AND x.new_effective_from IS NOT NULL THEN FALSE ELSE b.is_current END AS is_current,
+         CASE WHEN b.is_current AND x.superseded_at IS NOT NULL THEN x.superseded_at ELSE b.effective_to END AS effective_to,
+         CASE WHEN b.is_current AND x.superseded_at IS NOT NULL THEN FALSE ELSE b.is_current END AS is_current,
          b.scd_version
   FROM scd2_base b LEFT JOIN scd2_changed x ON b.merchant_id = x.merchant_id
 ),
 scd2_opened AS (
-  SELECT {MRC_COLS}, new_effective_from AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current,
-         CAST(prior_scd_version + 1 AS INTEGER) AS scd_version
-  FROM scd2_changed
+  SELECT {", ".join("n." + c.strip() for c in MRC_COLS.split(","))}, x.superseded_at AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current,
+         CAST(x.superseded_version + 1 AS INTEGER) AS scd_version
+  FROM scd2_changed x JOIN scd2_latest_changes n ON n.merchant_id = x.merchant_id
 ),
 scd2_merged AS (SELECT {HIST_COLS} FROM scd2_closed_all UNION ALL SELECT {HIST_COLS} FROM scd2_opened),
 scd2_inserts AS (

@@ -32,3 +32,14 @@ def test_silver_and_merge_anchors(fx):
     assert m.payments_merged.count() == 1478 and m.settlements_merged.count() == 1328 and m.merchants_merged.count() == 11
     assert m.payments_merged.agg(F.sum("payment_amount")).collect()[0][0] == Decimal("370310325.13")
     assert m.settlements_merged.agg(F.sum("settlement_amount")).collect()[0][0] == Decimal("333033163.55")
+
+
+def test_ids_of_the_increment_never_meet_those_of_the_base(spark):
+    from lakeshift.testing.fixtures import Fixtures
+
+    large = Fixtures.__new__(Fixtures)
+    large.spark = spark
+    for top, step in ((5, 10_000_000), (9_999_999, 10_000_000), (10_000_000, 100_000_000), (123_456_789, 1_000_000_000)):
+        large.__dict__.pop("id_step", None)
+        large.__dict__["payments_raw"] = spark.createDataFrame([(1,), (top,)], "source_record_id long")
+        assert spark.range(1).select(large.id_step.alias("s")).first()["s"] == step > top
