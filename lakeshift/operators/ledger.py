@@ -36,7 +36,8 @@ def open_ledger(flagged: DataFrame) -> DataFrame:
     return rejected.groupBy("source_record_id", "rejection_reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _small(keys: DataFrame) -> DataFrame:
+def small(keys: DataFrame) -> DataFrame:
+    """Keys to join with, broadcast where their measured size allows it."""
     return F.broadcast(keys) if fits_broadcast(keys) else keys
 
 
@@ -48,8 +49,8 @@ def touched_rows(base: DataFrame, accepted: DataFrame, increment: DataFrame, key
     """
     keys = accepted.select(F.col(key).alias("_key")).distinct().withColumn("_competes", F.lit(True))
     ids = increment.select(F.col("source_record_id").alias("_id")).where("_id is not null").distinct().withColumn("_named", F.lit(True))
-    rows = base.select(key, "source_record_id").join(_small(keys), F.col(key) == F.col("_key"), "left")
-    rows = rows.join(_small(ids), F.col("source_record_id") == F.col("_id"), "left")
+    rows = base.select(key, "source_record_id").join(small(keys), F.col(key) == F.col("_key"), "left")
+    rows = rows.join(small(ids), F.col("source_record_id") == F.col("_id"), "left")
     competes = F.coalesce("_competes", F.lit(False))
     return rows.where(competes | F.coalesce("_named", F.lit(False))).select("source_record_id", competes.alias("competes"))
 
@@ -67,8 +68,8 @@ def post_increment(
     there = staged(touched_rows(base, accepted, flagged, key), "ledger_touched")
     ids = there.select("source_record_id").union(flagged.select("source_record_id")).where("source_record_id is not null").distinct()
     ids = staged(ids, "ledger_ids")
-    known = ledger.join(_small(ids), "source_record_id", "left_semi").select(*COLUMNS)
-    carried = ledger.join(_small(ids), "source_record_id", "left_anti").select(*COLUMNS)
+    known = ledger.join(small(ids), "source_record_id", "left_semi").select(*COLUMNS)
+    carried = ledger.join(small(ids), "source_record_id", "left_anti").select(*COLUMNS)
 
     def posted(rows: DataFrame, age: int | None, reason, n=F.lit(1), **counts) -> DataFrame:
         """Rows with what each adds to its id's counts, and to the rows of one age and reason."""

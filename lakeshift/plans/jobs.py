@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from lakeshift import schema as S
 from lakeshift.functions.columns import ts_lit
 from lakeshift.operators import reconcile as R
-from lakeshift.operators.ledger import open_ledger, post_increment, quarantined_counts
+from lakeshift.operators.ledger import open_ledger, post_increment, quarantined_counts, small
 from lakeshift.operators.scd2 import scd2_merge
 from lakeshift.plans.audit import expectation_suite, failure_metrics, migration_reconciliation, pipeline_metrics, source_expected_totals
 from lakeshift.operators.upsert import upsert_latest_parts
@@ -31,7 +31,7 @@ from lakeshift.operators.joins import fits_broadcast
 from lakeshift.plans.silver import Silver, accepted, bronze_to_silver, check_payments, classify_payments, classify_settlements
 from lakeshift.session import ensure_checkpoint_dir
 from lakeshift.sinks.batches import write_batches
-from lakeshift.sinks.files import write_dataset, write_listing, write_report
+from lakeshift.sinks.files import write_dataset, write_days, write_listing, write_report
 from lakeshift.sinks.manifest import bronze_manifest, verify_files, verify_manifest
 from lakeshift.sources.files import path_exists, read_bronze, read_dataset
 from lakeshift.sources.incremental import STATE_COLUMNS, advance_watermark, changes_since, latest_watermark
@@ -300,29 +300,26 @@ def merge_job(spark: SparkSession, base_silver_run: str, bronze_inc_run: str, si
     write_dataset(base["customers"], f"{out}/customers")
 
     # Silver payments are unique per id: only changed keys are re-ranked, and
-    # untouched rows keep the base's day layout (no rebalance shuffle of the
-    # whole snapshot; only the small re-ranked part is rebalanced).
+    # only the days of their rows, old and new, are written again.
     payments_flagged = stage(spark, validate_payment_changes(inc["payments"], merchants), f"merge-{run_id}", "payments_flagged")
     current = payments_flagged.filter(F.col("rejection_reason").isNull()).select(*S.columns(S.PAYMENTS))
-    untouched, resolved = upsert_latest_parts(base["payments"].drop("payment_date"), current, "payment_id")
-    payment_winners = stage(spark, resolved, f"merge-{run_id}", "payments_resolved")
-    with_day = lambda df: df.withColumn("payment_date", F.to_date("payment_timestamp"))
-    write_dataset(with_day(untouched).unionByName(with_day(payment_winners).hint("rebalance", "payment_date")), f"{out}/payments", "payment_date", rebalance=False)
+    payment_winners = stage(spark, upsert_latest_parts(base["payments"].drop("payment_date"), current, "payment_id")[1], f"merge-{run_id}", "payments_resolved")
+    _merge_days(base["payments"], payment_winners, "payment_id", "payment_timestamp", "payment_date", f"{base_silver_run}/payments", f"{out}/payments")
     payments = read_dataset(spark, out, "payments").drop("payment_date")
 
     # Settlements: a merged base is unique per settlement id (the merge
-    # deduplicates), so only changed ids are re-ranked, as for payments. A
-    # full-load base is not guaranteed unique (Q3): the whole union is
-    # re-ranked (one shuffle), then rebalanced by day.
+    # deduplicates), so it goes by days as well. A full-load base is not
+    # guaranteed unique (Q3): the whole union is re-ranked (one shuffle), then
+    # rebalanced by day.
     settlements_checked = stage(spark, validate_settlement_changes(inc["settlements"], payments), f"merge-{run_id}", "settlements_checked")
     candidates = settlements_checked.filter(F.col("rejection_reason").isNull()).select(*S.columns(S.SETTLEMENTS))
     base_settlements = base["settlements"].drop("settlement_date")
-    stl_day = lambda df: df.withColumn("settlement_date", F.to_date("settlement_timestamp"))
     if path_exists(spark, f"{base_silver_run}/_merge_report"):
-        untouched, resolved = upsert_latest_parts(base_settlements, candidates, "settlement_id")
-        write_dataset(stl_day(untouched).unionByName(stl_day(resolved).hint("rebalance", "settlement_date")), f"{out}/settlements", "settlement_date", rebalance=False)
+        winners = stage(spark, upsert_latest_parts(base_settlements, candidates, "settlement_id")[1], f"merge-{run_id}", "settlements_resolved")
+        _merge_days(base["settlements"], winners, "settlement_id", "settlement_timestamp", "settlement_date", f"{base_silver_run}/settlements", f"{out}/settlements")
     else:
-        write_dataset(stl_day(latest_by_key(base_settlements.unionByName(candidates), "settlement_id")), f"{out}/settlements", "settlement_date")
+        merged = latest_by_key(base_settlements.unionByName(candidates), "settlement_id")
+        write_dataset(merged.withColumn("settlement_date", F.to_date("settlement_timestamp")), f"{out}/settlements", "settlement_date")
 
     # Each written dataset is listed once (day partitions make listing the
     # dominant cost of small runs); the reports reuse these frames.
@@ -352,6 +349,22 @@ def merge_job(spark: SparkSession, base_silver_run: str, bronze_inc_run: str, si
     return spark.read.json(f"{out}/_merge_report")
 
 
+def _merge_days(base: DataFrame, winners: DataFrame, key: str, time: str, day: str, base_path: str, path: str) -> None:
+    """The merged dataset: days that hold a changed key, before or after, written
+    anew from the base's rows of those days; for all others the base's folders.
+
+    The base's keys and days are read beside the winners' keys; its other columns
+    only in the touched days. A day is a partition, so their list is small.
+    """
+    winners = winners.withColumn(day, F.to_date(time))
+    keys = small(winners.select(key))
+    before = base.select(key, day).join(keys, key, "left_semi").select(day)
+    days = {r[0] for r in before.union(winners.select(day)).distinct().collect()}
+    there = F.col(day).isin([d for d in days if d is not None])
+    kept = base.where(F.coalesce(there, F.lit(None in days))).join(keys, key, "left_anti").select(*base.columns)
+    write_days(kept.unionByName(winners.hint("rebalance", day)), path, day, days, base_path)
+
+
 def read_ledger(spark: SparkSession, run: str) -> DataFrame:
     """A Silver run's ledger; empty for a base snapshot without history."""
     if not path_exists(spark, f"{run}/_ledger"):

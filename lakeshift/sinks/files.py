@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
-from lakeshift.sources.files import CSV_OPTIONS, EXACT_TIMES
+from lakeshift.sources.files import CSV_OPTIONS, EXACT_TIMES, PARTS, part_folders
 
 
 def bronze_writer(df: DataFrame, mode: str = "errorifexists") -> DataFrameWriter:
@@ -56,6 +56,20 @@ def write_dataset(
     writer.parquet(path)
 
 
+def write_days(df: DataFrame, path: str, column: str, days: set, base: str) -> None:
+    """A dataset that holds ``days`` itself and refers to ``base`` for all others.
+
+    ``df`` has those days' rows, laid out as they shall be written; ``base`` is a
+    dataset partitioned by ``column``, and stays as it is.
+    """
+    spark = df.sparkSession
+    write_dataset(df, path, column, rebalance=False)
+    own = {(None if d is None else str(d),) for d in days}
+    folders = {k: v for k, v in part_folders(spark, base, [column]).items() if k not in own} | part_folders(spark, path, [column])
+    rows = [(list(k), v) for k, v in sorted(folders.items(), key=str)]
+    write_report(spark.createDataFrame(rows, "part array<string>, folder string"), f"{path}/{PARTS}")
+
+
 def write_report(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """JSON report of an already-aggregated (small) DataFrame, one file."""
     df.coalesce(1).write.mode(mode).options(ignoreNullFields="false", **EXACT_TIMES).json(path)

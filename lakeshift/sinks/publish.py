@@ -9,13 +9,12 @@ never lands in a single task and small tables still become one file.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshift.operators.reconcile import month_partitions
-from lakeshift.sources.files import path_exists
+from lakeshift.sources.files import PARTS, part_folders, path_exists, read_dataset, unescaped
 
 
 @dataclass(frozen=True)
@@ -66,8 +65,11 @@ def compact(
 
 
 def parquet_files(spark: SparkSession, path: str) -> int:
-    """How many Parquet files a folder holds; the listing stays on the executors."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    """How many Parquet files a dataset holds; the listing stays on the executors."""
+    folders = sorted(part_folders(spark, path).values()) if path_exists(spark, f"{path}/{PARTS}") else [path]
+    if not folders:
+        return 0
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(folders)
     return files.select("path").count()
 
 
@@ -82,7 +84,7 @@ def publish(spark: SparkSession, bundle: Bundle, root: str, max_records_per_file
     rows = []
     for source, layout in bundle.items():
         target = f"{root.rstrip('/')}/{layout.below}"
-        n = compact(spark.read.parquet(source), target, layout.month_of, layout.values_of, max_records_per_file)
+        n = compact(read_dataset(spark, *source.rstrip("/").rsplit("/", 1)), target, layout.month_of, layout.values_of, max_records_per_file)
         rows.append((layout.below, n, parquet_files(spark, source), parquet_files(spark, target)))
     report = spark.createDataFrame(rows, "dataset string, records long, input_parquet_files long, output_parquet_files long")
     report.coalesce(1).write.mode("errorifexists").json(f"{root.rstrip('/')}/_publication_report")
@@ -97,32 +99,15 @@ def _partition_sql(spec: dict[str, str | None]) -> str:
     return "PARTITION (" + ", ".join(f"`{c}` = {'null' if v is None else _literal(v)}" for c, v in spec.items()) + ")"
 
 
-def _unescaped(text: str) -> str | None:
-    """A partition value from its folder's or the catalog's name."""
-    value = unquote(text)
-    return None if value in ("__HIVE_DEFAULT_PARTITION__", "null") else value
-
-
-def partition_folders(spark: SparkSession, path: str, columns: list[str]) -> dict[tuple, str]:
-    """The partitions below ``path`` as {values: folder}; one listing of the folders, none of their files."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "".join(f"/{c}=*" for c in columns))
-    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p) or []
-    out = {}
-    for status in found:
-        folder = status.getPath().toString()
-        parts = [x.partition("=") for x in folder.split("/")[-len(columns) :]]
-        out[tuple(_unescaped(v) for _, _, v in parts)] = folder
-    return out
-
-
 def catalog_partitions(spark: SparkSession, name: str) -> set[tuple]:
     rows = spark.sql(f"SHOW PARTITIONS {name}").collect()
-    return {tuple(_unescaped(x.partition("=")[2]) for x in r[0].split("/")) for r in rows}
+    return {tuple(unescaped(x.partition("=")[2]) for x in r[0].split("/")) for r in rows}
 
 
 def register_table(spark: SparkSession, name: str, path: str, df_schema, partition_columns: list[str] | None = None) -> dict[str, int]:
     """External Parquet table over a publication (K13), by the difference to what the catalog has.
 
+    ``path`` may be a merged run's dataset, whose days lie in several runs' folders.
     A table of that name is moved to ``path`` and keeps its name and schema (another
     schema is an error). Its catalog partitions are compared with the folders below
     ``path``: new ones are added, vanished ones dropped, and where the table moves
@@ -146,7 +131,7 @@ def register_table(spark: SparkSession, name: str, path: str, df_schema, partiti
         spark.sql(f"ALTER TABLE {name} SET LOCATION {_literal(place)}")
     changes = {"added": 0, "dropped": 0, "kept": 0}
     if parts:
-        there, folders = (catalog_partitions(spark, name) if known else set()), partition_folders(spark, place, parts)
+        there, folders = (catalog_partitions(spark, name) if known else set()), part_folders(spark, place, parts)
         gone = there if moved else there - folders.keys()
         new = folders.keys() if moved else folders.keys() - there
         for k, values in enumerate((sorted(gone, key=str), sorted(new, key=str))):

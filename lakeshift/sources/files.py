@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -94,18 +95,56 @@ def read_bronze(spark: SparkSession, root: str, table: str, schema: T.StructType
 DAYS = {"payments": "payment_date", "settlements": "settlement_date"}
 
 
+#: Below a dataset that refers to other runs' folders: which partition lies where.
+PARTS = "_parts"
+
+
+def unescaped(text: str) -> str | None:
+    """A partition value from its folder's or the catalog's name."""
+    value = unquote(text)
+    return None if value in ("__HIVE_DEFAULT_PARTITION__", "null") else value
+
+
+def part_folders(spark: SparkSession, path: str, columns: list[str] | None = None) -> dict[tuple, str]:
+    """The partitions of a dataset as {values: folder}: what it refers to, else the folders below it.
+
+    One listing of folders, none of their files.
+    """
+    path = path.rstrip("/")
+    if _exists(spark, f"{path}/{PARTS}"):
+        return {tuple(r["part"]): r["folder"] for r in spark.read.schema("part array<string>, folder string").json(f"{path}/{PARTS}").collect()}
+    p = spark._jvm.org.apache.hadoop.fs.Path(path + "".join(f"/{c}=*" for c in columns))
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p) or []
+    out = {}
+    for status in found:
+        folder = status.getPath().toString()
+        out[tuple(unescaped(x.partition("=")[2]) for x in folder.split("/")[-len(columns) :])] = folder
+    return out
+
+
 def read_dataset(spark: SparkSession, root: str, name: str | None = None, schema: T.StructType | None = None) -> DataFrame:
     """Parquet dataset with Hive-style partition discovery.
 
     An empty partitioned table has no file to take a schema from, so it needs
-    ``schema``; the entities' tables have theirs.
+    ``schema``; the entities' tables have theirs. A dataset that refers to folders
+    of other runs (``PARTS``) is read from there, one scan for each run.
     """
     if schema is None and name in S.ENTITIES:
         schema = S.ENTITIES[name]["schema"]
         if name in DAYS:
             schema = T.StructType([*schema.fields, T.StructField(DAYS[name], T.DateType())])
     reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(f"{root.rstrip('/')}/{name}" if name else root)
+    path = f"{root.rstrip('/')}/{name}" if name else root.rstrip("/")
+    if not _exists(spark, f"{path}/{PARTS}"):
+        return reader.parquet(path)
+    runs: dict[str, list[str]] = {}
+    for values, folder in part_folders(spark, path).items():
+        runs.setdefault("/".join(folder.split("/")[: -len(values)]), []).append(folder)
+    out = None
+    for base, folders in sorted(runs.items()):
+        part = reader.option("basePath", base).parquet(*sorted(folders))
+        out = part if out is None else out.unionByName(part)
+    return spark.createDataFrame([], schema) if out is None else out
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakeshift.plans import jobs
 from lakeshift.sinks.files import write_bronze
 from lakeshift.sinks.publish import publish
+from lakeshift.sources.files import read_dataset
 
 
 @pytest.fixture(scope="module")
@@ -53,7 +54,7 @@ def test_incremental_merge_scd2_and_publish(migrated, spark, fx):
     report = jobs.merge_job(spark, f"{root}/silver/run_id=r1", inc, f"{root}/silver", f"{root}/quarantine", "m1")
     r = {(x["section"], x["name"]): x["value"] for x in report.collect()}
     assert r[("merged_rows", "payments")] == 1478 and r[("merged_rows", "settlements")] == 1328 and r[("merged_rows", "merchants")] == 11
-    merged = spark.read.parquet(f"{root}/silver/run_id=m1/payments")
+    merged = read_dataset(spark, f"{root}/silver/run_id=m1", "payments")
     assert merged.filter(F.col("source_record_id") >= 10_000_000).count() == 45
     # Q10: a merged run carries a cumulative quality report, so the same
     # reconciliation runs on it against the combined source and passes.
