@@ -23,6 +23,7 @@ from lakeshift.operators import dedup as D
 from lakeshift.operators import expectations as E
 from lakeshift.operators import joins as J
 from lakeshift.operators import ledger as LG
+from lakeshift.operators import range_digests as RD
 from lakeshift.operators import reconcile as R
 from lakeshift.operators import scd2 as H
 from lakeshift.plans import audit as AU
@@ -283,6 +284,22 @@ def row_digest(spark, sf_dir):
     return p.select("source_record_id", MF.row_digest(p).alias("row_digest"))
 
 
+@query
+def content_checksum(spark, sf_dir):
+    """A fingerprint of the payments of each status, whatever their order and layout."""
+    return finish(MF.content_checksum(Fixtures.of(spark, sf_dir).payments_raw, ["payment_status"]))
+
+
+LEAF = 16
+
+
+@query
+def differing_key_ranges(spark, sf_dir):
+    """Key ranges in which Silver's payments differ from the source's."""
+    ctx = Context(spark, sf_dir)
+    return RD.differing_ranges(ctx.fx.payments_raw, ctx.silver.payments_valid, "source_record_id", LEAF, ctx.staged, S.columns(S.PAYMENTS), fanout=8)
+
+
 @query
 def verify_manifest(spark, sf_dir):
     ctx = Context(spark, sf_dir)

@@ -57,15 +57,18 @@ def row_digest(df: DataFrame, columns: list[str] | None = None) -> Column:
     return F.sha2(canonical_row(df, columns), 256)
 
 
+def digest_folds(df: DataFrame, columns: list[str] | None = None) -> list[Column]:
+    """Row count, XOR and sum of 60-bit digest prefixes: folds in any order, which also combine."""
+    h = F.conv(F.substring(row_digest(df, columns), 1, 15), 16, 10).cast("long")
+    return [F.count(F.lit(1)).alias("record_count"), F.bit_xor(h).alias("digest_xor"), F.sum(h.cast("decimal(38,0)")).alias("digest_sum")]
+
+
 def content_checksum(df: DataFrame, group: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
-    """Order-free content fingerprint: row count + XOR / sum of 60-bit digest prefixes.
+    """Order-free content fingerprint (``digest_folds``) of a table or of each group.
 
-    Both folds are commutative, so the result is independent of partitioning
-    and file layout, and computed with a partial aggregate.
+    It is independent of partitioning and file layout, and computed with a partial aggregate.
     """
-    h = F.conv(F.substring(row_digest(df, columns), 1, 15), 16, 10).cast("long")
-    agg = [F.count(F.lit(1)).alias("record_count"), F.bit_xor(h).alias("digest_xor"), F.sum(h.cast("decimal(38,0)")).alias("digest_sum")]
-    return df.groupBy(*(group or [])).agg(*agg)
+    return df.groupBy(*(group or [])).agg(*digest_folds(df, columns))
 
 
 def file_checksums(spark, path: str, glob: str | None = None) -> DataFrame:

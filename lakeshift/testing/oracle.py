@@ -763,3 +763,19 @@ register(
     GROUP BY batch_number""",
     [FIXTURES],
 )
+
+_HASH = f"CAST('0x' || substr(sha256({_canon}), 1, 15) AS BIGINT)"
+register(
+    "content_checksum",
+    f"""SELECT payment_status, count(*) AS record_count, bit_xor(h) AS digest_xor, CAST(sum(h) AS DOUBLE) AS digest_sum
+    FROM (SELECT payment_status, {_HASH} AS h FROM payments_raw) GROUP BY payment_status""",
+    [FIXTURES],
+)
+register(
+    "differing_key_ranges",
+    f"""SELECT 16 * coalesce(a.leaf, b.leaf) AS low_key, 16 * coalesce(a.leaf, b.leaf) + 15 AS high_key, coalesce(a.n, 0) AS left_rows, coalesce(b.n, 0) AS right_rows
+    FROM (SELECT source_record_id // 16 AS leaf, count(*) AS n, list_sort(list({_HASH})) AS rows FROM payments_raw GROUP BY 1) a
+    FULL JOIN (SELECT source_record_id // 16 AS leaf, count(*) AS n, list_sort(list({_HASH})) AS rows FROM payments_valid GROUP BY 1) b ON a.leaf = b.leaf
+    WHERE a.rows IS DISTINCT FROM b.rows""",
+    [FIXTURES, SILVER],
+)
