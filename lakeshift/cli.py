@@ -30,7 +30,7 @@ def _sources(spark, args, tables):
 
         props = {"user": args.jdbc_user or "", "password": args.jdbc_password or ""}
         return {
-            t: read_table(spark, args.jdbc_url, t, ENTITIES[t]["extract_key"], args.partitions, props, numeric_key=ENTITIES[t]["extract_key"] == "source_record_id")
+            t: read_table(spark, args.jdbc_url, t, ENTITIES[t]["extract_key"], args.partitions, props, dense_key=ENTITIES[t]["extract_key"] == "source_record_id")
             for t in tables
         }
     return {t: spark.read.parquet(f"{args.source_dir.rstrip('/')}/{t}") for t in tables}

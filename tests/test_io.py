@@ -10,7 +10,7 @@ from lakeshift.sinks.files import write_bronze, write_dataset
 from lakeshift.sinks.manifest import bronze_manifest, content_checksum, verify_manifest
 from lakeshift.sinks.publish import Layout, catalog_partitions, compact, plan_publication, publish, register_table
 from lakeshift.sources.files import read_bronze
-from lakeshift.sources.jdbc import hash_predicates
+from lakeshift.sources.jdbc import key_borders, range_predicates
 from conftest import rows
 
 T0 = datetime(2024, 1, 1)
@@ -131,9 +131,39 @@ def test_planned_upload_keys_keep_published_prefix(spark, tmp_dir):
     assert [tuple(r) for r in got] == [("project-prefix/published/publication_id=test/silver/payments/part-00000.parquet", 12)]
 
 
-def test_hash_predicates_cover_every_row():
-    preds = hash_predicates("merchant_id", 4)
-    assert len(preds) == 4 and "IS NULL" in preds[0] and all("mod(" in p for p in preds)
+def ranges(df, key, parts, **kw):
+    """Rows of each range of ``key_borders``; together all rows, each once."""
+    preds = range_predicates(key, key_borders(df, key, parts, **kw))
+    out = [df.where(F.expr(p)) for p in preds]
+    assert sum(d.count() for d in out) == df.count() and len(preds) <= parts
+    return [d.count() for d in out]
+
+
+def test_key_ranges_hold_about_as_many_rows_each(spark, fx, tmp_dir):
+    fx.payments_raw.select("payment_id", "merchant_id", "source_record_id").write.parquet(f"{tmp_dir}/p")
+    df = spark.read.parquet(f"{tmp_dir}/p")
+    for key in ("payment_id", "source_record_id"):
+        sizes = ranges(df, key, 8)
+        assert len(sizes) == 8 and max(sizes) <= 1.2 * 1500 / 8 + 1
+    sizes = ranges(df, "source_record_id", 8, sample=200)  # a bounded sample of the keys
+    assert len(sizes) == 8 and max(sizes) < 2 * 1500 / 8
+    sparse = df.selectExpr("CASE WHEN source_record_id < 1000 THEN source_record_id ELSE source_record_id * 1000000000 END AS k")
+    assert max(ranges(sparse, "k", 5)) <= 1.2 * 1500 / 5
+
+
+def test_a_key_with_a_third_of_the_rows_is_a_range_of_its_own(spark):
+    df = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot''s' WHEN id % 100 = 1 THEN NULL ELSE concat('k', id) END AS k")
+    preds = range_predicates("k", key_borders(df, "k", 6))
+    own = [p for p in preds if df.where(F.expr(p)).where("k = 'hot''s'").count()]
+    assert len(own) == 1 and df.where(F.expr(own[0])).where("k IS NOT NULL").count() == 1000
+    ranges(df, "k", 6)
+
+
+def test_key_ranges_of_few_or_no_keys(spark):
+    df = spark.range(10).selectExpr("id % 2 AS k")
+    assert sorted(ranges(df, "k", 8)) == [5, 5]
+    assert ranges(df.where("k > 5"), "k", 8) == [0] and ranges(df.selectExpr("CAST(NULL AS long) AS k"), "k", 8) == [10]
+    assert range_predicates("k", ["a'b", "c"], '{key} COLLATE "C"') == ["k COLLATE \"C\" < 'a''b' OR k IS NULL", "k COLLATE \"C\" >= 'a''b' AND k COLLATE \"C\" < 'c'", "k COLLATE \"C\" >= 'c'"]
 
 
 def test_reads_bronze_written_by_python_csv(spark, tmp_dir):
