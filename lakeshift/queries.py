@@ -33,7 +33,7 @@ from lakeshift.sinks import manifest as MF
 from lakeshift.sources import incremental as INC
 from lakeshift.operators.upsert import upsert_latest_parts
 from lakeshift.plans.gold import Gold
-from lakeshift.plans.jobs import stage
+from lakeshift.plans.jobs import stage, unstage
 from lakeshift.plans.silver import Silver, bronze_to_silver, classify_payments, classify_settlements
 from lakeshift.testing.fixtures import Fixtures
 
@@ -72,7 +72,7 @@ class Context:
 
     def _init(self, spark: SparkSession, sf_dir: str):
         self.fx = Fixtures.of(spark, sf_dir)
-        self._key = f"queries-{uuid.uuid4().hex}"
+        self.sf_dir, self._key = sf_dir.rstrip("/"), f"queries-{uuid.uuid4().hex}"
 
     def staged(self, df: DataFrame, name: str) -> DataFrame:
         return stage(self.fx.spark, df, self._key, name)
@@ -94,27 +94,48 @@ class Context:
         return Gold(recon, R.merchant_daily_metrics(recon), H.scd2_init(s.merchants_valid), R.reconciliation_summary(recon, None, None))
 
     @cached_property
-    def merge(self) -> MG.Merge:
-        """The increment merged table by table: what validates the next one is written first."""
-        s, fx = self.silver, self.fx
-        merchants, rejected = MG.merge_merchants(s.merchants_valid, fx.merchants_inc)
-        merchants = self.staged(merchants, "merchants_merged")
-        flagged = self.staged(MG.validate_payment_changes(fx.payments_inc, merchants), "payments_inc_flagged")
+    def merchants_merge(self) -> tuple[DataFrame, DataFrame]:
+        """(merged merchants, rejected changes)."""
+        merged, rejected = MG.merge_merchants(self.silver.merchants_valid, self.fx.merchants_inc)
+        return self.staged(merged, "merchants_merged"), rejected
+
+    @cached_property
+    def payments_merge(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """(merged payments, the increment's rows with their reasons, merged rows of changed keys)."""
+        base = self.silver.payments_valid
+        flagged = self.staged(MG.validate_payment_changes(self.fx.payments_inc, self.merchants_merge[0]), "payments_inc_flagged")
         current = flagged.filter(F.col("rejection_reason").isNull()).select(*S.columns(S.PAYMENTS))
-        untouched, self.resolved = upsert_latest_parts(s.payments_valid, current, "payment_id")
-        self.resolved = self.staged(self.resolved, "payments_resolved")
-        payments = self.staged(untouched.unionByName(self.resolved), "payments_merged")
-        checked = self.staged(MG.validate_settlement_changes(fx.settlements_inc, payments), "settlements_inc_checked")
+        untouched, winners = upsert_latest_parts(base, current, "payment_id")
+        winners = self.staged(winners, "payments_resolved")
+        return self.staged(untouched.unionByName(winners), "payments_merged"), flagged, winners
+
+    @cached_property
+    def settlements_merge(self) -> tuple[DataFrame, DataFrame]:
+        """(merged settlements, the increment's rows with their reasons)."""
+        checked = self.staged(MG.validate_settlement_changes(self.fx.settlements_inc, self.payments_merge[0]), "settlements_inc_checked")
         candidates = checked.filter(F.col("rejection_reason").isNull()).select(*S.columns(S.SETTLEMENTS))
-        settlements = self.staged(D.latest_by_key(s.settlements_valid.select(*S.columns(S.SETTLEMENTS)).unionByName(candidates), "settlement_id"), "settlements_merged")
-        return MG.Merge(fx.merchants_inc, fx.payments_inc, fx.settlements_inc, merchants, s.customers_valid, flagged, payments, checked, settlements, rejected)
+        base = self.silver.settlements_valid.select(*S.columns(S.SETTLEMENTS))
+        return self.staged(D.latest_by_key(base.unionByName(candidates), "settlement_id"), "settlements_merged"), checked
 
+    @cached_property
+    def merge(self) -> MG.Merge:
+        """The increment merged table by table: what validates the next one is written first."""
+        fx, (merchants, rejected), (payments, flagged, _), (settlements, checked) = self.fx, self.merchants_merge, self.payments_merge, self.settlements_merge
+        return MG.Merge(fx.merchants_inc, fx.payments_inc, fx.settlements_inc, merchants, self.silver.customers_valid, flagged, payments, checked, settlements, rejected)
 
     @cached_property
     def ledger(self) -> DataFrame:
         """The full load's ledger, the increment posted to it."""
-        merge, s = self.merge, self.silver
-        return self.staged(LG.post_increment(LG.open_ledger(s.payments_flagged), s.payments_valid, merge.payments_flagged, self.resolved, staged=self.staged), "ledger")
+        s, (_, flagged, winners) = self.silver, self.payments_merge
+        return self.staged(LG.post_increment(LG.open_ledger(s.payments_flagged), s.payments_valid, flagged, winners, staged=self.staged), "ledger")
+
+    #: What the queries share, in the order in which it is built.
+    SHARED = ["silver", "gold", "merchants_merge", "payments_merge", "settlements_merge", "ledger"]
+
+    def release(self) -> None:
+        """Drop the shared tables; a later query builds them anew."""
+        unstage(self.fx.spark, self._key)
+        Context._instances.pop((id(self.fx.spark), self.sf_dir), None)
 
 
 # -- Silver ---------------------------------------------------------------
@@ -335,32 +356,32 @@ def latest_by_key(spark, sf_dir):
 
 @query
 def merchants_merged(spark, sf_dir):
-    return Context(spark, sf_dir).merge.merchants_merged
+    return Context(spark, sf_dir).merchants_merge[0]
 
 
 @query
 def customers_merged(spark, sf_dir):
-    return Context(spark, sf_dir).merge.customers_merged
+    return Context(spark, sf_dir).silver.customers_valid
 
 
 @query
 def payments_merged(spark, sf_dir):
-    return finish(Context(spark, sf_dir).merge.payments_merged.withColumn("payment_date", F.to_date("payment_timestamp")))
+    return finish(Context(spark, sf_dir).payments_merge[0].withColumn("payment_date", F.to_date("payment_timestamp")))
 
 
 @query
 def settlements_merged(spark, sf_dir):
-    return finish(Context(spark, sf_dir).merge.settlements_merged.withColumn("settlement_date", F.to_date("settlement_timestamp")))
+    return finish(Context(spark, sf_dir).settlements_merge[0].withColumn("settlement_date", F.to_date("settlement_timestamp")))
 
 
 @query
 def incremental_payment_rejections(spark, sf_dir):
-    return Context(spark, sf_dir).merge.payments_flagged.select("source_record_id", "payment_id", "merchant_id", "rejection_reason")
+    return Context(spark, sf_dir).payments_merge[1].select("source_record_id", "payment_id", "merchant_id", "rejection_reason")
 
 
 @query
 def incremental_settlement_rejections(spark, sf_dir):
-    return Context(spark, sf_dir).merge.settlements_checked.select("source_record_id", "settlement_id", "payment_id", "rejection_reason")
+    return Context(spark, sf_dir).settlements_merge[1].select("source_record_id", "settlement_id", "payment_id", "rejection_reason")
 
 
 @query
@@ -548,9 +569,9 @@ def merged_ledger(spark, sf_dir):
 def merged_reconciliation(spark, sf_dir):
     """The migration's reconciliation after the merge, against the combined source."""
     ctx = Context(spark, sf_dir)
-    fx, merged = ctx.fx, ctx.merge
-    source = AU.source_expected_totals(fx.payments_raw.unionByName(fx.payments_inc), merged.merchants_merged)
-    target = R.target_totals(R.reconcile(merged.payments_merged, merged.settlements_merged))
+    fx = ctx.fx
+    source = AU.source_expected_totals(fx.payments_raw.unionByName(fx.payments_inc), ctx.merchants_merge[0])
+    target = R.target_totals(R.reconcile(ctx.payments_merge[0], ctx.settlements_merge[0]))
     return finish(AU.migration_reconciliation(source, target, LG.quarantined_counts(ctx.ledger)))
 
 
