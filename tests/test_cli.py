@@ -4,6 +4,7 @@ import json
 import tempfile
 
 import pytest
+from conftest import by_month
 
 from lakeshift import cli
 from lakeshift.sinks.files import write_bronze
@@ -14,7 +15,8 @@ def landed(spark, fx):
     """Source tables as Parquet, then extract -> Silver -> Gold through the CLI."""
     root = tempfile.mkdtemp(prefix="lakeshift-cli-")
     for name in ("merchants", "customers", "payments", "settlements"):
-        getattr(fx, f"{name}_raw").write.parquet(f"{root}/src/{name}")
+        df = getattr(fx, f"{name}_raw")
+        (by_month(df) if name in ("payments", "settlements") else df).write.parquet(f"{root}/src/{name}")
     assert cli.main(["extract-full", "--source-dir", f"{root}/src", "--bronze-dir", f"{root}/bronze", "--run-id", "c1", "--batch-size", "400"]) == 0
     assert cli.main(["bronze-to-silver", "--bronze-run", f"{root}/bronze/run_id=c1", "--silver-dir", f"{root}/silver", "--quarantine-dir", f"{root}/q", "--run-id", "c1"]) == 0
     assert cli.main(["silver-to-gold", "--silver-run", f"{root}/silver/run_id=c1", "--gold-dir", f"{root}/gold", "--run-id", "c1"]) == 0
@@ -41,7 +43,8 @@ def test_cli_reconcile_and_metrics(landed, capsys):
 def test_cli_merge_scd2_validate_publish_upload_plan(landed, spark, fx, capsys):
     root = landed
     for name in ("merchants", "payments", "settlements"):
-        write_bronze(getattr(fx, f"{name}_inc"), f"{root}/bronze/run_id=i1/{name}")
+        df = getattr(fx, f"{name}_inc")
+        write_bronze(df if name == "merchants" else by_month(df), f"{root}/bronze/run_id=i1/{name}")
     capsys.readouterr()
     assert cli.main(["merge", "--base-silver-run", f"{root}/silver/run_id=c1", "--incremental-bronze-run", f"{root}/bronze/run_id=i1", "--silver-dir", f"{root}/silver", "--quarantine-dir", f"{root}/q", "--run-id", "m1"]) == 0
     merged = {(r["section"], r["name"]): r["value"] for r in _lines(capsys)}

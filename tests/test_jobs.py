@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from conftest import by_month
 from pyspark.sql import functions as F
 
 from lakeshift.plans import jobs
@@ -11,12 +12,6 @@ from lakeshift.sinks.publish import publish
 from lakeshift.sources.files import read_dataset
 
 
-def by_month(df):
-    """Payments or settlements on the first of their months: a fraction of the day partitions, the same rows."""
-    time = next(c for c in ("settlement_timestamp", "payment_timestamp") if c in df.columns)
-    return df.withColumn(time, F.date_trunc("month", time).cast("timestamp_ntz"))
-
-
 @pytest.fixture(scope="module")
 def migrated(spark, fx):
     import tempfile
