@@ -28,8 +28,9 @@ Defined results: a text that is null, empty or without words has an empty set,
 is linked with nothing and kept; fewer words than a shingle has form one
 shingle; equal texts are linked; rows that repeat a doc_id and text count as
 one document; rows of one doc_id with different texts are linked only where
-these are similar, and ``keep_first`` keeps one row of each component; a null doc_id is linked with nothing and kept; an empty table
-gives no rows; other columns are ignored.
+these are similar, and ``keep_first`` keeps one row of each component; a null doc_id is linked with
+nothing and kept; texts of any length are compared whole; an empty table gives no
+rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ one blob by an offset table.
 Defined results: a null text counts as empty (no ids); the special token's own
 string in a text becomes its id, as the tokenizers library does by default;
 repeated rows are encoded each; a text of any length is processed in pieces
-between white space, its ids being the only thing that grows with it.
+between white space, its ids being the only thing that grows with it; an empty
+table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -7,13 +7,15 @@ it is pruned from its end; if it is precise enough there it joins the list, the
 rows it covers leave, and the next rule is grown. The result is one ordered
 Spark conditional expression that anyone can read.
 
-Bounded: the fit sees at most about ``sample`` labelled rows, chosen by a hash
-of their id (default 20,000); statistics and verdicts cover all rows.
+Bounded: the fit sees at most ``sample`` labelled texts, chosen by hashes of ids
+and texts (default 20,000), however many labels or documents share an id;
+statistics and verdicts cover all rows.
 
 Defined results: a null or empty text has no words and fails the base check;
 without labels the list is empty and only the base check counts; a label that
-is null is no label; repeated rows are judged each; other columns pass through,
-whatever their names; a text of any length is counted whole.
+is null is no label; repeated rows are judged each, and learned from once; other
+columns pass through, whatever their names; a text of any length is counted
+whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -189,18 +191,30 @@ def learn(x: np.ndarray, bad: np.ndarray, third: np.ndarray, precision: float =
     return rules
 
 
+def labelled(docs: DataFrame, labels: DataFrame, sample: int, seed: int) -> DataFrame:
+    """(doc_id, key, quality) of at most ``sample`` labelled texts; ``key`` is xxhash64 of the text.
+
+    Labels are taken once each, and so are the texts of an id, before any are
+    chosen: first the ``sample`` labels, then the ``sample`` texts, whose hashes are
+    smallest. So neither an id with most labels nor one with most documents
+    exceeds the bound, which holds for both broadcasts as well.
+    """
+    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "quality").distinct()
+    known = known.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id", "quality").limit(sample)
+    texts = docs.select("doc_id", F.xxhash64("text").alias("key")).join(F.broadcast(known), "doc_id").distinct()
+    return texts.orderBy(F.xxhash64("doc_id", "key", F.lit(seed)), "doc_id", "key", "quality").limit(sample)
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, seed: int = 7) -> list[Rule]:
-    """Rules for bad documents from at most about ``sample`` labelled rows, chosen by a hash of their id."""
-    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "quality")
-    share = min(1.0, sample / max(known.count(), 1))
-    place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1_000_003))
-    chosen = known.where(place < F.lit(int(share * 1_000_003) + 1))
-    # at most about `sample` rows of two numbers: a proven bound for the broadcast
-    own, names = statistics(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("third", F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0))
+    """Rules for bad documents from at most ``sample`` labelled texts."""
+    chosen = labelled(docs, labels, sample, seed)
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
+    own, names = statistics(keyed.join(F.broadcast(chosen), ["doc_id", "key"]).withColumn("third", F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0))
     own = own.where(~base_failed(names))  # the list judges only what passes the base check
-    rows = own.select("doc_id", "quality", "third", *(names[c] for c in LEARNED)).toPandas()
-    rows = rows.sort_values(["doc_id", "quality"], kind="stable")
-    x = rows[[names[c] for c in LEARNED]].to_numpy(dtype=np.float64)
+    learned = [names[c] for c in LEARNED]
+    rows = own.groupBy("doc_id", "key", "quality").agg(*[F.first(c).alias(c) for c in ["third", *learned]]).toPandas()  # rows alike count once
+    rows = rows.sort_values(["doc_id", "key", "quality"], kind="stable")
+    x = rows[learned].to_numpy(dtype=np.float64)
     return learn(x, rows["quality"].to_numpy() == 0, rows["third"].to_numpy(dtype=bool))
 
 

@@ -21,7 +21,8 @@ with their best so far; blocks with more queries are dealt to several tasks.
 Defined results: vectors that are null, zero, not of the most common length, or
 hold null or non-finite components take no part, nor do rows without an id;
 rows that repeat an id are one vector (the smallest); ties go to the smaller
-id; fewer candidates than ``limit`` are all returned; no vectors, no rows.
+id; fewer candidates than ``limit`` are all returned; no vectors, no rows; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -6,8 +6,8 @@ the whole of it is joined to the digests of known licence texts. Documents'
 lines and paragraphs are looked up the same way, as whole texts of their own,
 which finds licence notices inside documents. The known texts are a constant
 of this module (a few dozen rows), so both joins broadcast them and no text is
-shuffled. Only short texts that contain a word that every known text contains
-one of are brought into canonical form; that filter loses nothing.
+shuffled. Only texts that contain one of a few words, of which every known text
+contains one, are brought into canonical form; that filter loses nothing.
 
 Defined results: null and empty texts match nothing; repeated rows get a row
 each; a document with a null doc_id gets its row too; an empty table gives no

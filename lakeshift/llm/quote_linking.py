@@ -18,7 +18,8 @@ Defined results: a null text stays null and says nothing; a null conv_id or
 turn is never linked; a message quotes only earlier turns of its conversation;
 passages without letters or digits link nothing; rows that repeat a turn of a
 conversation are one message to their repliers, and reply to the latest of what
-they quote; an empty table gives no rows; other columns are ignored.
+they quote; an empty table gives no rows; texts of any length are linked whole; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ canonical URL, which is ``.host/path``: a rule for a host and its subdomains is
 Defined results: a null URL, or one without ``://``, has an empty host and path,
 fits no host rule and gets the default verdict; of rules that fit, the longest
 host and path wins, then the one listed first; repeated rows are judged each;
-an empty table gives no rows.
+a URL of any length is matched whole; an empty table gives no rows; other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
