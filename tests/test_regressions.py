@@ -118,17 +118,20 @@ def test_verification_finds_damaged_deleted_and_added_files(spark, tmp_dir):
     import os
 
     sources = {"merchants": merchants(spark, [(f"m{i}", "FOOD", T0, T0) for i in range(9)]).repartition(3), "customers": spark.createDataFrame([], S.CUSTOMERS)}
-    jobs.extract_full(spark, sources, tmp_dir, "r1")
+    jobs.extract_full(spark, sources, tmp_dir, "r1", 3)
     run = f"{tmp_dir}/run_id=r1"
     status = lambda: sorted(r["status"] for r in jobs.verify_extract(spark, run).collect())
     assert set(status()) == {"MATCHED"}
-    files = sorted(glob.glob(f"{run}/merchants/*/*.csv"))
+    files = sorted(glob.glob(f"{run}/merchants/*/batch=*/*.csv"))
+    assert len(files) == 3
     with open(files[0]) as f:
         text = f.read()
-    for path in (files[0], os.path.join(os.path.dirname(files[0]), "part-added.csv")):
+    added = f"{os.path.dirname(os.path.dirname(files[0]))}/batch=00009"
+    os.makedirs(added)
+    for path in (files[0], f"{added}/part-added.csv"):
         with open(path, "w") as f:
             f.write(text.replace("FOOD", "FEUD"))
-    for crc in glob.glob(f"{run}/merchants/*/.*.crc"):
+    for crc in glob.glob(f"{run}/merchants/*/batch=*/.*.crc"):
         os.remove(crc)
     os.remove(files[1])
     got = status()
