@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import SLICE_BYTES, Stage, free_names, slices, table, words_of
+from lakeshift.llm.common import SMALL_BYTES, Stage, free_names, slices, table, words_of
 from lakeshift.llm.components import components, joined_roots
 
 #: Lists up to this length give all their pairs; longer ones go by their central class and in blocks.
@@ -86,7 +86,7 @@ def sketches(docs: DataFrame, width: int, k: int) -> DataFrame:
     """(doc_id, key, digest, n, sketch) per row; ``digest`` names the word sequence, ``key`` the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SMALL_BYTES):
             nodes, sizes, kept = [], [], []
             for text in batch.column("text").to_pylist():
                 words = words_of(text, lower=True)
@@ -104,7 +104,7 @@ def full_sets(texts: DataFrame, width: int, halves: bool = False) -> DataFrame:
     """(node, values): whole shingle sets of texts (node, text); with ``halves``, of the hashes' upper 32 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SMALL_BYTES):
             sets = [shingle_set(words_of(t, lower=True), width) for t in batch.column("text").to_pylist()]
             if halves:
                 sets = [np.unique(s >> 32) for s in sets]
@@ -352,7 +352,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
 
     A component's first text is (component_id, first_key): an id with several texts may be first in several components.
     """
-    stage = Stage(docs.sparkSession, "bottom_k", batch_bytes=SLICE_BYTES)
+    stage = Stage(docs.sparkSession, "bottom_k", batch_bytes=SMALL_BYTES)
     rows = stage.write(sketches(docs, width, k), "rows")
     known = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = known.groupBy("digest").agg(F.min(F.struct("doc_id", "key")).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))

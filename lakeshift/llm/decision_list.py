@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeshift.llm.common import free_names, slices, table
+from lakeshift.llm.common import SMALL_BYTES, free_names, slices, table
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -93,7 +93,7 @@ def statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, dict
     schema = T.StructType([*docs.schema.fields, *(T.StructField(names[c], T.LongType()) for c in BASE), *(T.StructField(names[c], T.DoubleType()) for c in SHARES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_col):
+        for batch in slices(batches, text_col, SMALL_BYTES):
             rows = [measure(t) for t in batch.column(text_col).to_pylist()]
             columns = list(zip(*rows, strict=True))
             more = [pa.array(c, pa.int64() if k < len(BASE) else pa.float64()) for k, c in enumerate(columns)]

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeshift.llm.common import ASCII_LOWER, Stage, free_names, slices, table
+from lakeshift.llm.common import ASCII_LOWER, SMALL_BYTES, Stage, free_names, slices, table
 
 SPACE = np.array([chr(c).isspace() for c in range(0x3002)])  # there are none above
 MARKS = np.array([ord(c) for c in ".!?"], dtype=np.uint32)
@@ -139,11 +139,11 @@ def covered(text: str, starts, run: int, longest: int, min_words: int) -> tuple[
 
 def remove_repeats(docs: DataFrame, run: int = RUN, longest: int = LONGEST, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with repeats removed from ``text``, and two more columns: sentences, and sentences removed."""
-    stage = Stage(docs.sparkSession, "spans")
+    stage = Stage(docs.sparkSession, "spans", batch_bytes=SMALL_BYTES)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SMALL_BYTES):
             rows, places, found = array("q"), array("q"), []
             for row, text in enumerate(batch.column("text").to_pylist()):
                 own = run_hashes(text, run, longest)
@@ -168,7 +168,7 @@ def remove_repeats(docs: DataFrame, run: int = RUN, longest: int = LONGEST, min_
     schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.LongType()), T.StructField(names[1], T.LongType())])
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SMALL_BYTES):
             rows = []
             for text, starts in zip(batch.column("text").to_pylist(), batch.column(names[2]).to_pylist(), strict=True):
                 rows.append((None, 0, 0) if text is None else covered(text, starts or (), run, longest, min_words))
